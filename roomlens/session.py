@@ -23,6 +23,7 @@ def local_session(cpus: int = 8, app: str = "roomlens", **conf: str) -> SparkSes
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
     )

@@ -133,8 +133,32 @@ class Inputs:
     # Views
 
     @cached_property
-    def view(self) -> dict[str, DataFrame]:
-        return views.all_views(self.fact, PROFILE.brand_min_views, PROFILE.gap_view_min_views)
+    def funnel_view(self) -> DataFrame:
+        return views.conversion_funnel(self.fact)
+
+    @cached_property
+    def room_view(self) -> DataFrame:
+        return views.room_performance(self.fact)
+
+    @cached_property
+    def segment_view(self) -> DataFrame:
+        return views.price_segment_analysis(self.fact)
+
+    @cached_property
+    def brand_view(self) -> DataFrame:
+        return views.brand_performance(self.fact, PROFILE.brand_min_views)
+
+    @cached_property
+    def daily_view(self) -> DataFrame:
+        return views.daily_trend(self.fact)
+
+    @cached_property
+    def hourly_view(self) -> DataFrame:
+        return views.hourly_behavior(self.fact)
+
+    @cached_property
+    def gap_view(self) -> DataFrame:
+        return views.high_view_no_purchase(self.fact, PROFILE.gap_view_min_views)
 
     # Analyses and detectors
 
@@ -206,7 +230,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "stg_products": lambda i: i.stg_products.drop("loaded_at"),
     "table_counts": _table_counts,
     "product_preview": lambda i: clean_products.product_preview(i.raw_products),
-    "report_row_counts": lambda i: report.report_row_counts(i.view),
+    "report_row_counts": lambda i: report.report_row_counts(
+        views.all_views(i.fact, PROFILE.brand_min_views, PROFILE.gap_view_min_views)
+    ),
     # Profiles
     "profile_shape": lambda i: profiling.shape(i.raw_events),
     "profile_shape_products": lambda i: profiling.shape(i.raw_products),
@@ -269,30 +295,30 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dim_date": lambda i: model.dim_date(i.clean),
     "fact_events": lambda i: i.fact,
     # Views
-    "vw_conversion_funnel": lambda i: views.conversion_funnel(i.fact),
-    "vw_room_performance": lambda i: views.room_performance(i.fact),
-    "vw_price_segment_analysis": lambda i: views.price_segment_analysis(i.fact),
-    "vw_brand_performance": lambda i: i.view["vw_brand_performance"],
-    "vw_daily_trend": lambda i: views.daily_trend(i.fact),
-    "vw_hourly_behavior": lambda i: views.hourly_behavior(i.fact),
-    "vw_high_view_no_purchase": lambda i: i.view["vw_high_view_no_purchase"],
-    "q_funnel": lambda i: views.funnel_by_size(i.view["vw_conversion_funnel"]),
-    "q_best_rooms": lambda i: views.best_rooms(i.view["vw_room_performance"]),
-    "q_price_segments": lambda i: views.segment_conversion(i.view["vw_price_segment_analysis"]),
-    "q_top_brands": lambda i: views.top_brands(i.view["vw_brand_performance"]),
-    "q_peak_hours": lambda i: views.peak_hours(i.view["vw_hourly_behavior"]),
-    "q_gap_top10": lambda i: views.gap_list(i.view["vw_high_view_no_purchase"]),
+    "vw_conversion_funnel": lambda i: i.funnel_view,
+    "vw_room_performance": lambda i: i.room_view,
+    "vw_price_segment_analysis": lambda i: i.segment_view,
+    "vw_brand_performance": lambda i: i.brand_view,
+    "vw_daily_trend": lambda i: i.daily_view,
+    "vw_hourly_behavior": lambda i: i.hourly_view,
+    "vw_high_view_no_purchase": lambda i: i.gap_view,
+    "q_funnel": lambda i: views.funnel_by_size(i.funnel_view),
+    "q_best_rooms": lambda i: views.best_rooms(i.room_view),
+    "q_price_segments": lambda i: views.segment_conversion(i.segment_view),
+    "q_top_brands": lambda i: views.top_brands(i.brand_view),
+    "q_peak_hours": lambda i: views.peak_hours(i.hourly_view),
+    "q_gap_top10": lambda i: views.gap_list(i.gap_view),
     # Report
     "kpi_summary": _kpis,
     "kpi_sheet": lambda i: report.kpi_sheet(_kpis(i)),
-    "report_funnel": lambda i: report.funnel_stages(i.view["vw_conversion_funnel"]),
-    "report_room_top8": lambda i: report.room_rates(i.view["vw_room_performance"]),
-    "report_price_segment": lambda i: report.segment_revenue(i.view["vw_price_segment_analysis"]),
-    "report_hourly": lambda i: report.hourly_purchases(i.view["vw_hourly_behavior"]),
-    "report_hourly_peak": lambda i: report.hourly_peak(i.view["vw_hourly_behavior"]),
-    "report_daily_revenue": lambda i: report.daily_revenue(i.view["vw_daily_trend"]),
+    "report_funnel": lambda i: report.funnel_stages(i.funnel_view),
+    "report_room_top8": lambda i: report.room_rates(i.room_view),
+    "report_price_segment": lambda i: report.segment_revenue(i.segment_view),
+    "report_hourly": lambda i: report.hourly_purchases(i.hourly_view),
+    "report_hourly_peak": lambda i: report.hourly_peak(i.hourly_view),
+    "report_daily_revenue": lambda i: report.daily_revenue(i.daily_view),
     "report_gap": lambda i: report.gap_table(
-        i.view["vw_high_view_no_purchase"], PROFILE.gap_view_highlight
+        i.gap_view, PROFILE.gap_view_highlight
     ),
     # Statistics
     "funnel_stats": lambda i: statistics.funnel_stats(i.totals, PROFILE).drop(
