@@ -122,7 +122,8 @@ def zero_purchase_chart(zero: DataFrame, top: int = 10) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Equal-width bins between the extremes, the last one closed; empty bins are listed.
 
-    A single value gets a range of half a unit to each side.
+    A single value gets a range of half a unit to each side. A value belongs to the bin whose
+    printed edges hold it, so the quotient is corrected by one where rounding says otherwise.
     """
     value = F.col(column).cast("double")
     ends = df.where(value.isNotNull()).agg(F.min(value).alias("a"), F.max(value).alias("b"))
@@ -132,11 +133,17 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
         F.when(single, F.col("b") + 0.5).otherwise(F.col("b")).alias("high"),
     ).withColumn("width", (F.col("high") - F.col("low")) / F.lit(float(bins)))
     limits = span.select(F.struct("low", "high", "width")).scalar()
-    place = F.floor((F.col("_v") - F.col("_s.low")) / F.col("_s.width")).cast("int")
+    low, width, guess = F.col("_s.low"), F.col("_s.width"), F.col("_guess")
+    place = (
+        F.when(F.col("_v") < low + guess * width, guess - 1)
+        .when(F.col("_v") >= low + (guess + 1) * width, guess + 1)
+        .otherwise(guess)
+    )
     counts = (
         df.select(value.alias("_v"))
         .where(F.col("_v").isNotNull())
         .withColumn("_s", limits)
+        .withColumn("_guess", F.floor((F.col("_v") - low) / width).cast("int"))
         .groupBy(F.least(place, F.lit(bins - 1)).alias("bin"))
         .agg(F.count("*").alias("row_count"))
     )

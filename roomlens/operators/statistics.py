@@ -34,11 +34,13 @@ def _goodness_of_fit(hits: Column, trials: Column, rate: Column) -> Column:
     )
 
 
-def with_p_value(df: DataFrame, p: Column, significance: float) -> DataFrame:
+def with_p_value(df: DataFrame, statistic: str, p: Column, significance: float) -> DataFrame:
+    """Add the p-value and its verdict, and round the statistic for display."""
+    known = F.when(~F.isnan("_p"), F.col("_p"))
     return df.withColumn("_p", p).select(
-        *df.columns,
-        half_even(F.col("_p"), 6).alias("p_value"),
-        F.coalesce(F.col("_p") < significance, F.lit(False)).alias("significant"),
+        *[half_even(F.col(c), 2).alias(c) if c == statistic else F.col(c) for c in df.columns],
+        half_even(known, 6).alias("p_value"),
+        F.coalesce(known < significance, F.lit(False)).alias("significant"),
     )
 
 
@@ -72,8 +74,9 @@ def _funnel_chi2(limits: Thresholds) -> Column:
 
 
 def funnel_p(totals: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    base = totals.select("views", "purchases", _funnel_chi2(limits).alias("chi2"))
-    return with_p_value(base, chi2_p("chi2", F.lit(1.0)), limits.significance)
+    base = totals.select("views", "purchases", _funnel_chi2(limits).alias("chi2_statistic"))
+    p = chi2_p("chi2_statistic", F.lit(1.0))
+    return with_p_value(base, "chi2_statistic", p, limits.significance)
 
 
 # Price segments
@@ -144,11 +147,12 @@ def segment_anova(orders: DataFrame) -> DataFrame:
 
 def segment_anova_p(orders: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     base = _variance_parts(orders).select(
-        _f_ratio().alias("f"),
-        (F.col("k") - 1).alias("df_between"),
-        (F.col("n") - F.col("k")).alias("df_within"),
+        (F.col("k") - 1).cast("long").alias("df_between"),
+        (F.col("n") - F.col("k")).cast("long").alias("df_within"),
+        _f_ratio().alias("f_statistic"),
     )
-    return with_p_value(base, f_p("f", "df_between", "df_within"), limits.significance)
+    p = f_p("f_statistic", _double("df_between"), _double("df_within"))
+    return with_p_value(base, "f_statistic", p, limits.significance)
 
 
 def segment_descriptive(orders: DataFrame) -> DataFrame:
@@ -251,16 +255,17 @@ def hourly_rank_test(cells: DataFrame) -> DataFrame:
     return sums.select(
         F.col("k").alias("hours"),
         n.cast("long").alias("samples"),
-        F.try_divide(raw, correction).alias("h"),
+        F.try_divide(raw, correction).alias("kw_statistic"),
     )
 
 
 def hourly_rank_summary(test: DataFrame) -> DataFrame:
-    return test.select("hours", "samples", half_even(F.col("h"), 2).alias("kw_statistic"))
+    return test.withColumn("kw_statistic", half_even(F.col("kw_statistic"), 2))
 
 
 def hourly_rank_p(test: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    return with_p_value(test, chi2_p("h", (F.col("hours") - 1).cast("double")), limits.significance)
+    p = chi2_p("kw_statistic", (F.col("hours") - 1).cast("double"))
+    return with_p_value(test, "kw_statistic", p, limits.significance)
 
 
 # Rooms
@@ -313,7 +318,8 @@ def room_test(ranked: DataFrame) -> DataFrame:
 
 
 def room_test_p(ranked: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    return with_p_value(_top_room(ranked), chi2_p("chi2", F.lit(1.0)), limits.significance)
+    p = chi2_p("chi2", F.lit(1.0))
+    return with_p_value(_top_room(ranked), "chi2", p, limits.significance)
 
 
 # Product gaps

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # Money is summed as a decimal in both engines; see roomlens.functions.numbers.
 _BASE = {
     "raw_events": """
@@ -158,6 +160,29 @@ def _pct(part: str, whole: str) -> str:
 
 _CVR = _even(_pct("purchases", "views"), 4)
 
+def _integral(density: str, low: str, high: str) -> str:
+    """Simpson's rule over 20,000 steps; ``density`` is written in ``t``."""
+    step = f"(({high}) - ({low})) / 20000.0::DOUBLE"
+    return f"""(SELECT sum(w * ({density})) * {step} / 3.0::DOUBLE
+               FROM (SELECT ({low}) + i * {step} AS t,
+                            CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w
+                     FROM range(20001) AS steps(i)))"""
+
+
+def _chi2_tail(x: str, df: str) -> str:
+    """Upper tail of the chi-square distribution, with t = sqrt(x) to keep the density smooth."""
+    density = f"2 * exp(({df} - 1) * ln(t) - t * t / 2 - {df} / 2 * ln(2) - lgamma({df} / 2))"
+    return _integral(density, f"sqrt({x})", f"sqrt({x}) + 40")
+
+
+def _f_tail(f: str, df1: str, df2: str) -> str:
+    """Upper tail of the F distribution as an incomplete beta integral."""
+    density = f"""CASE WHEN t <= 0 THEN 0 ELSE exp(
+        lgamma(({df1} + {df2}) / 2) - lgamma({df1} / 2) - lgamma({df2} / 2)
+        + ({df2} / 2 - 1) * ln(t) + ({df1} / 2 - 1) * ln(1 - t)) END"""
+    return _integral(density, "0.0::DOUBLE", f"{df2} / ({df2} + {df1} * {f})")
+
+
 _VIEWS = {
     "vw_conversion_funnel": """
         SELECT event_type, count(*) AS event_count, count(DISTINCT user_id) AS unique_users,
@@ -207,16 +232,19 @@ _METRICS = {
                max(price) AS price, max(brand) AS brand, max(room_type) AS room_type,
                max(price_segment) AS price_segment
         FROM fact GROUP BY product_id""",
+    "funnel_raw": f"""
+        SELECT *, (purchases - 0.02 * views) ^ 2 / (0.02 * views)
+                  + (views - purchases - 0.98 * views) ^ 2 / (0.98 * views) AS chi2
+        FROM (SELECT CAST(count(*) FILTER (event_type = 'view') AS BIGINT) AS views,
+                     count(*) FILTER (event_type = 'cart') AS carts,
+                     count(*) FILTER (event_type = 'purchase') AS purchases FROM fact)""",
     "funnel": f"""
         SELECT views, carts, purchases, {_even(_pct('carts', 'views'), 2)} AS view_to_cart_pct,
                {_even(_pct('purchases', 'carts'), 2)} AS cart_to_purchase_pct,
                {_CVR} AS overall_cvr_pct, {_even(_pct('views - purchases', 'views'), 2)} AS drop_off_pct,
                {_even(_pct('purchases', 'views') + ' - 2.0::DOUBLE', 2)} AS vs_industry_pct,
-               {_even('''(purchases - 0.02 * views) ^ 2 / (0.02 * views)
-                   + (views - purchases - 0.98 * views) ^ 2 / (0.98 * views)''', 2)} AS chi2_statistic
-        FROM (SELECT CAST(count(*) FILTER (event_type = 'view') AS BIGINT) AS views,
-                     count(*) FILTER (event_type = 'cart') AS carts,
-                     count(*) FILTER (event_type = 'purchase') AS purchases FROM fact)""",
+               {_even('chi2', 2)} AS chi2_statistic
+        FROM funnel_raw""",
     "paid": "SELECT price_segment, revenue FROM fact WHERE event_type = 'purchase' AND revenue > 0",
     "segments": f"""
         SELECT price_segment, {_STAGES}, sum(CAST(revenue AS {_MONEY})) AS revenue
@@ -247,6 +275,38 @@ _METRICS = {
                      z * sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / (1 + z * z / n) AS margin
               FROM (SELECT *, 1.96::DOUBLE AS z, CAST(views AS DOUBLE) AS n,
                            purchases / CAST(views AS DOUBLE) AS p FROM ranked_rooms))""",
+    "anova": """
+        SELECT CAST(k AS DOUBLE) AS k, CAST(n AS DOUBLE) AS n, ssb, sst,
+               (ssb / (k - 1)) / ((sst - ssb) / (n - k)) AS f
+        FROM (SELECT count(*) AS k, sum(size) AS n, sum(size * (mean - grand) ^ 2) AS ssb,
+                     any_value(sst) AS sst
+              FROM (SELECT price_segment, count(*) AS size, avg(revenue) AS mean FROM paid
+                    GROUP BY price_segment),
+                   (SELECT avg(revenue) AS grand, var_pop(revenue) * count(*) AS sst FROM paid))""",
+    "kruskal_samples": """
+        SELECT event_hour AS hour, count(*) AS cnt FROM fact WHERE event_type = 'purchase'
+        GROUP BY event_date, event_hour""",
+    "kruskal": """
+        SELECT k AS hours, CAST(n AS BIGINT) AS samples,
+               (12 * q / (n * (n + 1)) - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS h
+        FROM (SELECT count(*) AS k, CAST(sum(size) AS DOUBLE) AS n, sum(rs * rs / size) AS q
+              FROM (SELECT hour, sum(r) AS rs, count(*) AS size
+                    FROM (SELECT hour, rank() OVER (ORDER BY cnt)
+                                 + (count(*) OVER (PARTITION BY cnt) - 1) / 2.0::DOUBLE AS r
+                          FROM kruskal_samples)
+                    GROUP BY hour)),
+             (SELECT sum(CAST(t AS DOUBLE) ^ 3 - t) AS ties
+              FROM (SELECT count(*) AS t FROM kruskal_samples GROUP BY cnt))""",
+    "room_raw": """
+        SELECT top.room_type AS top_room, top.cvr_pct AS top_cvr,
+               (top.purchases - top.views * rate) ^ 2 / (top.views * rate)
+                   + (top.views - top.purchases - top.views * (1 - rate)) ^ 2
+                     / (top.views * (1 - rate)) AS chi2
+        FROM (SELECT * FROM ranked_rooms
+              ORDER BY purchases / CAST(views AS DOUBLE) DESC, room_type LIMIT 1) top,
+             (SELECT sum(purchases) / CAST(sum(views) AS DOUBLE) AS rate
+              FROM (SELECT * FROM ranked_rooms
+                    ORDER BY purchases / CAST(views AS DOUBLE) DESC, room_type OFFSET 1))""",
     "gap_population": f"""
         SELECT product_id, views, purchases, CAST(revenue AS DOUBLE) AS revenue, {_CVR} AS cvr_pct
         FROM products WHERE views >= 40""",
@@ -439,6 +499,58 @@ _KPIS = f"""
                      / nullif(count(*) FILTER (event_type = 'purchase'), 0) AS avg_order_value
           FROM fact)"""
 
+def _p_value(tail: str, source: str) -> str:
+    return f"(SELECT CAST({_even(tail, 6)} AS VARCHAR) FROM {source})"
+
+
+_FINDINGS_TEXTS = {
+    "Funnel drop-off": (
+        "funnel",
+        "drop_off_pct || '% of views do not end in a purchase'",
+        f"""'Overall CVR ' || overall_cvr_pct || '%, '
+            || printf('%+.2f', {_even('overall_cvr_pct - 2.0::DOUBLE', 2)})
+            || ' points against the benchmark'""",
+        f"""'Chi-square ' || chi2_statistic || ', p = '
+            || {_p_value(_chi2_tail('chi2', '1.0::DOUBLE'), 'funnel_raw')}""",
+    ),
+    "Price segments": (
+        "anova",
+        f"""'Order revenue by segment: F = ' || {_even('f', 2)} || ', p = '
+            || {_p_value(_f_tail('f', '(k - 1)', '(n - k)'), 'anova')}""",
+        f"""'Effect size eta squared ' || {_even('ssb / sst', 4)} || ' ('
+            || CASE WHEN {_even('ssb / sst', 4)} > 0.14 THEN 'large'
+                    WHEN {_even('ssb / sst', 4)} > 0.06 THEN 'medium' ELSE 'small' END || ')'""",
+    ),
+    "Hours": (
+        "hour_extremes, hour_interval, kruskal",
+        "'Peak hour ' || peak_hour || ':00 with ' || peak_count || ' purchases'",
+        """'Mean per hour ' || mean_per_hour || ', 95% interval ' || ci_95_low || ' to '
+            || ci_95_high""",
+        f"""'Business hours bring ' || (SELECT {_even(_pct(
+            'sum(purchases) FILTER (hour BETWEEN 9 AND 18)', 'sum(purchases)'), 1)} FROM hours)
+            || '% of purchases'""",
+        f"""'Kruskal-Wallis H = ' || {_even('h', 2)} || ', p = '
+            || {_p_value(_chi2_tail('h', '(hours - 1)::DOUBLE'), 'kruskal')}""",
+    ),
+    "Rooms": (
+        "room_raw",
+        "'Best room ' || top_room || ' with ' || top_cvr || '% CVR'",
+        f"""'Against all other rooms: chi-square ' || {_even('chi2', 2)} || ', p = '
+            || {_p_value(_chi2_tail('chi2', '1.0::DOUBLE'), 'room_raw')}""",
+    ),
+    "Product gaps": (
+        "gap_totals",
+        "anomaly_count || ' products with abnormally low CVR'",
+        "'Estimated lost revenue $' || format('{:,.0f}', total_rev_lost)",
+    ),
+}
+
+_FINDINGS = " UNION ALL ".join(
+    f"SELECT '{section}' AS section, CAST({line} AS INTEGER) AS line, {text} AS text FROM {source}"
+    for section, (source, *texts) in _FINDINGS_TEXTS.items()
+    for line, text in enumerate(texts, 1)
+)
+
 _BODIES = {
     "stg_events": "SELECT * FROM stg_events",
     "stg_products": "SELECT * FROM raw_products",
@@ -575,17 +687,29 @@ _BODIES = {
     "report_gap": "SELECT *, views > 1000 AS highlight FROM vw_high_view_no_purchase",
     "funnel_stats": "SELECT * EXCLUDE (vs_industry_pct, chi2_statistic) FROM funnel",
     "funnel_chi2": "SELECT views, purchases, chi2_statistic, vs_industry_pct FROM funnel",
+    "funnel_chi2_p": f"""
+        SELECT views, purchases, {_even('chi2', 2)} AS chi2_statistic, {_even('p', 6)} AS p_value,
+               p < 0.05 AS significant
+        FROM (SELECT *, {_chi2_tail('chi2', '1.0::DOUBLE')} AS p FROM funnel_raw)""",
+    "anova_segments_p": f"""
+        SELECT CAST(k - 1 AS BIGINT) AS df_between, CAST(n - k AS BIGINT) AS df_within,
+               {_even('f', 2)} AS f_statistic, {_even('p', 6)} AS p_value, p < 0.05 AS significant
+        FROM (SELECT *, {_f_tail('f', '(k - 1)', '(n - k)')} AS p FROM anova)""",
+    "kruskal_hours_p": f"""
+        SELECT hours, samples, {_even('h', 2)} AS kw_statistic, {_even('p', 6)} AS p_value,
+               p < 0.05 AS significant
+        FROM (SELECT *, {_chi2_tail('h', '(hours - 1)::DOUBLE')} AS p FROM kruskal)""",
+    "room_chi2_p": f"""
+        SELECT top_room, top_cvr, {_even('chi2', 2)} AS chi2, {_even('p', 6)} AS p_value,
+               p < 0.05 AS significant
+        FROM (SELECT *, {_chi2_tail('chi2', '1.0::DOUBLE')} AS p FROM room_raw)""",
     "anova_segments": f"""
         SELECT CAST(k - 1 AS BIGINT) AS df_between, CAST(n - k AS BIGINT) AS df_within,
                {_even('(ssb / (k - 1)) / ((sst - ssb) / (n - k))', 2)} AS f_statistic,
                {_even('ssb / sst', 4)} AS eta_squared,
                CASE WHEN {_even('ssb / sst', 4)} > 0.14 THEN 'large'
                     WHEN {_even('ssb / sst', 4)} > 0.06 THEN 'medium' ELSE 'small' END AS effect
-        FROM (SELECT count(*) AS k, sum(size) AS n, sum(size * (mean - grand) ^ 2) AS ssb,
-                     any_value(sst) AS sst
-              FROM (SELECT price_segment, count(*) AS size, avg(revenue) AS mean FROM paid
-                    GROUP BY price_segment),
-                   (SELECT avg(revenue) AS grand, var_pop(revenue) * count(*) AS sst FROM paid))""",
+        FROM anova""",
     "segment_descriptive": f"""
         SELECT price_segment, count(*) AS count, {_even('avg(revenue)', 2)} AS mean,
                {_even('quantile_cont(revenue, 0.5)', 2)} AS median,
@@ -599,34 +723,10 @@ _BODIES = {
         SELECT {_even(_pct('sum(purchases) FILTER (hour BETWEEN 9 AND 18)', 'sum(purchases)'), 1)}
                    AS biz_hours_pct FROM hours""",
     "kruskal_hours": f"""
-        WITH samples AS (
-            SELECT event_hour AS hour, count(*) AS cnt FROM fact WHERE event_type = 'purchase'
-            GROUP BY event_date, event_hour),
-        ranked AS (
-            SELECT hour, cnt, rank() OVER (ORDER BY cnt)
-                       + (count(*) OVER (PARTITION BY cnt) - 1) / 2.0::DOUBLE AS r FROM samples),
-        ties AS (
-            SELECT sum(CAST(t AS DOUBLE) ^ 3 - t) AS ties
-            FROM (SELECT count(*) AS t FROM samples GROUP BY cnt)),
-        sums AS (
-            SELECT count(*) AS k, CAST(sum(size) AS DOUBLE) AS n, sum(rs * rs / size) AS q
-            FROM (SELECT hour, sum(r) AS rs, count(*) AS size FROM ranked GROUP BY hour))
-        SELECT k AS hours, CAST(n AS BIGINT) AS samples,
-               {_even('(12 * q / (n * (n + 1)) - 3 * (n + 1)) / (1 - ties / (n * n * n - n))', 2)}
-                   AS kw_statistic
-        FROM sums, ties""",
+        SELECT hours, samples, {_even('h', 2)} AS kw_statistic FROM kruskal""",
     "room_ranking": "SELECT * FROM ranked_rooms",
     "room_wilson_ci": "SELECT * FROM wilson",
-    "room_chi2": f"""
-        SELECT top.room_type AS top_room, top.cvr_pct AS top_cvr,
-               {_even('''(top.purchases - top.views * rate) ^ 2 / (top.views * rate)
-                   + (top.views - top.purchases - top.views * (1 - rate)) ^ 2
-                     / (top.views * (1 - rate))''', 2)} AS chi2
-        FROM (SELECT * FROM ranked_rooms
-              ORDER BY purchases / CAST(views AS DOUBLE) DESC, room_type LIMIT 1) top,
-             (SELECT sum(purchases) / CAST(sum(views) AS DOUBLE) AS rate
-              FROM (SELECT * FROM ranked_rooms
-                    ORDER BY purchases / CAST(views AS DOUBLE) DESC, room_type OFFSET 1))""",
+    "room_chi2": f"SELECT top_room, top_cvr, {_even('chi2', 2)} AS chi2 FROM room_raw",
     "gap_scores": "SELECT * FROM gaps",
     "gap_anomalies": "SELECT * FROM gaps WHERE anomaly",
     "gap_summary": "SELECT * FROM gap_totals",
@@ -643,6 +743,7 @@ _BODIES = {
         UNION ALL SELECT 'Peak Purchase Hour', CAST(peak_hour AS DOUBLE) FROM hour_extremes
         UNION ALL SELECT 'Anomaly Products', CAST(anomaly_count AS DOUBLE) FROM gap_totals
         UNION ALL SELECT 'Est Revenue Lost ($)', total_rev_lost FROM gap_totals""",
+    "findings": _FINDINGS,
     "product_metrics": """
         SELECT * REPLACE (CAST(revenue AS DOUBLE) AS revenue,
                           CAST(order_price AS DOUBLE) AS order_price,
@@ -708,7 +809,8 @@ _BODIES = {
             FROM (SELECT CASE WHEN a = b THEN a - 0.5 ELSE a END AS low,
                          CASE WHEN a = b THEN b + 0.5 ELSE b END AS high FROM ends)),
         placed AS (
-            SELECT least(CAST(floor((z_score - low) / width) AS INTEGER), 19) AS bin
+            SELECT least(len(list_filter(range(20), lambda i: low + i * width <= z_score)) - 1, 19)
+                       AS bin
             FROM anomalies, span)
         SELECT CAST(r.bin AS INTEGER) AS bin, low + r.bin * width AS bin_from,
                CASE WHEN r.bin = 19 THEN high ELSE low + (r.bin + 1) * width END AS bin_to,
@@ -737,8 +839,6 @@ _BODIES = {
 
 def _needed(sql: str) -> list[str]:
     """Named tables that ``sql`` uses, in the order they must be defined."""
-    import re
-
     used: set[str] = set()
     pending = [sql]
     while pending:
