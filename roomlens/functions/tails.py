@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 _EPS = 1e-15
@@ -126,8 +126,6 @@ def f_p(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
     return pd.Series([f_tail(float(a), float(b), float(c)) for a, b, c in zip(f, df1, df2)])
 
 
-def t_quantile_by_n(n: Column, p: float, largest_n: int) -> Column:
-    """Quantile for ``n - 1`` degrees of freedom, from a literal array: ``n`` is at most a few
-    dozen (hours of a day), so no Python worker is needed. Null for ``n`` below 2."""
-    table = F.array(*[F.lit(t_quantile(p, df)) for df in range(1, largest_n)])
-    return F.get(table, n.cast("int") - 2)
+def t_quantiles(p: float, most: int) -> list[float]:
+    """Quantiles for 1 to ``most`` degrees of freedom."""
+    return [t_quantile(p, df) for df in range(1, most + 1)]

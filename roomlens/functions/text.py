@@ -1,29 +1,24 @@
-"""Text expressions for catalogue fields."""
+"""Text expressions for catalogue fields, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
 
-
-def list_literal(text: Column) -> Column:
+def list_literal(text: str) -> str:
     """Array held as a list literal such as ``['a', 'b']``; null when it does not parse."""
-    return F.from_json(text, "array<string>", {"allowBackslashEscapingAnyCharacter": "true"})
+    return f"from_json({text}, 'array<string>', map('allowBackslashEscapingAnyCharacter', 'true'))"
 
 
-def strip(text: Column) -> Column:
+def strip(text: str) -> str:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return rf"regexp_replace({text}, r'^\s+|\s+$', '')"
 
 
-def unquote(text: Column) -> Column:
+def unquote(text: str) -> str:
     """Strip white space, then any quote characters, from both ends."""
-    return F.regexp_replace(strip(text), r"""^['"]+|['"]+$""", "")
+    return f"""trim(BOTH '\\'"' FROM {strip(text)})"""
 
 
-def title_case(text: Column) -> Column:
+def title_case(text: str) -> str:
     """Upper-case every letter that follows a non-letter, lower-case the rest."""
-    words = F.split(F.lower(text), r"(?<=[^\p{L}])")
-    return F.array_join(
-        F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))),
-        "",
-    )
+    words = rf"split(lower({text}), r'(?<=[^\p{{L}}])')"
+    return f"array_join(transform({words}, w -> concat(upper(substr(w, 1, 1)), substr(w, 2))), '')"

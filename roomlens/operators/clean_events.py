@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from roomlens.functions.numbers import text_to_double
 from roomlens.functions.segments import EVENT_BANDS, price_band
 from roomlens.schemas import CLEAN_EVENTS, conform
 
 # A time of day alone would be read as a time of the current day; require a date.
-_DATE_FIRST = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
-
-
-def _event_time(df: DataFrame) -> Column:
-    time = F.col("event_time")
-    if dict(df.dtypes)["event_time"] == "string":
-        return F.when(time.rlike(_DATE_FIRST), F.try_to_timestamp(time))
-    return time.cast("timestamp")
-
-
-def _price(df: DataFrame) -> Column:
-    price = F.col("price")
-    if dict(df.dtypes)["price"] == "string":
-        price = text_to_double(price)
-    return F.coalesce(price.cast("double"), F.lit(0.0))
+DATE_FIRST = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+
+
+def _typed(events: DataFrame) -> DataFrame:
+    """Time and price as values; text that does not parse gives null and 0."""
+    types = dict(events.dtypes)
+    time = "CAST(event_time AS TIMESTAMP)"
+    if types["event_time"] == "string":
+        time = f"CASE WHEN event_time RLIKE r'{DATE_FIRST}' THEN try_to_timestamp(event_time) END"
+    price = text_to_double("price") if types["price"] == "string" else "DOUBLE(price)"
+    return events.selectExpr(
+        f"{time} AS event_time", "event_type", "product_id", "category_id", "category_code",
+        "coalesce(brand, 'Unknown') AS brand", f"coalesce({price}, 0D) AS price", "user_id",
+        "user_session", r"split(category_code, r'\.') AS tokens",
+    )
 
 
 def clean_events(events: DataFrame) -> DataFrame:
@@ -31,27 +31,21 @@ def clean_events(events: DataFrame) -> DataFrame:
 
     A time that does not parse leaves all date parts null and keeps the row.
     """
-    typed = events.withColumns({"event_time": _event_time(events), "price": _price(events)})
-    time, code = F.col("event_time"), F.col("category_code")
-    tokens = F.split(code, r"\.")
-    enriched = typed.withColumns(
-        {
-            "brand": F.coalesce("brand", F.lit("Unknown")),
-            "is_zero_price": (F.col("price") == 0).cast("int"),
-            "price_segment": price_band(F.col("price"), EVENT_BANDS),
-            "event_date": F.to_date(time),
-            "event_hour": F.hour(time),
-            "day_of_week": F.date_format(time, "EEEE"),
-            "day_type": F.when(F.weekday(time) >= 5, "Weekend").when(
-                time.isNotNull(), "Weekday"
-            ),
-            "week_number": F.weekofyear(time),
-            "month": F.month(time),
-            "month_name": F.date_format(time, "MMMM"),
-            "year": F.year(time),
-            "furniture_type": F.replace(code, F.lit("furniture."), F.lit("")),
-            "room_type": F.get(tokens, F.lit(1)),
-            "item_type": F.get(tokens, F.lit(2)),
-        }
+    enriched = _typed(events).selectExpr(
+        "* EXCEPT (tokens)",
+        "to_date(event_time) AS event_date",
+        "replace(category_code, 'furniture.', '') AS furniture_type",
+        "get(tokens, 1) AS room_type",
+        "get(tokens, 2) AS item_type",
+        f"{price_band('price', EVENT_BANDS)} AS price_segment",
+        "INT(price = 0) AS is_zero_price",
+        "hour(event_time) AS event_hour",
+        "date_format(event_time, 'EEEE') AS day_of_week",
+        """CASE WHEN weekday(event_time) >= 5 THEN 'Weekend'
+                WHEN event_time IS NOT NULL THEN 'Weekday' END AS day_type""",
+        "weekofyear(event_time) AS week_number",
+        "month(event_time) AS month",
+        "date_format(event_time, 'MMMM') AS month_name",
+        "year(event_time) AS year",
     )
     return conform(enriched, CLEAN_EVENTS)

@@ -2,41 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import text_to_double
 from roomlens.functions.segments import CATALOGUE_BANDS, price_band
 from roomlens.functions.text import list_literal, strip, title_case, unquote
-from roomlens.operators.quantiles import quantiles
+from roomlens.operators.quantiles import frequencies, quantiles
 from roomlens.schemas import CLEAN_PRODUCTS, conform
+from roomlens.sources.scratch import shared_table
 
-
-def price_number(price: Column) -> Column:
-    """Price text without ``$`` and thousands commas, as a number; null when it is none."""
-    return text_to_double(strip(F.regexp_replace(price, "[$,]", "")))
+# First matching phrase decides, so a temporary stock-out counts as out of stock.
+AVAILABILITY_LABEL = """
+    CASE WHEN availability IS NULL THEN 'Unknown'
+         WHEN contains(lower(availability), 'in stock') THEN 'In Stock'
+         WHEN contains(lower(availability), 'out of stock')
+           OR contains(lower(availability), 'unavailable') THEN 'Out of Stock'
+         WHEN contains(lower(availability), 'temporarily') THEN 'Temporarily Unavailable'
+         WHEN contains(lower(availability), '1-2 days')
+           OR contains(lower(availability), 'ship') THEN 'Ships Soon'
+         ELSE 'Other' END"""
 
 
-def availability_label(text: Column) -> Column:
-    """First matching phrase decides, so a temporary stock-out counts as out of stock."""
-    low = F.lower(text)
-    return (
-        F.when(text.isNull(), "Unknown")
-        .when(low.contains("in stock"), "In Stock")
-        .when(low.contains("out of stock") | low.contains("unavailable"), "Out of Stock")
-        .when(low.contains("temporarily"), "Temporarily Unavailable")
-        .when(low.contains("1-2 days") | low.contains("ship"), "Ships Soon")
-        .otherwise("Other")
-    )
+def price_number(price: str = "price") -> str:
+    """Price text without ``$`` and thousands commas, as a number; null when it is none."""
+    return text_to_double(strip(f"translate({price}, '$,', '')"))
 
 
 def with_categories(products: DataFrame) -> DataFrame:
     """Second and third entry of the category list as main and sub category."""
-    items = list_literal(F.col("categories"))
-    return products.withColumns(
-        {
-            "main_category": unquote(F.get(items, F.lit(1))),
-            "sub_category": unquote(F.get(items, F.lit(2))),
-        }
+    return products.selectExpr("*", f"{list_literal('categories')} AS _items").selectExpr(
+        "* EXCEPT (_items)",
+        f"{unquote('get(_items, 1)')} AS main_category",
+        f"{unquote('get(_items, 2)')} AS sub_category",
     )
 
 
@@ -44,21 +41,27 @@ def impute_price(products: DataFrame, price: str = "price") -> DataFrame:
     """Replace a null price by the exact median of its sub category.
 
     Without a sub category the median over all rows is used; a sub category without any price
-    keeps the null. The medians join is left to the runtime, which broadcasts it when it is small
-    and splits hot sub categories otherwise.
+    keeps the null. Both medians come from one stored frequency table. The lookup join is left to
+    the runtime, which broadcasts the medians when they are few and splits hot sub categories
+    otherwise.
     """
-    medians = quantiles(products, price, {"_median": 0.5}, by=["sub_category"])
-    overall = quantiles(products, price, {"_overall": 0.5}).agg(F.first("_overall"))
-    filled = F.coalesce(
-        price, F.when(F.col("sub_category").isNull(), overall.scalar()).otherwise(F.col("_median"))
+    prices = shared_table(frequencies(products, price, ["sub_category"]), "price-frequencies")
+    medians = quantiles(prices, {"_median": 0.5}, ["sub_category"])
+    overall = quantiles(prices, {"_overall": 0.5}).agg(F.first("_overall")).scalar()
+    return (
+        products.join(medians, "sub_category", "left")
+        .withColumn("_overall", overall)
+        .selectExpr(
+            *[name for name in products.columns if name != price],
+            f"coalesce({price}, if(sub_category IS NULL, _overall, _median)) AS {price}",
+        )
     )
-    return products.join(medians, "sub_category", "left").withColumn(price, filled).drop("_median")
 
 
 def furniture_products(products: DataFrame, main: str = "Furniture") -> DataFrame:
     """Catalogue rows of one main category with categories parsed and the price a number."""
-    parsed = with_categories(products).where(F.col("main_category") == main)
-    return parsed.withColumn("price", price_number(F.col("price")))
+    parsed = with_categories(products).where(f"main_category = '{main}'")
+    return parsed.withColumn("price", F.expr(price_number()))
 
 
 def clean_products(products: DataFrame, null_text: str = "None") -> DataFrame:
@@ -66,20 +69,20 @@ def clean_products(products: DataFrame, null_text: str = "None") -> DataFrame:
 
     A missing brand or material becomes the text ``null_text``, as in the tables this replaces.
     """
-    priced = impute_price(furniture_products(products))
-    brand = F.coalesce("brand", F.lit(null_text))
-    material = title_case(strip(F.coalesce("material", F.lit(null_text))))
-    date_text = F.col("date_first_available")
-    cleaned = priced.withColumns(
-        {
-            "price_segment": price_band(F.col("price"), CATALOGUE_BANDS),
-            "availability": availability_label(F.col("availability")),
-            "brand": strip(F.replace(brand, F.lit(" Store"), F.lit(""))),
-            "material": F.when(material == "Nan", "Unknown").otherwise(material),
-            "date_first_available": F.coalesce(
-                F.try_to_date(date_text, "MMMM d, yyyy"), F.try_to_date(date_text)
-            ),
-        }
+    brand = strip(f"replace(coalesce(brand, '{null_text}'), ' Store', '')")
+    material = title_case(strip(f"coalesce(material, '{null_text}')"))
+    cleaned = impute_price(furniture_products(products)).selectExpr(
+        "asin", "title",
+        f"{brand} AS brand",
+        "price",
+        f"{price_band('price', CATALOGUE_BANDS)} AS price_segment",
+        "main_category", "sub_category",
+        f"{AVAILABILITY_LABEL} AS availability",
+        f"if({material} = 'Nan', 'Unknown', {material}) AS material",
+        "color", "style", "country_of_origin",
+        """coalesce(try_to_date(date_first_available, 'MMMM d, yyyy'),
+                    try_to_date(date_first_available)) AS date_first_available""",
+        "manufacturer",
     )
     return conform(cleaned, CLEAN_PRODUCTS)
 
@@ -89,12 +92,10 @@ def product_preview(products: DataFrame) -> DataFrame:
 
     Here a list of one entry gives that entry as main category.
     """
-    items = list_literal(F.col("categories"))
-    main = F.when(F.size(items) > 1, F.get(items, F.lit(1))).otherwise(F.get(items, F.lit(0)))
-    return products.select(
+    return products.selectExpr("*", f"{list_literal('categories')} AS _items").selectExpr(
         "asin", "title", "brand",
-        price_number(F.col("price")).alias("price_clean"),
-        main.alias("main_category"),
-        F.get(items, F.lit(2)).alias("sub_category"),
+        f"{price_number()} AS price_clean",
+        "if(size(_items) > 1, get(_items, 1), get(_items, 0)) AS main_category",
+        "get(_items, 2) AS sub_category",
         "availability", "material", "color", "style", "country_of_origin", "date_first_available",
     )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roomlens.functions.numbers import half_even, ratio_pct
-from roomlens.functions.segments import severity_at_least, severity_below
-from roomlens.operators.statistics import cvr_moments
+from roomlens.functions.segments import severity
+from roomlens.operators.metrics import aggregates
+from roomlens.operators.statistics import CVR, Z_SCORE, cvr_moments
 from roomlens.thresholds import DEFAULTS, Thresholds
 
 PRODUCT_COLUMNS = (
@@ -14,20 +15,13 @@ PRODUCT_COLUMNS = (
 )
 
 
-def _cvr() -> Column:
-    return half_even(ratio_pct(F.col("purchases"), F.col("views")), 4)
-
-
 def _mean_of(df: DataFrame, total: str, count: str) -> Column:
     """Sum of ``total`` over sum of ``count`` as a one-row subquery value."""
-    mean = F.try_divide(F.sum(total).cast("double"), F.sum(count).cast("double"))
-    return df.agg(mean.alias("mean")).scalar()
+    return df.agg(F.expr(f"try_divide(DOUBLE(sum({total})), DOUBLE(sum({count})))")).scalar()
 
 
-def _stamp(df: DataFrame, alert_type: str, run_date: str) -> DataFrame:
-    return df.withColumns(
-        {"alert_type": F.lit(alert_type), "run_date": F.lit(run_date)}
-    )
+def _stamp(alert_type: str, run_date: str) -> tuple[str, str]:
+    return f"'{alert_type}' AS alert_type", f"'{run_date}' AS run_date"
 
 
 def zero_purchase(products: DataFrame, run_date: str, limits: Thresholds = DEFAULTS) -> DataFrame:
@@ -36,25 +30,27 @@ def zero_purchase(products: DataFrame, run_date: str, limits: Thresholds = DEFAU
     The price used is the mean price of all purchases, zero prices included. ``products`` should
     be a stored table: it is read for that mean and for the alerts.
     """
-    price = _mean_of(products, "order_price", "purchases")
-    lost = F.col("views") * F.lit(limits.lost_sale_rate) * price
-    flagged = products.where(
-        (F.col("purchases") == 0) & (F.col("views") >= limits.zero_purchase_min_views)
-    ).select(
-        *PRODUCT_COLUMNS,
-        half_even(lost, 0).alias("est_revenue_lost"),
-        severity_at_least(
-            F.col("views"), limits.zero_purchase_critical_views, limits.zero_purchase_high_views
-        ).alias("severity"),
+    tier = severity(
+        "views", ">=", limits.zero_purchase_critical_views, limits.zero_purchase_high_views
+    )
+    return (
+        products.where(f"purchases = 0 AND views >= {limits.zero_purchase_min_views}")
+        .withColumn("usual_price", _mean_of(products, "order_price", "purchases"))
+        .selectExpr(
+            *PRODUCT_COLUMNS,
+            f"{half_even(f'views * {limits.lost_sale_rate}D * usual_price', 0)} AS est_revenue_lost",
+            f"{tier} AS severity",
+            *_stamp("ZERO_PURCHASE", run_date),
+        )
+        .orderBy(F.desc("views"), "product_id")
     )
-    return _stamp(flagged, "ZERO_PURCHASE", run_date).orderBy(F.desc("views"), "product_id")
 
 
 def cvr_population(products: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Products with enough views and at least one purchase, with their conversion."""
     return products.where(
-        (F.col("views") >= limits.min_views_for_analysis) & (F.col("purchases") > 0)
-    ).withColumn("cvr_pct", _cvr())
+        f"views >= {limits.min_views_for_analysis} AND purchases > 0"
+    ).selectExpr(*PRODUCT_COLUMNS, f"{CVR} AS cvr_pct")
 
 
 def cvr_anomalies(products: DataFrame, run_date: str, limits: Thresholds = DEFAULTS) -> DataFrame:
@@ -64,23 +60,28 @@ def cvr_anomalies(products: DataFrame, run_date: str, limits: Thresholds = DEFAU
     be a stored table: it is read for the moments, the order value and the alerts.
     """
     population = cvr_population(products, limits)
-    mean, z = F.col("_m.mean"), F.col("z_score")
-    scored = population.withColumn("_m", cvr_moments(population)).withColumn(
-        "z_score", half_even(F.try_divide(F.col("cvr_pct") - mean, F.col("_m.sd")), 3)
-    )
-    order_value = _mean_of(products, "paid_revenue", "paid_orders")
-    flagged = (
-        scored.where(z < limits.cvr_z_alert)
-        .withColumn("expected_purchases", half_even(F.col("views") * mean / 100.0, 0))
-        .withColumn("purchase_gap", half_even(F.col("expected_purchases") - F.col("purchases"), 0))
-        .select(
+    tier = severity("z_score", "<", limits.cvr_z_critical, limits.cvr_z_high)
+    return (
+        population.withColumns(
+            {
+                "m": cvr_moments(population),
+                "order_value": _mean_of(products, "paid_revenue", "paid_orders"),
+            }
+        )
+        .selectExpr(
+            "*", f"{Z_SCORE} AS z_score",
+            f"{half_even('views * m.mean / 100D', 0)} AS expected_purchases",
+        )
+        .where(f"z_score < {limits.cvr_z_alert}")
+        .selectExpr("*", f"{half_even('expected_purchases - purchases', 0)} AS purchase_gap")
+        .selectExpr(
             *PRODUCT_COLUMNS, "cvr_pct", "z_score", "expected_purchases", "purchase_gap",
-            half_even(F.col("purchase_gap") * order_value, 0).alias("est_revenue_lost"),
-            severity_below(z, limits.cvr_z_critical, limits.cvr_z_high).alias("severity"),
-            half_even(mean, 4).alias("mean_cvr_pct"),
+            f"{half_even('purchase_gap * order_value', 0)} AS est_revenue_lost",
+            f"{tier} AS severity",
+            f"{half_even('m.mean', 4)} AS mean_cvr_pct",
+            *_stamp("CVR_ANOMALY", run_date),
         )
     )
-    return _stamp(flagged, "CVR_ANOMALY", run_date)
 
 
 def daily_trend(days: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
@@ -90,55 +91,54 @@ def daily_trend(days: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     decimal, so the result does not depend on the order of addition.
     """
     # One row per date.
-    recent = Window.orderBy("event_date").rowsBetween(1 - limits.rolling_days, Window.currentRow)
+    recent = f"(ORDER BY event_date ROWS {limits.rolling_days - 1} PRECEDING)"
 
-    def rolling(value: Column) -> Column:
-        count = F.count(value).over(recent)
-        mean = F.sum(value).over(recent).cast("double") / count.cast("double")
-        return F.when(count >= limits.rolling_min_days, mean)
+    def rolling(value: str) -> str:
+        mean = f"DOUBLE(sum({value}) OVER {recent}) / count({value}) OVER {recent}"
+        return f"if(count({value}) OVER {recent} >= {limits.rolling_min_days}, {mean}, NULL)"
 
-    def against(value: str, mean: str) -> Column:
-        now = F.col(value).cast("double")
-        return half_even(F.try_divide(now - F.col(mean), F.col(mean)) * 100.0, 2)
+    def against(value: str, mean: str) -> str:
+        return half_even(f"try_divide({value} - {mean}, {mean}) * 100D", 2)
 
-    series = days.select("event_date", "views", "purchases", "revenue", _cvr().alias("cvr_pct"))
     return (
-        series.withColumns(
-            {
-                "rolling_avg": rolling(F.col("cvr_pct").cast("decimal(18,4)")),
-                "rev_rolling": rolling(F.col("revenue")),
-            }
+        days.selectExpr("event_date", "views", "purchases", "revenue", f"{CVR} AS cvr_pct")
+        .selectExpr(
+            "event_date", "views", "purchases", "DOUBLE(revenue) AS revenue", "cvr_pct",
+            f"{rolling('CAST(cvr_pct AS decimal(18,4))')} AS rolling_avg",
+            f"{rolling('revenue')} AS rev_rolling",
         )
-        .select(
-            "event_date", "views", "purchases", F.col("revenue").cast("double").alias("revenue"),
-            "cvr_pct", "rolling_avg", against("cvr_pct", "rolling_avg").alias("cvr_vs_avg"),
-            "rev_rolling", against("revenue", "rev_rolling").alias("rev_vs_avg"),
+        .selectExpr(
+            "event_date", "views", "purchases", "revenue", "cvr_pct", "rolling_avg",
+            f"{against('cvr_pct', 'rolling_avg')} AS cvr_vs_avg",
+            "rev_rolling",
+            f"{against('revenue', 'rev_rolling')} AS rev_vs_avg",
         )
         .orderBy("event_date")
     )
 
 
-def _is_drop(limits: Thresholds) -> Column:
-    return F.coalesce(F.col("cvr_vs_avg") < -limits.cvr_drop_pct, F.lit(False))
+def _is_drop(limits: Thresholds) -> str:
+    return f"coalesce(cvr_vs_avg < {-limits.cvr_drop_pct}, false)"
 
 
 def daily_drops(trend: DataFrame, run_date: str, limits: Thresholds = DEFAULTS) -> DataFrame:
-    severity = severity_below(F.col("cvr_vs_avg"), limits.drop_critical_pct, limits.drop_high_pct)
-    flagged = trend.where(_is_drop(limits)).withColumn("severity", severity)
-    return _stamp(flagged, "DAILY_CVR_DROP", run_date)
+    tier = severity("cvr_vs_avg", "<", limits.drop_critical_pct, limits.drop_high_pct)
+    return trend.where(_is_drop(limits)).selectExpr(
+        "*", f"{tier} AS severity", *_stamp("DAILY_CVR_DROP", run_date)
+    )
 
 
 def daily_chart(trend: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Daily series with a mark on alert days."""
-    return trend.select("event_date", "cvr_pct", "rolling_avg", _is_drop(limits).alias("alert"))
+    return trend.selectExpr("event_date", "cvr_pct", "rolling_avg", f"{_is_drop(limits)} AS alert")
 
 
 def worst_drop(drops: DataFrame) -> DataFrame:
     """Largest drop and its date, the first one on ties; no row when nothing dropped."""
     return drops.agg(
-        F.min("cvr_vs_avg").alias("worst_drop_pct"),
-        F.min_by("event_date", F.struct("cvr_vs_avg", "event_date")).alias("event_date"),
-    ).where(F.col("event_date").isNotNull())
+        F.expr("min(cvr_vs_avg) AS worst_drop_pct"),
+        F.expr("min_by(event_date, struct(cvr_vs_avg, event_date)) AS event_date"),
+    ).where("event_date IS NOT NULL")
 
 
 def monitor(
@@ -149,19 +149,20 @@ def monitor(
     ``groups`` holds one row of measures per ``key``, a room or price band: a few rows, so the
     pool is a window over them and the events are read once.
     """
-    everything = Window.partitionBy()
-    pool = ratio_pct(F.sum("purchases").over(everything), F.sum("views").over(everything))
-    against = F.try_divide(F.col("cvr_pct") - F.col("_pool"), F.col("_pool")) * 100.0
+    pool = ratio_pct("sum(purchases) OVER ()", "sum(views) OVER ()")
     return (
-        groups.select(
-            key, "views", "purchases", F.col("revenue").cast("double").alias("revenue"),
-            _cvr().alias("cvr_pct"), pool.alias("_pool"),
+        groups.selectExpr(
+            key, "views", "purchases", "DOUBLE(revenue) AS revenue", f"{CVR} AS cvr_pct",
+            f"{pool} AS pool",
         )
-        .withColumn("vs_avg_pct", half_even(against, 2))
-        .select(
-            key, "views", "purchases", "revenue", "cvr_pct", "vs_avg_pct",
-            F.coalesce(F.col("vs_avg_pct") < limits.underperform_pct, F.lit(False)).alias("alert"),
-            F.lit(run_date).alias("run_date"),
+        .selectExpr(
+            "* EXCEPT (pool)",
+            f"{half_even('try_divide(cvr_pct - pool, pool) * 100D', 2)} AS vs_avg_pct",
+        )
+        .selectExpr(
+            "*",
+            f"coalesce(vs_avg_pct < {limits.underperform_pct}, false) AS alert",
+            f"'{run_date}' AS run_date",
         )
         .orderBy("vs_avg_pct", key)
     )
@@ -184,7 +185,7 @@ def severity_counts(*alerts: DataFrame) -> DataFrame:
     whole = alerts[0].select("alert_type", "severity")
     for frame in alerts[1:]:
         whole = whole.unionByName(frame.select("alert_type", "severity"))
-    return whole.groupBy("alert_type", "severity").agg(F.count("*").alias("alerts"))
+    return whole.groupBy("alert_type", "severity").agg(F.expr("count(*) AS alerts"))
 
 
 def detector_summary(
@@ -195,29 +196,25 @@ def detector_summary(
     limits: Thresholds = DEFAULTS,
 ) -> DataFrame:
     """One row per detector: what it analysed, what it flagged, what that may cost."""
+    flagged = "count(*) AS flagged"
+    cost = "coalesce(sum(est_revenue_lost), 0D) AS est_revenue_lost"
     population = cvr_population(products, limits).agg(
-        F.count("*").alias("analyzed"),
-        half_even(F.avg("cvr_pct"), 4).alias("mean_cvr"),
-        half_even(F.stddev_samp("cvr_pct"), 4).alias("std_cvr"),
-    )
-
-    def flagged(alerts: DataFrame) -> DataFrame:
-        return alerts.agg(
-            F.count("*").alias("flagged"),
-            F.coalesce(F.sum("est_revenue_lost"), F.lit(0.0)).alias("est_revenue_lost"),
+        *aggregates(
+            {
+                "analyzed": "count(*)",
+                "mean_cvr": half_even("avg(cvr_pct)", 4),
+                "std_cvr": half_even("stddev_samp(cvr_pct)", 4),
+            }
         )
-
-    cost = F.struct("flagged", "est_revenue_lost")
-    cvr = population.withColumn("_f", flagged(anomalies).select(cost).scalar()).select(
-        F.lit("CVR_ANOMALY").alias("detector"), "analyzed", "mean_cvr", "std_cvr",
-        "_f.flagged", "_f.est_revenue_lost",
     )
-    zeros = flagged(zero).withColumn("detector", F.lit("ZERO_PURCHASE"))
-    days = trend.agg(
-        F.lit("DAILY_CVR_DROP").alias("detector"),
-        F.count("*").alias("analyzed"),
-        F.count_if(_is_drop(limits)).alias("flagged"),
+    low = anomalies.agg(F.expr(f"struct({flagged}, {cost})")).scalar()
+    cvr = population.withColumn("low", low).selectExpr(
+        "'CVR_ANOMALY' AS detector", "* EXCEPT (low)", "low.*"
     )
+    zeros = zero.agg(F.expr(flagged), F.expr(cost)).selectExpr("'ZERO_PURCHASE' AS detector", "*")
+    days = trend.agg(
+        F.expr("count(*) AS analyzed"), F.expr(f"count(if({_is_drop(limits)}, 1, NULL)) AS flagged")
+    ).selectExpr("'DAILY_CVR_DROP' AS detector", "*")
     return cvr.unionByName(zeros, allowMissingColumns=True).unionByName(
         days, allowMissingColumns=True
     )

@@ -13,59 +13,59 @@ from roomlens.functions.numbers import MONEY, money
 PRODUCT_GRAIN = ("product_id", "brand", "room_type", "price_segment")
 
 
-def stage_count(stage: str) -> Column:
-    return F.count_if(F.col("event_type") == stage)
+def stage_count(stage: str) -> str:
+    return f"count(if(event_type = '{stage}', 1, NULL))"
 
 
-def _amount(column: str, kept: Column) -> Column:
+def amount(column: str, kept: str) -> str:
     """Decimal sum over the kept rows; 0 when there is none."""
-    return F.coalesce(F.sum(F.when(kept, money(F.col(column)))), F.lit(0).cast(MONEY))
+    return f"coalesce(sum(if({kept}, {money(column)}, NULL)), CAST(0 AS {MONEY}))"
 
 
-def _measures() -> dict[str, Column]:
-    revenue, bought = F.col("revenue"), F.col("event_type") == "purchase"
-    paid = bought & (revenue > 0)
-    return {
-        "views": stage_count("view"),
-        "cart_adds": stage_count("cart"),
-        "purchases": stage_count("purchase"),
-        "events": F.count("*"),
-        "revenue": _amount("revenue", revenue != 0),
-        "order_price": _amount("price", bought),
-        "paid_revenue": _amount("revenue", paid),
-        "paid_orders": F.count_if(paid),
-    }
+_PAID = "event_type = 'purchase' AND revenue > 0"
 
+STAGES = {
+    "views": stage_count("view"),
+    "cart_adds": stage_count("cart"),
+    "purchases": stage_count("purchase"),
+}
 
-def measure(fact: DataFrame, *keys: str | Column) -> DataFrame:
+MEASURES = {
+    **STAGES,
+    "events": "count(*)",
+    "revenue": amount("revenue", "revenue <> 0"),
+    "order_price": amount("price", "event_type = 'purchase'"),
+    "paid_revenue": amount("revenue", _PAID),
+    "paid_orders": f"count(if({_PAID}, 1, NULL))",
+}
+
+
+def aggregates(named: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{sql} AS {name}") for name, sql in named.items()]
+
+
+def measure(fact: DataFrame, *keys: str) -> DataFrame:
     """Stage counts and money sums per group; unused measures are pruned by the optimizer."""
-    return fact.groupBy(*keys).agg(*[expr.alias(name) for name, expr in _measures().items()])
+    return fact.groupBy(*keys).agg(*aggregates(MEASURES))
 
 
-def roll_up(grain: DataFrame, *keys: str | Column) -> DataFrame:
+def roll_up(grain: DataFrame, *keys: str) -> DataFrame:
     """Measures of a coarser grouping from those of a finer one."""
-    return grain.groupBy(*keys).agg(
-        *[F.sum(name).alias(name) for name in _measures() if name in grain.columns]
-    )
+    return grain.groupBy(*keys).agg(*aggregates({name: f"sum({name})" for name in MEASURES}))
 
 
 def product_grain(fact: DataFrame) -> DataFrame:
     """Measures per product, brand, room and price band, with the highest price."""
-    return fact.groupBy(*PRODUCT_GRAIN).agg(
-        *[expr.alias(name) for name, expr in _measures().items()],
-        F.max("price").alias("price"),
-    )
+    return fact.groupBy(*PRODUCT_GRAIN).agg(*aggregates({**MEASURES, "price": "max(price)"}))
 
 
 def product_metrics(grain: DataFrame) -> DataFrame:
     """Measures per product with its highest price, brand, room and price band."""
-    names = [name for name in _measures() if name in grain.columns]
-    return grain.groupBy("product_id").agg(
-        *[F.sum(name).alias(name) for name in names],
-        *[F.max(name).alias(name) for name in ("price", "brand", "room_type", "price_segment")],
-    )
+    highest = {name: f"max({name})" for name in ("price", "brand", "room_type", "price_segment")}
+    sums = {name: f"sum({name})" for name in MEASURES}
+    return grain.groupBy("product_id").agg(*aggregates({**sums, **highest}))
 
 
 def daily_metrics(fact: DataFrame) -> DataFrame:
     """Measures per event date; events without a date are left out."""
-    return measure(fact.where(F.col("event_date").isNotNull()), "event_date")
+    return measure(fact.where("event_date IS NOT NULL"), "event_date")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from roomlens.schemas import DIM_DATE, DIM_PRODUCTS, FACT_EVENTS, conform
 from roomlens.sources.scratch import shared_table
@@ -17,38 +17,37 @@ def dense_key(df: DataFrame, key: str, order: str) -> DataFrame:
     stored table, whose scan order is stable, so that a repeated task cuts them alike.
     """
     columns = df.columns
-    spread = F.monotonically_increasing_id()
-    ranged = df.withColumns({"_tie": F.xxhash64(*columns), "_spread": spread}).orderBy(
-        order, "_tie", "_spread"
-    )
-    position = F.monotonically_increasing_id()
+    ranged = df.selectExpr(
+        "*", f"xxhash64({', '.join(columns)}) AS _tie", "monotonically_increasing_id() AS _spread"
+    ).orderBy(order, "_tie", "_spread")
+    # The id holds the part number above bit 33 and the position in the part below it.
     placed = shared_table(
-        ranged.select(
-            *columns,
-            F.shiftright(position, 33).alias("_part"),
-            position.bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"),
+        ranged.selectExpr(*columns, "monotonically_increasing_id() AS _id").selectExpr(
+            *columns, "shiftright(_id, 33) AS _part", f"_id & {(1 << 33) - 1} AS _row"
         ),
         "dense-key",
     )
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = placed.groupBy("_part").agg(F.count("*").alias("_size"))
-    offsets = parts.select(
-        "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
+    offsets = (
+        placed.groupBy("_part")
+        .agg(F.expr("count(*) AS size"))
+        .selectExpr(
+            "_part",
+            """coalesce(sum(size) OVER (ORDER BY _part
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _offset""",
+        )
     )
     # One row per sort partition: bounded by spark.sql.shuffle.partitions.
-    return placed.join(F.broadcast(offsets), "_part").select(
-        (F.col("_offset") + F.col("_row") + 1).alias(key), *columns
+    return placed.join(F.broadcast(offsets), "_part").selectExpr(
+        f"_offset + _row + 1 AS {key}", *columns
     )
 
 
 def dim_products(clean: DataFrame) -> DataFrame:
     """Product dimension of the stored clean catalogue: key, stock flag, known material."""
-    material = F.col("material")
-    known = clean.withColumns(
-        {
-            "material": F.when(material.isNull() | (material == "None"), "Unknown").otherwise(material),
-            "in_stock_flag": F.when(F.col("availability") == "In Stock", 1).otherwise(0),
-        }
+    known = clean.selectExpr(
+        "* EXCEPT (material)",
+        "if(material IS NULL OR material = 'None', 'Unknown', material) AS material",
+        "if(availability = 'In Stock', 1, 0) AS in_stock_flag",
     )
     return conform(dense_key(known, "product_key", "asin"), DIM_PRODUCTS)
 
@@ -58,36 +57,23 @@ def dim_date(clean: DataFrame) -> DataFrame:
     dates = clean.select(
         "event_date", "year", "month", "month_name", "week_number", "day_of_week", "day_type"
     ).distinct()
-    date, quarter = F.col("event_date"), F.quarter("event_date")
-    return conform(
-        dates.withColumns(
-            {
-                "quarter": quarter,
-                "quarter_name": F.concat(F.lit("Q"), quarter.cast("string")),
-                "is_month_start": (F.dayofmonth(date) == 1).cast("int"),
-                "is_month_end": (date == F.last_day(date)).cast("int"),
-            }
-        ),
-        DIM_DATE,
-    ).orderBy("event_date")
+    attributed = dates.selectExpr(
+        "*",
+        "quarter(event_date) AS quarter",
+        "concat('Q', quarter(event_date)) AS quarter_name",
+        "INT(day(event_date) = 1) AS is_month_start",
+        "INT(event_date = last_day(event_date)) AS is_month_end",
+    )
+    return conform(attributed, DIM_DATE).orderBy("event_date")
 
 
 def fact_events(clean: DataFrame) -> DataFrame:
     """Event fact: revenue of priced purchases and one flag per funnel stage."""
-    kind = F.col("event_type")
-
-    def flag(stage: str):
-        return F.coalesce(kind == stage, F.lit(False)).cast("int")
-
-    priced = (kind == "purchase") & (F.col("is_zero_price") == 0)
-    return conform(
-        clean.withColumns(
-            {
-                "revenue": F.when(priced, F.col("price")).otherwise(0.0),
-                "is_view": flag("view"),
-                "is_cart": flag("cart"),
-                "is_purchase": flag("purchase"),
-            }
-        ),
-        FACT_EVENTS,
+    flagged = clean.selectExpr(
+        "*",
+        "if(event_type = 'purchase' AND is_zero_price = 0, price, 0D) AS revenue",
+        "INT(coalesce(event_type = 'view', false)) AS is_view",
+        "INT(coalesce(event_type = 'cart', false)) AS is_cart",
+        "INT(coalesce(event_type = 'purchase', false)) AS is_purchase",
     )
+    return conform(flagged, FACT_EVENTS)

@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import half_even
+from roomlens.operators.metrics import aggregates
 from roomlens.operators.report import metric_rows
 
-WATCH_COLUMNS = ("severity", "alert_type", "run_date")
-
 
-def _fixed(name: str, digits: int) -> Column:
+def _fixed(value: str, digits: int) -> str:
     """Number with a fixed count of decimals, rounded half to even beforehand."""
-    return F.format_string(f"%.{digits}f", half_even(F.col(name), digits))
-
-
-def _text(name: str) -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit("None"))
+    return f"format_string('%.{digits}f', {half_even(value, digits)})"
 
 
 def alert_log(
@@ -30,29 +23,25 @@ def alert_log(
     run_ts: str,
 ) -> DataFrame:
     """All alerts of a run as sparse records: five shapes united by column name."""
-    product, date = F.col("product_id").cast("string"), F.col("event_date").cast("string")
     parts = [
-        zero.select(
-            "alert_type", "severity", product.alias("product_id"), "views",
-            F.lit(0).cast("long").alias("purchases"),
-            F.col("est_revenue_lost").alias("est_rev_lost"),
-            _text("room_type").alias("room_type"),
-            F.format_string("Product %s has %d views and 0 purchases", product, "views").alias("message"),
+        zero.selectExpr(
+            "alert_type", "severity", "STRING(product_id) AS product_id", "views",
+            "0L AS purchases", "est_revenue_lost AS est_rev_lost",
+            "coalesce(room_type, 'None') AS room_type",
+            """concat('Product ', product_id, ' has ', views, ' views and 0 purchases')
+               AS message""",
         ),
-        anomalies.select(
-            "alert_type", "severity", product.alias("product_id"), "cvr_pct", "z_score",
-            F.col("est_revenue_lost").alias("est_rev_lost"),
-            F.format_string(
-                "Product %s CVR %s%% is %s std devs below mean",
-                product, _fixed("cvr_pct", 4), _fixed("z_score", 2),
-            ).alias("message"),
+        anomalies.selectExpr(
+            "alert_type", "severity", "STRING(product_id) AS product_id", "cvr_pct", "z_score",
+            "est_revenue_lost AS est_rev_lost",
+            f"""concat('Product ', product_id, ' CVR ', {_fixed('cvr_pct', 4)}, '% is ',
+                       {_fixed('z_score', 2)}, ' std devs below mean') AS message""",
         ),
-        drops.select(
-            "alert_type", "severity", date.alias("date"), "cvr_pct",
-            F.col("cvr_vs_avg").alias("vs_avg_pct"),
-            F.format_string(
-                "CVR dropped %s%% vs 7-day rolling avg on %s", _fixed("cvr_vs_avg", 1), date
-            ).alias("message"),
+        drops.selectExpr(
+            "alert_type", "severity", "STRING(event_date) AS date", "cvr_pct",
+            "cvr_vs_avg AS vs_avg_pct",
+            f"""concat('CVR dropped ', {_fixed('cvr_vs_avg', 1)},
+                       '% vs 7-day rolling avg on ', event_date) AS message""",
         ),
         _monitor_alerts(rooms, "room_type", "ROOM_UNDERPERFORM", "Room"),
         _monitor_alerts(segments, "price_segment", "SEGMENT_UNDERPERFORM", "Segment"),
@@ -60,20 +49,18 @@ def alert_log(
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part, allowMissingColumns=True)
-    return whole.select(F.lit(run_ts).alias("timestamp"), "*")
+    return whole.selectExpr(f"'{run_ts}' AS timestamp", "*")
 
 
 def _monitor_alerts(groups: DataFrame, key: str, alert_type: str, label: str) -> DataFrame:
-    name = _text(key)
-    return groups.where("alert").select(
-        F.lit(alert_type).alias("alert_type"),
-        F.lit("MEDIUM").alias("severity"),
-        name.alias("segment"),
+    return groups.where("alert").selectExpr(
+        f"'{alert_type}' AS alert_type",
+        "'MEDIUM' AS severity",
+        f"coalesce({key}, 'None') AS segment",
         "cvr_pct",
         "vs_avg_pct",
-        F.format_string(
-            f"{label} '%s' CVR is %s%% below overall avg", name, _fixed("vs_avg_pct", 1)
-        ).alias("message"),
+        rf"""concat('{label} \'', coalesce({key}, 'None'), '\' CVR is ',
+                    {_fixed('vs_avg_pct', 1)}, '% below overall avg') AS message""",
     )
 
 
@@ -83,10 +70,9 @@ def watchlist(zero: DataFrame, anomalies: DataFrame) -> DataFrame:
     Conversion alerts carry no price, brand, room or band; zero-purchase alerts carry no score.
     """
     counts = ("product_id", "views", "cart_adds", "purchases")
-    rows = zero.select(
-        *counts, "price", "brand", "room_type", "price_segment", "est_revenue_lost", *WATCH_COLUMNS
-    )
-    scored = anomalies.select(*counts, "cvr_pct", "z_score", "est_revenue_lost", *WATCH_COLUMNS)
+    alert = ("est_revenue_lost", "severity", "alert_type", "run_date")
+    rows = zero.select(*counts, "price", "brand", "room_type", "price_segment", *alert)
+    scored = anomalies.select(*counts, "cvr_pct", "z_score", *alert)
     return rows.unionByName(scored, allowMissingColumns=True).orderBy(
         "severity", F.desc("est_revenue_lost"), "product_id"
     )
@@ -95,20 +81,24 @@ def watchlist(zero: DataFrame, anomalies: DataFrame) -> DataFrame:
 def alert_summary(log: DataFrame) -> DataFrame:
     """Alerts in total, per severity and per detector, and the revenue at risk."""
 
-    def of(column: str, value: str) -> Column:
-        return F.count_if(F.col(column) == value)
+    def of(column: str, value: str) -> str:
+        return f"count(if({column} = '{value}', 1, NULL))"
 
     return log.agg(
-        F.count("*").alias("total_alerts"),
-        of("severity", "CRITICAL").alias("critical"),
-        of("severity", "HIGH").alias("high"),
-        of("severity", "MEDIUM").alias("medium"),
-        of("alert_type", "ZERO_PURCHASE").alias("zero_purchase"),
-        of("alert_type", "CVR_ANOMALY").alias("cvr_anomalies"),
-        of("alert_type", "DAILY_CVR_DROP").alias("daily_drops"),
-        of("alert_type", "ROOM_UNDERPERFORM").alias("room_alerts"),
-        of("alert_type", "SEGMENT_UNDERPERFORM").alias("segment_alerts"),
-        F.coalesce(F.sum("est_rev_lost"), F.lit(0.0)).alias("revenue_at_risk"),
+        *aggregates(
+            {
+                "total_alerts": "count(*)",
+                "critical": of("severity", "CRITICAL"),
+                "high": of("severity", "HIGH"),
+                "medium": of("severity", "MEDIUM"),
+                "zero_purchase": of("alert_type", "ZERO_PURCHASE"),
+                "cvr_anomalies": of("alert_type", "CVR_ANOMALY"),
+                "daily_drops": of("alert_type", "DAILY_CVR_DROP"),
+                "room_alerts": of("alert_type", "ROOM_UNDERPERFORM"),
+                "segment_alerts": of("alert_type", "SEGMENT_UNDERPERFORM"),
+                "revenue_at_risk": "coalesce(sum(est_rev_lost), 0D)",
+            }
+        )
     )
 
 
@@ -125,67 +115,57 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     A single value gets a range of half a unit to each side. A value belongs to the bin whose
     printed edges hold it, so the quotient is corrected by one where rounding says otherwise.
     """
-    value = F.col(column).cast("double")
-    ends = df.where(value.isNotNull()).agg(F.min(value).alias("a"), F.max(value).alias("b"))
-    single = F.col("a") == F.col("b")
-    span = ends.select(
-        F.when(single, F.col("a") - 0.5).otherwise(F.col("a")).alias("low"),
-        F.when(single, F.col("b") + 0.5).otherwise(F.col("b")).alias("high"),
-    ).withColumn("width", (F.col("high") - F.col("low")) / F.lit(float(bins)))
-    limits = span.select(F.struct("low", "high", "width")).scalar()
-    low, width, guess = F.col("_s.low"), F.col("_s.width"), F.col("_guess")
-    place = (
-        F.when(F.col("_v") < low + guess * width, guess - 1)
-        .when(F.col("_v") >= low + (guess + 1) * width, guess + 1)
-        .otherwise(guess)
+    values = df.selectExpr(f"DOUBLE({column}) AS value").where("value IS NOT NULL")
+    span = (
+        values.agg(F.expr("min(value) AS a"), F.expr("max(value) AS b"))
+        .selectExpr("if(a = b, a - 0.5D, a) AS low", "if(a = b, b + 0.5D, b) AS high")
+        .selectExpr("low", "high", f"(high - low) / {bins}D AS width")
     )
     counts = (
-        df.select(value.alias("_v"))
-        .where(F.col("_v").isNotNull())
-        .withColumn("_s", limits)
-        .withColumn("_guess", F.floor((F.col("_v") - low) / width).cast("int"))
-        .groupBy(F.least(place, F.lit(bins - 1)).alias("bin"))
-        .agg(F.count("*").alias("row_count"))
-    )
-    every = span.where(F.col("low").isNotNull()).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+        values.withColumn("s", span.select(F.struct("low", "high", "width")).scalar())
+        .selectExpr("value", "s", "INT(floor((value - s.low) / s.width)) AS guess")
+        .selectExpr(
+            f"""least({bins - 1},
+                      CASE WHEN value < s.low + guess * s.width THEN guess - 1
+                           WHEN value >= s.low + (guess + 1) * s.width THEN guess + 1
+                           ELSE guess END) AS bin"""
+        )
+        .groupBy("bin")
+        .agg(F.expr("count(*) AS row_count"))
     )
-    return every.join(counts, "bin", "left").select(
+    every = span.where("low IS NOT NULL").selectExpr("*", f"explode(sequence(0, {bins - 1})) AS bin")
+    return every.join(counts, "bin", "left").selectExpr(
         "bin",
-        (F.col("low") + F.col("bin") * F.col("width")).alias("bin_from"),
-        F.when(F.col("bin") == bins - 1, F.col("high"))
-        .otherwise(F.col("low") + (F.col("bin") + 1) * F.col("width"))
-        .alias("bin_to"),
-        F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count"),
+        "low + bin * width AS bin_from",
+        f"if(bin = {bins - 1}, high, low + (bin + 1) * width) AS bin_to",
+        "coalesce(row_count, 0L) AS row_count",
     )
 
 
 def funnel_chart(funnel: DataFrame) -> DataFrame:
     """Funnel totals as (stage, events) rows."""
-    return metric_rows(
-        funnel,
-        [("Views", F.col("views")), ("Carts", F.col("carts")), ("Purchases", F.col("purchases"))],
-    ).select(F.col("metric").alias("stage"), F.col("value").alias("events"))
+    rows = metric_rows(funnel, {"Views": "views", "Carts": "carts", "Purchases": "purchases"})
+    return rows.selectExpr("metric AS stage", "value AS events")
 
 
 def benchmark_chart(funnel: DataFrame, benchmark_pct: float = 2.0) -> DataFrame:
     """Own conversion next to the industry benchmark."""
-    return metric_rows(
-        funnel,
-        [("Overall CVR", F.col("overall_cvr_pct")), ("Industry Benchmark", F.lit(benchmark_pct))],
-    ).select(F.col("metric").alias("label"), F.col("value").alias("cvr_pct"))
+    rows = metric_rows(
+        funnel, {"Overall CVR": "overall_cvr_pct", "Industry Benchmark": f"{benchmark_pct}D"}
+    )
+    return rows.selectExpr("metric AS label", "value AS cvr_pct")
 
 
 def hourly_chart(hours: DataFrame, interval: DataFrame) -> DataFrame:
     """Purchases per hour with the interval of the mean and a mark on the peak."""
     band = interval.select(F.struct("ci_95_low", "ci_95_high")).scalar()
-    peak = hours.agg(F.max_by("hour", F.struct(F.col("purchases"), -F.col("hour")))).scalar()
+    peak = hours.agg(F.expr("max_by(hour, struct(purchases, -hour))")).scalar()
     return (
         hours.select("hour", "purchases")
-        .withColumns({"_b": band, "_p": peak})
-        .select(
-            "hour", "purchases", "_b.ci_95_low", "_b.ci_95_high",
-            F.coalesce(F.col("hour") == F.col("_p"), F.lit(False)).alias("is_peak"),
+        .withColumns({"band": band, "peak": peak})
+        .selectExpr(
+            "hour", "purchases", "band.ci_95_low", "band.ci_95_high",
+            "coalesce(hour = peak, false) AS is_peak",
         )
         .orderBy("hour")
     )
@@ -197,23 +177,21 @@ def segment_chart(segments: DataFrame) -> DataFrame:
 
 def room_error_bars(rooms: DataFrame) -> DataFrame:
     """Distance of the Wilson bounds from each room's conversion."""
-    return rooms.select(
+    return rooms.selectExpr(
         "room_type", "cvr_pct",
-        half_even(F.col("cvr_pct") - F.col("ci_low"), 4).alias("err_low"),
-        half_even(F.col("ci_high") - F.col("cvr_pct"), 4).alias("err_high"),
+        f"{half_even('cvr_pct - ci_low', 4)} AS err_low",
+        f"{half_even('ci_high - cvr_pct', 4)} AS err_high",
     ).orderBy("cvr_pct", "room_type")
 
 
 # Findings
 
 
-def _number(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _section(name: str, one_row: DataFrame, texts: Sequence[Column]) -> DataFrame:
-    lines = F.array(*[F.struct(F.lit(i).alias("line"), t.alias("text")) for i, t in enumerate(texts, 1)])
-    return one_row.select(F.lit(name).alias("section"), F.inline(lines))
+def _section(name: str, one_row: DataFrame, texts: list[str]) -> DataFrame:
+    lines = ", ".join(f"{line}, {text}" for line, text in enumerate(texts, 1))
+    return one_row.selectExpr(
+        f"'{name}' AS section", f"stack({len(texts)}, {lines}) AS (line, text)"
+    )
 
 
 def findings(
@@ -231,54 +209,53 @@ def findings(
     """Plain-language findings as (section, line, text) rows; every input has one row."""
 
     def with_p(df: DataFrame, test: DataFrame) -> DataFrame:
-        return df.withColumn("_p", test.select("p_value").scalar().cast("string"))
-
-    def text(template: str, *names: str) -> Column:
-        return F.format_string(template, *[_number(name) for name in names])
+        return df.withColumn("p", test.select("p_value").scalar())
 
-    gap = F.format_string("%+.2f", half_even(F.col("overall_cvr_pct") - benchmark_pct, 2))
+    over = half_even(f"overall_cvr_pct - {benchmark_pct}D", 2)
     parts = [
         _section(
             "Funnel drop-off",
             with_p(funnel, funnel_p),
             [
-                text("%s%% of views do not end in a purchase", "drop_off_pct"),
-                F.format_string("Overall CVR %s%%, %s points against the benchmark", _number("overall_cvr_pct"), gap),
-                text("Chi-square %s, p = %s", "chi2_statistic", "_p"),
+                "concat(drop_off_pct, '% of views do not end in a purchase')",
+                f"""concat('Overall CVR ', overall_cvr_pct, '%, ',
+                           format_string('%+.2f', {over}), ' points against the benchmark')""",
+                "concat('Chi-square ', chi2_statistic, ', p = ', p)",
             ],
         ),
         _section(
             "Price segments",
             with_p(anova, anova_p),
             [
-                text("Order revenue by segment: F = %s, p = %s", "f_statistic", "_p"),
-                text("Effect size eta squared %s (%s)", "eta_squared", "effect"),
+                "concat('Order revenue by segment: F = ', f_statistic, ', p = ', p)",
+                "concat('Effect size eta squared ', eta_squared, ' (', effect, ')')",
             ],
         ),
         _section(
             "Hours",
             with_p(hours, rank_p),
             [
-                text("Peak hour %s:00 with %s purchases", "peak_hour", "peak_count"),
-                text("Mean per hour %s, 95%% interval %s to %s", "mean_per_hour", "ci_95_low", "ci_95_high"),
-                text("Business hours bring %s%% of purchases", "biz_hours_pct"),
-                text("Kruskal-Wallis H = %s, p = %s", "kw_statistic", "_p"),
+                "concat('Peak hour ', peak_hour, ':00 with ', peak_count, ' purchases')",
+                """concat('Mean per hour ', mean_per_hour, ', 95% interval ', ci_95_low, ' to ',
+                          ci_95_high)""",
+                "concat('Business hours bring ', biz_hours_pct, '% of purchases')",
+                "concat('Kruskal-Wallis H = ', kw_statistic, ', p = ', p)",
             ],
         ),
         _section(
             "Rooms",
             with_p(room, room_p),
             [
-                text("Best room %s with %s%% CVR", "top_room", "top_cvr"),
-                text("Against all other rooms: chi-square %s, p = %s", "chi2", "_p"),
+                "concat('Best room ', top_room, ' with ', top_cvr, '% CVR')",
+                "concat('Against all other rooms: chi-square ', chi2, ', p = ', p)",
             ],
         ),
         _section(
             "Product gaps",
             gaps,
             [
-                text("%s products with abnormally low CVR", "anomaly_count"),
-                F.format_string("Estimated lost revenue $%s", F.format_number("total_rev_lost", 0)),
+                "concat(anomaly_count, ' products with abnormally low CVR')",
+                "concat('Estimated lost revenue $', format_number(total_rev_lost, 0))",
             ],
         ),
     ]

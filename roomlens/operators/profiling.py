@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import ratio_pct
+from roomlens.operators.metrics import aggregates
+
+
+def _count_where(predicate: str) -> str:
+    return f"count(if({predicate}, 1, NULL))"
 
 
 def shape(df: DataFrame) -> DataFrame:
     """Row count, column count and column names."""
-    return df.agg(F.count("*").alias("row_count")).select(
+    return df.agg(F.expr("count(*) AS row_count")).selectExpr(
         "row_count",
-        F.lit(len(df.columns)).alias("column_count"),
-        F.lit(", ".join(df.columns)).alias("column_names"),
+        f"{len(df.columns)} AS column_count",
+        f"'{', '.join(df.columns)}' AS column_names",
     )
 
 
@@ -23,13 +28,10 @@ def null_profile(
 ) -> DataFrame:
     """Nulls and null share of each column, from one scan."""
     names = list(columns or df.columns)
-    counts = df.agg(
-        F.count("*").alias("total"),
-        *[F.count_if(F.col(name).isNull()).alias(name) for name in names],
-    )
-    long = counts.unpivot("total", names, "column_name", "null_count")
-    profile = long.select(
-        "column_name", "null_count", ratio_pct(F.col("null_count"), F.col("total")).alias("null_pct")
+    nulls = {f"`{name}`": _count_where(f"`{name}` IS NULL") for name in names}
+    counts = df.agg(*aggregates({"total": "count(*)", **nulls}))
+    profile = counts.unpivot("total", names, "column_name", "null_count").selectExpr(
+        "column_name", "null_count", f"{ratio_pct('null_count', 'total')} AS null_pct"
     )
     return profile.where("null_count > 0") if only_with_nulls else profile
 
@@ -37,9 +39,10 @@ def null_profile(
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """Rows per non-null value, most frequent first."""
     counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
-        .agg(F.count("*").alias("row_count"))
+        df.selectExpr(f"{column} AS value")
+        .where("value IS NOT NULL")
+        .groupBy("value")
+        .agg(F.expr("count(*) AS row_count"))
         .orderBy(F.desc("row_count"), "value")
     )
     return counts if top is None else counts.limit(top)
@@ -47,29 +50,26 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 
 def distinct_count(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
     """Distinct non-null values; ``approx`` uses a sketch."""
-    count = F.approx_count_distinct(column) if approx else F.count_distinct(F.col(column))
-    return df.agg(count.alias("distinct_count"))
+    count = f"approx_count_distinct({column})" if approx else f"count(DISTINCT {column})"
+    return df.agg(F.expr(f"{count} AS distinct_count"))
 
 
 def value_range(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(F.min(column).alias("range_from"), F.max(column).alias("range_to"))
+    return df.agg(*aggregates({"range_from": f"min({column})", "range_to": f"max({column})"}))
 
 
-def selectivity(df: DataFrame, predicate: Column) -> DataFrame:
+def selectivity(df: DataFrame, predicate: str) -> DataFrame:
     """Rows before and after a filter, and the share kept, in one pass."""
-    return df.agg(
-        F.count("*").alias("total_rows"), F.count_if(predicate).alias("kept_rows")
-    ).select(
-        "total_rows", "kept_rows", ratio_pct(F.col("kept_rows"), F.col("total_rows")).alias("kept_pct")
+    counts = {"total_rows": "count(*)", "kept_rows": _count_where(predicate)}
+    return df.agg(*aggregates(counts)).selectExpr(
+        "*", f"{ratio_pct('kept_rows', 'total_rows')} AS kept_pct"
     )
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows of each named table."""
     parts = [
-        frame.agg(F.count("*").alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
-        )
+        frame.agg(F.expr("count(*) AS row_count")).selectExpr(f"'{name}' AS table_name", "row_count")
         for name, frame in tables.items()
     ]
     whole = parts[0]
@@ -80,36 +80,32 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def event_type_check(stage: DataFrame) -> DataFrame:
     """Rows per event type, a missing type counted as its own group."""
-    return stage.groupBy("event_type").agg(F.count("*").alias("cnt"))
+    return stage.groupBy("event_type").agg(F.expr("count(*) AS cnt"))
 
 
 def missing_brand_check(stage: DataFrame) -> DataFrame:
-    return stage.agg(
-        F.count_if(F.col("brand").isNull() | (F.col("brand") == "")).alias("null_brands")
-    )
+    missing = "brand IS NULL OR brand = ''"
+    return stage.agg(F.expr(f"{_count_where(missing)} AS null_brands"))
 
 
 def zero_price_check(stage: DataFrame) -> DataFrame:
     """Prices that are zero as DECIMAL(10,2); text that is no number reads as zero."""
-    amount = F.coalesce(F.col("price").try_cast("decimal(10,2)"), F.lit(0))
-    return stage.agg(
-        F.count_if(F.col("price").isNotNull() & (amount == 0)).alias("zero_price_events")
-    )
+    zero = "price IS NOT NULL AND coalesce(try_cast(price AS decimal(10,2)), 0) = 0"
+    return stage.agg(F.expr(f"{_count_where(zero)} AS zero_price_events"))
 
 
 def missing_price_check(stage: DataFrame) -> DataFrame:
-    return stage.agg(
-        F.count_if(F.col("price").isNull() | (F.col("price") == "nan")).alias("null_prices")
-    )
+    missing = "price IS NULL OR price = 'nan'"
+    return stage.agg(F.expr(f"{_count_where(missing)} AS null_prices"))
 
 
 def category_text_check(stage: DataFrame, top: int = 8) -> DataFrame:
     """Second comma item of the raw category text, most frequent first (quotes kept)."""
-    bare = F.replace(F.replace(F.col("categories"), F.lit("["), F.lit("")), F.lit("]"), F.lit(""))
-    item = F.trim(F.substring_index(F.substring_index(bare, ",", 2), ",", -1))
+    item = "trim(substring_index(substring_index(translate(categories, '[]', ''), ',', 2), ',', -1))"
     return (
-        stage.groupBy(item.alias("main_cat"))
-        .agg(F.count("*").alias("cnt"))
+        stage.selectExpr(f"{item} AS main_cat")
+        .groupBy("main_cat")
+        .agg(F.expr("count(*) AS cnt"))
         .orderBy(F.desc("cnt"), "main_cat")
         .limit(top)
     )
@@ -118,16 +114,23 @@ def category_text_check(stage: DataFrame, top: int = 8) -> DataFrame:
 def clean_summary(clean: DataFrame) -> DataFrame:
     """Zero-price rows and rows whose time did not parse."""
     return clean.agg(
-        F.count("*").alias("total_rows"),
-        F.count_if(F.col("is_zero_price") == 1).alias("zero_price_rows"),
-        F.count_if(F.col("event_time").isNull()).alias("null_event_time_rows"),
+        *aggregates(
+            {
+                "total_rows": "count(*)",
+                "zero_price_rows": _count_where("is_zero_price = 1"),
+                "null_event_time_rows": _count_where("event_time IS NULL"),
+            }
+        )
     )
 
 
-def price_nulls(products: DataFrame, cleaned_price: Column) -> DataFrame:
+def price_nulls(products: DataFrame, cleaned_price: str) -> DataFrame:
     """Missing prices before and after the text is cleaned."""
-    return products.agg(
-        F.count_if(F.col("price").isNull()).alias("raw_nulls"),
-        F.count_if(cleaned_price.isNull()).alias("clean_nulls"),
+    return products.selectExpr("price", f"{cleaned_price} AS cleaned").agg(
+        *aggregates(
+            {
+                "raw_nulls": _count_where("price IS NULL"),
+                "clean_nulls": _count_where("cleaned IS NULL"),
+            }
+        )
     )
-

@@ -9,110 +9,91 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import half_even
 
-# Ranges per e-fold of magnitude. A range is a pure function of the value, so it is the same
-# wherever and however often it is computed.
-_RANGES = 256.0
+# Order-preserving coarse range of a number: 256 ranges per e-fold of magnitude. It is a pure
+# function of the value, so it is the same wherever and however often it is computed.
+VALUE_RANGE = "BIGINT(signum(value) * floor(ln(1D + abs(value)) * 256D))"
 
 
-def _value_range(value: Column) -> Column:
-    """Order-preserving coarse range of a number."""
-    return F.floor(F.signum(value) * F.floor(F.log1p(F.abs(value)) * F.lit(_RANGES)))
+def frequencies(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows per distinct non-null number, as (keys, value, n)."""
+    return (
+        df.selectExpr(*by, f"DOUBLE({value}) AS value")
+        .where("value IS NOT NULL")
+        .groupBy(*by, "value")
+        .agg(F.expr("count(*) AS n"))
+    )
 
 
-def quantiles(
-    df: DataFrame, value: str, named: Mapping[str, float], by: Sequence[str] = ()
-) -> DataFrame:
-    """Linear-interpolation quantiles of the non-null numbers, one column per entry of ``named``.
+def quantiles(frequency: DataFrame, named: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Linear-interpolation quantiles of each group, one column per entry of ``named``.
 
+    ``frequency`` is the result of ``frequencies``, preferably stored, as it is read twice.
     Groups with a null key are left out. Without ``by`` the result has one row, or none when
     there is no value at all.
     """
-    keys = [*by, "_all"]
-    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    for key in by:
-        rows = rows.where(F.col(key).isNotNull())
-    frequency = rows.groupBy(*by, "_v").agg(F.count("*").alias("_n")).withColumns(
-        {"_all": F.lit(0), "_range": _value_range(F.col("_v"))}
-    )
-
-    # Rows of a range, rows before it and rows of the group: the ranges of a group are few.
-    in_group = Window.partitionBy(*keys)
-    earlier = in_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = frequency.groupBy(*keys, "_range").agg(F.sum("_n").alias("_size")).select(
-        *keys,
-        "_range",
-        "_size",
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_size").over(in_group).alias("_total"),
+    keys = ", ".join([*by, "1"])
+    present = " AND ".join([f"{key} IS NOT NULL" for key in by] or ["true"])
+    placed = frequency.where(present).selectExpr(*by, "value", f"{VALUE_RANGE} AS bucket", "n")
+
+    # Rows before a range and rows of its group: the ranges of a group are few.
+    ranges = (
+        placed.groupBy(*by, "bucket")
+        .agg(F.expr("sum(n) AS size"))
+        .selectExpr(
+            *by, "bucket", "size",
+            f"""coalesce(sum(size) OVER (PARTITION BY {keys} ORDER BY bucket
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before""",
+            f"sum(size) OVER (PARTITION BY {keys}) AS total",
+        )
     )
-    ranks = _wanted_ranks(F.col("_total"), named)
-    wanted = ranges.where(
-        F.exists(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_size")))
-    )
-
-    in_range = (
-        Window.partitionBy(*keys, "_range")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = [f"{side}((total - 1) * {q}D)" for q in named.values() for side in ("floor", "ceil")]
+    holds_rank = " OR ".join(f"{rank} >= before AND {rank} < before + size" for rank in ranks)
+    wanted = ranges.where(holds_rank)
+
+    ranked = placed.join(wanted, [*by, "bucket"]).selectExpr(
+        *by, "value", "n", "total",
+        f"""before + sum(n) OVER (PARTITION BY {keys}, bucket ORDER BY value
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto""",
     )
-    ranked = frequency.join(wanted, [*keys, "_range"]).withColumn(
-        "_end", F.col("_before") + F.sum("_n").over(in_range)
-    )
-
-    picks = []
-    for name, share in named.items():
-        for side, rank in zip(("lo", "hi"), _rank_pair(F.col("_total"), share)):
-            covers = (rank >= F.col("_end") - F.col("_n")) & (rank < F.col("_end"))
-            picks.append(F.max(F.when(covers, F.col("_v"))).alias(f"_{name}_{side}"))
-    found = ranked.groupBy(*keys, "_total").agg(*picks)
-    return found.select(
+    picks = [
+        F.expr(f"max(if({rank} >= upto - n AND {rank} < upto, value, NULL)) AS pick_{i}")
+        for i, rank in enumerate(ranks)
+    ]
+    found = ranked.groupBy(*by, "total").agg(*picks)
+    return found.selectExpr(
         *by,
         *[
-            _interpolate(
-                F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), _position(F.col("_total"), share)
-            ).alias(name)
-            for name, share in named.items()
+            f"pick_{2 * i} + (pick_{2 * i + 1} - pick_{2 * i})"
+            f" * ((total - 1) * {q}D - floor((total - 1) * {q}D)) AS {name}"
+            for i, (name, q) in enumerate(named.items())
         ],
     )
 
 
-def _position(total: Column, share: float) -> Column:
-    return (total - 1).cast("double") * F.lit(float(share))
-
-
-def _rank_pair(total: Column, share: float) -> tuple[Column, Column]:
-    position = _position(total, share)
-    return F.floor(position), F.ceil(position)
-
-
-def _wanted_ranks(total: Column, named: Mapping[str, float]) -> Column:
-    return F.array(*[rank for share in named.values() for rank in _rank_pair(total, share)])
-
-
-def _interpolate(low: Column, high: Column, position: Column) -> Column:
-    return low + (high - low) * (position - F.floor(position).cast("double"))
-
-
 def describe(df: DataFrame, value: str, digits: int = 6) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles of a numeric column, one row."""
-    number = F.col(value).cast("double")
-    moments = df.agg(
-        F.count(number).alias("count"),
-        F.avg(number).alias("mean"),
-        F.stddev_samp(number).alias("std"),
-        F.min(number).alias("min"),
-        F.max(number).alias("max"),
-    )
-    quartiles = quantiles(df, value, {"q25": 0.25, "q50": 0.5, "q75": 0.75}).agg(
-        F.struct(*[F.first(q).alias(q) for q in ("q25", "q50", "q75")])
+    moments = df.selectExpr(f"DOUBLE({value}) AS value").agg(
+        F.expr("count(value) AS count"),
+        F.expr("avg(value) AS mean"),
+        F.expr("stddev_samp(value) AS std"),
+        F.expr("min(value) AS min"),
+        F.expr("max(value) AS max"),
     )
-    stats = moments.withColumn("_q", quartiles.scalar()).select(
-        "count", "mean", "std", "min", "_q.q25", "_q.q50", "_q.q75", "max"
+    shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    quartiles = quantiles(frequencies(df, value), shares).agg(
+        F.expr("first(struct(q25, q50, q75))")
     )
-    return stats.select(
-        "count", *[half_even(F.col(name), digits).alias(name) for name in stats.columns[1:]]
+    return moments.withColumn("q", quartiles.scalar()).selectExpr(
+        "count",
+        *[
+            f"{half_even(source, digits)} AS {name}"
+            for name, source in {
+                "mean": "mean", "std": "std", "min": "min", "q25": "q.q25", "q50": "q.q50",
+                "q75": "q.q75", "max": "max",
+            }.items()
+        ],
     )

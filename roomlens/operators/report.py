@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import half_even, money, ratio_pct
+from roomlens.operators.metrics import aggregates, stage_count
 from roomlens.operators.profiling import table_counts
 
 # Stage order of the funnel chart.
-STAGES = ("view", "cart", "purchase")
+STAGE_ORDER = ("view", "cart", "purchase")
 
 # Report table and the view it shows.
 REPORT_TABLES = {
@@ -24,86 +25,69 @@ REPORT_TABLES = {
 
 def kpi_summary(fact: DataFrame) -> DataFrame:
     """One row of totals and rates. A stage that never occurs is null, its rate 0."""
-
-    def stage(name: str) -> Column:
-        return F.nullif(F.count_if(F.col("event_type") == name), F.lit(0))
-
-    sums = fact.agg(
-        F.sum(money(F.col("revenue"))).alias("_revenue"),
-        F.count("*").alias("total_events"),
-        stage("purchase").alias("total_purchases"),
-        stage("view").alias("total_views"),
-        stage("cart").alias("total_cart_adds"),
-        F.count_distinct(F.col("user_id")).alias("unique_users"),
-        F.sum(F.when(F.col("event_type") == "purchase", money(F.col("revenue")))).alias("_ordered"),
-    )
-    revenue = F.col("_revenue").cast("double")
-    bought, carts = F.col("total_purchases"), F.col("total_cart_adds")
-    return sums.select(
-        revenue.alias("total_revenue"),
+    sums = {
+        "revenue_sum": f"sum({money('revenue')})",
+        "total_events": "count(*)",
+        "total_purchases": f"nullif({stage_count('purchase')}, 0)",
+        "total_views": f"nullif({stage_count('view')}, 0)",
+        "total_cart_adds": f"nullif({stage_count('cart')}, 0)",
+        "unique_users": "count(DISTINCT user_id)",
+        "ordered": f"sum(if(event_type = 'purchase', {money('revenue')}, NULL))",
+    }
+    conversion = ratio_pct("total_purchases", "total_views")
+    abandoned = ratio_pct("total_cart_adds - total_purchases", "total_cart_adds")
+    return fact.agg(*aggregates(sums)).selectExpr(
+        "DOUBLE(revenue_sum) AS total_revenue",
         "total_events", "total_purchases", "total_views", "total_cart_adds", "unique_users",
-        F.try_divide(F.col("_ordered").cast("double"), bought.cast("double")).alias("avg_order_value"),
-        _rate(ratio_pct(bought, F.col("total_views"))).alias("conversion_rate"),
-        _rate(ratio_pct(carts - bought, carts)).alias("cart_abandonment_rate"),
+        "try_divide(DOUBLE(ordered), DOUBLE(total_purchases)) AS avg_order_value",
+        f"coalesce({half_even(conversion, 2)}, 0D) AS conversion_rate",
+        f"coalesce({half_even(abandoned, 2)}, 0D) AS cart_abandonment_rate",
     )
 
 
-def _rate(value: Column) -> Column:
-    return F.coalesce(half_even(value, 2), F.lit(0.0))
-
-
 def kpi_sheet(kpis: DataFrame) -> DataFrame:
     """The eight formatted lines of the KPI sheet."""
-
-    def dollars(name: str, digits: int) -> Column:
-        return F.concat(F.lit("$"), F.format_number(name, digits))
-
-    def number(name: str) -> Column:
-        return F.format_number(name, 0)
-
-    def percent(name: str) -> Column:
-        return F.concat(F.col(name).cast("string"), F.lit("%"))
-
-    lines = [
-        ("Total Revenue", dollars("total_revenue", 0)),
-        ("Total Views", number("total_views")),
-        ("Total Purchases", number("total_purchases")),
-        ("Total Cart Adds", number("total_cart_adds")),
-        ("Unique Users", number("unique_users")),
-        ("Conversion Rate", percent("conversion_rate")),
-        ("Cart Abandonment Rate", percent("cart_abandonment_rate")),
-        ("Avg Order Value", dollars("avg_order_value", 2)),
-    ]
-    return metric_rows(kpis, lines)
+    return metric_rows(
+        kpis,
+        {
+            "Total Revenue": "concat('$', format_number(total_revenue, 0))",
+            "Total Views": "format_number(total_views, 0)",
+            "Total Purchases": "format_number(total_purchases, 0)",
+            "Total Cart Adds": "format_number(total_cart_adds, 0)",
+            "Unique Users": "format_number(unique_users, 0)",
+            "Conversion Rate": "concat(conversion_rate, '%')",
+            "Cart Abandonment Rate": "concat(cart_abandonment_rate, '%')",
+            "Avg Order Value": "concat('$', format_number(avg_order_value, 2))",
+        },
+    )
 
 
-def metric_rows(one_row: DataFrame, lines: list[tuple[str, Column]]) -> DataFrame:
+def metric_rows(one_row: DataFrame, values: Mapping[str, str]) -> DataFrame:
     """Turn one row into (line, metric, value) rows."""
-    entries = [
-        F.struct(F.lit(i).alias("line"), F.lit(name).alias("metric"), value.alias("value"))
-        for i, (name, value) in enumerate(lines, 1)
-    ]
-    return one_row.select(F.inline(F.array(*entries)))
+    entries = ", ".join(
+        f"{line}, '{metric}', {value}" for line, (metric, value) in enumerate(values.items(), 1)
+    )
+    return one_row.selectExpr(f"stack({len(values)}, {entries}) AS (line, metric, value)")
 
 
 def funnel_stages(funnel: DataFrame) -> DataFrame:
-    """Funnel rows in stage order with display labels."""
-    rank = F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("event_type"))
+    """Funnel rows in stage order with display labels; other event types come last."""
+    order = ", ".join(f"'{stage}'" for stage in STAGE_ORDER)
     return (
-        funnel.withColumn("_rank", F.when(rank > 0, rank))
-        .orderBy(F.asc_nulls_last("_rank"), "event_type")
-        .select(F.initcap("event_type").alias("stage"), "event_count")
+        funnel.selectExpr("*", f"nullif(array_position(array({order}), event_type), 0) AS place")
+        .orderBy(F.asc_nulls_last("place"), "event_type")
+        .selectExpr("initcap(event_type) AS stage", "event_count")
     )
 
 
 def room_rates(rooms: DataFrame, top: int = 8) -> DataFrame:
     """Plain mean of the item rates of each known room, best first."""
-    rate = F.col("conversion_rate_pct").cast("decimal(18,2)")
-    mean = F.try_divide(F.sum(rate).cast("double"), F.count(rate).cast("double"))
+    rate = "CAST(conversion_rate_pct AS decimal(18,2))"
+    mean = f"try_divide(DOUBLE(sum({rate})), DOUBLE(count(conversion_rate_pct)))"
     return (
-        rooms.where(F.col("room_type").isNotNull())
+        rooms.where("room_type IS NOT NULL")
         .groupBy("room_type")
-        .agg(mean.alias("conversion_rate_pct"))
+        .agg(F.expr(f"{mean} AS conversion_rate_pct"))
         .orderBy(F.desc("conversion_rate_pct"), "room_type")
         .limit(top)
     )
@@ -132,7 +116,7 @@ def daily_revenue(days: DataFrame) -> DataFrame:
 
 def gap_table(gaps: DataFrame, highlight_views: int = 1000) -> DataFrame:
     """Gap view with a mark on products viewed more than ``highlight_views`` times."""
-    return gaps.withColumn("highlight", F.col("views") > highlight_views)
+    return gaps.selectExpr("*", f"views > {highlight_views} AS highlight")
 
 
 def heading(name: str) -> str:

@@ -6,12 +6,12 @@ function of its own, since it needs a Python worker for its single row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roomlens.functions.numbers import half_even, ratio_pct
-from roomlens.functions.tails import chi2_p, f_p, t_quantile_by_n
-from roomlens.operators.metrics import roll_up
-from roomlens.operators.quantiles import quantiles
+from roomlens.functions.tails import chi2_p, f_p, t_quantiles
+from roomlens.operators.metrics import aggregates, roll_up
+from roomlens.operators.quantiles import frequencies, quantiles
 from roomlens.operators.report import metric_rows
 from roomlens.thresholds import DEFAULTS, Thresholds
 
@@ -19,28 +19,28 @@ WILSON_Z = 1.96
 # Hours of a day, and one group for events without a time.
 MOST_HOURS = 25
 
+CVR = half_even(ratio_pct("purchases", "views"), 4)
 
-def _double(name: str) -> Column:
-    return F.col(name).cast("double")
 
-
-def _goodness_of_fit(hits: Column, trials: Column, rate: Column) -> Column:
+def goodness_of_fit(hits: str, trials: str, rate: str) -> str:
     """Chi-square of (hits, misses) against a given hit rate; one degree of freedom."""
-    expected = trials * rate
-    missed = trials - hits
-    expected_missed = trials - expected
-    return F.try_divide((hits - expected) * (hits - expected), expected) + F.try_divide(
-        (missed - expected_missed) * (missed - expected_missed), expected_missed
+    expected = f"(DOUBLE({trials}) * {rate})"
+    missed, expected_missed = f"({trials} - {hits})", f"({trials} - {expected})"
+    return (
+        f"(try_divide(pow({hits} - {expected}, 2), {expected})"
+        f" + try_divide(pow({missed} - {expected_missed}, 2), {expected_missed}))"
     )
 
 
 def with_p_value(df: DataFrame, statistic: str, p: Column, significance: float) -> DataFrame:
     """Add the p-value and its verdict, and round the statistic for display."""
-    known = F.when(~F.isnan("_p"), F.col("_p"))
-    return df.withColumn("_p", p).select(
-        *[half_even(F.col(c), 2).alias(c) if c == statistic else F.col(c) for c in df.columns],
-        half_even(known, 6).alias("p_value"),
-        F.coalesce(known < significance, F.lit(False)).alias("significant"),
+    shown = [
+        f"{half_even(name, 2)} AS {name}" if name == statistic else name for name in df.columns
+    ]
+    return df.withColumn("p", F.nanvl(p, F.lit(None).cast("double"))).selectExpr(
+        *shown,
+        f"{half_even('p', 6)} AS p_value",
+        f"coalesce(p < {significance}, false) AS significant",
     )
 
 
@@ -50,31 +50,26 @@ def with_p_value(df: DataFrame, statistic: str, p: Column, significance: float)
 def funnel_stats(totals: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Stage totals, drop-off rates and the chi-square of the purchases against the benchmark
     rate; ``totals`` is one row of measures."""
-    zero = F.lit(0).cast("long")
-    counts = totals.select(
-        F.coalesce("views", zero).alias("views"),
-        F.coalesce("cart_adds", zero).alias("carts"),
-        F.coalesce("purchases", zero).alias("purchases"),
-    )
-    views, carts, purchases = F.col("views"), F.col("carts"), F.col("purchases")
-    cvr = ratio_pct(purchases, views)
-    return counts.select(
-        "views", "carts", "purchases",
-        half_even(ratio_pct(carts, views), 2).alias("view_to_cart_pct"),
-        half_even(ratio_pct(purchases, carts), 2).alias("cart_to_purchase_pct"),
-        half_even(cvr, 4).alias("overall_cvr_pct"),
-        half_even(ratio_pct(views - purchases, views), 2).alias("drop_off_pct"),
-        half_even(cvr - limits.benchmark_rate * 100, 2).alias("vs_industry_pct"),
-        half_even(_funnel_chi2(limits), 2).alias("chi2_statistic"),
-    )
-
-
-def _funnel_chi2(limits: Thresholds) -> Column:
-    return _goodness_of_fit(_double("purchases"), _double("views"), F.lit(limits.benchmark_rate))
+    cvr = ratio_pct("purchases", "views")
+    chi2 = goodness_of_fit("purchases", "views", f"{limits.benchmark_rate}D")
+    rates = {
+        "view_to_cart_pct": half_even(ratio_pct("carts", "views"), 2),
+        "cart_to_purchase_pct": half_even(ratio_pct("purchases", "carts"), 2),
+        "overall_cvr_pct": half_even(cvr, 4),
+        "drop_off_pct": half_even(ratio_pct("views - purchases", "views"), 2),
+        "vs_industry_pct": half_even(f"{cvr} - {limits.benchmark_rate * 100}D", 2),
+        "chi2_statistic": half_even(chi2, 2),
+    }
+    return totals.selectExpr(
+        "coalesce(views, 0L) AS views",
+        "coalesce(cart_adds, 0L) AS carts",
+        "coalesce(purchases, 0L) AS purchases",
+    ).selectExpr("*", *[f"{sql} AS {name}" for name, sql in rates.items()])
 
 
 def funnel_p(totals: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    base = totals.select("views", "purchases", _funnel_chi2(limits).alias("chi2_statistic"))
+    chi2 = goodness_of_fit("purchases", "views", f"{limits.benchmark_rate}D")
+    base = totals.selectExpr("views", "purchases", f"{chi2} AS chi2_statistic")
     p = chi2_p("chi2_statistic", F.lit(1.0))
     return with_p_value(base, "chi2_statistic", p, limits.significance)
 
@@ -83,102 +78,83 @@ def funnel_p(totals: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
 
 
 def paid_orders(fact: DataFrame) -> DataFrame:
-    return fact.where("event_type = 'purchase' and revenue > 0").select("price_segment", "revenue")
+    return fact.where("event_type = 'purchase' AND revenue > 0").select("price_segment", "revenue")
 
 
 def _variance_parts(orders: DataFrame) -> DataFrame:
     """One row: groups, rows and the between, within and total sums of squares."""
     groups = orders.groupBy("price_segment").agg(
-        F.count("revenue").cast("double").alias("n"),
-        F.avg("revenue").alias("mean"),
-        ((F.count("revenue") - 1) * F.coalesce(F.var_samp("revenue"), F.lit(0.0))).alias("inner"),
-    )
-    # Price bands are a handful of rows, so both windows are small.
-    named = F.col("price_segment").isNotNull()
-    grand = F.sum(F.col("n") * F.col("mean")).over(Window.partitionBy()) / F.sum("n").over(
-        Window.partitionBy()
-    )
-    by_name = Window.partitionBy("_named")
-    pooled = F.sum(F.col("n") * F.col("mean")).over(by_name) / F.sum("n").over(by_name)
-    spread = groups.withColumn("_named", named).withColumns(
-        {
-            "to_grand": F.col("n") * F.pow(F.col("mean") - grand, 2),
-            "to_pooled": F.col("n") * F.pow(F.col("mean") - pooled, 2),
-        }
+        F.expr("DOUBLE(count(revenue)) AS n"),
+        F.expr("avg(revenue) AS mean"),
+        F.expr("(count(revenue) - 1) * coalesce(var_samp(revenue), 0D) AS inside"),
+    )
+    # Price bands are a handful of rows, so both windows are small. Orders without a band count
+    # towards the grand mean and the total, but are no group of the test.
+    spread = groups.selectExpr(
+        "*",
+        "price_segment IS NOT NULL AS named",
+        "n * pow(mean - sum(n * mean) OVER () / sum(n) OVER (), 2) AS to_grand",
+        """n * pow(mean - sum(n * mean) OVER (PARTITION BY price_segment IS NOT NULL)
+                   / sum(n) OVER (PARTITION BY price_segment IS NOT NULL), 2) AS to_pooled""",
     )
-
-    def of_named(name: str) -> Column:
-        return F.sum(F.when(F.col("_named"), F.col(name)))
-
     return spread.agg(
-        F.count_if(F.col("_named")).cast("double").alias("k"),
-        of_named("n").alias("n"),
-        of_named("to_pooled").alias("between"),
-        of_named("inner").alias("within"),
-        of_named("to_grand").alias("explained"),
-        (F.sum("inner") + F.sum("to_grand")).alias("total"),
-    )
-
-
-def _f_ratio() -> Column:
-    return F.try_divide(
-        F.try_divide(F.col("between"), F.col("k") - 1),
-        F.try_divide(F.col("within"), F.col("n") - F.col("k")),
+        *aggregates(
+            {
+                "k": "count(if(named, 1, NULL))",
+                "n": "sum(if(named, n, NULL))",
+                "between_groups": "sum(if(named, to_pooled, NULL))",
+                "within_groups": "sum(if(named, inside, NULL))",
+                "explained": "sum(if(named, to_grand, NULL))",
+                "total": "sum(inside) + sum(to_grand)",
+            }
+        )
+    ).selectExpr(
+        "k - 1 AS df_between",
+        "BIGINT(n - k) AS df_within",
+        "try_divide(try_divide(between_groups, k - 1), try_divide(within_groups, n - k)) AS f",
+        f"{half_even('if(total > 0, explained / total, 0D)', 4)} AS eta_squared",
     )
 
 
 def segment_anova(orders: DataFrame) -> DataFrame:
     """One-way analysis of variance of order revenue over price segments, with effect size."""
-    parts = _variance_parts(orders).withColumns(
-        {
-            "f": _f_ratio(),
-            "eta": F.when(F.col("total") > 0, F.col("explained") / F.col("total")).otherwise(0.0),
-        }
-    )
-    eta = half_even(F.col("eta"), 4)
-    return parts.select(
-        (F.col("k") - 1).cast("long").alias("df_between"),
-        (F.col("n") - F.col("k")).cast("long").alias("df_within"),
-        half_even(F.col("f"), 2).alias("f_statistic"),
-        eta.alias("eta_squared"),
-        F.when(eta > 0.14, "large").when(eta > 0.06, "medium").otherwise("small").alias("effect"),
+    return _variance_parts(orders).selectExpr(
+        "df_between", "df_within",
+        f"{half_even('f', 2)} AS f_statistic",
+        "eta_squared",
+        """CASE WHEN eta_squared > 0.14 THEN 'large' WHEN eta_squared > 0.06 THEN 'medium'
+                ELSE 'small' END AS effect""",
     )
 
 
 def segment_anova_p(orders: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    base = _variance_parts(orders).select(
-        (F.col("k") - 1).cast("long").alias("df_between"),
-        (F.col("n") - F.col("k")).cast("long").alias("df_within"),
-        _f_ratio().alias("f_statistic"),
-    )
-    p = f_p("f_statistic", _double("df_between"), _double("df_within"))
+    base = _variance_parts(orders).selectExpr("df_between", "df_within", "f AS f_statistic")
+    p = f_p("f_statistic", F.expr("DOUBLE(df_between)"), F.expr("DOUBLE(df_within)"))
     return with_p_value(base, "f_statistic", p, limits.significance)
 
 
 def segment_descriptive(orders: DataFrame) -> DataFrame:
     """Count, mean, exact median and sample deviation of order revenue per segment."""
     moments = (
-        orders.where(F.col("price_segment").isNotNull())
+        orders.where("price_segment IS NOT NULL")
         .groupBy("price_segment")
         .agg(
-            F.count("revenue").alias("count"),
-            F.avg("revenue").alias("mean"),
-            F.stddev_samp("revenue").alias("std"),
+            *aggregates(
+                {"count": "count(revenue)", "mean": "avg(revenue)", "std": "stddev_samp(revenue)"}
+            )
         )
     )
-    medians = quantiles(orders, "revenue", {"median": 0.5}, by=["price_segment"])
-    return moments.join(medians, "price_segment", "left").select(
-        "price_segment", "count",
-        *[half_even(F.col(name), 2).alias(name) for name in ("mean", "median", "std")],
+    keys = ["price_segment"]
+    medians = quantiles(frequencies(orders, "revenue", keys), {"median": 0.5}, keys)
+    return moments.join(medians, keys, "left").selectExpr(
+        *keys, "count",
+        *[f"{half_even(name, 2)} AS {name}" for name in ("mean", "median", "std")],
     )
 
 
 def group_cvr(groups: DataFrame, key: str) -> DataFrame:
     """Purchases, views and conversion per group; ``groups`` holds one row per ``key``."""
-    return groups.select(
-        key, "purchases", "views",
-        half_even(ratio_pct(F.col("purchases"), F.col("views")), 4).alias("cvr_pct"),
-    )
+    return groups.selectExpr(key, "purchases", "views", f"{CVR} AS cvr_pct")
 
 
 # Hours
@@ -186,42 +162,47 @@ def group_cvr(groups: DataFrame, key: str) -> DataFrame:
 
 def hourly_counts(cells: DataFrame) -> DataFrame:
     """Purchases, views and conversion per hour, from (date, hour) cells."""
-    hours = roll_up(cells, F.col("event_hour").alias("hour"))
+    hours = roll_up(cells, "event_hour").withColumnRenamed("event_hour", "hour")
     return group_cvr(hours, "hour").orderBy("hour")
 
 
 def hourly_interval(hours: DataFrame) -> DataFrame:
     """Mean purchases per hour with its 95 % t-interval."""
     stats = hours.agg(
-        F.count("*").alias("n"),
-        F.avg("purchases").alias("mean"),
-        F.stddev_samp("purchases").alias("sd"),
+        *aggregates(
+            {"hours": "count(*)", "mean": "avg(purchases)", "sd": "stddev_samp(purchases)"}
+        )
     )
-    margin = t_quantile_by_n(F.col("n"), 0.975, MOST_HOURS) * F.col("sd") / F.sqrt("n")
-    return stats.select(
-        F.col("n").alias("hours"),
-        half_even(F.col("mean"), 1).alias("mean_per_hour"),
-        half_even(F.col("mean") - margin, 1).alias("ci_95_low"),
-        half_even(F.col("mean") + margin, 1).alias("ci_95_high"),
+    # At most a few dozen hours: the quantiles are a literal array, no Python worker is needed.
+    quantile = ", ".join(f"{q!r}D" for q in t_quantiles(0.975, MOST_HOURS - 1))
+    margin = f"get(array({quantile}), INT(hours) - 2) * sd / sqrt(hours)"
+    return stats.selectExpr(
+        "hours",
+        f"{half_even('mean', 1)} AS mean_per_hour",
+        f"{half_even(f'mean - {margin}', 1)} AS ci_95_low",
+        f"{half_even(f'mean + {margin}', 1)} AS ci_95_high",
     )
 
 
 def hourly_extremes(hours: DataFrame) -> DataFrame:
     """Peak and trough hour; the earliest hour wins a tie."""
     return hours.agg(
-        F.max_by("hour", F.struct(F.col("purchases"), -F.col("hour"))).alias("peak_hour"),
-        F.max("purchases").alias("peak_count"),
-        F.min_by("hour", F.struct("purchases", "hour")).alias("trough_hour"),
-        F.min("purchases").alias("trough_count"),
+        *aggregates(
+            {
+                "peak_hour": "max_by(hour, struct(purchases, -hour))",
+                "peak_count": "max(purchases)",
+                "trough_hour": "min_by(hour, struct(purchases, hour))",
+                "trough_count": "min(purchases)",
+            }
+        )
     )
 
 
 def business_hours(hours: DataFrame, first: int = 9, last: int = 18) -> DataFrame:
     """Share of purchases made between the two hours, both included."""
-    inside = F.sum(F.when(F.col("hour").between(first, last), F.col("purchases")).otherwise(0))
-    return hours.agg(
-        half_even(ratio_pct(inside, F.sum("purchases")), 1).alias("biz_hours_pct")
-    )
+    inside = f"sum(if(hour BETWEEN {first} AND {last}, purchases, 0))"
+    share = half_even(ratio_pct(inside, "sum(purchases)"), 1)
+    return hours.agg(F.expr(f"{share} AS biz_hours_pct"))
 
 
 def hourly_rank_test(cells: DataFrame) -> DataFrame:
@@ -230,91 +211,120 @@ def hourly_rank_test(cells: DataFrame) -> DataFrame:
     Cells without a purchase are no samples. Ranks come from the frequencies of the distinct
     counts, so the windows run over at most one row per hour and distinct count.
     """
-    samples = cells.where((F.col("purchases") > 0) & F.col("event_hour").isNotNull())
-    frequency = samples.groupBy("event_hour", "purchases").agg(F.count("*").alias("n"))
-    up_to = Window.orderBy("purchases").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    tied = F.sum("n").over(Window.partitionBy("purchases")).cast("double")
-    ranked = frequency.withColumns({"_tied": tied, "_up_to": F.sum("n").over(up_to)}).withColumn(
-        "_rank", F.col("_up_to") - (F.col("_tied") - 1) / 2
+    frequency = (
+        cells.where("purchases > 0 AND event_hour IS NOT NULL")
+        .groupBy("event_hour", "purchases")
+        .agg(F.expr("count(*) AS n"))
+    )
+    ranked = frequency.selectExpr(
+        "*",
+        "DOUBLE(sum(n) OVER (PARTITION BY purchases)) AS tied",
+        "sum(n) OVER (ORDER BY purchases RANGE UNBOUNDED PRECEDING) AS upto",
     )
+    # n rows of a tie of t members carry n * (t^2 - 1) of its t^3 - t.
     hours = ranked.groupBy("event_hour").agg(
-        F.sum(F.col("n") * F.col("_rank")).alias("rank_sum"),
-        F.sum("n").cast("double").alias("size"),
-        # n rows of a tie of t members carry n * (t^2 - 1) of its t^3 - t.
-        F.sum(F.col("n") * (F.col("_tied") * F.col("_tied") - 1)).alias("ties"),
+        *aggregates(
+            {
+                "rank_sum": "sum(n * (upto - (tied - 1) / 2))",
+                "size": "DOUBLE(sum(n))",
+                "ties": "sum(n * (tied * tied - 1))",
+            }
+        )
     )
     sums = hours.agg(
-        F.count("*").alias("k"),
-        F.sum("size").alias("n"),
-        F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("size")).alias("squares"),
-        F.sum("ties").alias("ties"),
+        *aggregates(
+            {
+                "hours": "count(*)",
+                "n": "sum(size)",
+                "squares": "sum(rank_sum * rank_sum / size)",
+                "ties": "sum(ties)",
+            }
+        )
     )
-    n = F.col("n")
-    raw = F.try_divide(F.col("squares") * 12.0, n * (n + 1)) - (n + 1) * 3.0
-    correction = F.lit(1.0) - F.try_divide(F.col("ties"), n * n * n - n)
-    return sums.select(
-        F.col("k").alias("hours"),
-        n.cast("long").alias("samples"),
-        F.try_divide(raw, correction).alias("kw_statistic"),
+    raw = "try_divide(squares * 12D, n * (n + 1)) - (n + 1) * 3D"
+    correction = "1D - try_divide(ties, n * n * n - n)"
+    return sums.selectExpr(
+        "hours", "BIGINT(n) AS samples", f"try_divide({raw}, {correction}) AS kw_statistic"
     )
 
 
 def hourly_rank_summary(test: DataFrame) -> DataFrame:
-    return test.withColumn("kw_statistic", half_even(F.col("kw_statistic"), 2))
+    return test.selectExpr("hours", "samples", f"{half_even('kw_statistic', 2)} AS kw_statistic")
 
 
 def hourly_rank_p(test: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
-    p = chi2_p("kw_statistic", (F.col("hours") - 1).cast("double"))
+    p = chi2_p("kw_statistic", F.expr("DOUBLE(hours - 1)"))
     return with_p_value(test, "kw_statistic", p, limits.significance)
 
 
+def hourly_results(hours: DataFrame, rank_test: DataFrame) -> DataFrame:
+    """Extremes, interval, business share and rank statistic of the hours in one row."""
+    interval = hourly_interval(hours).select(F.struct("mean_per_hour", "ci_95_low", "ci_95_high"))
+    return (
+        hourly_extremes(hours)
+        .withColumns(
+            {
+                "interval": interval.scalar(),
+                "biz_hours_pct": business_hours(hours).scalar(),
+                "kw_statistic": hourly_rank_summary(rank_test).select("kw_statistic").scalar(),
+            }
+        )
+        .selectExpr("* EXCEPT (interval)", "interval.*")
+    )
+
+
 # Rooms
 
 
 def room_ranking(rooms: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Rooms with enough views, best conversion first; ``rooms`` holds one row per room."""
-    ratio = F.try_divide(_double("purchases"), _double("views"))
-    seen = rooms.where(F.col("views") > limits.room_min_views)
-    return group_cvr(seen, "room_type").orderBy(F.desc(ratio), "room_type")
+    seen = rooms.where(f"views > {limits.room_min_views}")
+    best = F.desc(F.expr("try_divide(DOUBLE(purchases), DOUBLE(views))"))
+    return group_cvr(seen, "room_type").orderBy(best, "room_type")
 
 
 def wilson_interval(ranked: DataFrame, z: float = WILSON_Z) -> DataFrame:
     """Add the Wilson score interval of the conversion, in percent."""
-    n = _double("views")
-    p = _double("purchases") / n
-    z2 = z**2
-    denominator = F.lit(1.0) + F.lit(z2) / n
-    centre = (p + F.lit(z2) / (n * 2.0)) / denominator
-    inner = p * (F.lit(1.0) - p) / n + F.lit(z2) / (n * n * 4.0)
-    margin = F.lit(z) * F.sqrt(inner) / denominator
-    return ranked.withColumns(
-        {
-            "ci_low": half_even((centre - margin) * 100.0, 4),
-            "ci_high": half_even((centre + margin) * 100.0, 4),
-        }
+    z2 = f"{z**2!r}D"
+    return (
+        ranked.selectExpr("*", "DOUBLE(views) AS n", "purchases / DOUBLE(views) AS p")
+        .selectExpr(
+            "*",
+            f"(p + {z2} / (n * 2D)) / (1D + {z2} / n) AS centre",
+            f"""{z}D * sqrt(p * (1D - p) / n + {z2} / (n * n * 4D)) / (1D + {z2} / n)
+                AS margin""",
+        )
+        .selectExpr(
+            *ranked.columns,
+            f"{half_even('(centre - margin) * 100D', 4)} AS ci_low",
+            f"{half_even('(centre + margin) * 100D', 4)} AS ci_high",
+        )
     )
 
 
 def _top_room(ranked: DataFrame) -> DataFrame:
-    ratio = F.try_divide(_double("purchases"), _double("views"))
-    row = F.struct("room_type", "purchases", "views", "cvr_pct")
+    ratio = "try_divide(DOUBLE(purchases), DOUBLE(views))"
     totals = ranked.agg(
-        F.min_by(row, F.struct(-ratio, F.col("room_type"))).alias("top"),
-        F.sum("purchases").alias("purchases"),
-        F.sum("views").alias("views"),
+        *aggregates(
+            {
+                "top": f"""min_by(struct(room_type, purchases, views, cvr_pct),
+                                  struct(-{ratio}, room_type))""",
+                "all_purchases": "sum(purchases)",
+                "all_views": "sum(views)",
+            }
+        )
     )
-    hits, trials = F.col("top.purchases").cast("double"), F.col("top.views").cast("double")
-    rest = F.try_divide(F.col("purchases") - hits, F.col("views") - trials)
-    return totals.select(
-        F.col("top.room_type").alias("top_room"),
-        F.col("top.cvr_pct").alias("top_cvr"),
-        _goodness_of_fit(hits, trials, rest).alias("chi2"),
+    rest = "try_divide(DOUBLE(all_purchases - top.purchases), DOUBLE(all_views - top.views))"
+    return totals.selectExpr(
+        "top.room_type AS top_room",
+        "top.cvr_pct AS top_cvr",
+        f"{goodness_of_fit('top.purchases', 'top.views', rest)} AS chi2",
     )
 
 
 def room_test(ranked: DataFrame) -> DataFrame:
     """Chi-square of the best room against the pooled rate of all others."""
-    return _top_room(ranked).withColumn("chi2", half_even(F.col("chi2"), 2))
+    return _top_room(ranked).selectExpr("top_room", "top_cvr", f"{half_even('chi2', 2)} AS chi2")
 
 
 def room_test_p(ranked: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
@@ -327,9 +337,11 @@ def room_test_p(ranked: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
 
 def cvr_moments(scored: DataFrame) -> Column:
     """Mean and deviation of ``cvr_pct`` over all rows, as a one-row subquery value."""
-    return scored.agg(
-        F.struct(F.avg("cvr_pct").alias("mean"), F.stddev_samp("cvr_pct").alias("sd"))
-    ).scalar()
+    moments = F.expr("struct(avg(cvr_pct) AS mean, stddev_samp(cvr_pct) AS sd)")
+    return scored.agg(moments).scalar()
+
+
+Z_SCORE = half_even("try_divide(cvr_pct - m.mean, m.sd)", 3)
 
 
 def gap_scores(products: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
@@ -337,21 +349,19 @@ def gap_scores(products: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
 
     ``products`` should be a stored table: it is read for the moments and for the scores.
     """
-    population = products.where(F.col("views") >= limits.gap_min_views).select(
-        "product_id", "views", "purchases", _double("revenue").alias("revenue"),
-        half_even(ratio_pct(F.col("purchases"), F.col("views")), 4).alias("cvr_pct"),
+    population = products.where(f"views >= {limits.gap_min_views}").selectExpr(
+        "product_id", "views", "purchases", "DOUBLE(revenue) AS revenue", f"{CVR} AS cvr_pct"
     )
-    scored = population.withColumn("_m", cvr_moments(population)).withColumn(
-        "z_score", half_even(F.try_divide(F.col("cvr_pct") - F.col("_m.mean"), F.col("_m.sd")), 3)
+    missed = f"(m.mean / 100D * views - purchases) * {limits.gap_order_value}D"
+    return (
+        population.withColumn("m", cvr_moments(population))
+        .selectExpr("*", f"{Z_SCORE} AS z_score")
+        .selectExpr(
+            *population.columns, "z_score",
+            f"coalesce(z_score < {limits.gap_z}, false) OR purchases = 0 AS anomaly",
+            f"{half_even(f'greatest(0D, {missed})', 0)} AS revenue_lost",
+        )
     )
-    missed = F.col("_m.mean") / 100.0 * F.col("views") - F.col("purchases")
-    low = F.coalesce(F.col("z_score") < limits.gap_z, F.lit(False))
-    return scored.withColumns(
-        {
-            "anomaly": low | (F.col("purchases") == 0),
-            "revenue_lost": half_even(F.greatest(F.lit(0.0), missed * limits.gap_order_value), 0),
-        }
-    ).drop("_m")
 
 
 def gap_anomalies(scores: DataFrame) -> DataFrame:
@@ -359,13 +369,16 @@ def gap_anomalies(scores: DataFrame) -> DataFrame:
 
 
 def gap_summary(scores: DataFrame) -> DataFrame:
-    lost = F.sum(F.when(F.col("anomaly"), F.col("revenue_lost")))
     return scores.agg(
-        F.count("*").alias("total_products"),
-        F.count_if(F.col("anomaly")).alias("anomaly_count"),
-        half_even(F.avg("cvr_pct"), 4).alias("mean_cvr"),
-        half_even(F.stddev_samp("cvr_pct"), 4).alias("std_cvr"),
-        F.coalesce(lost, F.lit(0.0)).alias("total_rev_lost"),
+        *aggregates(
+            {
+                "total_products": "count(*)",
+                "anomaly_count": "count(if(anomaly, 1, NULL))",
+                "mean_cvr": half_even("avg(cvr_pct)", 4),
+                "std_cvr": half_even("stddev_samp(cvr_pct)", 4),
+                "total_rev_lost": "coalesce(sum(if(anomaly, revenue_lost, NULL)), 0D)",
+            }
+        )
     )
 
 
@@ -379,11 +392,13 @@ def gap_listing(scores: DataFrame, top: int = 10) -> DataFrame:
 
 def gap_chart(scores: DataFrame, top: int = 15, limits: Thresholds = DEFAULTS) -> DataFrame:
     """The most viewed anomalies, ordered by lost revenue, the severe ones marked."""
-    severe = F.coalesce(F.col("z_score") < limits.gap_severe_z, F.lit(False))
     return (
         gap_anomalies(scores)
         .limit(top)
-        .select("product_id", "views", "z_score", "revenue_lost", severe.alias("severe"))
+        .selectExpr(
+            "product_id", "views", "z_score", "revenue_lost",
+            f"coalesce(z_score < {limits.gap_severe_z}, false) AS severe",
+        )
         .orderBy(F.desc("revenue_lost"), "product_id")
     )
 
@@ -395,33 +410,18 @@ def insight_summary(funnel: DataFrame, extremes: DataFrame, gaps: DataFrame) ->
     """Six (metric, value) lines over the funnel, the hours and the gaps."""
     one_row = funnel.withColumns(
         {
-            "_peak": extremes.select("peak_hour").scalar(),
-            "_gaps": gaps.select(F.struct("anomaly_count", "total_rev_lost")).scalar(),
+            "peak": extremes.select("peak_hour").scalar(),
+            "gap": gaps.select(F.struct("anomaly_count", "total_rev_lost")).scalar(),
         }
     )
-    lines = [
-        ("Overall CVR %", _double("overall_cvr_pct")),
-        ("Drop-off %", _double("drop_off_pct")),
-        ("vs Industry (2%) %", _double("vs_industry_pct")),
-        ("Peak Purchase Hour", _double("_peak")),
-        ("Anomaly Products", _double("_gaps.anomaly_count")),
-        ("Est Revenue Lost ($)", _double("_gaps.total_rev_lost")),
-    ]
-    return metric_rows(one_row, lines).select("metric", "value")
-
-
-def hourly_results(hours: DataFrame, rank_test: DataFrame) -> DataFrame:
-    """Extremes, interval, business share and rank statistic of the hours in one row."""
-    interval = hourly_interval(hours).select(F.struct("mean_per_hour", "ci_95_low", "ci_95_high"))
-    return (
-        hourly_extremes(hours)
-        .withColumns(
-            {
-                "_i": interval.scalar(),
-                "biz_hours_pct": business_hours(hours).scalar(),
-                "kw_statistic": hourly_rank_summary(rank_test).select("kw_statistic").scalar(),
-            }
-        )
-        .select("*", "_i.*")
-        .drop("_i")
-    )
+    return metric_rows(
+        one_row,
+        {
+            "Overall CVR %": "overall_cvr_pct",
+            "Drop-off %": "drop_off_pct",
+            "vs Industry (2%) %": "vs_industry_pct",
+            "Peak Purchase Hour": "DOUBLE(peak)",
+            "Anomaly Products": "DOUBLE(gap.anomaly_count)",
+            "Est Revenue Lost ($)": "gap.total_rev_lost",
+        },
+    ).select("metric", "value")

@@ -2,51 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import money, rate_pct
-from roomlens.operators.metrics import measure
+from roomlens.operators.metrics import MEASURES, STAGES, aggregates, measure
 
+REVENUE = "DOUBLE(round(revenue, 2))"
+CONVERSION = f"{rate_pct('purchases', 'views')} AS conversion_rate_pct"
 
-def _revenue() -> Column:
-    return F.round("revenue", 2).cast("double")
-
-
-def _conversion() -> Column:
-    return rate_pct(F.col("purchases"), F.col("views"))
+DATE_ATTRIBUTES = (
+    "event_date", "year", "month", "month_name", "week_number", "day_of_week", "day_type",
+)
+GAP_KEYS = ("product_id", "brand", "room_type", "item_type", "price_segment")
 
 
 def conversion_funnel(fact: DataFrame) -> DataFrame:
     """Events, users and sessions per event type, with the share of all events."""
     counts = fact.groupBy("event_type").agg(
-        F.count("*").alias("event_count"),
-        F.count_distinct(F.col("user_id")).alias("unique_users"),
-        F.count_distinct(F.col("user_session")).alias("unique_sessions"),
+        F.expr("count(*) AS event_count"),
+        F.expr("count(DISTINCT user_id) AS unique_users"),
+        F.expr("count(DISTINCT user_session) AS unique_sessions"),
     )
     # One row per event type: the window sees a handful of rows.
-    everything = F.sum("event_count").over(Window.partitionBy())
-    return counts.withColumn("pct_of_total", rate_pct(F.col("event_count"), everything))
+    share = rate_pct("event_count", "sum(event_count) OVER ()")
+    return counts.selectExpr("*", f"{share} AS pct_of_total")
 
 
 def room_performance(fact: DataFrame) -> DataFrame:
+    keys = ("room_type", "item_type")
     return (
-        measure(fact, "room_type", "item_type")
-        .select(
-            "room_type", "item_type", "views", "cart_adds", "purchases",
-            _revenue().alias("total_revenue"), _conversion().alias("conversion_rate_pct"),
-        )
-        .orderBy(F.desc("total_revenue"), "room_type", "item_type")
+        measure(fact, *keys)
+        .selectExpr(*keys, *STAGES, f"{REVENUE} AS total_revenue", CONVERSION)
+        .orderBy(F.desc("total_revenue"), *keys)
     )
 
 
 def price_segment_analysis(fact: DataFrame) -> DataFrame:
-    average = F.try_divide("order_price", F.col("purchases"))
     return (
         measure(fact.where("is_zero_price = 0"), "price_segment")
-        .select(
-            "price_segment", "views", "cart_adds", "purchases",
-            _revenue().alias("total_revenue"), _conversion().alias("conversion_rate_pct"),
-            F.round(average, 2).cast("double").alias("avg_purchase_price"),
+        .selectExpr(
+            "price_segment", *STAGES, f"{REVENUE} AS total_revenue", CONVERSION,
+            "DOUBLE(round(try_divide(order_price, purchases), 2)) AS avg_purchase_price",
         )
         .orderBy(F.desc("conversion_rate_pct"), "price_segment")
     )
@@ -55,66 +51,48 @@ def price_segment_analysis(fact: DataFrame) -> DataFrame:
 def brand_performance(fact: DataFrame, min_views: int = 100) -> DataFrame:
     """Known brands with more than ``min_views`` views, zero prices left out."""
     return (
-        measure(fact.where("brand <> 'Unknown' and is_zero_price = 0"), "brand")
-        .where(F.col("views") > min_views)
-        .select(
-            "brand", "views", "cart_adds", "purchases",
-            _revenue().alias("total_revenue"), _conversion().alias("conversion_rate_pct"),
-        )
+        measure(fact.where("brand <> 'Unknown' AND is_zero_price = 0"), "brand")
+        .where(f"views > {min_views}")
+        .selectExpr("brand", *STAGES, f"{REVENUE} AS total_revenue", CONVERSION)
         .orderBy(F.desc("total_revenue"), "brand")
     )
 
 
-DATE_ATTRIBUTES = ("event_date", "year", "month", "month_name", "week_number", "day_of_week", "day_type")
-
-
 def daily_trend(fact: DataFrame) -> DataFrame:
+    counts = {
+        **STAGES,
+        "revenue": MEASURES["revenue"],
+        "active_users": "count(DISTINCT user_id)",
+        "sessions": "count(DISTINCT user_session)",
+    }
     return (
         fact.groupBy(*DATE_ATTRIBUTES)
-        .agg(
-            F.count_if(F.col("event_type") == "view").alias("views"),
-            F.count_if(F.col("event_type") == "cart").alias("cart_adds"),
-            F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-            F.coalesce(
-                F.sum(F.when(F.col("revenue") != 0, money(F.col("revenue")))), F.lit(0)
-            ).alias("revenue"),
-            F.count_distinct(F.col("user_id")).alias("active_users"),
-            F.count_distinct(F.col("user_session")).alias("sessions"),
-        )
-        .select(
-            *DATE_ATTRIBUTES, "views", "cart_adds", "purchases",
-            _revenue().alias("daily_revenue"), "active_users", "sessions",
+        .agg(*aggregates(counts))
+        .selectExpr(
+            *DATE_ATTRIBUTES, *STAGES, f"{REVENUE} AS daily_revenue", "active_users", "sessions"
         )
         .orderBy("event_date")
     )
 
 
 def hourly_behavior(fact: DataFrame) -> DataFrame:
+    keys = ("event_hour", "day_type")
     return (
-        measure(fact, "event_hour", "day_type")
-        .select("event_hour", "day_type", "views", "cart_adds", "purchases", _revenue().alias("revenue"))
-        .orderBy("event_hour", "day_type")
+        measure(fact, *keys).selectExpr(*keys, *STAGES, f"{REVENUE} AS revenue").orderBy(*keys)
     )
 
 
 def high_view_no_purchase(fact: DataFrame, min_views: int = 500, top: int = 30) -> DataFrame:
     """The ``top`` most viewed products with more than ``min_views`` views and no purchase."""
-    keys = ("product_id", "brand", "room_type", "item_type", "price_segment")
+    sums = {**STAGES, "price_sum": f"sum({money('price')})", "priced": "count(price)"}
     return (
-        fact.groupBy(*keys)
-        .agg(
-            F.count_if(F.col("event_type") == "view").alias("views"),
-            F.count_if(F.col("event_type") == "cart").alias("cart_adds"),
-            F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-            F.sum(money(F.col("price"))).alias("_price_sum"),
-            F.count("price").alias("_priced"),
-        )
-        .where((F.col("views") > min_views) & (F.col("purchases") == 0))
-        .select(
-            *keys, "views", "cart_adds", "purchases",
-            F.round(F.try_divide("_price_sum", F.col("_priced")), 2).cast("double").alias("avg_price"),
+        fact.groupBy(*GAP_KEYS)
+        .agg(*aggregates(sums))
+        .where(f"views > {min_views} AND purchases = 0")
+        .selectExpr(
+            *GAP_KEYS, *STAGES, "DOUBLE(round(try_divide(price_sum, priced), 2)) AS avg_price"
         )
-        .orderBy(F.desc("views"), "product_id", "brand", "room_type", "item_type", "price_segment")
+        .orderBy(F.desc("views"), *GAP_KEYS)
         .limit(top)
     )
 
@@ -138,16 +116,22 @@ def funnel_by_size(funnel: DataFrame) -> DataFrame:
     return funnel.orderBy(F.desc("event_count"), "event_type")
 
 
+def _regrouped(view: DataFrame, key: str, revenue: str) -> DataFrame:
+    """Views, purchases and revenue over a coarser key; revenue is already rounded once."""
+    return view.groupBy(key).agg(
+        F.expr("sum(views) AS views"),
+        F.expr("sum(purchases) AS purchases"),
+        F.expr(f"DOUBLE(round(sum({money(revenue)}), 2)) AS revenue"),
+    )
+
+
 def best_rooms(rooms: DataFrame) -> DataFrame:
-    """Rooms over all items; item revenue is already rounded, as in the view."""
     return (
-        rooms.groupBy("room_type")
-        .agg(
-            F.sum("views").alias("views"),
-            F.sum("purchases").alias("purchases"),
-            F.round(F.sum(money(F.col("total_revenue"))), 2).cast("double").alias("revenue"),
+        _regrouped(rooms, "room_type", "total_revenue")
+        .selectExpr(
+            "room_type", "views", "purchases", f"{rate_pct('purchases', 'views')} AS cvr_pct",
+            "revenue",
         )
-        .select("room_type", "views", "purchases", _conversion().alias("cvr_pct"), "revenue")
         .orderBy(F.desc("cvr_pct"), "room_type")
     )
 
@@ -168,12 +152,7 @@ def top_brands(brands: DataFrame, top: int = 10) -> DataFrame:
 
 def peak_hours(hours: DataFrame, top: int = 8) -> DataFrame:
     return (
-        hours.groupBy("event_hour")
-        .agg(
-            F.sum("views").alias("views"),
-            F.sum("purchases").alias("purchases"),
-            F.round(F.sum(money(F.col("revenue"))), 2).cast("double").alias("revenue"),
-        )
+        _regrouped(hours, "event_hour", "revenue")
         .orderBy(F.desc("purchases"), "event_hour")
         .limit(top)
     )
@@ -181,5 +160,4 @@ def peak_hours(hours: DataFrame, top: int = 8) -> DataFrame:
 
 def gap_list(gaps: DataFrame, top: int = 10) -> DataFrame:
     """First rows of the gap view, sorted again: a view has no order of its own."""
-    keys = ("product_id", "brand", "room_type", "item_type", "price_segment")
-    return gaps.select(*keys, "views", "cart_adds", "purchases").orderBy(F.desc("views"), *keys).limit(top)
+    return gaps.select(*GAP_KEYS, *STAGES).orderBy(F.desc("views"), *GAP_KEYS).limit(top)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     DateType,
     DoubleType,
@@ -91,6 +91,4 @@ FACT_EVENTS = _schema(
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Project ``df`` to exactly the columns, order and types of ``schema``."""
-    return df.select(
-        [F.col(field.name).cast(field.dataType).alias(field.name) for field in schema.fields]
-    )
+    return df.to(schema)

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+)
+PART = (
+    "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE"
+)
 
 # Category by remainder of the product number.
 CATEGORIES = (
@@ -14,97 +21,81 @@ CATEGORIES = (
     "furniture.bathroom.bath",
 )
 
+# Availability text by remainder of the part number, from 1.
+AVAILABILITY = (
+    "In Stock", "Only 3 left in stock - order soon.", "Temporarily out of stock.",
+    "Currently unavailable.", "Temporarily on hold", "Usually ships within 1-2 days", "Preorder",
+)
+
+STAGE = """
+    CASE WHEN event_type IN ('view', 'signup', 'error') THEN 'view'
+         WHEN event_type = 'click' AND event_id % 2 = 0 THEN 'cart'
+         WHEN event_type = 'purchase' AND event_id % 2 = 0 AND k % 20 <> 3
+              AND (k % 25 <> 7 OR event_id % 20 = 0)
+              AND (k % 6 <> 5 OR event_id % 4 = 0)
+              AND (k < 88 OR event_id % 4 = 0)
+              AND (day(ts) NOT IN (12, 24) OR event_id % 16 = 0)
+              AND (day(ts) <> 18 OR event_id % 4 = 0) THEN 'purchase' END"""
+
+
+def _list(values: tuple[str, ...]) -> str:
+    return "array(" + ", ".join(f"'{value}'" for value in values) + ")"
+
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clickstream with typed time and price; planted weak products, rooms, bands and days."""
-    source = spark.read.parquet(f"{sf_dir}/events.parquet")
-    k, event_id = F.col("k"), F.col("event_id")
-    day = F.dayofmonth("ts")
-    viewed = F.col("event_type").isin("view", "signup", "error")
-    carted = (F.col("event_type") == "click") & (event_id % 2 == 0)
-    bought = (
-        (F.col("event_type") == "purchase")
-        & (event_id % 2 == 0)
-        & (k % 20 != 3)
-        & ((k % 25 != 7) | (event_id % 20 == 0))
-        & ((k % 6 != 5) | (event_id % 4 == 0))
-        & ((k < 88) | (event_id % 4 == 0))
-        & (~day.isin(12, 24) | (event_id % 16 == 0))
-        & ((day != 18) | (event_id % 4 == 0))
-    )
-    stage = F.when(viewed, "view").when(carted, "cart").when(bought, "purchase")
-    category = F.when(k >= 96, "electronics.smartphone").otherwise(
-        F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), (k % 6 + 1).cast("int"))
-    )
     return (
-        source.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-        .withColumn("stage", stage)
-        .where(F.col("stage").isNotNull())
-        .select(
-            F.col("ts").cast("timestamp").alias("event_time"),
-            F.col("stage").alias("event_type"),
-            (F.lit(17200000).cast("long") + k).alias("product_id"),
-            (F.lit(2053013559000000000).cast("long") + k % 6).alias("category_id"),
-            category.alias("category_code"),
-            F.when(k % 5 != 0, F.concat(F.lit("brand_"), (k % 12).cast("string"))).alias("brand"),
-            F.when(event_id % 97 == 0, F.lit(0.0)).otherwise(
-                (k * 8 + F.lit("0.99").cast("decimal(10,2)")).cast("double")
-            ).alias("price"),
+        spark.read.schema(EVENTS)
+        .parquet(f"{sf_dir}/events.parquet")
+        .selectExpr("*", "INT(get_json_object(props, '$.k')) AS k")
+        .selectExpr("*", f"{STAGE} AS stage")
+        .where("stage IS NOT NULL")
+        .selectExpr(
+            "TIMESTAMP(ts) AS event_time",
+            "stage AS event_type",
+            "17200000L + k AS product_id",
+            "2053013559000000000L + k % 6 AS category_id",
+            f"""if(k >= 96, 'electronics.smartphone', get({_list(CATEGORIES)}, k % 6))
+                AS category_code""",
+            "if(k % 5 <> 0, concat('brand_', k % 12), NULL) AS brand",
+            "if(event_id % 97 = 0, 0D, DOUBLE(CAST(k * 8 + 0.99 AS decimal(10,2)))) AS price",
             "user_id",
-            F.concat(F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string")).alias(
-                "user_session"
-            ),
+            "concat(user_id, '-', DATE(ts)) AS user_session",
         )
     )
 
 
 def as_csv_text(events: DataFrame) -> DataFrame:
     """The same events as the raw export writes them: time and price as text."""
-    return events.withColumns(
-        {
-            "event_time": F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"),
-            "price": F.col("price").cast("decimal(10,2)").cast("string"),
-        }
+    return events.selectExpr(
+        "* EXCEPT (event_time, price)",
+        "date_format(event_time, 'yyyy-MM-dd HH:mm:ss.SSSSSSxxx') AS event_time",
+        "STRING(CAST(price AS decimal(10,2))) AS price",
     )
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue with gaps, bad texts and every availability phrase, all columns text."""
-    n, kind = F.col("p_partkey"), F.col("p_type")
-    price = (
-        F.when((n % 7 == 0) | ((kind == "SMALL") & (n % 3 == 0)), F.lit(None).cast("string"))
-        .when(n % 13 == 0, "$1,049.99")
-        .when(n % 19 == 0, "n/a")
-        .otherwise(F.concat(F.lit("$"), (F.col("p_size") * 4).cast("string"), F.lit(".50")))
-    )
-    phrases = (
-        "In Stock", "Only 3 left in stock - order soon.", "Temporarily out of stock.",
-        "Currently unavailable.", "Temporarily on hold", "Usually ships within 1-2 days", "Preorder",
-    )
-    availability = F.when(
-        n % 8 != 0, F.element_at(F.array(*[F.lit(p) for p in phrases]), F.greatest((n % 8).cast("int"), F.lit(1)))
-    )
-    categories = (
-        F.when(n % 17 == 0, F.lit("garbage"))
-        .when(n % 9 == 0, F.concat(F.lit("['Home & Kitchen', 'Bedding', '"), kind, F.lit("']")))
-        .when(n % 23 == 0, F.lit("['Home & Kitchen', 'Furniture']"))
-        .otherwise(F.concat(F.lit("['Home & Kitchen', 'Furniture', '"), kind, F.lit("']")))
-    )
-    none = F.lit(None).cast("string")
-    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
-        F.concat(F.lit("B"), F.lpad(n.cast("string"), 9, "0")).alias("asin"),
-        F.col("p_name").alias("title"),
-        F.when(n % 11 != 0, F.concat(F.col("p_brand"), F.lit(" Store"))).alias("brand"),
-        price.alias("price"),
-        availability.alias("availability"),
-        categories.alias("categories"),
-        F.when(n % 10 != 3, F.lower(kind)).alias("material"),
-        none.alias("color"),
-        none.alias("style"),
-        none.alias("country_of_origin"),
-        F.when(n % 10 == 0, F.lit("unknown")).otherwise(
-            F.concat(F.lit("2020-0"), (n % 9 + 1).cast("string"), F.lit("-15"))
-        ).alias("date_first_available"),
-        none.alias("package_dimensions"),
-        none.alias("manufacturer"),
+    return (
+        spark.read.schema(PART)
+        .parquet(f"{sf_dir}/part.parquet")
+        .selectExpr("*", "p_partkey AS n")
+        .selectExpr(
+            "concat('B', lpad(n, 9, '0')) AS asin",
+            "p_name AS title",
+            "if(n % 11 <> 0, concat(p_brand, ' Store'), NULL) AS brand",
+            """CASE WHEN n % 7 = 0 OR (p_type = 'SMALL' AND n % 3 = 0) THEN NULL
+                    WHEN n % 13 = 0 THEN '$1,049.99' WHEN n % 19 = 0 THEN 'n/a'
+                    ELSE concat('$', p_size * 4, '.50') END AS price""",
+            f"get({_list(AVAILABILITY)}, INT(n % 8) - 1) AS availability",
+            r"""CASE WHEN n % 17 = 0 THEN 'garbage'
+                    WHEN n % 9 = 0 THEN concat('[\'Home & Kitchen\', \'Bedding\', \'', p_type, '\']')
+                    WHEN n % 23 = 0 THEN '[\'Home & Kitchen\', \'Furniture\']'
+                    ELSE concat('[\'Home & Kitchen\', \'Furniture\', \'', p_type, '\']') END
+                AS categories""",
+            "if(n % 10 <> 3, lower(p_type), NULL) AS material",
+            "STRING(NULL) AS color", "STRING(NULL) AS style", "STRING(NULL) AS country_of_origin",
+            "if(n % 10 = 0, 'unknown', concat('2020-0', n % 9 + 1, '-15')) AS date_first_available",
+            "STRING(NULL) AS package_dimensions", "STRING(NULL) AS manufacturer",
+        )
     )

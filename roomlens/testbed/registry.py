@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from roomlens.operators import (
     clean_events,
@@ -216,8 +216,8 @@ def _impute(i: Inputs) -> DataFrame:
 
 def _product_metrics(i: Inputs) -> DataFrame:
     money = ("revenue", "order_price", "paid_revenue")
-    metrics_rows = metrics.product_metrics(metrics.product_grain(i.fact))
-    return metrics_rows.withColumns({name: F.col(name).cast("double") for name in money})
+    rows = metrics.product_metrics(metrics.product_grain(i.fact))
+    return rows.selectExpr(*[f"DOUBLE({c}) AS {c}" if c in money else c for c in rows.columns])
 
 
 def _kpis(i: Inputs) -> DataFrame:
@@ -261,14 +261,14 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "product_price_segment_counts": lambda i: profiling.value_counts(i.clean_products, "price_segment"),
     "price_describe": lambda i: quantiles.describe(i.furniture, "price"),
     "product_price_describe": lambda i: quantiles.describe(
-        i.raw_products.select(clean_products.price_number(F.col("price")).alias("price")), "price"
+        i.raw_products.selectExpr(f"{clean_products.price_number()} AS price"), "price"
     ),
     "clean_price_describe": lambda i: quantiles.describe(i.clean_products, "price"),
     "unique_brands": lambda i: profiling.distinct_count(i.raw_products, "brand"),
     "date_range": lambda i: profiling.value_range(i.furniture, "event_time"),
     "dim_date_range": lambda i: profiling.value_range(model.dim_date(i.clean), "event_date"),
     "furniture_share": lambda i: profiling.selectivity(
-        i.raw_events, F.col("category_code").startswith("furniture")
+        i.raw_events, "startswith(category_code, 'furniture')"
     ),
     "dq_event_types": lambda i: profiling.event_type_check(i.stg_events),
     "dq_null_brands": lambda i: profiling.missing_brand_check(i.stg_events),
@@ -277,10 +277,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_main_categories": lambda i: profiling.category_text_check(i.stg_products),
     "clean_summary": lambda i: profiling.clean_summary(i.clean),
     "product_filter_counts": lambda i: profiling.selectivity(
-        clean_products.with_categories(i.stg_products), F.col("main_category") == "Furniture"
+        clean_products.with_categories(i.stg_products), "main_category = 'Furniture'"
     ),
     "price_null_counts": lambda i: profiling.price_nulls(
-        i.raw_products, clean_products.price_number(F.col("price"))
+        i.raw_products, clean_products.price_number()
     ),
     # Cleaning
     "furniture_events": lambda i: i.furniture,
