@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import half_even
+from roomlens.operators.metrics import aggregates
+from roomlens.sources.scratch import shared_table
 
 # Order-preserving coarse range of a number: 256 ranges per e-fold of magnitude. It is a pure
 # function of the value, so it is the same wherever and however often it is computed.
@@ -74,26 +76,48 @@ def quantiles(frequency: DataFrame, named: Mapping[str, float], by: Sequence[str
     )
 
 
-def describe(df: DataFrame, value: str, digits: int = 6) -> DataFrame:
-    """Count, mean, sample deviation, extremes and quartiles of a numeric column, one row."""
-    moments = df.selectExpr(f"DOUBLE({value}) AS value").agg(
-        F.expr("count(value) AS count"),
-        F.expr("avg(value) AS mean"),
-        F.expr("stddev_samp(value) AS std"),
-        F.expr("min(value) AS min"),
-        F.expr("max(value) AS max"),
+def moments(frequency: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Count, mean, sample deviation and extremes of each group, from stored frequencies.
+
+    The deviation is taken around the mean in a second pass, as it would be over the rows. A
+    group of one row has none.
+    """
+    first = frequency.groupBy(*by).agg(
+        *aggregates(
+            {
+                "count": "sum(n)",
+                "mean": "sum(n * value) / sum(n)",
+                "min": "min(value)",
+                "max": "max(value)",
+            }
+        )
     )
+    squares = {"squares": "sum(n * pow(value - mean, 2))"}
+    if by:
+        means = first.select(*by, "mean")
+        around = frequency.join(means, [*by]).groupBy(*by).agg(*aggregates(squares))
+        both = first.join(around, [*by])
+    else:
+        mean = first.select("mean").scalar()
+        around = frequency.withColumn("mean", mean).agg(*aggregates(squares))
+        both = first.withColumn("squares", around.scalar())
+    std = "if(count > 1, sqrt(squares / (count - 1)), NULL)"
+    return both.selectExpr(*by, "count", "mean", f"{std} AS std", "min", "max")
+
+
+def describe(df: DataFrame, value: str, digits: int = 6) -> DataFrame:
+    """Count, mean, sample deviation, extremes and quartiles of a numeric column, one row.
+
+    The rows are read once, into a stored frequency table.
+    """
+    frequency = shared_table(frequencies(df, value), "frequencies")
     shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-    quartiles = quantiles(frequencies(df, value), shares).agg(
-        F.expr("first(struct(q25, q50, q75))")
-    )
-    return moments.withColumn("q", quartiles.scalar()).selectExpr(
-        "count",
-        *[
-            f"{half_even(source, digits)} AS {name}"
-            for name, source in {
-                "mean": "mean", "std": "std", "min": "min", "q25": "q.q25", "q50": "q.q50",
-                "q75": "q.q75", "max": "max",
-            }.items()
-        ],
+    quartiles = quantiles(frequency, shares).agg(F.expr("first(struct(q25, q50, q75))"))
+    columns = {
+        "mean": "mean", "std": "std", "min": "min", "q25": "q.q25", "q50": "q.q50", "q75": "q.q75",
+        "max": "max",
+    }
+    return moments(frequency).withColumn("q", quartiles.scalar()).selectExpr(
+        "coalesce(count, 0L) AS count",
+        *[f"{half_even(source, digits)} AS {name}" for name, source in columns.items()],
     )

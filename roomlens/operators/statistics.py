@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roomlens.functions.numbers import half_even, ratio_pct
 from roomlens.functions.tails import chi2_p, f_p, t_quantiles
 from roomlens.operators.metrics import aggregates, roll_up
-from roomlens.operators.quantiles import frequencies, quantiles
+from roomlens.operators.quantiles import frequencies, moments, quantiles
 from roomlens.operators.report import metric_rows
+from roomlens.sources.scratch import shared_table
 from roomlens.thresholds import DEFAULTS, Thresholds
 
 WILSON_Z = 1.96
@@ -134,19 +135,15 @@ def segment_anova_p(orders: DataFrame, limits: Thresholds = DEFAULTS) -> DataFra
 
 
 def segment_descriptive(orders: DataFrame) -> DataFrame:
-    """Count, mean, exact median and sample deviation of order revenue per segment."""
-    moments = (
-        orders.where("price_segment IS NOT NULL")
-        .groupBy("price_segment")
-        .agg(
-            *aggregates(
-                {"count": "count(revenue)", "mean": "avg(revenue)", "std": "stddev_samp(revenue)"}
-            )
-        )
-    )
+    """Count, mean, exact median and sample deviation of order revenue per segment.
+
+    The orders are read once, into a stored frequency table.
+    """
     keys = ["price_segment"]
-    medians = quantiles(frequencies(orders, "revenue", keys), {"median": 0.5}, keys)
-    return moments.join(medians, keys, "left").selectExpr(
+    named = orders.where("price_segment IS NOT NULL")
+    frequency = shared_table(frequencies(named, "revenue", keys), "order-frequencies")
+    medians = quantiles(frequency, {"median": 0.5}, keys)
+    return moments(frequency, keys).join(medians, keys).selectExpr(
         *keys, "count",
         *[f"{half_even(name, 2)} AS {name}" for name in ("mean", "median", "std")],
     )

@@ -92,9 +92,13 @@ class Inputs:
     def clean_products(self) -> DataFrame:
         return clean_products.clean_products(self.stg_products)
 
+    @cached_property
+    def stored_products(self) -> DataFrame:
+        return shared_table(self.clean_products, "clean-products")
+
     @cached_property
     def dim_products(self) -> DataFrame:
-        return model.dim_products(shared_table(self.clean_products, "clean-products"))
+        return model.dim_products(self.stored_products)
 
     # Aggregates
 
@@ -188,7 +192,8 @@ class Inputs:
 
     @cached_property
     def detectors(self) -> dict[str, DataFrame]:
-        return detection.datasets(self.fact, RUN_DATE, RUN_TS, PROFILE)
+        days = metrics.daily_metrics(self.fact)
+        return detection.detectors(self.grain, days, RUN_DATE, RUN_TS, PROFILE)
 
     @cached_property
     def insights(self) -> dict[str, DataFrame]:
@@ -201,7 +206,7 @@ def _table_counts(i: Inputs) -> DataFrame:
             "stg_user_events": i.stg_events,
             "stg_products": i.stg_products,
             "clean_user_events": i.clean,
-            "clean_products": i.clean_products,
+            "clean_products": i.stored_products,
             "dim_products": i.dim_products,
             "dim_date": model.dim_date(i.clean),
             "fact_user_events": i.fact,
