@@ -12,6 +12,22 @@ from roomlens.schemas import CLEAN_EVENTS, conform
 DATE_FIRST = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 
 
+# Calendar attributes of an event, as functions of its time or of its date alone.
+CALENDAR = {
+    "day_of_week": "date_format({0}, 'EEEE')",
+    "day_type": """CASE WHEN weekday({0}) >= 5 THEN 'Weekend'
+                        WHEN {0} IS NOT NULL THEN 'Weekday' END""",
+    "week_number": "weekofyear({0})",
+    "month": "month({0})",
+    "month_name": "date_format({0}, 'MMMM')",
+    "year": "year({0})",
+}
+
+
+def calendar(column: str) -> list[str]:
+    return [f"{sql.format(column)} AS {name}" for name, sql in CALENDAR.items()]
+
+
 def _typed(events: DataFrame) -> DataFrame:
     """Time and price as values; text that does not parse gives null and 0."""
     types = dict(events.dtypes)
@@ -40,12 +56,6 @@ def clean_events(events: DataFrame) -> DataFrame:
         f"{price_band('price', EVENT_BANDS)} AS price_segment",
         "INT(price = 0) AS is_zero_price",
         "hour(event_time) AS event_hour",
-        "date_format(event_time, 'EEEE') AS day_of_week",
-        """CASE WHEN weekday(event_time) >= 5 THEN 'Weekend'
-                WHEN event_time IS NOT NULL THEN 'Weekday' END AS day_type""",
-        "weekofyear(event_time) AS week_number",
-        "month(event_time) AS month",
-        "date_format(event_time, 'MMMM') AS month_name",
-        "year(event_time) AS year",
+        *calendar("event_time"),
     )
     return conform(enriched, CLEAN_EVENTS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from roomlens.operators.clean_events import calendar
 from roomlens.schemas import DIM_DATE, DIM_PRODUCTS, FACT_EVENTS, conform
 from roomlens.sources.scratch import shared_table
 
@@ -53,12 +54,13 @@ def dim_products(clean: DataFrame) -> DataFrame:
 
 
 def dim_date(clean: DataFrame) -> DataFrame:
-    """One row per event date with calendar attributes."""
-    dates = clean.select(
-        "event_date", "year", "month", "month_name", "week_number", "day_of_week", "day_type"
-    ).distinct()
-    attributed = dates.selectExpr(
+    """One row per event date with calendar attributes.
+
+    The attributes follow from the date, so only the date is read and made distinct.
+    """
+    attributed = clean.select("event_date").distinct().selectExpr(
         "*",
+        *calendar("event_date"),
         "quarter(event_date) AS quarter",
         "concat('Q', quarter(event_date)) AS quarter_name",
         "INT(day(event_date) = 1) AS is_month_start",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import money, rate_pct
+from roomlens.operators.clean_events import calendar
 from roomlens.operators.metrics import MEASURES, STAGES, aggregates, measure
 
 REVENUE = "DOUBLE(round(revenue, 2))"
@@ -59,6 +60,11 @@ def brand_performance(fact: DataFrame, min_views: int = 100) -> DataFrame:
 
 
 def daily_trend(fact: DataFrame) -> DataFrame:
+    """Stage counts, revenue, users and sessions per date.
+
+    The calendar attributes follow from the date; they are added to the daily rows rather than
+    carried through the shuffle of users and sessions.
+    """
     counts = {
         **STAGES,
         "revenue": MEASURES["revenue"],
@@ -66,8 +72,9 @@ def daily_trend(fact: DataFrame) -> DataFrame:
         "sessions": "count(DISTINCT user_session)",
     }
     return (
-        fact.groupBy(*DATE_ATTRIBUTES)
+        fact.groupBy("event_date")
         .agg(*aggregates(counts))
+        .selectExpr("*", *calendar("event_date"))
         .selectExpr(
             *DATE_ATTRIBUTES, *STAGES, f"{REVENUE} AS daily_revenue", "active_users", "sessions"
         )
