@@ -12,6 +12,11 @@ from roomlens.functions.numbers import MONEY, money
 # would force a sort-based aggregation.
 PRODUCT_GRAIN = ("product_id", "brand", "room_type", "price_segment")
 
+# Grain of the report views that need no distinct counts: one scan serves all of them.
+REPORT_GRAIN = (
+    "event_hour", "day_type", "room_type", "item_type", "brand", "price_segment", "is_zero_price",
+)
+
 
 def stage_count(stage: str) -> str:
     return f"count(if(event_type = '{stage}', 1, NULL))"
@@ -54,6 +59,10 @@ def roll_up(grain: DataFrame, *keys: str) -> DataFrame:
     return grain.groupBy(*keys).agg(*aggregates({name: f"sum({name})" for name in MEASURES}))
 
 
+def report_grain(fact: DataFrame) -> DataFrame:
+    return measure(fact, *REPORT_GRAIN)
+
+
 def product_grain(fact: DataFrame) -> DataFrame:
     """Measures per product, brand, room and price band, with the highest price."""
     return fact.groupBy(*PRODUCT_GRAIN).agg(*aggregates({**MEASURES, "price": "max(price)"}))

@@ -1,12 +1,20 @@
-"""The seven analytical views over the event fact, and the insight queries on top of them."""
+"""The seven analytical views over the event fact, and the insight queries on top of them.
+
+Views of plain counts and sums also take stored measures of a finer grain, with
+``measured=roll_up``, instead of the fact.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import money, rate_pct
 from roomlens.operators.clean_events import calendar
-from roomlens.operators.metrics import MEASURES, STAGES, aggregates, measure
+from roomlens.operators.metrics import MEASURES, STAGES, aggregates, measure, roll_up
+
+Measured = Callable[..., DataFrame]
 
 REVENUE = "DOUBLE(round(revenue, 2))"
 CONVERSION = f"{rate_pct('purchases', 'views')} AS conversion_rate_pct"
@@ -29,18 +37,18 @@ def conversion_funnel(fact: DataFrame) -> DataFrame:
     return counts.selectExpr("*", f"{share} AS pct_of_total")
 
 
-def room_performance(fact: DataFrame) -> DataFrame:
+def room_performance(fact: DataFrame, measured: Measured = measure) -> DataFrame:
     keys = ("room_type", "item_type")
     return (
-        measure(fact, *keys)
+        measured(fact, *keys)
         .selectExpr(*keys, *STAGES, f"{REVENUE} AS total_revenue", CONVERSION)
         .orderBy(F.desc("total_revenue"), *keys)
     )
 
 
-def price_segment_analysis(fact: DataFrame) -> DataFrame:
+def price_segment_analysis(fact: DataFrame, measured: Measured = measure) -> DataFrame:
     return (
-        measure(fact.where("is_zero_price = 0"), "price_segment")
+        measured(fact.where("is_zero_price = 0"), "price_segment")
         .selectExpr(
             "price_segment", *STAGES, f"{REVENUE} AS total_revenue", CONVERSION,
             "DOUBLE(round(try_divide(order_price, purchases), 2)) AS avg_purchase_price",
@@ -49,10 +57,12 @@ def price_segment_analysis(fact: DataFrame) -> DataFrame:
     )
 
 
-def brand_performance(fact: DataFrame, min_views: int = 100) -> DataFrame:
+def brand_performance(
+    fact: DataFrame, min_views: int = 100, measured: Measured = measure
+) -> DataFrame:
     """Known brands with more than ``min_views`` views, zero prices left out."""
     return (
-        measure(fact.where("brand <> 'Unknown' AND is_zero_price = 0"), "brand")
+        measured(fact.where("brand <> 'Unknown' AND is_zero_price = 0"), "brand")
         .where(f"views > {min_views}")
         .selectExpr("brand", *STAGES, f"{REVENUE} AS total_revenue", CONVERSION)
         .orderBy(F.desc("total_revenue"), "brand")
@@ -82,10 +92,10 @@ def daily_trend(fact: DataFrame) -> DataFrame:
     )
 
 
-def hourly_behavior(fact: DataFrame) -> DataFrame:
+def hourly_behavior(fact: DataFrame, measured: Measured = measure) -> DataFrame:
     keys = ("event_hour", "day_type")
     return (
-        measure(fact, *keys).selectExpr(*keys, *STAGES, f"{REVENUE} AS revenue").orderBy(*keys)
+        measured(fact, *keys).selectExpr(*keys, *STAGES, f"{REVENUE} AS revenue").orderBy(*keys)
     )
 
 
@@ -104,14 +114,18 @@ def high_view_no_purchase(fact: DataFrame, min_views: int = 500, top: int = 30)
     )
 
 
-def all_views(fact: DataFrame, brand_views: int = 100, gap_views: int = 500) -> dict[str, DataFrame]:
+def all_views(
+    fact: DataFrame, brand_views: int = 100, gap_views: int = 500, grain: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All views by name. ``grain``, stored report measures, spares four scans of the fact."""
+    source, measured = (fact, measure) if grain is None else (grain, roll_up)
     return {
         "vw_conversion_funnel": conversion_funnel(fact),
-        "vw_room_performance": room_performance(fact),
-        "vw_price_segment_analysis": price_segment_analysis(fact),
-        "vw_brand_performance": brand_performance(fact, brand_views),
+        "vw_room_performance": room_performance(source, measured),
+        "vw_price_segment_analysis": price_segment_analysis(source, measured),
+        "vw_brand_performance": brand_performance(source, brand_views, measured),
         "vw_daily_trend": daily_trend(fact),
-        "vw_hourly_behavior": hourly_behavior(fact),
+        "vw_hourly_behavior": hourly_behavior(source, measured),
         "vw_high_view_no_purchase": high_view_no_purchase(fact, gap_views),
     }
 

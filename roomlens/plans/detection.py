@@ -42,10 +42,16 @@ def detectors(
 
 
 def datasets(
-    fact: DataFrame, run_date: str, run_ts: str, limits: Thresholds = DEFAULTS
+    fact: DataFrame,
+    run_date: str,
+    run_ts: str,
+    limits: Thresholds = DEFAULTS,
+    grain: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All detector results from two scans of the fact: product grain and days."""
-    grain = shared_table(metrics.product_grain(fact), "product-grain")
+    """All detector results from two scans of the fact: product grain and days. ``grain`` is the
+    stored product grain, if another job of the day already has it."""
+    if grain is None:
+        grain = shared_table(metrics.product_grain(fact), "product-grain")
     days = shared_table(metrics.daily_metrics(fact), "days")
     return detectors(grain, days, run_date, run_ts, limits)
 

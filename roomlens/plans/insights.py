@@ -10,10 +10,14 @@ from roomlens.sources.scratch import shared_table
 from roomlens.thresholds import DEFAULTS, Thresholds
 
 
-def datasets(fact: DataFrame, limits: Thresholds = DEFAULTS) -> dict[str, DataFrame]:
+def datasets(
+    fact: DataFrame, limits: Thresholds = DEFAULTS, grain: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """All results. The fact is scanned for the product grain, for the (date, hour) cells and,
-    reading purchases only, for the orders; the rest works on those small tables."""
-    grain = shared_table(metrics.product_grain(fact), "product-grain")
+    reading purchases only, for the orders; the rest works on those small tables. ``grain`` is
+    the stored product grain, if another job of the day already has it."""
+    if grain is None:
+        grain = shared_table(metrics.product_grain(fact), "product-grain")
     cells = shared_table(metrics.measure(fact, "event_date", "event_hour"), "hour-cells")
     orders = shared_table(statistics.paid_orders(fact), "paid-orders")
 

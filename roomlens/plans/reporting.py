@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from roomlens.operators import report, views
+from roomlens.operators import metrics, report, views
 from roomlens.sources import writers
+from roomlens.sources.scratch import shared_table
 from roomlens.thresholds import DEFAULTS, Thresholds
 
 
 def datasets(fact: DataFrame, limits: Thresholds = DEFAULTS) -> dict[str, DataFrame]:
-    """Everything the report shows, lazily; each frame scans only its own columns of the fact."""
-    frames = views.all_views(fact, limits.brand_min_views, limits.gap_view_min_views)
+    """Everything the report shows. The views without distinct counts and product lists read
+    one stored aggregate; the others scan only their own columns of the fact."""
+    grain = shared_table(metrics.report_grain(fact), "report-grain")
+    frames = views.all_views(fact, limits.brand_min_views, limits.gap_view_min_views, grain)
     writers.register_views(frames)
     kpis = report.kpi_summary(fact)
     return {

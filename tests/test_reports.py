@@ -115,3 +115,11 @@ def test_product_metrics_take_maxima(make_fact, rows):
     assert (row["views"], row["purchases"], row["price"]) == (3, 1, 900.0)
     assert (row["brand"], row["price_segment"]) == ("b", "Unknown")
     assert row["paid_orders"] == 0 and row["order_price"] == 0
+
+
+def test_views_from_stored_grain_equal_views_from_fact(spark, rows):
+    fact = Inputs(spark, SMALL_DIR).fact
+    direct = views.all_views(fact, 10, 2)
+    stored = views.all_views(fact, 10, 2, metrics.report_grain(fact))
+    for name in direct:
+        assert rows(stored[name]) == rows(direct[name]), name
