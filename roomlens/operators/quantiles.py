@@ -15,9 +15,10 @@ from roomlens.functions.numbers import half_even
 from roomlens.operators.metrics import aggregates
 from roomlens.sources.scratch import shared_table
 
-# Order-preserving coarse range of a number: 256 ranges per e-fold of magnitude. It is a pure
-# function of the value, so it is the same wherever and however often it is computed.
-VALUE_RANGE = "BIGINT(signum(value) * floor(ln(1D + abs(value)) * 256D))"
+# Order-preserving coarse range of a number: 1024 ranges per e-fold of magnitude. It is a pure
+# function of the value, so it is the same wherever and however often it is computed. Amounts in
+# cents up to a million fall into some 14,000 ranges; around 10,000 a range holds 1,000 of them.
+VALUE_RANGE = "BIGINT(signum(value) * floor(ln(1D + abs(value)) * 1024D))"
 
 
 def frequencies(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

@@ -14,7 +14,7 @@ def detectors(
     grain: DataFrame, days: DataFrame, run_date: str, run_ts: str, limits: Thresholds = DEFAULTS
 ) -> dict[str, DataFrame]:
     """Results of all detectors from the stored product grain and the daily measures."""
-    products = metrics.product_metrics(grain)
+    products = shared_table(metrics.product_metrics(grain), "products")
     zero = detect.zero_purchase(products, run_date, limits)
     anomalies = detect.cvr_anomalies(products, run_date, limits)
     trend = detect.daily_trend(days, limits)

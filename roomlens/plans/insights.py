@@ -35,7 +35,8 @@ def datasets(
     rooms = statistics.wilson_interval(ranked)
     room = statistics.room_test(ranked)
     room_p = statistics.room_test_p(ranked, limits)
-    scores = statistics.gap_scores(metrics.product_metrics(grain), limits)
+    products = shared_table(metrics.product_metrics(grain), "products")
+    scores = statistics.gap_scores(products, limits)
     gaps = statistics.gap_summary(scores)
     return {
         "funnel_stats": funnel,

@@ -25,7 +25,7 @@ from roomlens.operators import (
     statistics,
     views,
 )
-from roomlens.plans import detection, insights
+from roomlens.plans import detection, insights, profile
 from roomlens.session import configure
 from roomlens.sources.scratch import shared_table
 from roomlens.testbed import adapter
@@ -46,8 +46,6 @@ PROFILE = Thresholds(
     gap_min_views=40,
 )
 
-KEY_COLUMNS = ("user_id", "product_id", "category_code", "price", "brand")
-
 
 class Inputs:
     """Lazily derived frames of one call; only what a query touches is built."""
@@ -108,7 +106,7 @@ class Inputs:
 
     @cached_property
     def products(self) -> DataFrame:
-        return metrics.product_metrics(self.grain)
+        return shared_table(metrics.product_metrics(metrics.product_grain(self.fact)), "products")
 
     @cached_property
     def totals(self) -> DataFrame:
@@ -243,7 +241,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "profile_shape_products": lambda i: profiling.shape(i.raw_products),
     "profile_nulls": lambda i: profiling.null_profile(i.raw_events),
     "profile_nulls_products": lambda i: profiling.null_profile(i.raw_products, only_with_nulls=True),
-    "profile_key_nulls": lambda i: profiling.null_profile(i.furniture, KEY_COLUMNS),
+    "profile_key_nulls": lambda i: profiling.null_profile(i.furniture, profile.KEY_COLUMNS),
     "event_type_counts": lambda i: profiling.value_counts(i.raw_events, "event_type"),
     "top_values_category": lambda i: profiling.value_counts(i.raw_events, "category_code", 20),
     "furniture_event_types": lambda i: profiling.value_counts(i.furniture, "event_type"),
@@ -355,7 +353,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "gap_top10": lambda i: statistics.gap_listing(i.scores),
     "gap_top15": lambda i: statistics.gap_chart(i.scores, limits=PROFILE),
     "insight_kpi_summary": lambda i: statistics.insight_summary(
-        statistics.funnel_stats(metrics.roll_up(i.grain), PROFILE),
+        statistics.funnel_stats(metrics.roll_up(i.products), PROFILE),
         statistics.hourly_extremes(i.hours),
         statistics.gap_summary(i.scores),
     ),

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from roomlens import schemas
-from roomlens.plans import detection, insights, reporting, warehouse
+from roomlens.plans import detection, insights, profile, reporting, warehouse
 from roomlens.sources import readers, scratch, writers
 from roomlens.thresholds import Thresholds
 
@@ -41,12 +41,16 @@ def house(spark, tmp_path_factory):
     return build
 
 
+@pytest.fixture(scope="module")
+def built(house):
+    return house()
+
+
 def table_rows(house):
     return {r["table_name"]: r["row_count"] for r in warehouse.table_counts(house).collect()}
 
 
-def test_warehouse_from_csv(house, rows):
-    built = house()
+def test_warehouse_from_csv(built, rows):
     assert table_rows(built) == dict(
         stg_user_events=6, stg_products=3, clean_user_events=6, clean_products=2, dim_products=2,
         dim_date=4, fact_user_events=6,
@@ -65,13 +69,13 @@ def test_warehouse_from_csv(house, rows):
     assert products[0]["brand"] == "None" and products[0]["material"] == "Unknown"
 
 
-def test_rerun_is_idempotent(house, rows):
-    first = table_rows(house())
+def test_rerun_is_idempotent(house, built):
+    first = table_rows(built)
     assert table_rows(house()) == first
 
 
-def test_date_filter_prunes_partitions(house):
-    fact = house().table("fact_user_events").where("event_date = DATE '2019-11-01'")
+def test_date_filter_prunes_partitions(built):
+    fact = built.table("fact_user_events").where("event_date = DATE '2019-11-01'")
     assert fact.count() == 3
     plan = fact._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
@@ -89,8 +93,8 @@ LIMITS = Thresholds(
 )
 
 
-def test_jobs_write_their_outputs(house, spark, tmp_path):
-    fact = house().table("fact_user_events")
+def test_jobs_write_their_outputs(built, spark, tmp_path):
+    fact = built.table("fact_user_events")
     reporting.run(fact, str(tmp_path / "report"), "2019-12-01", LIMITS)
     sheet = spark.read.option("header", True).csv(str(tmp_path / "report/kpi_summary"))
     assert {r["metric"]: r["value"] for r in sheet.collect()}["Total Revenue"] == "$437"
@@ -138,3 +142,24 @@ def test_csv_round_trip_keeps_quotes(spark, tmp_path):
     writers.write_csv(df, str(tmp_path / "x"), single_file=True)
     back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "x"))
     assert back.first()["t"] == 'a "b", c\\'
+
+
+def test_profile_job(built, spark, rows, tmp_path):
+    (tmp_path / "events.csv").write_text(EVENTS)
+    (tmp_path / "products.csv").write_text(PRODUCTS, encoding="latin-1")
+    raw = scratch.shared_table(readers.read_events_csv(spark, str(tmp_path / "events.csv")), "raw")
+    frames = profile.raw_events(raw)
+    assert rows(frames["furniture_share"])[0]["kept_pct"] == 75.0
+    nulls = {r["column_name"]: r["null_count"] for r in rows(frames["furniture_key_nulls"])}
+    assert nulls == dict(user_id=0, product_id=0, category_code=0, price=0, brand=4)
+    assert rows(frames["furniture_prices"])[0]["count"] == 5
+    catalogue = profile.raw_products(readers.read_products_csv(spark, str(tmp_path / "products.csv")))
+    assert rows(catalogue["main_categories"])[0] == {"value": "Furniture", "row_count": 2}
+    checks = profile.staging_checks(built.table("stg_user_events"), built.table("stg_products"))
+    assert rows(checks["zero_prices"], "zero_price_events") == [2]
+    clean = profile.clean_tables(
+        built.table("clean_user_events"), built.table("stg_products"), built.table("clean_products")
+    )
+    assert rows(clean["summary"])[0]["null_event_time_rows"] == 1
+    for frame in (*frames.values(), *catalogue.values(), *checks.values(), *clean.values()):
+        assert frame.count() >= 1
