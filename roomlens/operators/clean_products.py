@@ -11,7 +11,7 @@ from roomlens.operators.quantiles import frequencies, quantiles
 from roomlens.schemas import CLEAN_PRODUCTS, conform
 from roomlens.sources.scratch import shared_table
 
-# First matching phrase decides, so a temporary stock-out counts as out of stock.
+# Phrases and labels. The first matching phrase decides, so a temporary stock-out counts as out of stock.
 AVAILABILITY_LABEL = """
     CASE WHEN availability IS NULL THEN 'Unknown'
          WHEN contains(lower(availability), 'in stock') THEN 'In Stock'
@@ -78,7 +78,7 @@ def clean_products(products: DataFrame, null_text: str = "None") -> DataFrame:
         f"{price_band('price', CATALOGUE_BANDS)} AS price_segment",
         "main_category", "sub_category",
         f"{AVAILABILITY_LABEL} AS availability",
-        f"if({material} = 'Nan', 'Unknown', {material}) AS material",
+        f"coalesce(nullif({material}, 'Nan'), 'Unknown') AS material",
         "color", "style", "country_of_origin",
         """coalesce(try_to_date(date_first_available, 'MMMM d, yyyy'),
                     try_to_date(date_first_available)) AS date_first_available""",

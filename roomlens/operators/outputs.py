@@ -23,6 +23,7 @@ def alert_log(
     run_ts: str,
 ) -> DataFrame:
     """All alerts of a run as sparse records: five shapes united by column name."""
+    # Alert types and the wording of the messages.
     parts = [
         zero.selectExpr(
             "alert_type", "severity", "STRING(product_id) AS product_id", "views",

@@ -47,6 +47,7 @@ def kpi_summary(fact: DataFrame) -> DataFrame:
 
 def kpi_sheet(kpis: DataFrame) -> DataFrame:
     """The eight formatted lines of the KPI sheet."""
+    # Names and formats of the lines.
     return metric_rows(
         kpis,
         {
@@ -76,7 +77,7 @@ def funnel_stages(funnel: DataFrame) -> DataFrame:
     return (
         funnel.selectExpr("*", f"nullif(array_position(array({order}), event_type), 0) AS place")
         .orderBy(F.asc_nulls_last("place"), "event_type")
-        .selectExpr("initcap(event_type) AS stage", "event_count")
+        .selectExpr("concat(upper(left(event_type, 1)), lower(substr(event_type, 2))) AS stage", "event_count")
     )
 
 

@@ -16,6 +16,7 @@ from roomlens.operators.report import metric_rows
 from roomlens.sources.scratch import shared_table
 from roomlens.thresholds import DEFAULTS, Thresholds
 
+# Fixed value: normal quantile of the Wilson interval.
 WILSON_Z = 1.96
 # Hours of a day, and one group for events without a time.
 MOST_HOURS = 25
@@ -411,6 +412,7 @@ def insight_summary(funnel: DataFrame, extremes: DataFrame, gaps: DataFrame) ->
             "gap": gaps.select(F.struct("anomaly_count", "total_rev_lost")).scalar(),
         }
     )
+    # Names of the lines.
     return metric_rows(
         one_row,
         {

@@ -54,6 +54,7 @@ def build(
         clean_products.product_preview(raw_products), house.path("products_clean_preview_csv")
     )
 
+    # The extract holds a small share of the export, so it is read instead of the export again.
     staged = staging.stage_events(readers.read_events_csv(spark, extract), run_ts)
     writers.replace_table(staged, house.path("stg_user_events"))
     writers.replace_table(staging.stage_products(raw_products, run_ts), house.path("stg_products"))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Thresholds:
-    # Detectors.
+    # Detectors.
     zero_purchase_min_views: int = 500
     zero_purchase_critical_views: int = 2000
     zero_purchase_high_views: int = 1000
@@ -22,7 +22,7 @@ class Thresholds:
     underperform_pct: float = -20.0
     rolling_days: int = 7
     rolling_min_days: int = 3
-    # Views and statistics.
+    # Views and statistics.
     brand_min_views: int = 100
     gap_view_min_views: int = 500
     gap_view_highlight: int = 1000

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from roomlens import schemas
+from roomlens import __main__ as command_line, schemas
 from roomlens.plans import detection, insights, profile, reporting, warehouse
 from roomlens.sources import readers, scratch, writers
 from roomlens.thresholds import Thresholds
@@ -163,3 +163,16 @@ def test_profile_job(built, spark, rows, tmp_path):
     assert rows(clean["summary"])[0]["null_event_time_rows"] == 1
     for frame in (*frames.values(), *catalogue.values(), *checks.values(), *clean.values()):
         assert frame.count() >= 1
+
+
+def test_command_line(spark, tmp_path, capsys):
+    (tmp_path / "events.csv").write_text(EVENTS)
+    (tmp_path / "products.csv").write_text(PRODUCTS, encoding="latin-1")
+    raw = ["--events", str(tmp_path / "events.csv"), "--products", str(tmp_path / "products.csv")]
+    root = ["--root", str(tmp_path / "tables")]
+    command_line.main(["warehouse", *raw, *root, "--run-ts", "2019-12-01 08:00:00"])
+    assert "fact_user_events |6" in capsys.readouterr().out
+    out = ["--out", str(tmp_path / "out"), "--run-date", "2019-12-01"]
+    command_line.main(["detect", *root, *out, "--run-ts", "2019-12-01 08:00:00"])
+    assert "revenue_at_risk" in capsys.readouterr().out
+    assert command_line.parser().parse_args(["report", *root, *out]).job == "report"
