@@ -375,7 +375,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     # Alert outputs and dashboard datasets
     "alert_log": lambda i: i.detectors["alert_log"].drop("timestamp"),
-    "watchlist": lambda i: i.detectors["watchlist"],
+    "watchlist": lambda i: outputs.watchlist(i.zero, i.anomalies),
     "alert_summary": lambda i: i.detectors["alert_summary"],
     "zero_purchase_top10": lambda i: outputs.zero_purchase_chart(i.zero),
     "z_histogram": lambda i: outputs.histogram(i.anomalies, "z_score"),
