@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roomlens.llm import bpe, chat_format, decontaminate, html_extract, line_dedup, quality, simhash
+from roomlens.llm import (
+    bpe, chat_format, decontaminate, html_extract, line_dedup, quality, simhash, suffix_dedup, topk_search,
+)
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -30,6 +32,17 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id", "n_bytes", "aggregate(spans, 0L, (n, s) -> n + s.end - s.begin) AS n_removed",
+        "BIGINT(size(spans)) AS n_spans", "sha2(kept, 256) AS kept_sha256",
+    )
+
+
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.selectExpr(
@@ -64,7 +77,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_chat_format, op4_decontamination, op6_bpe, op7_quality, op8_html_extraction, op9_line_dedup, op10_simhash,
+        op1_chat_format, op2_suffix_dedup, op3_topk_search, op4_decontamination, op6_bpe, op7_quality, op8_html_extraction, op9_line_dedup, op10_simhash,
     )
 }
 
@@ -93,6 +106,21 @@ ORACLE_SQL: dict[str, str] = {
                count(*) FILTER (role = 'assistant') AS n_examples,
                CAST(coalesce(sum(upto) FILTER (role = 'assistant'), 0) AS BIGINT) AS example_chars
         FROM placed GROUP BY conv_id""",
+    "op3_topk_search": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id, score
+            FROM scored
+        )
+        SELECT * FROM ranked WHERE rank <= 5""",
     "op4_decontamination": r"""
         WITH doc_words AS (
             SELECT doc_id, regexp_extract_all(
