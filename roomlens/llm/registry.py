@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roomlens.llm import (
-    bpe, chat_format, decontaminate, html_extract, line_dedup, quality, simhash, suffix_dedup, topk_search,
+    bpe, chat_format, decontaminate, html_extract, line_dedup, pii, quality, simhash, suffix_dedup,
+    topk_search,
 )
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+SURROGATE_KEY = b"a key of the test queries; production keys come from a secret store"
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -50,6 +52,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(_table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), RANK_FILE, public_tokenizers.PATTERN)
 
@@ -77,7 +83,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_chat_format, op2_suffix_dedup, op3_topk_search, op4_decontamination, op6_bpe, op7_quality, op8_html_extraction, op9_line_dedup, op10_simhash,
+        op1_chat_format, op2_suffix_dedup, op3_topk_search, op4_decontamination, op5_pii, op6_bpe, op7_quality, op8_html_extraction, op9_line_dedup, op10_simhash,
     )
 }
 
