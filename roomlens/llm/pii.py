@@ -229,6 +229,8 @@ class Surrogates:
         elif kind == "card":
             out = out.replace(_CHECK, "0")
             out = out[:-1] + str((10 - _luhn(out)) % 10)
+        elif kind == "account" and not _luhn(out):
+            out = out[:-1] + str((int(out[-1]) + 1) % 10)  # stays a number that is no card's
         elif kind == "iban":
             out = out.replace(_CHECK, "0").upper()
             out = out[:2] + f"{98 - _iban_rest(out):02d}" + out[4:]
