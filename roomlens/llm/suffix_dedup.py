@@ -33,19 +33,14 @@ def _power(n: int) -> np.uint64:
     return np.uint64(pow(_P, n, 2**64))
 
 
-def _window_hashes(data: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
-    """Polynomial hashes of all strings of each size, from those of half the size."""
-    by_size = {1: _BYTE_HASH[data]}
-
-    def of(size: int) -> np.ndarray:
-        if size not in by_size:
-            half = 1 << ((size - 1).bit_length() - 1)
-            first, second = of(half), of(size - half)
-            n = len(data) - size + 1
-            by_size[size] = first[:n] * _power(size - half) + second[half : half + n]
-        return by_size[size]
-
-    return [of(size) for size in sizes]
+def _hash_of(size: int, known: dict[int, np.ndarray]) -> np.ndarray:
+    """Polynomial hashes of all strings of ``size`` bytes, from those of about half the size."""
+    if size not in known:
+        half = 1 << ((size - 1).bit_length() - 1)
+        first, second = _hash_of(half, known), _hash_of(size - half, known)
+        n = len(known[1]) - size + 1
+        known[size] = first[:n] * _power(size - half) + second[half : half + n]
+    return known[size]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -74,8 +69,8 @@ def contexts_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(data) < LENGTH:
         none = np.zeros(0, np.int64)
         return none, none, none, none, none
-    grams, windows = _window_hashes(data, (GRAM, LENGTH))
-    grams = _mix(grams)
+    known = {1: _BYTE_HASH[data]}
+    grams, windows = _mix(_hash_of(GRAM, known)), _hash_of(LENGTH, known)
     bits = np.uint64(max(1, int(len(data)).bit_length()))
     marked = (grams >> bits << bits) | np.arange(len(grams), dtype=np.uint64)
     least = (_sliding_least(marked, _WINDOW) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
