@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from roomlens.plans import detection, insights, profile, reporting, warehouse
 from roomlens.session import configure
 from roomlens.sources import readers
-from roomlens.sources.scratch import drop_shared_tables, shared_table
+from roomlens.sources.scratch import scratch_scope, shared_table
 
 
 def parser() -> argparse.ArgumentParser:
@@ -18,6 +18,8 @@ def parser() -> argparse.ArgumentParser:
 
     explore = jobs.add_parser("profile", help="profile the raw files")
     build = jobs.add_parser("warehouse", help="build the star schema from the raw files")
+    explore.add_argument("--out", required=True, help="folder of the results")
+    explore.add_argument("--run-date", required=True, help="date of the run, 'yyyy-MM-dd'")
     for job in (explore, build):
         job.add_argument("--events", required=True, help="clickstream CSV")
         job.add_argument("--products", required=True, help="catalogue CSV")
@@ -31,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--run-date", required=True, help="date of the run, 'yyyy-MM-dd'")
         if name == "detect":
             job.add_argument("--run-ts", required=True, help="alert time, 'yyyy-MM-dd HH:mm:ss'")
+            job.add_argument("--since", help="first date to read; days before keep their stored measures")
     return top
 
 
@@ -39,14 +42,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "profile":
         events = shared_table(readers.read_events_csv(spark, args.events), "raw-events")
         products = shared_table(readers.read_products_csv(spark, args.products), "raw-products")
-        frames = {**_titled("events", profile.raw_events(events)),
-                  **_titled("products", profile.raw_products(products))}
-        for title, frame in frames.items():
-            print(title)
-            frame.show(50, truncate=False)
+        profile.write(profile.raw_events(events), f"{args.out}/events", args.run_date)
+        profile.write(profile.raw_products(products), f"{args.out}/products", args.run_date)
         return
     if args.job == "warehouse":
         house = warehouse.build(spark, args.events, args.products, args.root, args.run_ts)
+        warehouse.write_checks(house, args.run_ts[:10])
         warehouse.table_counts(house).show(truncate=False)
         return
     fact = warehouse.Warehouse(spark, args.root).table("fact_user_events")
@@ -55,20 +56,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "insights":
         insights.run(fact, args.out, args.run_date)
     else:
-        detection.run(fact, args.out, args.run_date, args.run_ts).show(truncate=False)
-
-
-def _titled(source: str, frames: dict) -> dict:
-    return {f"{source}: {name}": frame for name, frame in frames.items()}
+        detection.run(fact, args.out, args.run_date, args.run_ts, since=args.since).show(truncate=False)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"roomlens-{args.job}").getOrCreate()
-    try:
+    with scratch_scope(spark):
         run(spark, args)
-    finally:
-        drop_shared_tables(spark)
 
 
 if __name__ == "__main__":

@@ -37,4 +37,5 @@ def half_even(value: str, digits: int) -> str:
 
 
 def money(value: str) -> str:
-    return f"try_cast({value} AS {MONEY})"
+    """Exact amount; one beyond the type fails instead of leaving a sum unnoticed."""
+    return f"CAST({value} AS {MONEY})"

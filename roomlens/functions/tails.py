@@ -126,6 +126,18 @@ def f_p(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
     return pd.Series([f_tail(float(a), float(b), float(c)) for a, b, c in zip(f, df1, df2)])
 
 
+@F.pandas_udf(DoubleType())
+def tail_p(kind: pd.Series, x: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
+    """p-values of several tests at once: kind ``chi2`` or ``f``; null without a kind or statistic."""
+
+    def one(kind: str | None, x: float, df1: float, df2: float) -> float | None:
+        if kind is None or pd.isna(x):
+            return None
+        return chi2_tail(float(x), float(df1)) if kind == "chi2" else f_tail(float(x), float(df1), float(df2))
+
+    return pd.Series([one(*row) for row in zip(kind, x, df1, df2)], dtype="float64")
+
+
 def t_quantiles(p: float, most: int) -> list[float]:
     """Quantiles for 1 to ``most`` degrees of freedom."""
     return [t_quantile(p, df) for df in range(1, most + 1)]

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 
-def list_literal(text: str) -> str:
-    """Array held as a list literal such as ``['a', 'b']``; null when it does not parse."""
-    return f"from_json({text}, 'array<string>', map('allowBackslashEscapingAnyCharacter', 'true'))"
+def literal(value: str) -> str:
+    """``value`` as an SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def name(column: str) -> str:
+    """``column`` as a quoted SQL name."""
+    return "`" + column.replace("`", "``") + "`"
 
 
 def strip(text: str) -> str:
@@ -13,11 +19,6 @@ def strip(text: str) -> str:
     return rf"regexp_replace({text}, r'^\s+|\s+$', '')"
 
 
-def unquote(text: str) -> str:
-    """Strip white space, then any quote characters, from both ends."""
-    return f"""trim(BOTH '\\'"' FROM {strip(text)})"""
-
-
 def title_case(text: str) -> str:
     """Upper-case every letter that follows a non-letter, lower-case the rest."""
     words = rf"split(lower({text}), r'(?<=[^\p{{L}}])')"

@@ -29,12 +29,14 @@ def calendar(column: str) -> list[str]:
 
 
 def _typed(events: DataFrame) -> DataFrame:
-    """Time and price as values; text that does not parse gives null and 0."""
+    """Time and price as values; text that does not parse gives null and 0, as does no finite number."""
     types = dict(events.dtypes)
     time = "CAST(event_time AS TIMESTAMP)"
     if types["event_time"] == "string":
         time = f"CASE WHEN event_time RLIKE r'{DATE_FIRST}' THEN try_to_timestamp(event_time) END"
-    price = text_to_double("price") if types["price"] == "string" else "DOUBLE(price)"
+    price = text_to_double("price")
+    if types["price"] != "string":
+        price = "if(abs(DOUBLE(price)) < DOUBLE('Infinity'), DOUBLE(price), NULL)"
     return events.selectExpr(
         f"{time} AS event_time", "event_type", "product_id", "category_id", "category_code",
         "coalesce(brand, 'Unknown') AS brand", f"coalesce({price}, 0D) AS price", "user_id",

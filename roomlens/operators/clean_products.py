@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import text_to_double
 from roomlens.functions.segments import CATALOGUE_BANDS, price_band
-from roomlens.functions.text import list_literal, strip, title_case, unquote
+from roomlens.functions.literals import category_entries
+from roomlens.functions.text import literal, strip, title_case
 from roomlens.operators.quantiles import frequencies, quantiles
 from roomlens.schemas import CLEAN_PRODUCTS, conform
 from roomlens.sources.scratch import shared_table
@@ -23,6 +24,19 @@ AVAILABILITY_LABEL = """
          ELSE 'Other' END"""
 
 
+# Date formats of catalogues, tried in this order; the first that fits decides.
+DATE_FORMATS = (
+    "yyyy-M-d", "MMMM d, yyyy", "MMM d, yyyy", "M/d/yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyy/M/d", "yyyyMMdd",
+)
+
+
+def date_text(text: str) -> str:
+    """Date written in ``text`` in one of the known formats; null when it is none."""
+    trimmed = strip(text)
+    tries = ", ".join(f"try_to_date({trimmed}, '{form}')" for form in DATE_FORMATS)
+    return f"coalesce({tries}, try_to_date({trimmed}))"
+
+
 def price_number(price: str = "price") -> str:
     """Price text without ``$`` and thousands commas, as a number; null when it is none."""
     return text_to_double(strip(f"translate({price}, '$,', '')"))
@@ -30,10 +44,8 @@ def price_number(price: str = "price") -> str:
 
 def with_categories(products: DataFrame) -> DataFrame:
     """Second and third entry of the category list as main and sub category."""
-    return products.selectExpr("*", f"{list_literal('categories')} AS _items").selectExpr(
-        "* EXCEPT (_items)",
-        f"{unquote('get(_items, 1)')} AS main_category",
-        f"{unquote('get(_items, 2)')} AS sub_category",
+    return products.withColumn("_entry", category_entries("categories")).selectExpr(
+        "* EXCEPT (_entry)", "_entry.main AS main_category", "_entry.sub AS sub_category"
     )
 
 
@@ -60,7 +72,7 @@ def impute_price(products: DataFrame, price: str = "price") -> DataFrame:
 
 def furniture_products(products: DataFrame, main: str = "Furniture") -> DataFrame:
     """Catalogue rows of one main category with categories parsed and the price a number."""
-    parsed = with_categories(products).where(f"main_category = '{main}'")
+    parsed = with_categories(products).where(f"main_category = {literal(main)}")
     return parsed.withColumn("price", F.expr(price_number()))
 
 
@@ -69,8 +81,8 @@ def clean_products(products: DataFrame, null_text: str = "None") -> DataFrame:
 
     A missing brand or material becomes the text ``null_text``, as in the tables this replaces.
     """
-    brand = strip(f"replace(coalesce(brand, '{null_text}'), ' Store', '')")
-    material = title_case(strip(f"coalesce(material, '{null_text}')"))
+    brand = strip(f"replace(coalesce(brand, {literal(null_text)}), ' Store', '')")
+    material = title_case(strip(f"coalesce(material, {literal(null_text)})"))
     cleaned = impute_price(furniture_products(products)).selectExpr(
         "asin", "title",
         f"{brand} AS brand",
@@ -80,8 +92,7 @@ def clean_products(products: DataFrame, null_text: str = "None") -> DataFrame:
         f"{AVAILABILITY_LABEL} AS availability",
         f"coalesce(nullif({material}, 'Nan'), 'Unknown') AS material",
         "color", "style", "country_of_origin",
-        """coalesce(try_to_date(date_first_available, 'MMMM d, yyyy'),
-                    try_to_date(date_first_available)) AS date_first_available""",
+        f"{date_text('date_first_available')} AS date_first_available",
         "manufacturer",
     )
     return conform(cleaned, CLEAN_PRODUCTS)
@@ -92,10 +103,10 @@ def product_preview(products: DataFrame) -> DataFrame:
 
     Here a list of one entry gives that entry as main category.
     """
-    return products.selectExpr("*", f"{list_literal('categories')} AS _items").selectExpr(
+    return products.withColumn("_entry", category_entries("categories")).selectExpr(
         "asin", "title", "brand",
         f"{price_number()} AS price_clean",
-        "if(size(_items) > 1, get(_items, 1), get(_items, 0)) AS main_category",
-        "get(_items, 2) AS sub_category",
+        "_entry.shown_main AS main_category",
+        "_entry.shown_sub AS sub_category",
         "availability", "material", "color", "style", "country_of_origin", "date_first_available",
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roomlens.functions.numbers import half_even, ratio_pct
 from roomlens.functions.segments import severity
+from roomlens.functions.text import literal
 from roomlens.operators.metrics import aggregates
 from roomlens.operators.statistics import CVR, Z_SCORE, cvr_moments
 from roomlens.thresholds import DEFAULTS, Thresholds
@@ -21,7 +22,7 @@ def _mean_of(df: DataFrame, total: str, count: str) -> Column:
 
 
 def _stamp(alert_type: str, run_date: str) -> tuple[str, str]:
-    return f"'{alert_type}' AS alert_type", f"'{run_date}' AS run_date"
+    return f"'{alert_type}' AS alert_type", f"{literal(run_date)} AS run_date"
 
 
 def zero_purchase(products: DataFrame, run_date: str, limits: Thresholds = DEFAULTS) -> DataFrame:
@@ -87,8 +88,8 @@ def cvr_anomalies(products: DataFrame, run_date: str, limits: Thresholds = DEFAU
 def daily_trend(days: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
     """Conversion and revenue of each day against their rolling means.
 
-    The mean covers the last seven rows present, today included, and needs three values. Sums are
-    decimal, so the result does not depend on the order of addition.
+    The mean covers the last seven rows present, today included, and needs three values. Events
+    without a date are in no day; the summary counts them. Sums are decimal, so the result does not depend on the order of addition.
     """
     # One row per date.
     recent = f"(ORDER BY event_date ROWS {limits.rolling_days - 1} PRECEDING)"
@@ -101,7 +102,7 @@ def daily_trend(days: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
         return half_even(f"try_divide({value} - {mean}, {mean}) * 100D", 2)
 
     return (
-        days.selectExpr("event_date", "views", "purchases", "revenue", f"{CVR} AS cvr_pct")
+        days.where("event_date IS NOT NULL").selectExpr("event_date", "views", "purchases", "revenue", f"{CVR} AS cvr_pct")
         .selectExpr(
             "event_date", "views", "purchases", "DOUBLE(revenue) AS revenue", "cvr_pct",
             f"{rolling('CAST(cvr_pct AS decimal(18,4))')} AS rolling_avg",
@@ -162,7 +163,7 @@ def monitor(
         .selectExpr(
             "*",
             f"coalesce(vs_avg_pct < {limits.underperform_pct}, false) AS alert",
-            f"'{run_date}' AS run_date",
+            f"{literal(run_date)} AS run_date",
         )
         .orderBy("vs_avg_pct", key)
     )
@@ -193,9 +194,11 @@ def detector_summary(
     zero: DataFrame,
     anomalies: DataFrame,
     trend: DataFrame,
+    days: DataFrame,
     limits: Thresholds = DEFAULTS,
 ) -> DataFrame:
-    """One row per detector: what it analysed, what it flagged, what that may cost."""
+    """One row per detector: what it analysed, what it flagged, what that may cost, and the events
+    that belong to no day of the daily measures ``days``."""
     flagged = "count(*) AS flagged"
     cost = "coalesce(sum(est_revenue_lost), 0D) AS est_revenue_lost"
     population = cvr_population(products, limits).agg(
@@ -212,9 +215,14 @@ def detector_summary(
         "'CVR_ANOMALY' AS detector", "* EXCEPT (low)", "low.*"
     )
     zeros = zero.agg(F.expr(flagged), F.expr(cost)).selectExpr("'ZERO_PURCHASE' AS detector", "*")
-    days = trend.agg(
-        F.expr("count(*) AS analyzed"), F.expr(f"count(if({_is_drop(limits)}, 1, NULL)) AS flagged")
-    ).selectExpr("'DAILY_CVR_DROP' AS detector", "*")
+    undated = days.agg(F.expr("coalesce(sum(if(event_date IS NULL, events, 0L)), 0L)")).scalar()
+    daily = (
+        trend.agg(
+            F.expr("count(*) AS analyzed"), F.expr(f"count(if({_is_drop(limits)}, 1, NULL)) AS flagged")
+        )
+        .withColumn("undated_events", undated)
+        .selectExpr("'DAILY_CVR_DROP' AS detector", "*")
+    )
     return cvr.unionByName(zeros, allowMissingColumns=True).unionByName(
-        days, allowMissingColumns=True
+        daily, allowMissingColumns=True
     )

@@ -18,6 +18,11 @@ REPORT_GRAIN = (
 )
 
 
+# Grain at which users and sessions can still be told apart: one stored table serves all exact
+# distinct counts of the report.
+SESSION_GRAIN = ("event_date", "event_type", "user_id", "user_session")
+
+
 def stage_count(stage: str) -> str:
     return f"count(if(event_type = '{stage}', 1, NULL))"
 
@@ -63,6 +68,15 @@ def report_grain(fact: DataFrame) -> DataFrame:
     return measure(fact, *REPORT_GRAIN)
 
 
+def session_grain(fact: DataFrame) -> DataFrame:
+    return measure(fact, *SESSION_GRAIN)
+
+
+def product_days(fact: DataFrame) -> DataFrame:
+    """The product grain per event date: additive, so a new day is added without the days before."""
+    return fact.groupBy("event_date", *PRODUCT_GRAIN).agg(*aggregates({**MEASURES, "price": "max(price)"}))
+
+
 def product_grain(fact: DataFrame) -> DataFrame:
     """Measures per product, brand, room and price band, with the highest price."""
     return fact.groupBy(*PRODUCT_GRAIN).agg(*aggregates({**MEASURES, "price": "max(price)"}))
@@ -76,5 +90,5 @@ def product_metrics(grain: DataFrame) -> DataFrame:
 
 
 def daily_metrics(fact: DataFrame) -> DataFrame:
-    """Measures per event date; events without a date are left out."""
-    return measure(fact.where("event_date IS NOT NULL"), "event_date")
+    """Measures per event date; events without a date are one group of their own."""
+    return measure(fact, "event_date")

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import half_even
+from roomlens.functions.tails import tail_p
+from roomlens.functions.text import literal
 from roomlens.operators.metrics import aggregates
 from roomlens.operators.report import metric_rows
+from roomlens.operators.statistics import goodness_of_fit
 
 
 def _fixed(value: str, digits: int) -> str:
@@ -50,7 +53,7 @@ def alert_log(
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part, allowMissingColumns=True)
-    return whole.selectExpr(f"'{run_ts}' AS timestamp", "*")
+    return whole.selectExpr(f"{literal(run_ts)} AS timestamp", "*")
 
 
 def _monitor_alerts(groups: DataFrame, key: str, alert_type: str, label: str) -> DataFrame:
@@ -188,68 +191,70 @@ def room_error_bars(rooms: DataFrame) -> DataFrame:
 # Findings
 
 
-def _section(name: str, one_row: DataFrame, texts: list[str]) -> DataFrame:
-    lines = ", ".join(f"{line}, {text}" for line, text in enumerate(texts, 1))
+def _section(name: str, one_row: DataFrame, texts: list[str], test: tuple[int, str, str, str, str] | None = None) -> DataFrame:
+    """Lines of a section; ``test`` is the line that a p-value ends, and the test's kind, statistic
+    and degrees of freedom."""
+    at, *tested = test or (0,)
+    lines = ", ".join(
+        f"{line}, {text}, " + (", ".join(tested) if line == at else "STRING(NULL), DOUBLE(NULL), DOUBLE(NULL), DOUBLE(NULL)")
+        for line, text in enumerate(texts, 1)
+    )
     return one_row.selectExpr(
-        f"'{name}' AS section", f"stack({len(texts)}, {lines}) AS (line, text)"
+        f"{literal(name)} AS section", f"stack({len(texts)}, {lines}) AS (line, text, kind, x, df1, df2)"
     )
 
 
 def findings(
-    funnel: DataFrame,
-    funnel_p: DataFrame,
-    anova: DataFrame,
-    anova_p: DataFrame,
-    hours: DataFrame,
-    rank_p: DataFrame,
-    room: DataFrame,
-    room_p: DataFrame,
-    gaps: DataFrame,
-    benchmark_pct: float = 2.0,
+    funnel: DataFrame, anova: DataFrame, hours: DataFrame, room: DataFrame, gaps: DataFrame, benchmark_rate: float = 0.02
 ) -> DataFrame:
-    """Plain-language findings as (section, line, text) rows; every input has one row."""
-
-    def with_p(df: DataFrame, test: DataFrame) -> DataFrame:
-        return df.withColumn("p", test.select("p_value").scalar())
+    """Plain-language findings as (section, line, text) rows; every input has one row.
 
-    over = half_even(f"overall_cvr_pct - {benchmark_pct}D", 2)
+    Each statistic is worked out once; one Python stage turns the lines' statistics into p-values.
+    ``anova`` and ``room`` come with their raw statistics.
+    """
+    over = half_even(f"overall_cvr_pct - {benchmark_rate * 100}D", 2)
+    chi2 = goodness_of_fit("purchases", "views", f"{benchmark_rate}D")
     parts = [
         _section(
             "Funnel drop-off",
-            with_p(funnel, funnel_p),
+            funnel,
             [
                 "concat(drop_off_pct, '% of views do not end in a purchase')",
                 f"""concat('Overall CVR ', overall_cvr_pct, '%, ',
                            format_string('%+.2f', {over}), ' points against the benchmark')""",
-                "concat('Chi-square ', chi2_statistic, ', p = ', p)",
+                "concat('Chi-square ', chi2_statistic, ', p = ')",
             ],
+            (3, "'chi2'", chi2, "1D", "DOUBLE(NULL)"),
         ),
         _section(
             "Price segments",
-            with_p(anova, anova_p),
+            anova,
             [
-                "concat('Order revenue by segment: F = ', f_statistic, ', p = ', p)",
+                "concat('Order revenue by segment: F = ', f_statistic, ', p = ')",
                 "concat('Effect size eta squared ', eta_squared, ' (', effect, ')')",
             ],
+            (1, "'f'", "f", "DOUBLE(df_between)", "DOUBLE(df_within)"),
         ),
         _section(
             "Hours",
-            with_p(hours, rank_p),
+            hours,
             [
                 "concat('Peak hour ', peak_hour, ':00 with ', peak_count, ' purchases')",
                 """concat('Mean per hour ', mean_per_hour, ', 95% interval ', ci_95_low, ' to ',
                           ci_95_high)""",
                 "concat('Business hours bring ', biz_hours_pct, '% of purchases')",
-                "concat('Kruskal-Wallis H = ', kw_statistic, ', p = ', p)",
+                "concat('Kruskal-Wallis H = ', kw_statistic, ', p = ')",
             ],
+            (4, "'chi2'", "kw_raw", "DOUBLE(kw_df)", "DOUBLE(NULL)"),
         ),
         _section(
             "Rooms",
-            with_p(room, room_p),
+            room,
             [
                 "concat('Best room ', top_room, ' with ', top_cvr, '% CVR')",
-                "concat('Against all other rooms: chi-square ', chi2, ', p = ', p)",
+                "concat('Against all other rooms: chi-square ', chi2, ', p = ')",
             ],
+            (2, "'chi2'", "raw", "1D", "DOUBLE(NULL)"),
         ),
         _section(
             "Product gaps",
@@ -263,4 +268,7 @@ def findings(
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    return whole
+    p = half_even("if(isnan(p), NULL, p)", 6)
+    return whole.withColumn("p", tail_p("kind", "x", "df1", "df2")).selectExpr(
+        "section", "line", f"if(kind IS NULL, text, concat(text, {p})) AS text"
+    )

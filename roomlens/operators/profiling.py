@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from roomlens.functions.numbers import ratio_pct
+from roomlens.functions.text import literal, name
 from roomlens.operators.metrics import aggregates
 
 
@@ -19,7 +20,7 @@ def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.expr("count(*) AS row_count")).selectExpr(
         "row_count",
         f"{len(df.columns)} AS column_count",
-        f"'{', '.join(df.columns)}' AS column_names",
+        f"{literal(', '.join(df.columns))} AS column_names",
     )
 
 
@@ -28,9 +29,9 @@ def null_profile(
 ) -> DataFrame:
     """Nulls and null share of each column, from one scan."""
     names = list(columns or df.columns)
-    nulls = {f"`{name}`": _count_where(f"`{name}` IS NULL") for name in names}
+    nulls = {name(column): _count_where(f"{name(column)} IS NULL") for column in names}
     counts = df.agg(*aggregates({"total": "count(*)", **nulls}))
-    profile = counts.unpivot("total", names, "column_name", "null_count").selectExpr(
+    profile = counts.unpivot("total", [name(column) for column in names], "column_name", "null_count").selectExpr(
         "column_name", "null_count", f"{ratio_pct('null_count', 'total')} AS null_pct"
     )
     return profile.where("null_count > 0") if only_with_nulls else profile
@@ -39,7 +40,7 @@ def null_profile(
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """Rows per non-null value, most frequent first."""
     counts = (
-        df.selectExpr(f"{column} AS value")
+        df.selectExpr(f"{name(column)} AS value")
         .where("value IS NOT NULL")
         .groupBy("value")
         .agg(F.expr("count(*) AS row_count"))
@@ -50,11 +51,13 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 
 def distinct_count(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
     """Distinct non-null values; ``approx`` uses a sketch."""
+    column = name(column)
     count = f"approx_count_distinct({column})" if approx else f"count(DISTINCT {column})"
     return df.agg(F.expr(f"{count} AS distinct_count"))
 
 
 def value_range(df: DataFrame, column: str) -> DataFrame:
+    column = name(column)
     return df.agg(*aggregates({"range_from": f"min({column})", "range_to": f"max({column})"}))
 
 
@@ -69,8 +72,8 @@ def selectivity(df: DataFrame, predicate: str) -> DataFrame:
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows of each named table."""
     parts = [
-        frame.agg(F.expr("count(*) AS row_count")).selectExpr(f"'{name}' AS table_name", "row_count")
-        for name, frame in tables.items()
+        frame.agg(F.expr("count(*) AS row_count")).selectExpr(f"{literal(title)} AS table_name", "row_count")
+        for title, frame in tables.items()
     ]
     whole = parts[0]
     for part in parts[1:]:

@@ -1,8 +1,9 @@
 """Exact quantiles without gathering a group in one task.
 
 The built-in exact percentile holds every distinct value of a group in one buffer. Here a group
-is first collapsed to (value, frequency) rows, then cut into value ranges; only the ranges that
-hold a wanted rank are ranked, each on its own.
+is first collapsed to (value, frequency) rows, then cut into value ranges, and those ranges that
+hold a wanted rank are cut again, between their own least and greatest value. Only what is left of
+them after the last cut is ranked.
 """
 
 from __future__ import annotations
@@ -20,6 +21,11 @@ from roomlens.sources.scratch import shared_table
 # cents up to a million fall into some 14,000 ranges; around 10,000 a range holds 1,000 of them.
 VALUE_RANGE = "BIGINT(signum(value) * floor(ln(1D + abs(value)) * 1024D))"
 
+# A range that holds a wanted rank is cut into this many slices of equal width, this many times. A
+# million distinct values within a thousandth of their size end as slices of one value.
+SLICES, CUTS = 1024, 2
+SLICE = f"if(hi > lo, least(BIGINT(floor((value - lo) / (hi - lo) * {SLICES}D)), {SLICES - 1}L), 0L)"
+
 
 def frequencies(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct non-null number, as (keys, value, n)."""
@@ -38,28 +44,37 @@ def quantiles(frequency: DataFrame, named: Mapping[str, float], by: Sequence[str
     Groups with a null key are left out. Without ``by`` the result has one row, or none when
     there is no value at all.
     """
-    keys = ", ".join([*by, "1"])
     present = " AND ".join([f"{key} IS NOT NULL" for key in by] or ["true"])
-    placed = frequency.where(present).selectExpr(*by, "value", f"{VALUE_RANGE} AS bucket", "n")
-
-    # Rows before a range and rows of its group: the ranges of a group are few.
-    ranges = (
-        placed.groupBy(*by, "bucket")
-        .agg(F.expr("sum(n) AS size"))
-        .selectExpr(
-            *by, "bucket", "size",
-            f"""coalesce(sum(size) OVER (PARTITION BY {keys} ORDER BY bucket
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before""",
-            f"sum(size) OVER (PARTITION BY {keys}) AS total",
-        )
-    )
     ranks = [f"{side}((total - 1) * {q}D)" for q in named.values() for side in ("floor", "ceil")]
-    holds_rank = " OR ".join(f"{rank} >= before AND {rank} < before + size" for rank in ranks)
-    wanted = ranges.where(holds_rank)
 
-    ranked = placed.join(wanted, [*by, "bucket"]).selectExpr(
+    def holding(placed: DataFrame, cuts: list[str], first: bool) -> DataFrame:
+        """Ranges that hold a wanted rank, with their extremes and the rows before them. The window
+        runs over the ranges of one outer range, which are few."""
+        outer = ", ".join([*by, *cuts[:-1], "1"])
+        base, total = ("0L", f"sum(size) OVER (PARTITION BY {outer})") if first else ("base", "total")
+        kept = {} if first else {"base": "first(before)", "total": "first(total)"}
+        sums = {"size": "sum(n)", "lo": "min(value)", "hi": "max(value)", **kept}
+        ranges = placed.groupBy(*by, *cuts).agg(*aggregates(sums)).selectExpr(
+            *by, *cuts, "size", "lo", "hi", f"{total} AS total",
+            f"""{base} + coalesce(sum(size) OVER (PARTITION BY {outer} ORDER BY {cuts[-1]}
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS before""",
+        )
+        return ranges.where(" OR ".join(f"{rank} >= before AND {rank} < before + size" for rank in ranks))
+
+    placed = (
+        frequency.where(present).groupBy(*by, "value").agg(F.expr("sum(n) AS n"))
+        .selectExpr("*", f"{VALUE_RANGE} AS cut_0")
+    )
+    cuts, wanted = ["cut_0"], holding(placed, ["cut_0"], True)
+    for number in range(1, CUTS + 1):
+        placed = placed.select(*by, *cuts, "value", "n").join(wanted, [*by, *cuts]).selectExpr(
+            *by, *cuts, "value", "n", "before", "total", f"{SLICE} AS cut_{number}"
+        )
+        cuts.append(f"cut_{number}")
+        wanted = holding(placed, cuts, False)
+    ranked = placed.select(*by, *cuts, "value", "n").join(wanted, [*by, *cuts]).selectExpr(
         *by, "value", "n", "total",
-        f"""before + sum(n) OVER (PARTITION BY {keys}, bucket ORDER BY value
+        f"""before + sum(n) OVER (PARTITION BY {", ".join([*by, *cuts])} ORDER BY value
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto""",
     )
     picks = [

@@ -23,14 +23,19 @@ REPORT_TABLES = {
 }
 
 
-def kpi_summary(fact: DataFrame) -> DataFrame:
-    """One row of totals and rates. A stage that never occurs is null, its rate 0."""
+def kpi_summary(fact: DataFrame, stored: bool = False) -> DataFrame:
+    """One row of totals and rates, from the fact or its ``stored`` session grain. A stage that never
+    occurs is null, its rate 0."""
+
+    def stage(name: str, column: str) -> str:
+        return f"nullif({f'sum({column})' if stored else stage_count(name)}, 0)"
+
     sums = {
         "revenue_sum": f"sum({money('revenue')})",
-        "total_events": "count(*)",
-        "total_purchases": f"nullif({stage_count('purchase')}, 0)",
-        "total_views": f"nullif({stage_count('view')}, 0)",
-        "total_cart_adds": f"nullif({stage_count('cart')}, 0)",
+        "total_events": "sum(events)" if stored else "count(*)",
+        "total_purchases": stage("purchase", "purchases"),
+        "total_views": stage("view", "views"),
+        "total_cart_adds": stage("cart", "cart_adds"),
         "unique_users": "count(DISTINCT user_id)",
         "ordered": f"sum(if(event_type = 'purchase', {money('revenue')}, NULL))",
     }

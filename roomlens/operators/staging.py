@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from roomlens.functions.text import literal
 from roomlens.schemas import STG_EVENTS, STG_PRODUCTS, conform
 
 
 def furniture_only(events: DataFrame, prefix: str = "furniture") -> DataFrame:
     """Events whose category starts with ``prefix``; a missing category is left out."""
-    return events.where(f"startswith(category_code, '{prefix}')")
+    return events.where(F.startswith("category_code", F.lit(prefix)))
 
 
 def stage_events(raw: DataFrame, run_ts: str) -> DataFrame:
@@ -21,11 +22,11 @@ def stage_events(raw: DataFrame, run_ts: str) -> DataFrame:
         "category_code", "brand", "price",
         "try_cast(user_id AS BIGINT) AS user_id",
         "user_session",
-        f"TIMESTAMP '{run_ts}' AS loaded_at",
+        f"TIMESTAMP({literal(run_ts)}) AS loaded_at",
     )
     return conform(staged, STG_EVENTS)
 
 
 def stage_products(raw: DataFrame, run_ts: str) -> DataFrame:
     """The thirteen staged catalogue columns, stamped with the run time."""
-    return conform(raw.selectExpr("*", f"TIMESTAMP '{run_ts}' AS loaded_at"), STG_PRODUCTS)
+    return conform(raw.selectExpr("*", f"TIMESTAMP({literal(run_ts)}) AS loaded_at"), STG_PRODUCTS)

@@ -13,7 +13,6 @@ from roomlens.functions.tails import chi2_p, f_p, t_quantiles
 from roomlens.operators.metrics import aggregates, roll_up
 from roomlens.operators.quantiles import frequencies, moments, quantiles
 from roomlens.operators.report import metric_rows
-from roomlens.sources.scratch import shared_table
 from roomlens.thresholds import DEFAULTS, Thresholds
 
 # Fixed value: normal quantile of the Wilson interval.
@@ -80,15 +79,28 @@ def funnel_p(totals: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
 
 
 def paid_orders(fact: DataFrame) -> DataFrame:
-    return fact.where("event_type = 'purchase' AND revenue > 0").select("price_segment", "revenue")
+    """Paid orders as (price_segment, value, n): how often each amount occurs in each band."""
+    return frequencies(
+        fact.where("event_type = 'purchase' AND revenue > 0"), "revenue", ["price_segment"]
+    )
 
 
 def _variance_parts(orders: DataFrame) -> DataFrame:
-    """One row: groups, rows and the between, within and total sums of squares."""
-    groups = orders.groupBy("price_segment").agg(
-        F.expr("DOUBLE(count(revenue)) AS n"),
-        F.expr("avg(revenue) AS mean"),
-        F.expr("(count(revenue) - 1) * coalesce(var_samp(revenue), 0D) AS inside"),
+    """One row: groups, rows and the between, within and total sums of squares.
+
+    Deviations are taken around the means in a second pass over the stored amounts.
+    """
+    means = orders.groupBy("price_segment").agg(
+        F.expr("sum(n * value) / sum(n) AS mean")
+    ).withColumnRenamed("price_segment", "band")
+    groups = (
+        orders.join(means, F.col("price_segment").eqNullSafe(F.col("band")))
+        .groupBy("price_segment")
+        .agg(
+            F.expr("DOUBLE(sum(n)) AS n"),
+            F.expr("first(mean) AS mean"),
+            F.expr("sum(n * pow(value - mean, 2)) AS inside"),
+        )
     )
     # Price bands are a handful of rows, so both windows are small. Orders without a band count
     # towards the grand mean and the total, but are no group of the test.
@@ -118,10 +130,13 @@ def _variance_parts(orders: DataFrame) -> DataFrame:
     )
 
 
-def segment_anova(orders: DataFrame) -> DataFrame:
-    """One-way analysis of variance of order revenue over price segments, with effect size."""
+def segment_anova(orders: DataFrame, with_raw: bool = False) -> DataFrame:
+    """One-way analysis of variance of order revenue over price segments, with effect size.
+
+    ``orders`` are stored amounts and how often they occur; ``with_raw`` adds the statistic as it is.
+    """
     return _variance_parts(orders).selectExpr(
-        "df_between", "df_within",
+        *["f"] * with_raw, "df_between", "df_within",
         f"{half_even('f', 2)} AS f_statistic",
         "eta_squared",
         """CASE WHEN eta_squared > 0.14 THEN 'large' WHEN eta_squared > 0.06 THEN 'medium'
@@ -136,13 +151,10 @@ def segment_anova_p(orders: DataFrame, limits: Thresholds = DEFAULTS) -> DataFra
 
 
 def segment_descriptive(orders: DataFrame) -> DataFrame:
-    """Count, mean, exact median and sample deviation of order revenue per segment.
-
-    The orders are read once, into a stored frequency table.
-    """
+    """Count, mean, exact median and sample deviation of order revenue per segment, from stored
+    amounts."""
     keys = ["price_segment"]
-    named = orders.where("price_segment IS NOT NULL")
-    frequency = shared_table(frequencies(named, "revenue", keys), "order-frequencies")
+    frequency = orders.where("price_segment IS NOT NULL")
     medians = quantiles(frequency, {"median": 0.5}, keys)
     return moments(frequency, keys).join(medians, keys).selectExpr(
         *keys, "count",
@@ -183,8 +195,8 @@ def hourly_interval(hours: DataFrame) -> DataFrame:
 
 
 def hourly_extremes(hours: DataFrame) -> DataFrame:
-    """Peak and trough hour; the earliest hour wins a tie."""
-    return hours.agg(
+    """Peak and trough hour; the earliest hour wins a tie. Events without a time are in no hour."""
+    return hours.where("hour IS NOT NULL").agg(
         *aggregates(
             {
                 "peak_hour": "max_by(hour, struct(purchases, -hour))",
@@ -256,7 +268,8 @@ def hourly_rank_p(test: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
 
 
 def hourly_results(hours: DataFrame, rank_test: DataFrame) -> DataFrame:
-    """Extremes, interval, business share and rank statistic of the hours in one row."""
+    """Extremes, interval, business share and rank statistic of the hours in one row; the statistic
+    also as it is, with its degrees of freedom."""
     interval = hourly_interval(hours).select(F.struct("mean_per_hour", "ci_95_low", "ci_95_high"))
     return (
         hourly_extremes(hours)
@@ -264,10 +277,13 @@ def hourly_results(hours: DataFrame, rank_test: DataFrame) -> DataFrame:
             {
                 "interval": interval.scalar(),
                 "biz_hours_pct": business_hours(hours).scalar(),
-                "kw_statistic": hourly_rank_summary(rank_test).select("kw_statistic").scalar(),
+                "test": rank_test.select(F.struct("kw_statistic", "hours")).scalar(),
             }
         )
-        .selectExpr("* EXCEPT (interval)", "interval.*")
+        .selectExpr(
+            "* EXCEPT (interval, test)", "interval.*", f"{half_even('test.kw_statistic', 2)} AS kw_statistic",
+            "test.kw_statistic AS kw_raw", "test.hours - 1 AS kw_df",
+        )
     )
 
 
@@ -320,9 +336,12 @@ def _top_room(ranked: DataFrame) -> DataFrame:
     )
 
 
-def room_test(ranked: DataFrame) -> DataFrame:
-    """Chi-square of the best room against the pooled rate of all others."""
-    return _top_room(ranked).selectExpr("top_room", "top_cvr", f"{half_even('chi2', 2)} AS chi2")
+def room_test(ranked: DataFrame, with_raw: bool = False) -> DataFrame:
+    """Chi-square of the best room against the pooled rate of all others; ``with_raw`` adds it as it
+    is."""
+    return _top_room(ranked).selectExpr(
+        "top_room", "top_cvr", f"{half_even('chi2', 2)} AS chi2", *["chi2 AS raw"] * with_raw
+    )
 
 
 def room_test_p(ranked: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:

@@ -25,10 +25,13 @@ DATE_ATTRIBUTES = (
 GAP_KEYS = ("product_id", "brand", "room_type", "item_type", "price_segment")
 
 
-def conversion_funnel(fact: DataFrame) -> DataFrame:
-    """Events, users and sessions per event type, with the share of all events."""
+def conversion_funnel(fact: DataFrame, stored: bool = False) -> DataFrame:
+    """Events, users and sessions per event type, with the share of all events.
+
+    ``stored``: what is given is the session grain of the fact.
+    """
     counts = fact.groupBy("event_type").agg(
-        F.expr("count(*) AS event_count"),
+        F.expr(f"{'sum(events)' if stored else 'count(*)'} AS event_count"),
         F.expr("count(DISTINCT user_id) AS unique_users"),
         F.expr("count(DISTINCT user_session) AS unique_sessions"),
     )
@@ -69,15 +72,16 @@ def brand_performance(
     )
 
 
-def daily_trend(fact: DataFrame) -> DataFrame:
-    """Stage counts, revenue, users and sessions per date.
+def daily_trend(fact: DataFrame, stored: bool = False) -> DataFrame:
+    """Stage counts, revenue, users and sessions per date, from the fact or its ``stored`` session
+    grain.
 
     The calendar attributes follow from the date; they are added to the daily rows rather than
     carried through the shuffle of users and sessions.
     """
+    sums = {name: f"sum({name})" if stored else MEASURES[name] for name in (*STAGES, "revenue")}
     counts = {
-        **STAGES,
-        "revenue": MEASURES["revenue"],
+        **sums,
         "active_users": "count(DISTINCT user_id)",
         "sessions": "count(DISTINCT user_session)",
     }
@@ -115,16 +119,20 @@ def high_view_no_purchase(fact: DataFrame, min_views: int = 500, top: int = 30)
 
 
 def all_views(
-    fact: DataFrame, brand_views: int = 100, gap_views: int = 500, grain: DataFrame | None = None
+    fact: DataFrame, brand_views: int = 100, gap_views: int = 500, grain: DataFrame | None = None,
+    sessions: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All views by name. ``grain``, stored report measures, spares four scans of the fact."""
+    """All views by name. ``grain``, stored report measures, spares four scans of the fact, and
+    ``sessions``, its stored session grain, two more."""
     source, measured = (fact, measure) if grain is None else (grain, roll_up)
+    stored = sessions is not None
+    visits = sessions if stored else fact
     return {
-        "vw_conversion_funnel": conversion_funnel(fact),
+        "vw_conversion_funnel": conversion_funnel(visits, stored),
         "vw_room_performance": room_performance(source, measured),
         "vw_price_segment_analysis": price_segment_analysis(source, measured),
         "vw_brand_performance": brand_performance(source, brand_views, measured),
-        "vw_daily_trend": daily_trend(fact),
+        "vw_daily_trend": daily_trend(visits, stored),
         "vw_hourly_behavior": hourly_behavior(source, measured),
         "vw_high_view_no_purchase": high_view_no_purchase(fact, gap_views),
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from roomlens.functions.text import literal
 from roomlens.operators import detect, metrics, outputs
 from roomlens.sources import writers
 from roomlens.sources.scratch import shared_table
@@ -15,15 +16,16 @@ def detectors(
 ) -> dict[str, DataFrame]:
     """Results of all detectors from the stored product grain and the daily measures."""
     products = shared_table(metrics.product_metrics(grain), "products")
-    zero = detect.zero_purchase(products, run_date, limits)
-    anomalies = detect.cvr_anomalies(products, run_date, limits)
+    # Scored once; the log, the lists and the summaries read the stored alerts.
+    zero = shared_table(detect.zero_purchase(products, run_date, limits), "zero-purchase")
+    anomalies = shared_table(detect.cvr_anomalies(products, run_date, limits), "cvr-anomalies")
     trend = detect.daily_trend(days, limits)
     drops = detect.daily_drops(trend, run_date, limits)
     rooms = detect.monitor(metrics.roll_up(grain, "room_type"), "room_type", run_date, limits)
     segments = detect.monitor(
         metrics.roll_up(grain, "price_segment"), "price_segment", run_date, limits
     )
-    log = outputs.alert_log(zero, anomalies, drops, rooms, segments, run_ts)
+    log = shared_table(outputs.alert_log(zero, anomalies, drops, rooms, segments, run_ts), "alert-log")
     return {
         "zero_purchase": zero,
         "cvr_anomalies": anomalies,
@@ -34,7 +36,7 @@ def detectors(
         "alert_log": log,
         "watchlist": outputs.watchlist(zero, anomalies),
         "alert_summary": outputs.alert_summary(log),
-        "detector_summary": detect.detector_summary(products, zero, anomalies, trend, limits),
+        "detector_summary": detect.detector_summary(products, zero, anomalies, trend, days, limits),
         "severity_counts": detect.severity_counts(zero, anomalies),
         "worst_drop": detect.worst_drop(drops),
         "z_histogram": outputs.histogram(anomalies, "z_score"),
@@ -56,11 +58,30 @@ def datasets(
     return detectors(grain, days, run_date, run_ts, limits)
 
 
+def add_days(fact: DataFrame, store: str, since: str | None = None) -> DataFrame:
+    """Bring the stored measures per product and date up to date; return all of them.
+
+    With ``since`` only events of that date and later, or without a date, are read; the days before
+    keep what an earlier run stored. The first run has none.
+    """
+    new = fact if since is None else fact.where(f"event_date IS NULL OR event_date >= DATE({literal(since)})")
+    days = metrics.product_days(new)
+    days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if since else "static").partitionBy(
+        "event_date"
+    ).parquet(store)
+    return fact.sparkSession.read.schema(days.schema).parquet(store)
+
+
 def run(
-    fact: DataFrame, folder: str, run_date: str, run_ts: str, limits: Thresholds = DEFAULTS
+    fact: DataFrame, folder: str, run_date: str, run_ts: str, limits: Thresholds = DEFAULTS, since: str | None = None
 ) -> DataFrame:
-    """Append the alerts to the log, write the dated watchlist, return the summary."""
-    frames = datasets(fact, run_date, run_ts, limits)
+    """Append the alerts to the log, write the dated watchlist, return the summary.
+
+    Measures per product and date are kept in the folder, so that a daily run with ``since`` reads
+    the new day only.
+    """
+    days = add_days(fact, f"{folder.rstrip('/')}/product_days", since)
+    frames = detectors(days, metrics.roll_up(days, "event_date"), run_date, run_ts, limits)
     writers.append_json_lines(frames["alert_log"], f"{folder.rstrip('/')}/alert_log")
     writers.write_csv(frames["watchlist"], writers.dated_path(folder, "watchlists", run_date))
     return frames["alert_summary"]

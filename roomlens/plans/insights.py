@@ -14,7 +14,7 @@ def datasets(
     fact: DataFrame, limits: Thresholds = DEFAULTS, grain: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """All results. The fact is scanned for the product grain, for the (date, hour) cells and,
-    reading purchases only, for the orders; the rest works on those small tables. ``grain`` is
+    reading purchases only, for the amounts of orders; the rest works on those small tables. ``grain`` is
     the stored product grain, if another job of the day already has it."""
     if grain is None:
         grain = shared_table(metrics.product_grain(fact), "product-grain")
@@ -26,6 +26,7 @@ def datasets(
     funnel_p = statistics.funnel_p(totals, limits)
     anova = statistics.segment_anova(orders)
     anova_p = statistics.segment_anova_p(orders, limits)
+    anova_raw = statistics.segment_anova(orders, with_raw=True)
     segments = statistics.group_cvr(metrics.roll_up(grain, "price_segment"), "price_segment")
     hours = statistics.hourly_counts(cells)
     rank_test = statistics.hourly_rank_test(cells)
@@ -46,7 +47,7 @@ def datasets(
         "segment_descriptive": statistics.segment_descriptive(orders),
         "segment_cvr": segments,
         "hourly_behavior": hours,
-        "hourly_results": hour_results,
+        "hourly_results": hour_results.drop("kw_raw", "kw_df"),
         "kruskal_p": rank_p,
         "room_cvr_with_ci": rooms,
         "room_test": room,
@@ -59,8 +60,7 @@ def datasets(
             funnel, statistics.hourly_extremes(hours), gaps
         ),
         "findings": outputs.findings(
-            funnel, funnel_p, anova, anova_p, hour_results, rank_p, room, room_p, gaps,
-            limits.benchmark_rate * 100,
+            funnel, anova_raw, hour_results, statistics.room_test(ranked, with_raw=True), gaps, limits.benchmark_rate
         ),
         "chart_funnel": outputs.funnel_chart(funnel),
         "chart_benchmark": outputs.benchmark_chart(funnel, limits.benchmark_rate * 100),

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from roomlens.functions.numbers import text_to_double
 from roomlens.operators import clean_products, profiling, quantiles, staging
+from roomlens.sources import writers
 
 KEY_COLUMNS = ("user_id", "product_id", "category_code", "price", "brand")
 
 
+def write(frames: Mapping[str, DataFrame], folder: str, run_date: str) -> None:
+    """Write every profile whole, as a dated CSV folder of its own."""
+    for name, frame in frames.items():
+        writers.write_csv(frame, writers.dated_path(folder, name, run_date))
+
+
 def raw_events(raw: DataFrame) -> dict[str, DataFrame]:
     """Profile of the clickstream and of its furniture part.
 

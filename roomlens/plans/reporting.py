@@ -11,12 +11,13 @@ from roomlens.thresholds import DEFAULTS, Thresholds
 
 
 def datasets(fact: DataFrame, limits: Thresholds = DEFAULTS) -> dict[str, DataFrame]:
-    """Everything the report shows. The views without distinct counts and product lists read
-    one stored aggregate; the others scan only their own columns of the fact."""
+    """Everything the report shows, from three scans of the fact: one stored aggregate for the views
+    of counts and sums, one for those that tell users and sessions apart, and the product list."""
     grain = shared_table(metrics.report_grain(fact), "report-grain")
-    frames = views.all_views(fact, limits.brand_min_views, limits.gap_view_min_views, grain)
+    sessions = shared_table(metrics.session_grain(fact), "session-grain")
+    frames = views.all_views(fact, limits.brand_min_views, limits.gap_view_min_views, grain, sessions)
     writers.register_views(frames)
-    kpis = report.kpi_summary(fact)
+    kpis = report.kpi_summary(sessions, stored=True)
     return {
         **frames,
         "kpi_summary": kpis,
@@ -50,8 +51,10 @@ SHORT_TABLES = {"KPI Summary", "Funnel Data", "Price Segments", "Hourly Behavior
 
 
 def run(fact: DataFrame, folder: str, run_date: str, limits: Thresholds = DEFAULTS) -> None:
-    """Write the KPI sheet and the report tables as CSV folders."""
+    """Write the KPI sheet, the report tables and the insight queries as CSV folders."""
     frames = datasets(fact, limits)
+    for name, frame in insight_queries(frames).items():
+        writers.write_csv(frame, writers.dated_path(folder, name, run_date))
     sheets = {"KPI Summary": frames["kpi_sheet"].select("metric", "value")}
     sheets.update(report.report_tables(frames))
     sheets["Gap Analysis"] = report.with_headings(frames["report_gap"])

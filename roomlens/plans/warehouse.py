@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roomlens import schemas
 from roomlens.operators import clean_events, clean_products, model, profiling, staging
+from roomlens.plans import profile
 from roomlens.session import configure
 from roomlens.sources import readers, writers
 
@@ -77,5 +78,17 @@ def build(
     return house
 
 
+def write_checks(house: Warehouse, run_date: str) -> None:
+    """Data-quality checks of the staging tables and profiles of the clean ones, below ``checks``."""
+    products = house.table("stg_products")
+    profile.write(
+        profile.staging_checks(house.table("stg_user_events"), products), house.path("checks/staging"), run_date
+    )
+    clean = profile.clean_tables(
+        house.table("clean_user_events"), products, house.table("clean_products")
+    )
+    profile.write(clean, house.path("checks/clean"), run_date)
+
+
 def table_counts(house: Warehouse) -> DataFrame:
     return profiling.table_counts({name: house.table(name) for name in TABLES})

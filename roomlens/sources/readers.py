@@ -23,15 +23,11 @@ def _blank_missing(df: DataFrame) -> DataFrame:
 def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
     """Clickstream export: header row, every field as text, one line per record (splittable).
 
-    The header is checked against the declared columns, not just skipped.
+    Columns are taken by name from the header, in any order and among others; a missing one fails.
+    All files of one path share a header.
     """
-    reader = (
-        spark.read.schema(RAW_EVENTS)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-    )
-    return _blank_missing(reader.csv(path))
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    return _blank_missing(raw.select([F.col(name) for name in RAW_EVENTS.fieldNames()]))
 
 
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:

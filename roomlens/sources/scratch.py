@@ -2,42 +2,67 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _local_folder: list[str] = []
+_scopes: list[str] = []
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only on a local master."""
+    """Where this application's tables go: below the cluster's checkpoint folder.
+
+    Only on a local master that has none, a temporary folder is made; it goes with the process.
+    """
     base = spark.conf.get(_SETTING, None)
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
         if not _local_folder:
             _local_folder.append(tempfile.mkdtemp(prefix="roomlens-"))
+            atexit.register(shutil.rmtree, _local_folder[0], ignore_errors=True)
         base = _local_folder[0]
     return f"{base.rstrip('/')}/roomlens/{spark.sparkContext.applicationId}"
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside go when the block ends; wrap a job whose results are written out."""
+    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    folder = "/".join([scratch_folder(spark), *_scopes])
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        _delete(spark, folder)
+
+
 def shared_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Used where a grouped result feeds several later steps that need different columns of it: an
     in-plan reuse would not hold after column pruning, so the event scan would run again for each.
-    The written table also survives the loss of executors.
+    The written table also survives the loss of executors. Writing starts at once, so an operator
+    that stores something works when it is called, not only when its result is read.
     """
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = "/".join([scratch_folder(spark), *_scopes, f"{label}-{uuid.uuid4().hex}"])
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_shared_tables(spark: SparkSession) -> None:
-    """Delete the tables this application wrote; call at the end of a job."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    """Delete all tables this application wrote outside a scope that is still open."""
+    _delete(spark, scratch_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,10 +7,20 @@ import re
 # Money is summed as a decimal in both engines; see roomlens.functions.numbers.
 _BASE = {
     "raw_events": """
-        SELECT ts AS event_time,
-               CASE WHEN event_type IN ('view', 'signup', 'error') THEN 'view'
-                    WHEN event_type = 'click' THEN 'cart' ELSE 'purchase' END AS event_type,
-               CAST(17200000 + k AS BIGINT) AS product_id,
+        SELECT CASE WHEN event_id % 101 = 0 THEN 'no time'
+                    ELSE strftime(CASE WHEN event_id % 59 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END,
+                                  '%Y-%m-%d %H:%M:%S.%f') || '+00:00' END AS event_time,
+               CASE WHEN event_id % 89 = 0 THEN NULL
+                    WHEN event_type = 'click' AND event_id % 2 = 0 THEN 'cart'
+                    WHEN event_type = 'click' THEN 'remove_from_cart'
+                    WHEN event_type = 'purchase' AND event_id % 2 = 0 AND k % 20 <> 3
+                         AND (k % 25 <> 7 OR event_id % 20 = 0) AND (k % 6 <> 5 OR event_id % 4 = 0)
+                         AND (k < 88 OR event_id % 4 = 0)
+                         AND (day(ts) NOT IN (12, 24) OR event_id % 16 = 0)
+                         AND (day(ts) <> 18 OR event_id % 4 = 0) THEN 'purchase'
+                    ELSE 'view' END AS event_type,
+               CAST(17200000 + k + 100 * CASE WHEN event_id % 7 = 0 OR event_id % 3 = 0 THEN 0
+                    ELSE 1 + event_id // 2500 END AS BIGINT) AS product_id,
                CAST(2053013559000000000 + k % 6 AS BIGINT) AS category_id,
                CASE WHEN k >= 96 THEN 'electronics.smartphone'
                     WHEN k % 6 = 0 THEN 'furniture.living_room.sofa'
@@ -19,25 +29,24 @@ _BASE = {
                     WHEN k % 6 = 3 THEN 'furniture.kitchen.chair'
                     WHEN k % 6 = 4 THEN 'furniture.kitchen.table'
                     ELSE 'furniture.bathroom.bath' END AS category_code,
-               CASE WHEN k % 5 <> 0 THEN 'brand_' || (k % 12) END AS brand,
-               CASE WHEN event_id % 97 = 0 THEN 0.0::DOUBLE
-                    ELSE CAST(CAST(k * 8 + 0.99 AS DECIMAL(10,2)) AS DOUBLE) END AS price,
+               CASE WHEN event_id % 113 = 0 THEN '' WHEN k % 5 <> 0 THEN 'brand_' || (k % 12) END
+                   AS brand,
+               CASE WHEN event_id % 97 = 0 THEN '0.00' WHEN event_id % 103 = 0 THEN 'abc'
+                    WHEN event_id % 107 = 0 THEN 'nan' WHEN event_id % 109 = 0 THEN NULL
+                    ELSE CAST(CAST(k * 8 + 0.99 AS DECIMAL(10,2)) AS VARCHAR) END AS price,
                user_id,
                user_id || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS user_session
-        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
-        WHERE event_type IN ('view', 'signup', 'error')
-           OR (event_type = 'click' AND event_id % 2 = 0)
-           OR (event_type = 'purchase' AND event_id % 2 = 0 AND k % 20 <> 3
-               AND (k % 25 <> 7 OR event_id % 20 = 0) AND (k % 6 <> 5 OR event_id % 4 = 0)
-               AND (k < 88 OR event_id % 4 = 0)
-               AND (day(ts) NOT IN (12, 24) OR event_id % 16 = 0)
-               AND (day(ts) <> 18 OR event_id % 4 = 0))""",
+        FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN 10
+                             ELSE CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k
+              FROM events)""",
     "furniture": "SELECT * FROM raw_events WHERE category_code LIKE 'furniture%'",
-    "stg_events": """
-        SELECT strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') || '+00:00' AS event_time, event_type,
-               product_id, category_id, category_code, brand,
-               CAST(CAST(price AS DECIMAL(10,2)) AS VARCHAR) AS price, user_id, user_session
-        FROM furniture""",
+    "stg_events": "SELECT * FROM furniture",
+    "parsed_events": """
+        SELECT * REPLACE (CAST(try_cast(event_time AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP)
+                              AS event_time,
+                          CASE WHEN isfinite(try_cast(price AS DOUBLE)) THEN CAST(price AS DOUBLE)
+                               ELSE 0.0::DOUBLE END AS price)
+        FROM stg_events""",
     "clean": """
         SELECT event_time, CAST(event_time AS DATE) AS event_date, event_type, product_id,
                category_id, category_code,
@@ -51,19 +60,20 @@ _BASE = {
                CAST(price = 0 AS INTEGER) AS is_zero_price, user_id, user_session,
                CAST(hour(event_time) AS INTEGER) AS event_hour,
                dayname(event_time) AS day_of_week,
-               CASE WHEN isodow(event_time) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+               CASE WHEN isodow(event_time) >= 6 THEN 'Weekend'
+                    WHEN event_time IS NOT NULL THEN 'Weekday' END AS day_type,
                CAST(weekofyear(event_time) AS INTEGER) AS week_number,
                CAST(month(event_time) AS INTEGER) AS month, monthname(event_time) AS month_name,
                CAST(year(event_time) AS INTEGER) AS year
-        FROM furniture""",
+        FROM parsed_events""",
     "fact": """
         SELECT user_id, user_session, product_id, event_type, event_time, event_date, event_hour,
                category_code, room_type, item_type, brand, price, price_segment,
                CASE WHEN event_type = 'purchase' AND is_zero_price = 0 THEN price ELSE 0.0 END
                    AS revenue,
-               CAST(event_type = 'view' AS INTEGER) AS is_view,
-               CAST(event_type = 'cart' AS INTEGER) AS is_cart,
-               CAST(event_type = 'purchase' AS INTEGER) AS is_purchase,
+               CAST(coalesce(event_type = 'view', false) AS INTEGER) AS is_view,
+               CAST(coalesce(event_type = 'cart', false) AS INTEGER) AS is_cart,
+               CAST(coalesce(event_type = 'purchase', false) AS INTEGER) AS is_purchase,
                is_zero_price, year, month, month_name, week_number, day_of_week, day_type
         FROM clean""",
     "raw_products": """
@@ -77,23 +87,37 @@ _BASE = {
                     WHEN 5 THEN 'Temporarily on hold' WHEN 6 THEN 'Usually ships within 1-2 days'
                     WHEN 7 THEN 'Preorder' END AS availability,
                CASE WHEN n % 17 = 0 THEN 'garbage'
+                    WHEN n % 31 = 0 THEN ['[''A'', ''Furniture'', ''Sofas'',]', '[''A'', None, ''x'']',
+                        '(''A'', ''Furniture'')', '''B'' ''C''', '[''A'', ''Furniture'', ''S''] junk',
+                        '[''A'', 5, ''x'']', '[''A'', ''Furniture'', ''x\\xa0'']'][n // 31 % 7 + 1]
                     WHEN n % 9 = 0 THEN '[''Home & Kitchen'', ''Bedding'', ''' || p_type || ''']'
                     WHEN n % 23 = 0 THEN '[''Home & Kitchen'', ''Furniture'']'
                     ELSE '[''Home & Kitchen'', ''Furniture'', ''' || p_type || ''']' END
                    AS categories,
                CASE WHEN n % 10 <> 3 THEN lower(p_type) END AS material,
-               CAST(NULL AS VARCHAR) AS color, CAST(NULL AS VARCHAR) AS style,
-               CAST(NULL AS VARCHAR) AS country_of_origin,
-               CASE WHEN n % 10 = 0 THEN 'unknown' ELSE '2020-0' || (n % 9 + 1) || '-15' END
+               ['Brown', 'Grey', ''][n % 4 + 1] AS color,
+               CASE WHEN n % 6 = 1 THEN 'Modern' END AS style,
+               CASE WHEN n % 5 = 2 THEN 'Denmark' END AS country_of_origin,
+               CASE n % 10 WHEN 0 THEN 'unknown' WHEN 1 THEN 'November 3, 2019'
+                    WHEN 2 THEN 'Nov 3, 2019' WHEN 3 THEN '11/03/2019' WHEN 4 THEN '3 November 2019'
+                    WHEN 5 THEN NULL ELSE '2020-0' || (n % 9 + 1) || '-15' END
                    AS date_first_available,
-               CAST(NULL AS VARCHAR) AS package_dimensions, CAST(NULL AS VARCHAR) AS manufacturer
+               CASE WHEN n % 3 = 0 THEN '20 x 30 x 40 inches' END AS package_dimensions,
+               CASE WHEN n % 4 = 3 THEN 'Maker ' || (n % 9) END AS manufacturer
         FROM (SELECT *, p_partkey AS n FROM part)""",
+    # The categories that are no JSON are few and known: form by form, what they hold.
     "parsed_products": """
-        SELECT *, json_extract_string(c, '$[1]') AS main_category,
-               json_extract_string(c, '$[2]') AS sub_category,
-               try_cast(replace(replace(price, '$', ''), ',', '') AS DOUBLE) AS amount,
-               CAST(json_array_length(c) AS INTEGER) AS items, json_extract_string(c, '$[0]') AS first_item
-        FROM (SELECT *, try_cast(replace(categories, '''', '"') AS JSON) AS c FROM raw_products)""",
+        SELECT * EXCLUDE (c, form),
+               CASE WHEN form IN (1, 3) THEN 'Furniture' WHEN form = 7 THEN 'Furniture' WHEN form = 4 THEN 'C'
+                    ELSE json_extract_string(c, '$[1]') END AS main_category,
+               CASE form WHEN 1 THEN 'Sofas' WHEN 2 THEN 'x' WHEN 6 THEN 'x' WHEN 7 THEN 'x'
+                    ELSE json_extract_string(c, '$[2]') END AS sub_category,
+               CASE form WHEN 6 THEN '5' ELSE main_category END AS preview_main,
+               CASE form WHEN 7 THEN 'x' || chr(160) ELSE sub_category END AS preview_sub,
+               try_cast(replace(replace(price, '$', ''), ',', '') AS DOUBLE) AS amount
+        FROM (SELECT *, CASE WHEN n % 31 = 0 AND n % 17 <> 0 THEN n // 31 % 7 + 1 END AS form,
+                     CASE WHEN n % 31 <> 0 THEN try_cast(replace(categories, chr(39), '"') AS JSON) END AS c
+              FROM (SELECT *, CAST(substr(asin, 2) AS BIGINT) AS n FROM raw_products))""",
     "furniture_products": "SELECT * FROM parsed_products WHERE main_category = 'Furniture'",
     "imputed": """
         SELECT p.* EXCLUDE (price),
@@ -120,7 +144,9 @@ _BASE = {
                upper(substr(coalesce(material, 'None'), 1, 1))
                    || lower(substr(coalesce(material, 'None'), 2)) AS material,
                color, style, country_of_origin,
-               try_cast(date_first_available AS DATE) AS date_first_available, manufacturer
+               CAST(try_strptime(date_first_available,
+                   ['%Y-%m-%d', '%B %d, %Y', '%b %d, %Y', '%m/%d/%Y', '%d %B %Y']) AS DATE)
+                   AS date_first_available, manufacturer
         FROM imputed""",
     "dim_date": """
         SELECT DISTINCT event_date, year, month, month_name, week_number, day_of_week, day_type,
@@ -216,7 +242,7 @@ _VIEWS = {
         SELECT product_id, brand, room_type, item_type, price_segment, {_STAGES},
                round(avg(price), 2) AS avg_price
         FROM fact GROUP BY product_id, brand, room_type, item_type, price_segment
-        HAVING views > 40 AND purchases = 0
+        HAVING views > 15 AND purchases = 0
         ORDER BY views DESC, product_id, brand, room_type, item_type, price_segment LIMIT 30""",
 }
 
@@ -261,10 +287,9 @@ _METRICS = {
                {_even('m + 2.0686576104190406 * sd / sqrt(n)', 1)} AS ci_95_high
         FROM (SELECT count(*) AS n, avg(purchases) AS m, stddev_samp(purchases) AS sd FROM hours)""",
     "hour_extremes": """
-        SELECT (SELECT hour FROM hours ORDER BY purchases DESC, hour LIMIT 1) AS peak_hour,
-               (SELECT max(purchases) FROM hours) AS peak_count,
-               (SELECT hour FROM hours ORDER BY purchases, hour LIMIT 1) AS trough_hour,
-               (SELECT min(purchases) FROM hours) AS trough_count""",
+        SELECT first(hour ORDER BY purchases DESC, hour) AS peak_hour, max(purchases) AS peak_count,
+               first(hour ORDER BY purchases, hour) AS trough_hour, min(purchases) AS trough_count
+        FROM hours WHERE hour IS NOT NULL""",
     "ranked_rooms": f"""
         SELECT room_type, purchases, views, {_CVR} AS cvr_pct FROM rooms WHERE views > 100""",
     "wilson": f"""
@@ -284,8 +309,8 @@ _METRICS = {
                     GROUP BY price_segment),
                    (SELECT avg(revenue) AS grand, var_pop(revenue) * count(*) AS sst FROM paid))""",
     "kruskal_samples": """
-        SELECT event_hour AS hour, count(*) AS cnt FROM fact WHERE event_type = 'purchase'
-        GROUP BY event_date, event_hour""",
+        SELECT event_hour AS hour, count(*) AS cnt FROM fact
+        WHERE event_type = 'purchase' AND event_hour IS NOT NULL GROUP BY event_date, event_hour""",
     "kruskal": """
         SELECT k AS hours, CAST(n AS BIGINT) AS samples,
                (12 * q / (n * (n + 1)) - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS h
@@ -309,10 +334,10 @@ _METRICS = {
                     ORDER BY purchases / CAST(views AS DOUBLE) DESC, room_type OFFSET 1))""",
     "gap_population": f"""
         SELECT product_id, views, purchases, CAST(revenue AS DOUBLE) AS revenue, {_CVR} AS cvr_pct
-        FROM products WHERE views >= 40""",
+        FROM products WHERE views >= 15""",
     "gaps": f"""
         SELECT product_id, views, purchases, revenue, cvr_pct, z_score,
-               coalesce(z_score < -1.0, false) OR purchases = 0 AS anomaly,
+               coalesce(z_score < -0.6, false) OR purchases = 0 AS anomaly,
                {_even('greatest(0.0::DOUBLE, (m / 100.0::DOUBLE * views - purchases) * 220.35::DOUBLE)', 0)}
                    AS revenue_lost
         FROM (SELECT *, {_even('(cvr_pct - m) / nullif(sd, 0)', 3)} AS z_score
@@ -327,19 +352,19 @@ _METRICS = {
         SELECT product_id, views, cart_adds, purchases, price, brand, room_type, price_segment,
                {_even('''views * 0.005::DOUBLE * (SELECT CAST(sum(order_price) AS DOUBLE)
                    / CAST(sum(purchases) AS DOUBLE) FROM products)''', 0)} AS est_revenue_lost,
-               CASE WHEN views >= 70 THEN 'CRITICAL' WHEN views >= 60 THEN 'HIGH' ELSE 'MEDIUM' END
+               CASE WHEN views >= 23 THEN 'CRITICAL' WHEN views >= 20 THEN 'HIGH' ELSE 'MEDIUM' END
                    AS severity,
                'ZERO_PURCHASE' AS alert_type, '2024-02-01' AS run_date
-        FROM products WHERE purchases = 0 AND views >= 50""",
+        FROM products WHERE purchases = 0 AND views >= 15""",
     "cvr_population": f"""
-        SELECT *, {_CVR} AS cvr_pct FROM products WHERE views >= 40 AND purchases > 0""",
+        SELECT *, {_CVR} AS cvr_pct FROM products WHERE views >= 15 AND purchases > 0""",
     "anomalies": f"""
         SELECT product_id, views, cart_adds, purchases, price, brand, room_type, price_segment,
                cvr_pct, z_score, expected_purchases,
                expected_purchases - purchases AS purchase_gap,
                {_even('''(expected_purchases - purchases) * (SELECT CAST(sum(paid_revenue) AS DOUBLE)
                    / CAST(sum(paid_orders) AS DOUBLE) FROM products)''', 0)} AS est_revenue_lost,
-               CASE WHEN z_score < -1.75 THEN 'CRITICAL' WHEN z_score < -1.7 THEN 'HIGH'
+               CASE WHEN z_score < -1.2 THEN 'CRITICAL' WHEN z_score < -1.1 THEN 'HIGH'
                     ELSE 'MEDIUM' END AS severity,
                {_even('m', 4)} AS mean_cvr_pct, 'CVR_ANOMALY' AS alert_type,
                '2024-02-01' AS run_date
@@ -347,7 +372,7 @@ _METRICS = {
                      {_even('views * m / 100.0::DOUBLE', 0)} AS expected_purchases
               FROM cvr_population, (SELECT avg(cvr_pct) AS m, stddev_samp(cvr_pct) AS sd
                                     FROM cvr_population))
-        WHERE z_score < -1.5""",
+        WHERE z_score < -1.0""",
     "trend": f"""
         SELECT event_date, views, purchases, CAST(revenue AS DOUBLE) AS revenue, cvr_pct,
                rolling_avg, {_even('(cvr_pct - rolling_avg) / nullif(rolling_avg, 0) * 100.0::DOUBLE', 2)}
@@ -362,7 +387,7 @@ _METRICS = {
                          AS rev_rolling
               FROM (SELECT event_date, views, purchases, revenue, {_CVR} AS cvr_pct
                     FROM (SELECT event_date, {_STAGES}, {_REVENUE} AS revenue
-                          FROM fact GROUP BY event_date))
+                          FROM fact WHERE event_date IS NOT NULL GROUP BY event_date))
               WINDOW w AS (ORDER BY event_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))""",
     "drops": """
         SELECT *, CASE WHEN cvr_vs_avg < -40 THEN 'CRITICAL' WHEN cvr_vs_avg < -30 THEN 'HIGH'
@@ -478,8 +503,7 @@ _PRODUCT_COLUMNS = (
 
 _PREVIEW = """
     SELECT asin, title, brand, amount AS price_clean,
-           CASE WHEN items > 1 THEN main_category ELSE first_item END AS main_category,
-           sub_category, availability, material, color, style, country_of_origin,
+           preview_main AS main_category, preview_sub AS sub_category, availability, material, color, style, country_of_origin,
            date_first_available
     FROM parsed_products"""
 
@@ -586,7 +610,10 @@ _BODIES = {
     "day_type_counts": _counts("dim_date", "day_type"),
     "product_sub_category_counts": _counts("clean_products", "sub_category"),
     "product_price_segment_counts": _counts("clean_products", "price_segment"),
-    "price_describe": _describe("furniture", "price"),
+    "price_describe": _describe(
+        "(SELECT CASE WHEN isfinite(try_cast(price AS DOUBLE)) THEN CAST(price AS DOUBLE) END AS price"
+        " FROM furniture)", "price"
+    ),
     "product_price_describe": _describe("parsed_products", "amount"),
     "clean_price_describe": _describe("clean_products", "price"),
     "unique_brands": "SELECT count(DISTINCT brand) AS distinct_count FROM raw_products",
@@ -684,7 +711,7 @@ _BODIES = {
         SELECT event_hour, day_type, purchases FROM vw_hourly_behavior
         ORDER BY purchases DESC, event_hour, day_type LIMIT 1""",
     "report_daily_revenue": "SELECT event_date, daily_revenue FROM vw_daily_trend",
-    "report_gap": "SELECT *, views > 1000 AS highlight FROM vw_high_view_no_purchase",
+    "report_gap": "SELECT *, views > 20 AS highlight FROM vw_high_view_no_purchase",
     "funnel_stats": "SELECT * EXCLUDE (vs_industry_pct, chi2_statistic) FROM funnel",
     "funnel_chi2": "SELECT views, purchases, chi2_statistic, vs_industry_pct FROM funnel",
     "funnel_chi2_p": f"""
@@ -734,7 +761,7 @@ _BODIES = {
         SELECT product_id, views, purchases, cvr_pct, z_score, revenue_lost FROM gaps
         WHERE anomaly ORDER BY views DESC, product_id LIMIT 10""",
     "gap_top15": """
-        SELECT product_id, views, z_score, revenue_lost, coalesce(z_score < -3, false) AS severe
+        SELECT product_id, views, z_score, revenue_lost, coalesce(z_score < -1.0, false) AS severe
         FROM gaps WHERE anomaly ORDER BY views DESC, product_id LIMIT 15""",
     "insight_kpi_summary": """
         SELECT 'Overall CVR %' AS metric, overall_cvr_pct AS value FROM funnel
@@ -772,13 +799,15 @@ _BODIES = {
         SELECT 'CVR_ANOMALY' AS detector, count(*) AS analyzed, {_even('avg(cvr_pct)', 4)} AS mean_cvr,
                {_even('stddev_samp(cvr_pct)', 4)} AS std_cvr,
                (SELECT count(*) FROM anomalies) AS flagged,
-               (SELECT coalesce(sum(est_revenue_lost), 0) FROM anomalies) AS est_revenue_lost
+               (SELECT coalesce(sum(est_revenue_lost), 0) FROM anomalies) AS est_revenue_lost,
+               CAST(NULL AS BIGINT) AS undated_events
         FROM cvr_population
         UNION ALL
-        SELECT 'ZERO_PURCHASE', NULL, NULL, NULL, count(*), coalesce(sum(est_revenue_lost), 0)
+        SELECT 'ZERO_PURCHASE', NULL, NULL, NULL, count(*), coalesce(sum(est_revenue_lost), 0), NULL
         FROM zero
         UNION ALL
-        SELECT 'DAILY_CVR_DROP', count(*), NULL, NULL, count(*) FILTER (cvr_vs_avg < -20), NULL
+        SELECT 'DAILY_CVR_DROP', count(*), NULL, NULL, count(*) FILTER (cvr_vs_avg < -20), NULL,
+               (SELECT count(*) FILTER (event_date IS NULL) FROM fact)
         FROM trend""",
     "alert_log": "SELECT * FROM log",
     "watchlist": """
@@ -828,7 +857,7 @@ _BODIES = {
         UNION ALL SELECT 'Industry Benchmark', 2.0::DOUBLE""",
     "hourly_with_ci": """
         SELECT hour, purchases, ci_95_low, ci_95_high,
-               hour = (SELECT peak_hour FROM hour_extremes) AS is_peak
+               coalesce(hour = (SELECT peak_hour FROM hour_extremes), false) AS is_peak
         FROM hours, hour_interval""",
     "segment_cvr_chart": f"SELECT price_segment, {_CVR} AS cvr_pct FROM segments",
     "room_ci_error_bars": f"""

@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roomlens.functions.numbers import text_to_double
 from roomlens.operators import (
     clean_events,
     clean_products,
@@ -35,15 +36,18 @@ RUN_DATE = "2024-02-01"
 RUN_TS = "2024-02-01 08:00:00"
 
 PROFILE = Thresholds(
-    zero_purchase_min_views=50,
-    zero_purchase_critical_views=70,
-    zero_purchase_high_views=60,
-    min_views_for_analysis=40,
-    cvr_z_alert=-1.5,
-    cvr_z_critical=-1.75,
-    cvr_z_high=-1.7,
-    gap_view_min_views=40,
-    gap_min_views=40,
+    zero_purchase_min_views=15,
+    zero_purchase_critical_views=23,
+    zero_purchase_high_views=20,
+    min_views_for_analysis=15,
+    cvr_z_alert=-1.0,
+    cvr_z_critical=-1.2,
+    cvr_z_high=-1.1,
+    gap_view_min_views=15,
+    gap_view_highlight=20,
+    gap_min_views=15,
+    gap_z=-0.6,
+    gap_severe_z=-1.0,
 )
 
 
@@ -66,11 +70,11 @@ class Inputs:
 
     @cached_property
     def stg_events(self) -> DataFrame:
-        return staging.stage_events(adapter.as_csv_text(self.furniture), RUN_TS)
+        return staging.stage_events(self.furniture, RUN_TS)
 
     @cached_property
     def clean(self) -> DataFrame:
-        return clean_events.clean_events(self.furniture)
+        return clean_events.clean_events(self.stg_events)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -108,6 +112,10 @@ class Inputs:
     def products(self) -> DataFrame:
         return shared_table(metrics.product_metrics(metrics.product_grain(self.fact)), "products")
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        return shared_table(statistics.paid_orders(self.fact), "paid-orders")
+
     @cached_property
     def totals(self) -> DataFrame:
         return metrics.measure(self.fact)
@@ -180,9 +188,13 @@ class Inputs:
     def anomalies(self) -> DataFrame:
         return detect.cvr_anomalies(self.products, RUN_DATE, PROFILE)
 
+    @cached_property
+    def days(self) -> DataFrame:
+        return shared_table(metrics.daily_metrics(self.fact), "days")
+
     @cached_property
     def trend(self) -> DataFrame:
-        return detect.daily_trend(metrics.daily_metrics(self.fact), PROFILE)
+        return detect.daily_trend(self.days, PROFILE)
 
     @cached_property
     def drops(self) -> DataFrame:
@@ -190,8 +202,7 @@ class Inputs:
 
     @cached_property
     def detectors(self) -> dict[str, DataFrame]:
-        days = metrics.daily_metrics(self.fact)
-        return detection.detectors(self.grain, days, RUN_DATE, RUN_TS, PROFILE)
+        return detection.detectors(self.grain, self.days, RUN_DATE, RUN_TS, PROFILE)
 
     @cached_property
     def insights(self) -> dict[str, DataFrame]:
@@ -262,7 +273,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "day_type_counts": lambda i: profiling.value_counts(model.dim_date(i.clean), "day_type"),
     "product_sub_category_counts": lambda i: profiling.value_counts(i.clean_products, "sub_category"),
     "product_price_segment_counts": lambda i: profiling.value_counts(i.clean_products, "price_segment"),
-    "price_describe": lambda i: quantiles.describe(i.furniture, "price"),
+    "price_describe": lambda i: quantiles.describe(
+        i.furniture.selectExpr(f"{text_to_double('price')} AS price"), "price"
+    ),
     "product_price_describe": lambda i: quantiles.describe(
         i.raw_products.selectExpr(f"{clean_products.price_number()} AS price"), "price"
     ),
@@ -287,7 +300,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     # Cleaning
     "furniture_events": lambda i: i.furniture,
-    "clean_events": lambda i: clean_events.clean_events(i.stg_events),
+    "clean_events": lambda i: i.clean,
     "clean_products": lambda i: i.clean_products,
     "price_imputed": _impute,
     "availability_clean": lambda i: profiling.value_counts(i.clean_products, "availability"),
@@ -331,9 +344,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         "views", "purchases", "chi2_statistic", "vs_industry_pct"
     ),
     "funnel_chi2_p": lambda i: statistics.funnel_p(i.totals, PROFILE),
-    "anova_segments": lambda i: statistics.segment_anova(statistics.paid_orders(i.fact)),
-    "anova_segments_p": lambda i: statistics.segment_anova_p(statistics.paid_orders(i.fact), PROFILE),
-    "segment_descriptive": lambda i: statistics.segment_descriptive(statistics.paid_orders(i.fact)),
+    "anova_segments": lambda i: statistics.segment_anova(i.orders),
+    "anova_segments_p": lambda i: statistics.segment_anova_p(i.orders, PROFILE),
+    "segment_descriptive": lambda i: statistics.segment_descriptive(i.orders),
     "segment_cvr": lambda i: statistics.group_cvr(i.segments, "price_segment"),
     "hourly_behavior": lambda i: i.hours,
     "hourly_ci": lambda i: statistics.hourly_interval(i.hours),
@@ -371,7 +384,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "zero_purchase_top5": lambda i: detect.top_zero_purchase(i.zero),
     "cvr_anomaly_top5": lambda i: detect.top_cvr_anomalies(i.anomalies),
     "detector_summary": lambda i: detect.detector_summary(
-        i.products, i.zero, i.anomalies, i.trend, PROFILE
+        i.products, i.zero, i.anomalies, i.trend, i.days, PROFILE
     ),
     # Alert outputs and dashboard datasets
     "alert_log": lambda i: i.detectors["alert_log"].drop("timestamp"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from roomlens.operators import clean_products as products, staging
 from roomlens.operators.clean_events import clean_events
+from roomlens.operators.clean_products import date_text
 from roomlens.testbed import adapter
 from tests.conftest import SMALL_DIR
 
@@ -62,13 +63,58 @@ def test_filter_drops_missing_category(make_events):
 
 
 def test_text_and_typed_paths_agree(spark):
-    typed = staging.furniture_only(adapter.raw_events(spark, SMALL_DIR))
-    staged = staging.stage_events(adapter.as_csv_text(typed), "2024-02-01 00:00:00")
+    staged = staging.stage_events(
+        staging.furniture_only(adapter.raw_events(spark, SMALL_DIR)), "2024-02-01 00:00:00"
+    )
+    typed = staged.selectExpr(
+        "* EXCEPT (event_time, price)", "try_to_timestamp(event_time) AS event_time",
+        "try_cast(price AS DOUBLE) AS price",
+    )
+    assert typed.where("isnan(price)").count() > 0
     a, b = clean_events(typed), clean_events(staged)
     assert a.schema == b.schema
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_prices_that_are_no_finite_number_count_as_zero(spark, make_events):
+    typed = make_events([{}] * 4).drop("price").limit(1).selectExpr(
+        "*", "explode(array(DOUBLE('NaN'), DOUBLE('Infinity'), DOUBLE(NULL), 5D)) AS price"
+    )
+    found = {(r.price, r.price_segment, r.is_zero_price) for r in clean_events(typed).collect()}
+    assert found == {(0.0, "Unknown", 1), (5.0, "Budget", 0)}
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01", "0.1"])
+def test_adapter_keeps_every_event(spark, scale):
+    folder = f"/root/testdata/sf{scale}"
+    raw = adapter.raw_events(spark, folder)
+    assert raw.count() == spark.read.parquet(f"{folder}/events.parquet").count()
+    assert {r[0] for r in raw.select("event_type").distinct().collect()} == {
+        "view", "cart", "purchase", "remove_from_cart", None,
+    }
+
+
+def test_adapter_plants_bad_rows_and_growing_products(spark):
+    raw = adapter.raw_events(spark, "/root/testdata/sf0.1")
+    (row,) = raw.selectExpr(
+        "count_if(event_time = 'no time') AS times", "count_if(price IN ('abc', 'nan')) AS prices",
+        "count_if(brand = '') AS brands", "count(DISTINCT product_id) AS products",
+    ).collect()
+    assert min(row.times, row.prices, row.brands) > 500 and row.products > 1000
+    hot = raw.groupBy("product_id").count().agg(F.max("count")).first()[0]
+    assert hot > 0.1 * raw.count()
+
+
+def test_catalogue_dates(spark):
+    texts = [
+        "November 3, 2019", "Nov 3, 2019", "2019-11-03", "2019-11-3", "11/03/2019", "3 November 2019",
+        "03 Nov 2019", " 2019/11/03 ", "20191103", "unknown", "", None, "13/45/2019",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    found = [r[0] for r in df.selectExpr(f"{date_text('t')} AS d", "i").orderBy("i").collect()]
+    assert found == [dt.date(2019, 11, 3)] * 9 + [None] * 4
+
+
 def test_staging_keeps_text_and_stamps(make_events, rows):
     frame = make_events([{"price": "1d"}]).withColumn("product_id", F.lit("12x"))
     (row,) = rows(staging.stage_events(frame, "2024-02-01 08:00:00"))

@@ -5,7 +5,8 @@ import math
 import numpy as np
 import pytest
 
-from roomlens.functions import numbers, segments, tails, text
+from roomlens.functions import literals, numbers, segments, tails, text
+from roomlens.operators import profiling
 
 
 def evaluate(spark, sql, column, values, kind):
@@ -36,17 +37,36 @@ def test_rates_round_half_up_and_survive_zero(spark):
     assert [tuple(r) for r in found] == [(0.78, 0.7812), (None, None), (None, None)]
 
 
-def test_list_literal_and_unquote(spark):
-    values = [
-        "['Home & Kitchen', 'Furniture', 'X']", '["a", "Men\'s", "c"]', r"['a', 'Women\'s']",
-        "garbage", "['only']", "[]", None,
-    ]
-    assert evaluate(spark, f"get({text.list_literal('t')}, 1)", "t", values, "STRING") == [
-        "Furniture", "Men's", "Women's", None, None, None, None,
-    ]
-    assert evaluate(spark, text.unquote("t"), "t", ["  'a b'\t", '"x"', "y'z"], "STRING") == [
-        "a b", "x", "y'z",
-    ]
+# Text, then main and sub category as cleaned, then both as shown.
+LITERALS = [
+    ("['Home & Kitchen', 'Furniture', 'X']", ("Furniture", "X", "Furniture", "X")),
+    ('["a", "Men\'s", " \'c\' "]', ("Men's", "c", "Men's", " 'c' ")),
+    (r"['a', 'Women\'s']", ("Women's", None, "Women's", None)),
+    ("['A','Furniture','Sofas',]", ("Furniture", "Sofas", "Furniture", "Sofas")),
+    ("['A', None, 'x']", (None, "x", None, "x")),
+    ("('A','Furniture')", ("Furniture", None, "Furniture", None)),
+    ("'B' 'C'", ("C", None, "C", None)),
+    ("['A','Furniture','S'] junk", (None, None, None, None)),
+    ("['A', 5, 'x']", (None, "x", "5", "x")),
+    (r"['A', 'Furniture', 'x\xa0']", ("Furniture", "x", "Furniture", "x\xa0")),
+    ("garbage", (None,) * 4), ("['only']", (None, None, "only", None)), ("[]", (None,) * 4), (None, (None,) * 4),
+    ("{1: 'a', 2: 'b', 3: 'c'}", ("a", "b", "a", "b")), ("{'a', 'b'}", (None,) * 4), ("7", (None,) * 4),
+]
+
+
+def test_category_entries(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LITERALS)], "i INT, t STRING")
+    found = df.select("i", literals.category_entries("t").alias("e")).orderBy("i").select("e.*").collect()
+    assert [tuple(r) for r in found] == [expected for _, expected in LITERALS]
+
+
+def test_quoted_values_and_names(spark):
+    odd = "it's a \\ `name`"
+    df = spark.createDataFrame([(1,)], ["a`b c"])
+    row = df.selectExpr(f"{text.literal(odd)} AS v", f"{text.name('a`b c')} AS n").first()
+    assert (row.v, row.n) == (odd, 1)
+    assert profiling.value_counts(df, "a`b c").first().value == 1
+    assert profiling.null_profile(df).first().column_name == "a`b c"
 
 
 @pytest.mark.parametrize("word", ["men's engineered-wood", "MDF", "a1b c", "o'neill é-è", "x"])

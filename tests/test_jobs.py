@@ -81,6 +81,13 @@ def test_date_filter_prunes_partitions(built):
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
 
+def test_columns_are_taken_by_name(spark, tmp_path, rows):
+    lines = [line.split(",") for line in EVENTS.splitlines() if '"' not in line]
+    (tmp_path / "e.csv").write_text("\n".join(",".join([*reversed(line), "more"]) for line in lines))
+    found = rows(readers.read_events_csv(spark, str(tmp_path / "e.csv")))
+    assert list(found[0]) == schemas.RAW_EVENTS.fieldNames() and found[0]["price"] == "437.33"
+
+
 def test_header_mismatch_fails(spark, tmp_path):
     (tmp_path / "e.csv").write_text("a,b,c\n1,2,3\n")
     with pytest.raises(Exception, match="header|HEADER|schema|column"):
@@ -103,6 +110,8 @@ def test_jobs_write_their_outputs(built, spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM vw_daily_trend").first()[0] == 4
 
     insights.run(fact, str(tmp_path / "insights"), "2019-12-01", LIMITS)
+    best = spark.read.option("header", True).csv(str(tmp_path / "report/q_best_rooms"))
+    assert best.count() > 0 and "cvr_pct" in best.columns
     for name in (*insights.EXPORTS, "findings"):
         assert spark.read.option("header", True).csv(str(tmp_path / "insights" / name)).count() > 0
 
@@ -111,6 +120,25 @@ def test_jobs_write_their_outputs(built, spark, tmp_path):
     assert summary.first()["total_alerts"] == logged > 0
 
 
+def test_daily_detection_reads_the_new_day_only(built, spark, tmp_path):
+    fact = built.table("fact_user_events")
+    args = ("2019-12-01", "2019-12-01 08:00:00", LIMITS)
+    whole = detection.run(fact, str(tmp_path / "whole"), *args).first()
+    detection.run(fact.where("event_date < DATE '2019-11-03'"), str(tmp_path / "daily"), *args)
+    new = fact.where("event_date IS NULL OR event_date >= DATE '2019-11-03'")
+    assert detection.run(new, str(tmp_path / "daily"), *args, since="2019-11-03").first() == whole
+    stored = spark.read.parquet(str(tmp_path / "daily/product_days"))
+    assert stored.agg({"events": "sum"}).first()[0] == fact.count()
+
+
+def test_report_scans_the_fact_three_times(built):
+    fact = built.table("fact_user_events")
+    frames = reporting.datasets(fact, LIMITS)
+    plans = [f._jdf.queryExecution().executedPlan().toString() for n, f in frames.items() if n.startswith("vw_")]
+    # Besides the two stored aggregates: the product list.
+    assert sum("fact_user_events" in plan for plan in plans) == 1
+
+
 def test_scratch_folder_needs_a_shared_setting(spark):
     class Context:
         master, applicationId = "spark://host:7077", "app-1"
@@ -175,4 +203,20 @@ def test_command_line(spark, tmp_path, capsys):
     out = ["--out", str(tmp_path / "out"), "--run-date", "2019-12-01"]
     command_line.main(["detect", *root, *out, "--run-ts", "2019-12-01 08:00:00"])
     assert "revenue_at_risk" in capsys.readouterr().out
+    read = spark.read.option("header", True)
+    checks = read.csv(str(tmp_path / "tables/checks/staging/zero_prices/run_date=2019-12-01"))
+    assert checks.first()["zero_price_events"] == "2"
+    assert read.csv(str(tmp_path / "tables/checks/clean/rooms/run_date=2019-12-01")).count() == 2
+
+    many = "\n".join(f"2019-11-01 00:00:03+00:00,view,{i},20,furniture.r{i}.x,,1,1,aa" for i in range(80))
+    (tmp_path / "many.csv").write_text(EVENTS + many)
+    raw[1] = str(tmp_path / "many.csv")
+    command_line.main(["profile", *raw, *out])
+    for name in ("events/shape", "events/furniture_dates", "products/prices", "products/materials"):
+        assert read.csv(str(tmp_path / "out" / name)).count() >= 1
+    whole = read.csv(str(tmp_path / "out/events/furniture_categories/run_date=2019-12-01"))
+    assert whole.count() > 80
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch.scratch_folder(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert not files.exists(folder) or not any("scope-" in str(f.getPath()) for f in files.listStatus(folder))
     assert command_line.parser().parse_args(["report", *root, *out]).job == "report"

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from roomlens.operators.quantiles import VALUE_RANGE, describe, frequencies, moments, quantiles
+from roomlens.operators.quantiles import SLICE, VALUE_RANGE, describe, frequencies, moments, quantiles
 
 SHARES = {"q0": 0.0, "q10": 0.1, "q50": 0.5, "q75": 0.75, "q100": 1.0}
 
@@ -65,3 +65,18 @@ def test_describe_and_moments(spark):
     assert row == pytest.approx(expected, abs=1e-6)
     one = moments(frequencies(frame(spark, [("a", 2.0), ("b", 1.0), ("b", 1.0)]), "v", ["k"]), ["k"])
     assert {r["k"]: (r["count"], r["std"]) for r in one.collect()} == {"a": (1, None), "b": (2, 0.0)}
+
+
+def test_crowded_ranges_are_cut_again(spark):
+    """Two hundred thousand amounts within a thousandth of their size, in 10,000 groups."""
+    rows = spark.range(200_000).selectExpr("STRING(id % 10000) AS k", "1e6 + id * 0.005D AS v")
+    values = 1e6 + np.arange(200_000) * 0.005
+    row = quantiles(frequencies(rows, "v", ["k"]), SHARES).first()
+    assert [row[q] for q in SHARES] == pytest.approx([np.quantile(values, s) for s in SHARES.values()], abs=1e-6)
+    first = rows.selectExpr("v AS value", f"{VALUE_RANGE.replace('value', 'v')} AS cut")
+    assert first.groupBy("cut").count().agg({"count": "max"}).first()[0] > 10_000
+    bounds = first.groupBy("cut").agg({"value": "min"}).withColumnRenamed("min(value)", "lo").join(
+        first.groupBy("cut").agg({"value": "max"}).withColumnRenamed("max(value)", "hi"), "cut"
+    )
+    slices = first.join(bounds, "cut").selectExpr("cut", f"{SLICE} AS slice").groupBy("cut", "slice").count()
+    assert slices.agg({"count": "max"}).first()[0] < 1_000

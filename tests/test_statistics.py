@@ -7,6 +7,7 @@ import pytest
 
 from roomlens.functions import tails
 from roomlens.operators import metrics, statistics
+from roomlens.operators.quantiles import frequencies
 from roomlens.sources.scratch import shared_table
 from roomlens.thresholds import Thresholds
 from tests.conftest import events
@@ -36,11 +37,14 @@ def test_funnel_without_views(make_fact, rows):
     assert test["p_value"] is None and test["significant"] is False
 
 
+def amounts(spark, data):
+    orders = spark.createDataFrame(data, "price_segment STRING, revenue DOUBLE")
+    return frequencies(orders, "revenue", ["price_segment"])
+
+
 def test_anova_textbook(spark, rows):
     groups = {"a": [6, 8, 4, 5, 3, 4], "b": [8, 12, 9, 11, 6, 8], "c": [13, 9, 11, 8, 7, 12]}
-    orders = spark.createDataFrame(
-        [(k, float(v)) for k, values in groups.items() for v in values], "price_segment STRING, revenue DOUBLE"
-    )
+    orders = amounts(spark, [(k, float(v)) for k, values in groups.items() for v in values])
     (row,) = rows(statistics.segment_anova(orders))
     assert (row["df_between"], row["df_within"], row["f_statistic"]) == (2, 15, 9.26)
     assert row["eta_squared"] == 0.5526 and row["effect"] == "large"
@@ -50,7 +54,7 @@ def test_anova_textbook(spark, rows):
 
 def test_anova_counts_orders_without_band_in_total_only(spark, rows):
     data = [("a", 1.0), ("a", 2.0), ("b", 5.0), (None, 100.0)]
-    orders = spark.createDataFrame(data, "price_segment STRING, revenue DOUBLE")
+    orders = amounts(spark, data)
     (row,) = rows(statistics.segment_anova(orders))
     values = np.array([v for _, v in data])
     grand = values.mean()
@@ -62,9 +66,7 @@ def test_anova_counts_orders_without_band_in_total_only(spark, rows):
 
 
 def test_segment_descriptive(spark, rows):
-    orders = spark.createDataFrame(
-        [("a", 1.0), ("a", 2.0), ("a", 9.0), ("b", 4.0), (None, 3.0)], "price_segment STRING, revenue DOUBLE"
-    )
+    orders = amounts(spark, [("a", 1.0), ("a", 2.0), ("a", 9.0), ("b", 4.0), (None, 3.0)])
     found = {r["price_segment"]: r for r in rows(statistics.segment_descriptive(orders))}
     assert found["a"] == dict(price_segment="a", count=3, mean=4.0, median=2.0, std=4.36)
     assert found["b"]["std"] is None and set(found) == {"a", "b"}
