@@ -283,9 +283,12 @@ _METRICS = {
         FROM (SELECT event_hour AS hour, {_STAGES} FROM fact GROUP BY event_hour)""",
     "hour_interval": f"""
         SELECT n AS hours, {_even('m', 1)} AS mean_per_hour,
-               {_even('m - 2.0686576104190406 * sd / sqrt(n)', 1)} AS ci_95_low,
-               {_even('m + 2.0686576104190406 * sd / sqrt(n)', 1)} AS ci_95_high
-        FROM (SELECT count(*) AS n, avg(purchases) AS m, stddev_samp(purchases) AS sd FROM hours)""",
+               {_even('m - t * sd / sqrt(n)', 1)} AS ci_95_low,
+               {_even('m + t * sd / sqrt(n)', 1)} AS ci_95_high
+        FROM (SELECT count(*) AS n, avg(purchases) AS m, stddev_samp(purchases) AS sd,
+                     CASE count(*) WHEN 24 THEN 2.0686576104190406 WHEN 25 THEN 2.0638985616280205 END
+                         AS t
+              FROM hours)""",
     "hour_extremes": """
         SELECT first(hour ORDER BY purchases DESC, hour) AS peak_hour, max(purchases) AS peak_count,
                first(hour ORDER BY purchases, hour) AS trough_hour, min(purchases) AS trough_count
