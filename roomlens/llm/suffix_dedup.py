@@ -269,12 +269,12 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         plain = docs.withColumn("doc", F.col("doc_id").cast("long"))
         return plain, plain
     keyed = shared_table(
-        docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(_text()).alias("_key")).distinct()
-        .withColumn("_order", F.struct("_id", "_key")), "suffix-ids",
+        docs.select(F.col("doc_id").cast("long").alias("old_id"), F.xxhash64(_text()).alias("old_key")).distinct()
+        .withColumn("old_order", F.struct("old_id", "old_key")), "suffix-ids",
     )
-    numbers = shared_table(dense_key(keyed, "doc", "_order").select("doc", "_id", "_key"), "suffix-numbers")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(_text()) == F.col("_key"))
-    every = docs.join(numbers, same).drop("_id", "_key")
+    numbers = shared_table(dense_key(keyed, "doc", "old_order").select("doc", "old_id", "old_key"), "suffix-numbers")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("old_id")) & (F.xxhash64(_text()) == F.col("old_key"))
+    every = docs.join(numbers, same).drop("old_id", "old_key")
     return every, every.dropDuplicates(["doc"])
 
 
