@@ -102,14 +102,23 @@ def jaccard(a: str, b: str, size=8) -> float:
     return len(x & y) / len(x | y)
 
 
-def dedup_lines(rows, threshold=0.8) -> dict:
+def dedup_lines(rows, threshold=0.8, size=8) -> dict:
     """doc_id -> text with one line kept of each component, from (doc_id, text) rows."""
     places = defaultdict(list)
     for doc_id, text in rows:
         for at, line in enumerate((text or "").split("\n")):
             if line.strip(" \t\r"):
                 places[line.strip(" \t\r")].append((doc_id, at))
-    root = components(places, lambda a, b: jaccard(a, b) >= threshold)
+    sets = {x: {x[i : i + size] for i in range(max(1, len(x) - size + 1))} for x in places}
+
+    def linked(a, b):
+        x, y = sets[a], sets[b]
+        if min(len(x), len(y)) < threshold * max(len(x), len(y)):
+            return False
+        common = len(x & y)
+        return common >= threshold * (len(x) + len(y) - common)
+
+    root = components(places, linked)
     groups = defaultdict(list)
     for line, found in places.items():
         groups[root[line]] += found

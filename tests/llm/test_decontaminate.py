@@ -11,7 +11,7 @@ LONG = "one two three four five six seven eight nine ten eleven twelve"
 
 def outcome(docs, items, **options):
     found = decontaminate.contamination(docs, items, **options).collect()
-    return sorted((r.doc_id or -1, r.n_words, r.n_hit, list(r["items"])) for r in found)
+    return sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in found)
 
 
 @pytest.mark.parametrize("broadcast", [1 << 26, 0])
@@ -34,7 +34,7 @@ ITEMS = [(1, LONG), (2, "Short item"), (3, None), (4, "..."), (None, "école"),
 def test_edges(spark):
     docs = spark.createDataFrame([(*d, "w", 1) for d in DOCS], "doc_id long, text string, words string, n_words int")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    expected = sorted((d or -1, *rest) for d, *rest in brute.contamination(DOCS, ITEMS))
+    expected = sorted((-1 if d is None else d, *rest) for d, *rest in brute.contamination(DOCS, ITEMS))
     assert outcome(docs, items) == outcome(docs, items, max_broadcast_bytes=0) == expected
     empty = items.limit(0)
     assert all(not hit for _, _, hit, _ in outcome(docs, empty)) and len(outcome(docs, empty)) == len(DOCS)

@@ -34,7 +34,7 @@ def test_type_format_and_coreference(spark):
     before, after = pii.find_mentions(TEXT), pii.find_mentions(row.text)
     assert [m.kind for m in before] == [m.kind for m in after]  # checksums hold, genders and scripts match
     assert not {m.canonical for m in before} & {m.canonical for m in after}
-    assert (row.n_mentions, row.n_entities) == (21, 18)
+    assert (row.n_mentions, row.n_entities) == (21, 17)
     parts = [row.text[m.start : m.end] for m in after]
     assert parts[2] == parts[3] and parts[1] == parts[4] and parts[5].endswith(parts[6][-8:]) and parts[5].startswith("+1 (")
     assert parts[7].replace(" ", "") == parts[8] and parts[9].count(" ") == 5 and parts[9].startswith("DE")

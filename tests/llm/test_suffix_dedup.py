@@ -82,4 +82,4 @@ def test_rows_that_share_an_id(spark):
     for row in found:
         by_id.setdefault(row.doc_id, []).append(bytes(row.kept).decode())
     assert by_id[None] == ["null " + one]  # a null id is the smallest
-    assert sorted(by_id[1]) == ["", "", "other "] and by_id[2] == [""]
+    assert sorted(by_id[1]) == ["", "", "other"] and by_id[2] == [""]
