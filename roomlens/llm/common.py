@@ -5,12 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MAX_BROADCAST_BYTES = 64 << 20
+BATCH_ROWS = 1000
 OUTPUT_BYTES = 8 << 20
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings for rows that hold whole texts; call once on a session.
+
+    A batch of Spark's usual 10,000 documents is tens of megabytes, held several times over on its
+    way to a Python worker and back. Results do not depend on the size of a batch.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def broadcast_if_small(stored: DataFrame, row_bytes: str, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``stored`` with a broadcast hint if its measured size allows; else left to a shuffled join.
 

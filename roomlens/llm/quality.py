@@ -147,7 +147,7 @@ def _feature_rows(docs: DataFrame) -> np.ndarray:
             )
 
     found = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, x array<double>").toArrow()
-    rows = np.array(found["x"].to_pylist(), dtype=np.float64).reshape(-1, FEATURES)
+    rows = found["x"].combine_chunks().flatten().to_numpy().reshape(-1, FEATURES)
     ids = np.array([-1 if i is None else i for i in found["doc_id"].to_pylist()], dtype=np.int64)
     return rows[np.lexsort((*rows.T[::-1], ids))]
 

@@ -11,6 +11,7 @@ from roomlens.llm import (
     bpe, chat_format, decontaminate, html_extract, line_dedup, pii, quality, simhash, suffix_dedup,
     topk_search,
 )
+from roomlens.llm.common import configure
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SURROGATE_KEY = b"a key of the test queries; production keys come from a secret store"
@@ -18,6 +19,7 @@ CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    configure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
