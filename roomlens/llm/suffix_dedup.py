@@ -22,7 +22,8 @@ from roomlens.sources.scratch import shared_table
 LENGTH = 100
 GRAM = 20
 _WINDOW = LENGTH - GRAM + 1  # grams in a window
-_PIECE = 1 << 19  # bytes scanned at a time
+_PIECE = 1 << 18  # bytes scanned at a time
+SHARD_BYTES = 16 << 20  # contexts sorted at a time; a gram of more is one shard
 _SIZE_BITS = 8  # a context has LENGTH + _WINDOW - 1 = 180 bytes at most
 _SEPARATOR = 0xFF  # no byte of UTF-8
 _P, _Q = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
@@ -212,32 +213,45 @@ def repeats_in_shard(parts: list[bytes], memory_bytes: int = 32 << 20) -> np.nda
     return repeated
 
 
-def shard_repeats(cut: DataFrame, memory_bytes: int = 32 << 20) -> DataFrame:
-    """(doc, begin, end): byte ranges covered by windows that repeat an earlier one, by shard."""
-    dealt = cut.repartition("gram").sortWithinPartitions("doc", "offset")
+def shard_repeats(cut: DataFrame, shard_bytes: int = SHARD_BYTES, memory_bytes: int = 32 << 20) -> DataFrame:
+    """(doc, begin, end): byte ranges covered by windows that repeat an earlier one.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, offsets, parts = [], [], []
-        for batch in batches:
-            docs.append(batch["doc"].to_numpy())
-            offsets.append(batch["offset"].to_numpy())
-            parts += batch["bytes"].to_pylist()
-        if not parts:
-            return
-        doc, offset = np.concatenate(docs), np.concatenate(offsets)
-        repeated = repeats_in_shard(parts, memory_bytes)
+    Spark deals the contexts by gram and sorts them; a task takes whole grams, about ``shard_bytes``
+    of them at a time, as one shard, so its memory does not grow with its partition.
+    """
+    dealt = cut.repartition("gram").sortWithinPartitions("gram")
+
+    def ranges(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows)
+        order = np.lexsort((table["offset"].to_numpy(), table["doc"].to_numpy()))  # the order of the corpus
+        table = table.take(pa.array(order))
+        doc, offset, parts = table["doc"].to_numpy(), table["offset"].to_numpy(), table["bytes"].to_pylist()
+        at = np.nonzero(repeats_in_shard(parts, memory_bytes))[0]
         sizes = np.array([len(p) + 1 for p in parts], np.int64)
         starts = np.cumsum(sizes) - sizes
-        at = np.nonzero(repeated)[0]
-        if not len(at):
-            return
         owner = np.searchsorted(starts, at, side="right") - 1
-        first = np.r_[True, (np.diff(at) != 1) | (np.diff(owner) != 0)]
-        begin, end, owner = at[first], at[np.r_[first[1:], True]], owner[first]
+        first = np.r_[np.ones(min(1, len(at)), bool), (np.diff(at) != 1) | (np.diff(owner) != 0)]
+        last = np.r_[first[1:], np.ones(min(1, len(at)), bool)]
+        begin, end, owner = at[first], at[last], owner[first]
         begin, end = begin - starts[owner] + offset[owner], end - starts[owner] + offset[owner] + LENGTH
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[owner]), pa.array(begin), pa.array(end)], names=["doc", "begin", "end"]
-        )
+        return pa.RecordBatch.from_arrays([pa.array(doc[owner]), pa.array(begin), pa.array(end)], names=["doc", "begin", "end"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            gram = batch["gram"].to_numpy()
+            if size >= shard_bytes:  # the held rows end with a gram that may go on here
+                change = np.nonzero(gram != held[-1]["gram"][-1].as_py())[0]
+                if len(change):
+                    yield ranges([*held, batch.slice(0, change[0])])
+                    held, size, batch = [], 0, batch.slice(change[0])
+            held.append(batch)
+            size += batch.nbytes
+        if held:
+            yield ranges(held)
 
     return dealt.mapInArrow(run, "doc long, begin long, end long")
 

@@ -45,10 +45,12 @@ def test_given_documents(spark):
     assert outcome(df) == brute.repeats([tuple(r) for r in df.collect()])
 
 
-@pytest.mark.parametrize("piece", [None, 333])
-def test_planted_repeats(spark, monkeypatch, piece):
+@pytest.mark.parametrize("piece, shard", [(None, None), (333, None), (None, 1)])
+def test_planted_repeats(spark, monkeypatch, piece, shard):
     if piece:
         monkeypatch.setattr(suffix_dedup, "_PIECE", piece)
+    if shard:
+        monkeypatch.setattr(suffix_dedup.shard_repeats, "__defaults__", (shard, 64))
     rng = random.Random(5)
     base = ["".join(rng.choice("ab é") for _ in range(rng.randint(50, 400))) for _ in range(12)]
     rows = []
