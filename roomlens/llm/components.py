@@ -44,7 +44,7 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     for _ in range(MAX_ROUNDS):
         if before[0] == 0:
             break
-        state = shared_table(_small_star(_large_star(state).distinct()).distinct(), label)
+        state = shared_table(_small_star(_large_star(state)).distinct(), label)
         after = _state(state)
         if after == before:
             break
