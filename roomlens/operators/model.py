@@ -43,14 +43,18 @@ def dense_key(df: DataFrame, key: str, order: str) -> DataFrame:
     )
 
 
-def dim_products(clean: DataFrame) -> DataFrame:
-    """Product dimension of the stored clean catalogue: key, stock flag, known material."""
-    known = clean.selectExpr(
+def product_attributes(clean: DataFrame) -> DataFrame:
+    """The clean catalogue with stock flag and known material, not numbered."""
+    return clean.selectExpr(
         "* EXCEPT (material)",
         "if(material IS NULL OR material = 'None', 'Unknown', material) AS material",
         "if(availability = 'In Stock', 1, 0) AS in_stock_flag",
     )
-    return conform(dense_key(known, "product_key", "asin"), DIM_PRODUCTS)
+
+
+def dim_products(clean: DataFrame) -> DataFrame:
+    """Product dimension of the stored clean catalogue: key, stock flag, known material."""
+    return conform(dense_key(product_attributes(clean), "product_key", "asin"), DIM_PRODUCTS)
 
 
 def dim_date(clean: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from roomlens.operators import (
     statistics,
     views,
 )
-from roomlens.plans import detection, insights, profile
+from roomlens.plans import detection, insights, profile, reporting
 from roomlens.session import configure
 from roomlens.sources.scratch import shared_table
 from roomlens.testbed import adapter
@@ -210,15 +210,17 @@ class Inputs:
 
 
 def _table_counts(i: Inputs) -> DataFrame:
+    staged = shared_table(i.stg_events, "stg-events")
+    clean = clean_events.clean_events(staged)
     return profiling.table_counts(
         {
-            "stg_user_events": i.stg_events,
+            "stg_user_events": staged,
             "stg_products": i.stg_products,
-            "clean_user_events": i.clean,
+            "clean_user_events": clean,
             "clean_products": i.stored_products,
             "dim_products": i.dim_products,
-            "dim_date": model.dim_date(i.clean),
-            "fact_user_events": i.fact,
+            "dim_date": model.dim_date(clean),
+            "fact_user_events": model.fact_events(clean),
         }
     )
 
@@ -244,9 +246,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "stg_products": lambda i: i.stg_products.drop("loaded_at"),
     "table_counts": _table_counts,
     "product_preview": lambda i: clean_products.product_preview(i.raw_products),
-    "report_row_counts": lambda i: report.report_row_counts(
-        views.all_views(i.fact, PROFILE.brand_min_views, PROFILE.gap_view_min_views)
-    ),
+    "report_row_counts": lambda i: reporting.datasets(i.fact, PROFILE)["report_row_counts"],
     # Profiles
     "profile_shape": lambda i: profiling.shape(i.raw_events),
     "profile_shape_products": lambda i: profiling.shape(i.raw_products),
@@ -307,7 +307,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "material_counts": lambda i: profiling.value_counts(i.clean_products, "material", 10),
     # Star schema
     "dim_products": lambda i: i.dim_products,
-    "in_stock_counts": lambda i: profiling.value_counts(i.dim_products, "in_stock_flag"),
+    "in_stock_counts": lambda i: profiling.value_counts(
+        model.product_attributes(i.clean_products), "in_stock_flag"
+    ),
     "dim_date": lambda i: model.dim_date(i.clean),
     "fact_events": lambda i: i.fact,
     # Views
