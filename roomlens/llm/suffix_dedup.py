@@ -90,16 +90,26 @@ def contexts_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def contexts(docs: DataFrame) -> DataFrame:
-    """(gram, context, doc, place) of all contexts; place is offset * 256 + bytes."""
+    """(gram, context, doc, place, repeated) of all contexts; place is offset * 256 + bytes.
+
+    ``repeated``: an equal context stands earlier in the same lot of texts, so that this one needs no
+    further look; such rows are dealt out evenly, which thins out copies before the shuffle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(ids: list[int], shift: list[int], texts: list[bytes]) -> pa.RecordBatch:
             starts = np.cumsum([0, *map(len, texts)])
             gram, context, text, offset, size = contexts_of(np.frombuffer(b"".join(texts), np.uint8), starts)
             place = ((offset + np.array(shift, np.int64)[text]) << _SIZE_BITS) | size
+            doc = np.array(ids, np.int64)[text]
+            order = np.lexsort((place, doc, context, gram))
+            again = (gram[order][1:] == gram[order][:-1]) & (context[order][1:] == context[order][:-1])
+            repeated = np.zeros(len(order), bool)
+            repeated[order[1:][again]] = True
+            gram = np.where(repeated, _mix((doc * 31 + place).view(np.uint64)).view(np.int64), gram)
             return pa.RecordBatch.from_arrays(
-                [pa.array(gram), pa.array(context), pa.array(np.array(ids, np.int64)[text]), pa.array(place)],
-                names=["gram", "context", "doc", "place"],
+                [pa.array(c) for c in (gram, context, doc, place, repeated)],
+                names=["gram", "context", "doc", "place", "repeated"],
             )
 
         ids, shift, texts, held = [], [], [], 0
@@ -118,7 +128,9 @@ def contexts(docs: DataFrame) -> DataFrame:
         if ids:
             yield packed(ids, shift, texts)
 
-    return docs.select("doc", F.col("text").cast("string")).mapInArrow(run, "gram long, context long, doc long, place long")
+    return docs.select("doc", F.col("text").cast("string")).mapInArrow(
+        run, "gram long, context long, doc long, place long, repeated boolean"
+    )
 
 
 def sift(found: DataFrame) -> DataFrame:
@@ -134,6 +146,10 @@ def sift(found: DataFrame) -> DataFrame:
         last = None  # gram, context of the row before
         pending = None  # first context of the last gram, (doc, place), while it is its only one
         for batch in batches:
+            known = batch["repeated"].to_numpy(zero_copy_only=False)
+            if known.any():
+                yield batch.select(["gram", "doc", "place", "repeated"]).filter(pa.array(known))
+                batch = batch.filter(pa.array(~known))
             if not batch.num_rows:
                 continue
             gram, context, doc, place = (batch[c].to_numpy() for c in ("gram", "context", "doc", "place"))
