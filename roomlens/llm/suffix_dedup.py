@@ -90,10 +90,11 @@ def contexts_of(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def contexts(docs: DataFrame) -> DataFrame:
-    """(gram, context, doc, place, repeated) of all contexts; place is offset * 256 + bytes.
+    """(gram, context, doc, place) of all contexts; place is offset * 256 + bytes.
 
-    ``repeated``: an equal context stands earlier in the same lot of texts, so that this one needs no
-    further look; such rows are dealt out evenly, which thins out copies before the shuffle.
+    Where an equal context stands earlier in the same lot of texts, place is its complement, a
+    negative number: this one needs no further look. Such rows have any gram and are dealt out
+    evenly, which thins out copies before the shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,9 +108,9 @@ def contexts(docs: DataFrame) -> DataFrame:
             repeated = np.zeros(len(order), bool)
             repeated[order[1:][again]] = True
             gram = np.where(repeated, _mix((doc * 31 + place).view(np.uint64)).view(np.int64), gram)
+            place = np.where(repeated, ~place, place)
             return pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (gram, context, doc, place, repeated)],
-                names=["gram", "context", "doc", "place", "repeated"],
+                [pa.array(c) for c in (gram, context, doc, place)], names=["gram", "context", "doc", "place"]
             )
 
         ids, shift, texts, held = [], [], [], 0
@@ -128,9 +129,7 @@ def contexts(docs: DataFrame) -> DataFrame:
         if ids:
             yield packed(ids, shift, texts)
 
-    return docs.select("doc", F.col("text").cast("string")).mapInArrow(
-        run, "gram long, context long, doc long, place long, repeated boolean"
-    )
+    return docs.select("doc", F.col("text").cast("string")).mapInArrow(run, "gram long, context long, doc long, place long")
 
 
 def sift(found: DataFrame) -> DataFrame:
@@ -146,9 +145,14 @@ def sift(found: DataFrame) -> DataFrame:
         last = None  # gram, context of the row before
         pending = None  # first context of the last gram, (doc, place), while it is its only one
         for batch in batches:
-            known = batch["repeated"].to_numpy(zero_copy_only=False)
+            place = batch["place"].to_numpy()
+            known = place < 0
             if known.any():
-                yield batch.select(["gram", "doc", "place", "repeated"]).filter(pa.array(known))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["gram"].filter(pa.array(known)), batch["doc"].filter(pa.array(known)), pa.array(~place[known]),
+                     pa.array(known[known])],
+                    names=["gram", "doc", "place", "repeated"],
+                )
                 batch = batch.filter(pa.array(~known))
             if not batch.num_rows:
                 continue
