@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from roomlens.llm.common import MAX_BROADCAST_BYTES, broadcast_if_small
 from roomlens.llm.induced_sort import InducedSort
 from roomlens.operators.model import dense_key
 from roomlens.sources.scratch import shared_table
@@ -27,6 +28,7 @@ SHARD_BYTES = 16 << 20  # contexts sorted at a time; a gram of more is one shard
 _SIZE_BITS = 8  # a context has LENGTH + _WINDOW - 1 = 180 bytes at most
 _SEPARATOR = 0xFF  # no byte of UTF-8
 _P, _Q = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
+_SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 _BYTE_HASH = np.random.default_rng(11).integers(1, 2**63, size=256, dtype=np.uint64)
 
 
@@ -287,6 +289,21 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def removed_spans(ranges: DataFrame) -> DataFrame:
+    """(doc, spans): the maximal runs of a text's ranges, one row for each text that has any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                [{"begin": b, "end": e} for b, e in _merged([(r["begin"], r["end"]) for r in ranges])]
+                for ranges in batch["ranges"].to_pylist()
+            ]
+            yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(found, _SPANS)], names=["doc", "spans"])
+
+    gathered = ranges.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
+    return gathered.mapInArrow(run, "doc long, spans array<struct<begin:long,end:long>>")
+
+
 def _text() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
@@ -323,7 +340,7 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     return whole.union(shard_repeats(cut))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Per row of ``docs`` (columns doc_id, text): doc_id, n_bytes, spans, kept.
 
     A byte goes if it lies in a string of ``LENGTH`` bytes that also starts earlier: in a smaller
@@ -334,28 +351,24 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     columns are ignored; no rows give no rows.
     """
     numbered, texts = _numbered(docs.select("doc_id", F.col("text").cast("string").alias("text")))
-    spans = repeated_ranges(texts).groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
+    spans = shared_table(removed_spans(repeated_ranges(texts)), "suffix-spans")
+    small = broadcast_if_small(spans, "32 + 16 * size(spans)", max_broadcast_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 sizes, found, kept = [], [], []
-                for text, ranges in zip(part["text"], part["ranges"].to_pylist()):
-                    data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                    runs = _merged([(r["begin"], r["end"]) for r in ranges or ()])
-                    edges = [0, *(x for run in runs for x in run), len(data)]
+                for text, runs in zip(part["text"], part["spans"].to_pylist()):
+                    data, runs = (text.as_py() or "").encode("utf-8", "surrogatepass"), runs or []
+                    edges = [0, *(x for run in runs for x in (run["begin"], run["end"])), len(data)]
                     sizes.append(len(data))
-                    found.append([{"begin": b, "end": e} for b, e in runs])
+                    found.append(runs)
                     kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part["doc_id"], pa.array(sizes, pa.int64()),
-                        pa.array(found, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-                        pa.array(kept, pa.binary()),
-                    ],
+                    [part["doc_id"], pa.array(sizes, pa.int64()), pa.array(found, _SPANS), pa.array(kept, pa.binary())],
                     names=["doc_id", "n_bytes", "spans", "kept"],
                 )
 
-    joined = numbered.join(spans, "doc", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "ranges")
+    joined = numbered.join(small, "doc", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "spans")
     return joined.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<begin:long,end:long>>, kept binary")

@@ -65,6 +65,13 @@ def test_planted_repeats(spark, monkeypatch, piece, shard):
     assert outcome(spark.createDataFrame(rows, "doc_id long, text string")) == brute.repeats(rows)
 
 
+def test_large_span_tables_are_not_broadcast(spark):
+    rows = [(i, "".join(chr(97 + (i % 3 + 1) * j * j % 23) + str(j) for j in range(90))) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(df, max_broadcast_bytes=0).collect()}
+    assert found == {d: kept for d, (*_, kept) in brute.repeats(rows).items()}
+
+
 def test_edges(spark):
     one = "".join(chr(97 + i * i % 23) + str(i) for i in range(80))
     schema = "doc_id long, text string, doc string, place int"
