@@ -101,3 +101,23 @@ def test_scan_reads_only_needed_columns(spark, tmp_path):
         "event_type", "brand", "revenue", "is_zero_price",
     }
     assert "EqualTo(is_zero_price,0)" in plan.split("PushedFilters: ")[1]
+
+
+@pytest.mark.parametrize(
+    ("query", "column"),
+    [
+        ("report_gap", "highlight"), ("gap_top15", "severe"), ("dim_date", "is_month_end"), ("clean_products", "color"),
+        ("clean_products", "style"), ("clean_products", "country_of_origin"), ("clean_products", "manufacturer"),
+        ("clean_products", "date_first_available"), ("monitor_rooms", "alert"), ("monitor_segments", "alert"),
+        ("detect_zero_purchase", "severity"), ("detect_cvr_anomalies", "severity"), ("detect_daily_drops", "severity"),
+        ("stg_events", "event_type"), ("daily_cvr_chart", "alert"),
+    ],
+)
+def test_checked_columns_vary(query, column):
+    """A column that is constant in the check proves nothing."""
+    connection = duckdb.connect()
+    for path in glob.glob("/root/testdata/sf0.01/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    values = connection.execute(f"SELECT DISTINCT {column} FROM ({ORACLES[query]})").fetchall()
+    assert len(values) > 1
