@@ -21,9 +21,9 @@ from roomlens.sources.scratch import shared_table
 # cents up to a million fall into some 14,000 ranges; around 10,000 a range holds 1,000 of them.
 VALUE_RANGE = "BIGINT(signum(value) * floor(ln(1D + abs(value)) * 1024D))"
 
-# A range that holds a wanted rank is cut into this many slices of equal width, this many times. A
-# million distinct values within a thousandth of their size end as slices of one value.
-SLICES, CUTS = 1024, 2
+# A range that holds a wanted rank is cut into this many slices of equal width, this many times: a
+# million distinct values within a thousandth of their size end as slices of a thousand.
+SLICES, CUTS = 1024, 1
 SLICE = f"if(hi > lo, least(BIGINT(floor((value - lo) / (hi - lo) * {SLICES}D)), {SLICES - 1}L), 0L)"
 
 

@@ -80,6 +80,11 @@ class Inputs:
     def fact(self) -> DataFrame:
         return model.fact_events(self.clean)
 
+    @cached_property
+    def stored_fact(self) -> DataFrame:
+        """The fact as the jobs read it; for queries that scan it more than once."""
+        return shared_table(self.fact, "fact")
+
     # Catalogue
 
     @cached_property
@@ -206,7 +211,7 @@ class Inputs:
 
     @cached_property
     def insights(self) -> dict[str, DataFrame]:
-        return insights.datasets(self.fact, PROFILE)
+        return insights.datasets(self.stored_fact, PROFILE)
 
 
 def _table_counts(i: Inputs) -> DataFrame:
@@ -246,7 +251,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "stg_products": lambda i: i.stg_products.drop("loaded_at"),
     "table_counts": _table_counts,
     "product_preview": lambda i: clean_products.product_preview(i.raw_products),
-    "report_row_counts": lambda i: reporting.datasets(i.fact, PROFILE)["report_row_counts"],
+    "report_row_counts": lambda i: reporting.datasets(i.stored_fact, PROFILE)["report_row_counts"],
     # Profiles
     "profile_shape": lambda i: profiling.shape(i.raw_events),
     "profile_shape_products": lambda i: profiling.shape(i.raw_products),
