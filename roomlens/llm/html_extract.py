@@ -54,6 +54,8 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset(("ul", "ol", "dl", "table", "select", "article", "main", "section", "div", "body", "html"))
+_IN_MAIN = 0x5851F42D4C957F2D  # tells a subtree inside a main element from the same one outside
+_WORDS = re.compile(r"\w")
 _HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 
 
@@ -152,35 +154,73 @@ def parse(page: str) -> Element:
             at = end.end() if end else len(page)
     add_text(page[at:])
     close_to(1)
+    root.digest = xxhash.xxh3_64_intdigest("\0".join(root.parts).encode("utf-8", "surrogatepass"))
     return root
 
 
-def template_candidates(page: str | None) -> set[int]:
-    """Digests of the page's subtrees that hold text, outside its main element."""
-    found: set[int] = set()
+def _candidates(element: Element, free: bool) -> list[tuple[Element, bool]]:
+    """Child elements, and whether each may go as a template of its own.
 
-    def walk(element: Element) -> bool:
+    Blocks may, but for cells of a table. An inline element may if it makes up a line of its own inside
+    a main element, and if no words stand bare in its line elsewhere: parts of a sentence stay.
+    """
+    inside = element.inside or element.main
+    found: list[tuple[Element, bool]] = []
+    line: list[Element] = []
+    bare = False
+
+    def end_line() -> None:
+        alone = free and not bare and (not inside or len(line) == 1)
+        found.extend((item, alone) for item in line)
+
+    for item in element.items:
+        if not isinstance(item, Element):
+            bare = bare or bool(_WORDS.search(item))
+        elif item.tag in BLOCK or item.tag == "br":
+            end_line()
+            line, bare = [], False
+            found.append((item, item.tag not in ("td", "th", "br")))
+        elif len(item.parts) > 1:
+            line.append(item)
+        else:
+            found.append((item, False))
+    end_line()
+    return found
+
+
+def _template_key(element: Element) -> int:
+    return element.digest ^ _IN_MAIN if element.inside else element.digest
+
+
+def template_candidates(page: str | None) -> set[tuple[int, int]]:
+    """(key, holder) of the page's subtrees that hold text and no main element.
+
+    The holder is the digest of the nearest main element around the subtree, of the page without one:
+    a subtree counts once for each different holder, so copies of a page make no template of its text.
+    """
+    root = parse(page or "")
+    found: set[tuple[int, int]] = set()
+
+    def walk(element: Element, may_go: bool, holder: int) -> bool:
         if element.main:
-            return True
-        inner = [walk(item) for item in element.items if isinstance(item, Element)]
-        if any(inner):
-            return True  # an ancestor of the main element
-        if element.tag and len(element.parts) > 1 and not element.dropped:
-            found.add(element.digest)
+            holder = element.digest
+        free = may_go or element.tag in BLOCK or not element.tag
+        inner = [walk(item, may, holder) for item, may in _candidates(element, free)]
+        if element.main or any(inner):
+            return True  # a main element, or an ancestor of one
+        if may_go and len(element.parts) > 1 and not element.dropped:
+            found.add((_template_key(element), holder))
         return False
 
-    root = parse(page or "")
-    for item in root.items:
-        if isinstance(item, Element):
-            walk(item)
+    walk(root, False, root.digest)
     return found
 
 
 def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset()) -> str:
     """The article's blocks, one a line: the page's main elements, or the whole page without one.
 
-    Elements that are menus, forms, notices and the like by name, and subtrees in ``recurring``
-    outside the main element, are left out.
+    Elements that are menus, forms, notices and the like by name, and subtrees whose key is in
+    ``recurring``, are left out; a main element and its ancestors never go as subtrees.
     """
     root = parse(page or "")
     blocks: list[str] = []
@@ -196,8 +236,10 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
             isinstance(i, Element) and not i.dropped and (i.main or has_main(i)) for i in element.items
         )
 
-    def walk(element: Element, wanted: bool, titles_only: bool) -> None:
-        if element.dropped or not (element.inside or element.main) and element.digest in recurring:
+    def walk(element: Element, may_go: bool, wanted: bool, titles_only: bool) -> None:
+        if element.dropped or (
+            may_go and not element.main and _template_key(element) in recurring and not has_main(element)
+        ):
             held.append(" ")
             return
         wanted = wanted or element.main
@@ -209,18 +251,20 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
             flush()
         if element.tag == "br":
             held.append(" ")
+        may = {id(e): m for e, m in _candidates(element, may_go or edge)} if recurring else {}
         for item in element.items:
             if isinstance(item, Element):
-                walk(item, wanted, titles_only and element.tag not in HEADINGS)
+                walk(item, may.get(id(item), False), wanted, titles_only and element.tag not in HEADINGS)
             elif show:
                 held.append(item)
         if edge:
             flush()
 
     everything = not has_main(root)
+    may = {id(e): m for e, m in _candidates(root, True)}
     for item in root.items:
         if isinstance(item, Element):
-            walk(item, everything, False)
+            walk(item, may.get(id(item), False), everything, False)
         elif everything:
             held.append(item)
     flush()
@@ -232,27 +276,38 @@ def _with_host(pages: DataFrame) -> DataFrame:
     return pages.withColumn("_host", host)
 
 
+def _signed(digest: int) -> int:
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, digests): subtrees that recur on many pages of their host.
 
-    Many: ``min_pages`` pages at least, and ``min_share`` of the host's pages. Counts are summed in
-    the tasks before the shuffle, so a host with most of the pages costs as much as any. A host has
-    at most 1 / min_share times the subtrees of an average page of its own.
+    Many: in ``min_pages`` different holders at least (main elements, or pages outside of them), and
+    in ``min_share`` times as many as the host has pages. Holders are told apart in all tasks before
+    they are counted, so a host with most of the pages costs as much as any. A host has at most
+    1 / min_share times the subtrees of an average page of its own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, digests = [], []
+            hosts, digests, holders = [], [], []
             for host, page in zip(batch["_host"].to_pylist(), batch["html"]):
                 found = template_candidates(page.as_py())
                 hosts += [host] * (len(found) + 1)
-                digests += [None, *((d - (1 << 64) if d >> 63 else d) for d in found)]
+                digests += [None, *(_signed(d) for d, _ in found)]
+                holders += [None, *(_signed(h) for _, h in found)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(digests, pa.int64())], names=["host", "digest"]
+                [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(holders, pa.int64())],
+                names=["host", "digest", "holder"],
             )
 
-    seen = _with_host(pages).select("_host", F.col("html").cast("string")).mapInArrow(run, "host string, digest long")
-    counts = shared_table(seen.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")), "page-subtrees")
+    seen = _with_host(pages).select("_host", F.col("html").cast("string")).mapInArrow(
+        run, "host string, digest long, holder long"
+    )
+    once = seen.groupBy("host", "digest", "holder").agg(F.count(F.lit(1)).alias("rows"))
+    n = F.when(F.col("digest").isNull(), F.sum("rows")).otherwise(F.count(F.lit(1)))
+    counts = shared_table(once.groupBy("host", "digest").agg(n.alias("n")), "page-subtrees")
     totals = counts.where("digest IS NULL").select("host", F.col("n").alias("total"))
     return (
         counts.where("digest IS NOT NULL").where(F.col("n") >= min_pages)
@@ -267,8 +322,8 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
 
     Two passes: subtrees are counted per host, then each page is read again without those of its
     host's template. The templates are broadcast if their measured size allows and joined by host
-    otherwise. Text inside the page's own article or main element is never taken for a template,
-    however often other pages repeat it. Null and empty pages give an empty text; pages without a
+    otherwise. An article or main element is never taken for a template itself, and what recurs inside
+    counts once for all copies of the article. Null and empty pages give an empty text; pages without a
     host share the empty host; repeated rows come back as often; other columns are ignored.
     """
     templates = shared_table(site_templates(pages, min_pages, min_share), "page-templates")

@@ -62,3 +62,17 @@ def test_given_pages(spark):
         blocks = re.split(r"</?(?:p|h1)>", article[1].replace("<br>", " "))
         wanted = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks]
         assert row.text == "\n".join(b for b in wanted if b)
+
+
+def test_boilerplate_inside_articles_goes(spark):
+    article = (
+        "<article><h1>Story {0}</h1><p>It is <em>not</em> about {0}.</p><table><tr><td>Yes</td><td>{0}</td></tr></table>"
+        "<p>Share this with friends</p><x-box>Join us</x-box><div><p>Sign up here</p></div></article>"
+    )
+    rows = [(i, f"http://h.org/{i}", article.format(f"n{i}")) for i in range(12)]
+    rows += [(100 + i, f"http://h.org/copy{i}", "<main><p>told again</p><p>by many</p></main>") for i in range(20)]
+    rows += [(200 + i, f"http://few.org/{i}", article.format(f"n{i}")) for i in range(3)]
+    texts = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(texts[i] == f"Story n{i}\nIt is not about n{i}.\nYes\nn{i}" for i in range(12))
+    assert all(texts[100 + i] == "told again\nby many" for i in range(20))  # copies of one article
+    assert all("Share this with friends\nJoin us\nSign up here" in texts[200 + i] for i in range(3))
