@@ -38,11 +38,15 @@ DROPPED = frozenset((
 DROPPED_ROLES = frozenset(
     ("alert", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search")
 )
-# Words of class names and ids that mark what is not the article.
+# Class names and ids, as whole words, that mark what is not the article.
+_COMMENTS = r"comments?|commentlist|disqus"
+_PART = r"(?:[-_](?:area|bar|block|box|buttons?|container|form|items?|links?|list|posts|section|widget|wrapper))?"
+_COMMENT_NAMES = re.compile(rf"(?<!\S)(?:{_COMMENTS}){_PART}(?!\S)")
 _DROPPED_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|comment|comments|commentlist|disqus"
+    rf"(?<!\S)(?:{_COMMENTS}|ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar"
     r"|cookie\w*|consent|gdpr|notice|notification|popup|modal|newsletter|subscribe|subscription|share|sharing|social"
-    r"|related|recommended|breadcrumb\w*|menu|navbar|nav|navigation|footer|masthead|pagination|pager|skip-?link)(?:$|[\s_-])"
+    r"|related|recommended|breadcrumb\w*|menu|navbar|nav|navigation|footer|masthead|pagination|pager|skip-?link)"
+    rf"{_PART}(?!\S)"
 )
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -62,10 +66,11 @@ _HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 class Element:
     """An open or closed element: its digest parts, and the texts directly inside it."""
 
-    __slots__ = ("tag", "dropped", "main", "inside", "parts", "digest", "items")
+    __slots__ = ("tag", "dropped", "named", "main", "inside", "parts", "digest", "items")
 
-    def __init__(self, tag: str, dropped: bool, main: bool, inside: bool):
+    def __init__(self, tag: str, dropped: bool, main: bool, inside: bool, named: bool = False):
         self.tag, self.dropped, self.main, self.inside = tag, dropped, main, inside
+        self.named = named  # its class or id says that it is not the article
         self.parts: list[str] = []  # what the digest covers
         self.items: list = []  # texts, line breaks (None) and child elements in page order
         self.digest = 0
@@ -135,11 +140,11 @@ def parse(page: str) -> Element:
                     break
         names, role = _names(match["attrs"]) if match["attrs"] else ("", "")
         parent = stack[-1]
-        dropped = tag not in ("html", "body") and (  # a page is no advert, whatever its class says
-            tag in DROPPED or role in DROPPED_ROLES or bool(names and _DROPPED_NAMES.search(names))
-        )
+        whole = tag in ("html", "body")  # a page is no advert, whatever its class says
+        dropped = not whole and (tag in DROPPED or role in DROPPED_ROLES)
         main = not dropped and (tag in MAIN or role == "main")
-        element = Element(tag, dropped, main, parent.inside or parent.main)
+        named = not whole and bool(names) and bool((_COMMENT_NAMES if main else _DROPPED_NAMES).search(names))
+        element = Element(tag, dropped, main, parent.inside or parent.main, named)
         element.parts.append(f"{tag}.{names.strip()}")
         parent.items.append(element)
         if tag in VOID or match["attrs"].endswith("/") and tag not in BLOCK and tag not in RAW:
@@ -155,9 +160,33 @@ def parse(page: str) -> Element:
     add_text(page[at:])
     close_to(1)
     root.digest = xxhash.xxh3_64_intdigest("\0".join(root.parts).encode("utf-8", "surrogatepass"))
+    _drop_named(root)
     return root
 
 
+def _drop_named(root: Element) -> None:
+    """Drop elements by class or id, but no main element the page needs, nor an ancestor of one.
+
+    Needed are the main elements that no class or id speaks against; without any, those that are not
+    named themselves; without any, all.
+    """
+    above: list[tuple[Element, int, bool]] = [(root, -1, False)]  # element, place of its parent, named so far
+    for place, (element, _, named) in enumerate(above):
+        above += [
+            (i, place, named or i.named) for i in element.items if isinstance(i, Element) and not i.dropped
+        ]
+    mains = [n for n, (element, _, _) in enumerate(above) if element.main]
+    needed = [n for n in mains if not above[n][2]] or [n for n in mains if not above[n][0].named] or mains
+    spared: set[int] = set()
+    for n in needed:
+        while n >= 0 and n not in spared:
+            spared.add(n)
+            n = above[n][1]
+    for n, (element, _, _) in enumerate(above):
+        if element.named and n not in spared:
+            element.dropped, element.main = True, False
+
+
 def _candidates(element: Element, free: bool) -> list[tuple[Element, bool]]:
     """Child elements, and whether each may go as a template of its own.
 

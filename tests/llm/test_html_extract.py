@@ -76,3 +76,18 @@ def test_boilerplate_inside_articles_goes(spark):
     assert all(texts[i] == f"Story n{i}\nIt is not about n{i}.\nYes\nn{i}" for i in range(12))
     assert all(texts[100 + i] == "told again\nby many" for i in range(20))  # copies of one article
     assert all("Share this with friends\nJoin us\nSign up here" in texts[200 + i] for i in range(3))
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<article class="post category-social tag-newsletter"><p>a</p></article>', "a"),
+    ('<article class="social"><p>a</p></article>', "a"),
+    ('<div id="page" class="no-sidebar"><article><p>a</p></article></div>', "a"),
+    ('<div class="right-sidebar"><p>a</p></div>', "a"),
+    ('<div class="wide sidebar"><main><p>a</p><div class="x share">no</div></main></div>', "a"),
+    ('<article class="comment"><p>a</p></article>', "a"),
+    ('<div class="sidebar"><article><p>a</p></article><article class="comment">no</article></div>', "a"),
+    ('<main><p>a</p></main><div class="related-posts"><article><p>no</p></article></div>', "a"),
+    ('<article><p>a</p><div class="share-buttons">no</div><p class="menu">no</p></article>', "a"),
+])
+def test_class_names_count_as_whole_words(page, text):
+    assert html_extract.main_text(page) == text
