@@ -14,7 +14,6 @@ from roomlens.llm.common import MAX_BROADCAST_BYTES, broadcast_if_small
 from roomlens.sources.scratch import shared_table
 
 MIN_PAGES = 5
-MIN_SHARE = 0.02
 MAX_DEPTH = 400  # what is nested deeper counts as text of the element at this depth
 
 # Element names by their role in HTML.
@@ -300,79 +299,83 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
     return "\n".join(blocks)
 
 
-def _with_host(pages: DataFrame) -> DataFrame:
+def _with_keys(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), _HOST, 1))
-    return pages.withColumn("_host", host)
+    return pages.withColumns({"_host": host, "_page": F.xxhash64(F.col("html").cast("string"))})
 
 
 def _signed(digest: int) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, digests): subtrees that recur on many pages of their host.
+def page_subtrees(pages: DataFrame) -> DataFrame:
+    """(host, page, digest, holder) of every subtree that may go, once for each different page of a host.
 
-    Many: in ``min_pages`` different holders at least (main elements, or pages outside of them), and
-    in ``min_share`` times as many as the host has pages. Holders are told apart in all tasks before
-    they are counted, so a host with most of the pages costs as much as any. A host has at most
-    1 / min_share times the subtrees of an average page of its own.
+    ``page`` is a hash of the page itself: equal pages of a host are one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, digests, holders = [], [], []
-            for host, page in zip(batch["_host"].to_pylist(), batch["html"]):
-                found = template_candidates(page.as_py())
-                hosts += [host] * (len(found) + 1)
-                digests += [None, *(_signed(d) for d, _ in found)]
-                holders += [None, *(_signed(h) for _, h in found)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(holders, pa.int64())],
-                names=["host", "digest", "holder"],
-            )
-
-    seen = _with_host(pages).select("_host", F.col("html").cast("string")).mapInArrow(
-        run, "host string, digest long, holder long"
-    )
-    once = seen.groupBy("host", "digest", "holder").agg(F.count(F.lit(1)).alias("rows"))
-    n = F.when(F.col("digest").isNull(), F.sum("rows")).otherwise(F.count(F.lit(1)))
-    counts = shared_table(once.groupBy("host", "digest").agg(n.alias("n")), "page-subtrees")
-    totals = counts.where("digest IS NULL").select("host", F.col("n").alias("total"))
-    return (
-        counts.where("digest IS NOT NULL").where(F.col("n") >= min_pages)
-        .join(totals, "host").where(F.col("n") >= F.col("total") * min_share)
-        .groupBy("host").agg(F.collect_list("digest").alias("digests"))
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                rows, digests, holders = [], [], []
+                for row, page in enumerate(part["html"]):
+                    found = template_candidates(page.as_py())
+                    rows += [row] * len(found)
+                    digests += [_signed(d) for d, _ in found]
+                    holders += [_signed(h) for _, h in found]
+                of = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part["_host"].take(of), part["_page"].take(of), pa.array(digests, pa.int64()), pa.array(holders, pa.int64())],
+                    names=["host", "page", "digest", "holder"],
+                )
+
+    rows = _with_keys(pages).select("_host", "_page", F.col("html").cast("string"))
+    return rows.mapInArrow(run, "host string, page long, digest long, holder long").distinct()
+
+
+def site_templates(subtrees: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, digest): subtrees that recur in ``min_pages`` different holders of their host.
+
+    A holder is a main element, or a page outside of them. The bound does not grow with the host.
+    Holders are told apart before they are counted in the tasks, so no host's rows meet in one task.
+    """
+    once = subtrees.select("host", "digest", "holder").distinct()
+    return once.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).select(
+        "host", "digest"
     )
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
-            max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """(page_id, url, text) of every row of ``pages`` (columns page_id, url, html).
 
-    Two passes: subtrees are counted per host, then each page is read again without those of its
-    host's template. The templates are broadcast if their measured size allows and joined by host
-    otherwise. An article or main element is never taken for a template itself, and what recurs inside
-    counts once for all copies of the article. Null and empty pages give an empty text; pages without a
-    host share the empty host; repeated rows come back as often; other columns are ignored.
+    Two passes: subtrees are counted per host, then each page is read again without those of its own
+    that recur. Recurring subtrees are joined by host and digest, and each page gets the list of its
+    own only, so no list grows with a host; tables are broadcast if their measured size allows. An
+    article or main element is never taken for a template itself, and what recurs inside counts once
+    for all copies of the article. Null and empty pages give an empty text; pages without a host
+    share the empty host; repeated rows come back as often; other columns are ignored.
     """
-    templates = shared_table(site_templates(pages, min_pages, min_share), "page-templates")
-    small = broadcast_if_small(templates, "8 * size(digests) + octet_length(host) + 64", max_broadcast_bytes)
+    subtrees = shared_table(page_subtrees(pages), "page-subtrees")
+    templates = shared_table(site_templates(subtrees, min_pages), "page-templates")
+    small = broadcast_if_small(templates, "octet_length(host) + 24", max_broadcast_bytes)
+    own = shared_table(
+        subtrees.join(small, ["host", "digest"]).groupBy("host", "page").agg(F.collect_set("digest").alias("digests")),
+        "page-own-templates",
+    )
     joined = (
-        _with_host(pages).select("page_id", "url", F.col("html").cast("string"), F.col("_host").alias("host"))
-        .join(small, "host", "left").select("page_id", "url", "html", "host", "digests")
+        _with_keys(pages).select("page_id", "url", F.col("html").cast("string"), F.col("_host").alias("host"), F.col("_page").alias("page"))
+        .join(broadcast_if_small(own, "8 * size(digests) + octet_length(host) + 72", max_broadcast_bytes), ["host", "page"], "left")
+        .select("page_id", "url", "html", "digests")
     )
     types = dict(joined.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[int]] = {}
         for batch in batches:
-            texts = []
-            for host, digests, page in zip(batch["host"].to_pylist(), batch["digests"], batch["html"]):
-                if host not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[host] = frozenset(d & (2**64 - 1) for d in digests.as_py() or ())
-                texts.append(main_text(page.as_py(), known[host]))
+            texts = [
+                main_text(page.as_py(), {d & (2**64 - 1) for d in digests.as_py() or ()})
+                for digests, page in zip(batch["digests"], batch["html"])
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch["page_id"], batch["url"], pa.array(texts, pa.string())], names=["page_id", "url", "text"]
             )

@@ -91,3 +91,12 @@ def test_boilerplate_inside_articles_goes(spark):
 ])
 def test_class_names_count_as_whole_words(page, text):
     assert html_extract.main_text(page) == text
+
+
+@pytest.mark.parametrize("broadcast", [1 << 20, 0])
+def test_templates_do_not_depend_on_the_size_of_the_host(spark, broadcast):
+    menu = "<div><p>Section menu</p></div>"
+    pages = site("big.org", 1500) + [(f"http://big.org/s{i}", f"<body>{menu}<p>section page {i}</p></body>") for i in range(20)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], SCHEMA)
+    texts = {r.page_id: r.text for r in html_extract.extract(df, max_broadcast_bytes=broadcast).collect()}
+    assert [texts[1500 + i] for i in range(20)] == [f"section page {i}" for i in range(20)]
