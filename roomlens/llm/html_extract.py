@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,7 +15,6 @@ from roomlens.llm.common import MAX_BROADCAST_BYTES, broadcast_if_small
 from roomlens.sources.scratch import shared_table
 
 MIN_PAGES = 5
-MAX_DEPTH = 400  # what is nested deeper counts as text of the element at this depth
 
 # Element names by their role in HTML.
 RAW = frozenset(("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"))
@@ -90,10 +90,12 @@ def parse(page: str) -> Element:
     """Element tree of a page; what isn't closed ends with its parent, what isn't open is ignored."""
     root = Element("", False, False, False)
     stack = [root]
+    is_open: Counter[str] = Counter()  # open elements by name, so that nothing is searched in vain
 
     def close_to(depth: int) -> None:
         while len(stack) > depth:
             done = stack.pop()
+            is_open[done.tag] -= 1
             done.digest = xxhash.xxh3_64_intdigest("\0".join(done.parts).encode("utf-8", "surrogatepass"))
             stack[-1].parts.append(f"<{done.digest:x}")
 
@@ -113,26 +115,26 @@ def parse(page: str) -> Element:
             continue
         tag = tag.lower()
         if match["close"]:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if is_open[tag] else ():
                 if stack[depth].tag == tag:
                     close_to(depth)
                     break
             continue
-        if tag in BLOCK and tag not in ("html", "head", "body"):
+        if tag in BLOCK and tag not in ("html", "head", "body") and is_open["p"]:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == "p":
                     close_to(depth)
                     break
                 if stack[depth].tag in BLOCK:
                     break
-        if tag in _CLOSES:
+        if tag in _CLOSES and any(is_open[t] for t in _CLOSES[tag]):
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag in _CLOSES[tag]:
                     close_to(depth)
                     break
                 if stack[depth].tag in _SCOPE:
                     break
-        if tag == "body":
+        if tag == "body" and is_open["head"]:
             for depth in range(1, len(stack)):
                 if stack[depth].tag == "head":
                     close_to(depth)
@@ -150,8 +152,8 @@ def parse(page: str) -> Element:
             element.digest = xxhash.xxh3_64_intdigest(element.parts[0].encode("utf-8", "surrogatepass"))
             parent.parts.append(f"<{element.digest:x}")
             continue
-        if len(stack) < MAX_DEPTH or tag in RAW:
-            stack.append(element)
+        stack.append(element)
+        is_open[tag] += 1
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
             close_to(len(stack) - 1)
@@ -229,18 +231,19 @@ def template_candidates(page: str | None) -> set[tuple[int, int]]:
     root = parse(page or "")
     found: set[tuple[int, int]] = set()
 
-    def walk(element: Element, may_go: bool, holder: int) -> bool:
+    order: list[tuple[Element, int, bool, int]] = [(root, -1, False, root.digest)]  # a parent before its children
+    for place, (element, _, may_go, holder) in enumerate(order):
         if element.main:
             holder = element.digest
         free = may_go or element.tag in BLOCK or not element.tag
-        inner = [walk(item, may, holder) for item, may in _candidates(element, free)]
-        if element.main or any(inner):
-            return True  # a main element, or an ancestor of one
-        if may_go and len(element.parts) > 1 and not element.dropped:
+        order += [(item, place, may, holder) for item, may in _candidates(element, free)]
+    with_main = [element.main for element, *_ in order]  # a main element, or an ancestor of one
+    for place in range(len(order) - 1, 0, -1):
+        element, parent, may_go, holder = order[place]
+        if with_main[place]:
+            with_main[parent] = True
+        elif may_go and len(element.parts) > 1 and not element.dropped:
             found.add((_template_key(element), holder))
-        return False
-
-    walk(root, False, root.digest)
     return found
 
 
@@ -260,41 +263,49 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
         held.clear()
 
     def has_main(element: Element) -> bool:
-        return any(
-            isinstance(i, Element) and not i.dropped and (i.main or has_main(i)) for i in element.items
-        )
+        left = [element]
+        while left:
+            inner = [i for i in left.pop().items if isinstance(i, Element) and not i.dropped]
+            if any(i.main for i in inner):
+                return True
+            left += inner
+        return False
 
-    def walk(element: Element, may_go: bool, wanted: bool, titles_only: bool) -> None:
+    everything = not has_main(root)
+    # What is left to do, last first: a text, the end of a block (None), or an element to enter.
+    todo: list = [(root, False, everything, False)]
+    while todo:
+        step = todo.pop()
+        if step is None:
+            flush()
+            continue
+        if isinstance(step, str):
+            held.append(step)
+            continue
+        element, may_go, wanted, titles_only = step
         if element.dropped or (
             may_go and not element.main and _template_key(element) in recurring and not has_main(element)
         ):
             held.append(" ")
-            return
+            continue
         wanted = wanted or element.main
         if element.tag == "header":
             titles_only = True
         show = wanted and (not titles_only or element.tag in HEADINGS)
+        titles_only = titles_only and element.tag not in HEADINGS
         edge = element.tag in BLOCK
         if edge:
             flush()
+            todo.append(None)
         if element.tag == "br":
             held.append(" ")
-        may = {id(e): m for e, m in _candidates(element, may_go or edge)} if recurring else {}
-        for item in element.items:
+        free = may_go or edge or not element.tag
+        may = {id(e): m for e, m in _candidates(element, free)} if recurring else {}
+        for item in reversed(element.items):
             if isinstance(item, Element):
-                walk(item, may.get(id(item), False), wanted, titles_only and element.tag not in HEADINGS)
+                todo.append((item, may.get(id(item), False), wanted, titles_only))
             elif show:
-                held.append(item)
-        if edge:
-            flush()
-
-    everything = not has_main(root)
-    may = {id(e): m for e, m in _candidates(root, True)}
-    for item in root.items:
-        if isinstance(item, Element):
-            walk(item, may.get(id(item), False), everything, False)
-        elif everything:
-            held.append(item)
+                todo.append(item)
     flush()
     return "\n".join(blocks)
 

@@ -100,3 +100,13 @@ def test_templates_do_not_depend_on_the_size_of_the_host(spark, broadcast):
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], SCHEMA)
     texts = {r.page_id: r.text for r in html_extract.extract(df, max_broadcast_bytes=broadcast).collect()}
     assert [texts[1500 + i] for i in range(20)] == [f"section page {i}" for i in range(20)]
+
+
+@pytest.mark.parametrize("depth", [500, 100_000])
+def test_deep_nesting_keeps_end_tags_matched(depth):
+    page = (
+        "<div><article><p>before</p>" + "<div>" * depth + "<nav>menu<div>menu</div></nav><form>no</form>deep"
+        + "</div>" * depth + "<p>after</p></article></div><p>outside</p>"
+    )
+    assert html_extract.main_text(page, {1}) == "before\ndeep\nafter"
+    assert html_extract.template_candidates(page)
