@@ -75,7 +75,8 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, shingle_chars=line_dedup.SHORT_SHINGLE_CHARS)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
