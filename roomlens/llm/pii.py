@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import re
@@ -127,7 +128,32 @@ def find_mentions(text: str) -> list[Mention]:
         if any(a < match.end() and match.start() < b for a, b in taken):
             continue
         found += _names(match)
-    return sorted(found, key=lambda m: m.start)
+    found.sort(key=lambda m: m.start)
+    return sorted(found + _repeats(text, found), key=lambda m: m.start)
+
+
+def _repeats(text: str, found: list[Mention]) -> list[Mention]:
+    """Capitalised whole-word repeats of the names found in the same text, outside of what is found.
+
+    A word found both as a given name and as a surname counts as what it was first.
+    """
+    persons: dict[str, Mention] = {}
+    spellings: set[str] = set()
+    for m in found:
+        if m.kind == "surname" or m.kind.startswith("given_"):
+            persons.setdefault(m.canonical, m)
+            spellings.add(text[m.start : m.end])
+    if not persons:
+        return []
+    words = "|".join(map(re.escape, sorted(spellings, key=lambda w: (-len(w), w))))
+    starts = [m.start for m in found]
+    out = []
+    for match in re.finditer(rf"(?<!\w)(?:{words})(?!\w)", text, re.IGNORECASE):
+        known = persons.get(match[0].lower())
+        before = bisect.bisect_left(starts, match.end()) - 1  # the last one that starts before this ends
+        if known and match[0][0].isupper() and (before < 0 or found[before].end <= match.start()):
+            out.append(Mention(*match.span(), known.kind, known.canonical, known.shape))
+    return out
 
 
 def _typed(kind: str, start: int, end: int, part: str) -> Mention | None:
@@ -178,6 +204,7 @@ def _names(match: re.Match) -> list[Mention]:
             return []
     out = []
     for i, (start, word) in enumerate(words):
+        word = re.sub(r"(?<=\w)['’]s$", "", word)  # a possessive names the same person
         script = script_of(word[0])
         kind = "surname" if i == len(words) - 1 else f"given_{gender}"
         out.append(Mention(start, start + len(word), kind, word.lower(), f"{script}:{len(word)}"))

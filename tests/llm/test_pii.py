@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 
 import pytest
@@ -72,3 +73,16 @@ def test_given_documents(spark):
         assert not any(name in row.text for name in private)
         if not private:
             assert row.text == texts[row.doc_id]
+
+
+def test_bare_repeats_of_a_name_go_too(spark):
+    text = "Smith came. Mr John Smith said, Smith's SMITH-run; John left. A smith, Smithson, smith@x.org. Johns. г-н Иванов: Иванов."
+    (row,) = replaced(spark, [(1, text)])
+    found = pii.find_mentions(row.text)
+    assert not {"Smith", "SMITH", "John", "Иванов"} & set(re.findall(r"\w+", row.text))
+    assert "A smith, Smithson, " in row.text and "Johns." in row.text
+    assert (row.n_mentions, row.n_entities) == (9, 4)
+    surnames = [row.text[m.start : m.end] for m in found if m.kind == "surname"]
+    assert len({s.lower() for s in surnames[:4]}) == 1 and surnames[3].isupper() and surnames[-1] == surnames[-2]
+    (row,) = replaced(spark, [(1, "Mr Meyer's car. Meyer left.")])
+    assert "Meyer" not in row.text and "'s car. " in row.text and (row.n_mentions, row.n_entities) == (2, 1)
