@@ -24,12 +24,14 @@ LENGTH = 100
 GRAM = 20
 _WINDOW = LENGTH - GRAM + 1  # grams in a window
 _PIECE = 1 << 18  # bytes scanned at a time
-SHARD_BYTES = 16 << 20  # contexts sorted at a time; a gram of more is one shard
+SHARD_BYTES = 16 << 20  # contexts sorted at a time; a gram of more than half of it is split by window
+_ROW_BYTES = 28  # of a context's row beside its bytes
 _SIZE_BITS = 8  # a context has LENGTH + _WINDOW - 1 = 180 bytes at most
 _SEPARATOR = 0xFF  # no byte of UTF-8
 _P, _Q = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
 _SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 _BYTE_HASH = np.random.default_rng(11).integers(1, 2**63, size=256, dtype=np.uint64)
+_BYTE_CHECK = np.random.default_rng(12).integers(1, 2**63, size=256, dtype=np.uint64)
 
 
 def _power(n: int) -> np.uint64:
@@ -239,7 +241,8 @@ def shard_repeats(cut: DataFrame, shard_bytes: int = SHARD_BYTES, memory_bytes:
     """(doc, begin, end): byte ranges covered by windows that repeat an earlier one.
 
     Spark deals the contexts by gram and sorts them; a task takes whole grams, about ``shard_bytes``
-    of them at a time, as one shard, so its memory does not grow with its partition.
+    of them at a time, as one shard, so its memory does not grow with its partition. The caller keeps
+    grams away that are large themselves (``crowded_grams``).
     """
     dealt = cut.repartition("gram").sortWithinPartitions("gram")
 
@@ -278,6 +281,55 @@ def shard_repeats(cut: DataFrame, shard_bytes: int = SHARD_BYTES, memory_bytes:
     return dealt.mapInArrow(run, "doc long, begin long, end long")
 
 
+def crowded_grams(wanted: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(gram) of the grams whose contexts are too many for a shard to take whole."""
+    size = F.expr(f"sum((place & {(1 << _SIZE_BITS) - 1}) + {_ROW_BYTES})")
+    return wanted.groupBy("gram").agg(size.alias("bytes")).where(F.col("bytes") > shard_bytes // 2).select("gram")
+
+
+def window_repeats(cut: DataFrame) -> DataFrame:
+    """(doc, begin, end): windows of the contexts that repeat an earlier one, however many a gram has.
+
+    Each window is dealt by two 64-bit hashes of its own, which equal windows share, and Spark sorts
+    them; a task keeps one row in mind.
+    """
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                parts = part["bytes"].to_pylist()
+                sizes = np.array([len(p) for p in parts], np.int64)
+                data = np.frombuffer(b"".join(parts), np.uint8)
+                counts = sizes - LENGTH + 1
+                owner = np.repeat(np.arange(len(parts)), counts)
+                within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+                at = (np.cumsum(sizes) - sizes)[owner] + within
+                first, second = (_mix(_hash_of(LENGTH, {1: table[data]}))[at] for table in (_BYTE_HASH, _BYTE_CHECK))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
+                     pa.array(part["doc"].to_numpy()[owner]), pa.array(part["offset"].to_numpy()[owner] + within)],
+                    names=["window", "check", "doc", "begin"],
+                )
+
+    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # hashes of the row before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            window, check = batch["window"].to_numpy(), batch["check"].to_numpy()
+            again = np.r_[last == (window[0], check[0]), (window[1:] == window[:-1]) & (check[1:] == check[:-1])]
+            last = (window[-1], check[-1])
+            doc, begin = batch["doc"].to_numpy()[again], batch["begin"].to_numpy()[again]
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(begin), pa.array(begin + LENGTH)], names=["doc", "begin", "end"])
+
+    dealt = (
+        cut.select("doc", "offset", "bytes").mapInArrow(windows, "window long, check long, doc long, begin long")
+        .repartition("window", "check").sortWithinPartitions("window", "check", "doc", "begin")
+    )
+    return dealt.mapInArrow(later, "doc long, begin long, end long")
+
+
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs of touching or overlapping ranges."""
     out: list[tuple[int, int]] = []
@@ -330,14 +382,23 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def repeated_ranges(texts: DataFrame) -> DataFrame:
-    """(doc, begin, end): byte ranges, overlaps included, covered by strings that start earlier too."""
+    """(doc, begin, end): byte ranges, overlaps included, covered by strings that start earlier too.
+
+    Grams with contexts for more than half a shard are split by window, so a shard has a bounded size.
+    """
     sifted = shared_table(sift(contexts(texts)), "suffix-sifted")
     whole = sifted.where("repeated").selectExpr(
         "doc", f"shiftright(place, {_SIZE_BITS}) AS begin",
         f"shiftright(place, {_SIZE_BITS}) + (place & {(1 << _SIZE_BITS) - 1}) AS end",
     )
-    cut = cut_contexts(texts, sifted.where("NOT repeated"))
-    return whole.union(shard_repeats(cut))
+    wanted = sifted.where("NOT repeated")
+    crowded = shared_table(crowded_grams(wanted), "suffix-crowded")
+    if crowded.isEmpty():
+        return whole.union(shard_repeats(cut_contexts(texts, wanted)))
+    small = broadcast_if_small(crowded, "16")
+    few = cut_contexts(texts, wanted.join(small, "gram", "left_anti"))
+    many = cut_contexts(texts, wanted.join(small, "gram", "left_semi"))
+    return whole.union(shard_repeats(few)).union(window_repeats(many))
 
 
 def remove_repeats(docs: DataFrame, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:

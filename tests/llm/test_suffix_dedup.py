@@ -92,3 +92,21 @@ def test_rows_that_share_an_id(spark):
         by_id.setdefault(row.doc_id, []).append(bytes(row.kept).decode())
     assert by_id[None] == ["null " + one]  # a null id is the smallest
     assert sorted(by_id[1]) == ["", "", "other"] and by_id[2] == [""]
+
+
+def test_crowded_grams_are_split(spark, monkeypatch):
+    """One phrase in many surroundings: its gram never meets in one shard, and the result is the same."""
+    rng = random.Random(8)
+    phrase = "a phrase of more than twenty bytes that many texts have"
+    filler = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared_parts = [filler(60) + phrase + filler(60) for _ in range(8)]
+    rows = [(i, filler(90) + rng.choice([phrase, rng.choice(shared_parts)]) + filler(90)) for i in range(300)]
+    rows.append((300, "é".join(shared_parts) * 2))
+    limit = 8000
+    monkeypatch.setattr(suffix_dedup.crowded_grams, "__defaults__", (limit,))
+    taken = []
+    whole = suffix_dedup.shard_repeats
+    monkeypatch.setattr(suffix_dedup, "shard_repeats", lambda cut: taken.append(cut) or whole(cut))
+    assert outcome(spark.createDataFrame(rows, "doc_id long, text string")) == brute.repeats(rows)
+    sizes = taken[0].selectExpr("gram", "length(bytes) + 28 AS n").groupBy("gram").sum("n").collect()
+    assert max((n for _, n in sizes), default=0) <= limit // 2
