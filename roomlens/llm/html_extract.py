@@ -38,12 +38,12 @@ DROPPED_ROLES = frozenset(
     ("alert", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation", "search")
 )
 # Class names and ids, as whole words, that mark what is not the article.
-_COMMENTS = r"comments?|commentlist|disqus"
+_COMMENTS = r"(?:(?:reader|user|visitor|post|page|article)s?[-_]?)?comments?|commentlist|disqus"
 _PART = r"(?:[-_](?:area|bar|block|box|buttons?|container|form|items?|links?|list|posts|section|widget|wrapper))?"
 _COMMENT_NAMES = re.compile(rf"(?<!\S)(?:{_COMMENTS}){_PART}(?!\S)")
 _DROPPED_NAMES = re.compile(
     rf"(?<!\S)(?:{_COMMENTS}|ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar"
-    r"|cookie\w*|consent|gdpr|notice|notification|popup|modal|newsletter|subscribe|subscription|share|sharing|social"
+    r"|cookie\w*|consent|gdpr|alert(?:[-_]\w+)*|notice|notification|popup|modal|newsletter|subscribe|subscription|share|sharing|social"
     r"|related|recommended|breadcrumb\w*|menu|navbar|nav|navigation|footer|masthead|pagination|pager|skip-?link)"
     rf"{_PART}(?!\S)"
 )
@@ -57,8 +57,12 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset(("ul", "ol", "dl", "table", "select", "article", "main", "section", "div", "body", "html"))
-_IN_MAIN = 0x5851F42D4C957F2D  # tells a subtree inside a main element from the same one outside
+_LINKS = frozenset(("a", "button", "form", "input", "label", "option", "select"))
+_WRAPPERS = frozenset(("div", "section"))
+_FIRST, _LAST = 0x5851F42D4C957F2D, 0x14057B7EF767814F  # tell a subtree at an end of a main element from others
+OUTSIDE, INSIDE, ARTICLE = 0, 1, 2  # kinds of subtrees that are counted
 _WORDS = re.compile(r"\w")
+_SECTION = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*/+([^/?#]+)/"
 _HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 
 
@@ -189,19 +193,17 @@ def _drop_named(root: Element) -> None:
 
 
 def _candidates(element: Element, free: bool) -> list[tuple[Element, bool]]:
-    """Child elements, and whether each may go as a template of its own.
+    """Child elements outside main elements, and whether each may go as a template of its own.
 
-    Blocks may, but for cells of a table. An inline element may if it makes up a line of its own inside
-    a main element, and if no words stand bare in its line elsewhere: parts of a sentence stay.
+    Blocks may, but for cells of a table. Inline elements may if no words stand bare in their line:
+    parts of a sentence stay.
     """
-    inside = element.inside or element.main
     found: list[tuple[Element, bool]] = []
     line: list[Element] = []
     bare = False
 
     def end_line() -> None:
-        alone = free and not bare and (not inside or len(line) == 1)
-        found.extend((item, alone) for item in line)
+        found.extend((item, free and not bare) for item in line)
 
     for item in element.items:
         if not isinstance(item, Element):
@@ -218,32 +220,73 @@ def _candidates(element: Element, free: bool) -> list[tuple[Element, bool]]:
     return found
 
 
-def _template_key(element: Element) -> int:
-    return element.digest ^ _IN_MAIN if element.inside else element.digest
+def _mostly_links(element: Element) -> bool:
+    """Whether a container holds text, no main element, and most of the text in links, buttons or form parts."""
+    if element.main or not (element.tag in ("div", "section", "ul", "ol") or "-" in element.tag):
+        return False
+    linked = total = 0
+    left = [(element, False)]
+    while left:
+        step, in_link = left.pop()
+        for item in step.items:
+            if isinstance(item, Element):
+                if item.main:
+                    return False
+                left.append((item, in_link or item.tag in _LINKS))
+            else:
+                size = sum(map(len, item.split()))
+                total += size
+                linked += size * in_link
+    return 2 * linked > total
 
 
-def template_candidates(page: str | None) -> set[tuple[int, int]]:
-    """(key, holder) of the page's subtrees that hold text and no main element.
+def _link_blocks(main: Element) -> dict[int, tuple[Element, int]]:
+    """id -> (element, key) of the link blocks that a main element begins or ends with.
 
-    The holder is the digest of the nearest main element around the subtree, of the page without one:
-    a subtree counts once for each different holder, so copies of a page make no template of its text.
+    Wrappers that hold all of the main element are looked through. Nothing else inside a main element
+    may go as a template, however often it recurs: headings, paragraphs and lists of text are article.
+    """
+    while True:
+        content = [i for i in main.items if isinstance(i, Element) or i.strip()]
+        if len(content) != 1 or isinstance(content[0], str) or content[0].tag not in _WRAPPERS or content[0].main:
+            break
+        main = content[0]
+    found: dict[int, tuple[Element, int]] = {}
+    for order, end in ((content, _FIRST), (content[::-1], _LAST)):
+        for item in order:
+            if isinstance(item, str) or not (item.dropped or len(item.parts) < 2 or _mostly_links(item)):
+                break
+            if not item.dropped and len(item.parts) > 1:
+                found.setdefault(id(item), (item, item.digest ^ end))
+    return found if len(found) < len(content) else {}
+
+
+def template_candidates(page: str | None) -> set[tuple[int, int, int]]:
+    """(kind, key, holder) of the page's subtrees that may go as templates, and of its main elements.
+
+    Outside main elements: subtrees that hold text and no main element. Inside: link blocks at either
+    end. The holder is the digest of the main element around the subtree, of the page without one: a
+    subtree counts once for each different holder, so copies of a page make no template of its text.
     """
     root = parse(page or "")
-    found: set[tuple[int, int]] = set()
+    found: set[tuple[int, int, int]] = set()
 
-    order: list[tuple[Element, int, bool, int]] = [(root, -1, False, root.digest)]  # a parent before its children
-    for place, (element, _, may_go, holder) in enumerate(order):
+    order: list[tuple[Element, int, bool]] = [(root, -1, False)]  # a parent before its children
+    for place, (element, _, may_go) in enumerate(order):
         if element.main:
-            holder = element.digest
-        free = may_go or element.tag in BLOCK or not element.tag
-        order += [(item, place, may, holder) for item, may in _candidates(element, free)]
+            found.add((ARTICLE, element.digest, element.digest))
+            found.update((INSIDE, key, element.digest) for _, key in _link_blocks(element).values())
+        if element.main or element.inside:
+            order += [(item, place, False) for item in element.items if isinstance(item, Element) and not item.dropped]
+        else:
+            order += [(item, place, may) for item, may in _candidates(element, may_go or element.tag in BLOCK or not element.tag)]
     with_main = [element.main for element, *_ in order]  # a main element, or an ancestor of one
     for place in range(len(order) - 1, 0, -1):
-        element, parent, may_go, holder = order[place]
+        element, parent, may_go = order[place]
         if with_main[place]:
             with_main[parent] = True
         elif may_go and len(element.parts) > 1 and not element.dropped:
-            found.add((_template_key(element), holder))
+            found.add((OUTSIDE, element.digest, root.digest))
     return found
 
 
@@ -251,7 +294,8 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
     """The article's blocks, one a line: the page's main elements, or the whole page without one.
 
     Elements that are menus, forms, notices and the like by name, and subtrees whose key is in
-    ``recurring``, are left out; a main element and its ancestors never go as subtrees.
+    ``recurring``, are left out; a main element and its ancestors never go as subtrees, and of its
+    inside only link blocks at its ends.
     """
     root = parse(page or "")
     blocks: list[str] = []
@@ -272,6 +316,7 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
         return False
 
     everything = not has_main(root)
+    gone: set[int] = set()
     # What is left to do, last first: a text, the end of a block (None), or an element to enter.
     todo: list = [(root, False, everything, False)]
     while todo:
@@ -283,12 +328,14 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
             held.append(step)
             continue
         element, may_go, wanted, titles_only = step
-        if element.dropped or (
-            may_go and not element.main and _template_key(element) in recurring and not has_main(element)
+        if element.dropped or id(element) in gone or (
+            may_go and not element.main and element.digest in recurring and not has_main(element)
         ):
             held.append(" ")
             continue
         wanted = wanted or element.main
+        if element.main and recurring:
+            gone |= {known for known, (_, key) in _link_blocks(element).items() if key in recurring}
         if element.tag == "header":
             titles_only = True
         show = wanted and (not titles_only or element.tag in HEADINGS)
@@ -300,7 +347,8 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
         if element.tag == "br":
             held.append(" ")
         free = may_go or edge or not element.tag
-        may = {id(e): m for e, m in _candidates(element, free)} if recurring else {}
+        outside = not (element.main or element.inside)
+        may = {id(e): m for e, m in _candidates(element, free)} if recurring and outside else {}
         for item in reversed(element.items):
             if isinstance(item, Element):
                 todo.append((item, may.get(id(item), False), wanted, titles_only))
@@ -311,8 +359,12 @@ def main_text(page: str | None, recurring: frozenset[int] | set[int] = frozenset
 
 
 def _with_keys(pages: DataFrame) -> DataFrame:
-    host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), _HOST, 1))
-    return pages.withColumns({"_host": host, "_page": F.xxhash64(F.col("html").cast("string"))})
+    url = F.coalesce(F.col("url").cast("string"), F.lit(""))
+    return pages.withColumns({
+        "_host": F.lower(F.regexp_extract(url, _HOST, 1)),
+        "_section": F.regexp_extract(url, _SECTION, 1),
+        "_page": F.xxhash64(F.col("html").cast("string")),
+    })
 
 
 def _signed(digest: int) -> int:
@@ -320,41 +372,49 @@ def _signed(digest: int) -> int:
 
 
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """(host, page, digest, holder) of every subtree that may go, once for each different page of a host.
+    """(host, section, page, kind, digest, holder) of every subtree that may go, and of the main elements.
 
-    ``page`` is a hash of the page itself: equal pages of a host are one.
+    ``page`` is a hash of the page itself: equal pages of a section are one. A section is the first
+    folder of a URL's path.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                rows, digests, holders = [], [], []
-                for row, page in enumerate(part["html"]):
-                    found = template_candidates(page.as_py())
-                    rows += [row] * len(found)
-                    digests += [_signed(d) for d, _ in found]
-                    holders += [_signed(h) for _, h in found]
+                found = [(row, *f) for row, page in enumerate(part["html"]) for f in template_candidates(page.as_py())]
+                rows, kinds, digests, holders = zip(*found) if found else ((), (), (), ())
                 of = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part["_host"].take(of), part["_page"].take(of), pa.array(digests, pa.int64()), pa.array(holders, pa.int64())],
-                    names=["host", "page", "digest", "holder"],
+                    [
+                        *(part[c].take(of) for c in ("_host", "_section", "_page")), pa.array(kinds, pa.int8()),
+                        pa.array(map(_signed, digests), pa.int64()), pa.array(map(_signed, holders), pa.int64()),
+                    ],
+                    names=["host", "section", "page", "kind", "digest", "holder"],
                 )
 
-    rows = _with_keys(pages).select("_host", "_page", F.col("html").cast("string"))
-    return rows.mapInArrow(run, "host string, page long, digest long, holder long").distinct()
+    rows = _with_keys(pages).select("_host", "_section", "_page", F.col("html").cast("string"))
+    return rows.mapInArrow(run, "host string, section string, page long, kind byte, digest long, holder long").distinct()
 
 
 def site_templates(subtrees: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, digest): subtrees that recur in ``min_pages`` different holders of their host.
+    """(host, section, digest) of the subtrees that recur; the section is null where it does not count.
 
-    A holder is a main element, or a page outside of them. The bound does not grow with the host.
+    Outside main elements a subtree recurs in ``min_pages`` different pages of its host; that bound does
+    not grow with the host. A link block at an end of a main element must stand there in
+    ``min_pages`` different main elements of its section, and in half of all that the section has.
     Holders are told apart before they are counted in the tasks, so no host's rows meet in one task.
     """
-    once = subtrees.select("host", "digest", "holder").distinct()
-    return once.groupBy("host", "digest").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages).select(
-        "host", "digest"
+    section = F.when(F.col("kind") != OUTSIDE, F.col("section")).alias("section")
+    once = subtrees.select("host", section, "kind", "digest", "holder").distinct()
+    counted = (
+        once.where(F.col("kind") != ARTICLE).groupBy("host", "section", "kind", "digest")
+        .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
     )
+    articles = once.where(F.col("kind") == ARTICLE).groupBy("host", "section").agg(F.count(F.lit(1)).alias("articles"))
+    outside = counted.where(F.col("kind") == OUTSIDE).select("host", "section", "digest")
+    inside = counted.where(F.col("kind") == INSIDE).join(articles, ["host", "section"]).where("2 * n >= articles")
+    return outside.union(inside.select("host", "section", "digest"))
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES, max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -363,20 +423,26 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, max_broadcast_bytes: i
     Two passes: subtrees are counted per host, then each page is read again without those of its own
     that recur. Recurring subtrees are joined by host and digest, and each page gets the list of its
     own only, so no list grows with a host; tables are broadcast if their measured size allows. An
-    article or main element is never taken for a template itself, and what recurs inside counts once
-    for all copies of the article. Null and empty pages give an empty text; pages without a host
-    share the empty host; repeated rows come back as often; other columns are ignored.
+    article or main element is never taken for a template itself, and of its inside only blocks of
+    links at its ends can go, counted once for all copies of the article. Null and empty pages give
+    an empty text; pages without a host share the empty host; repeated rows come back as often; other
+    columns are ignored. A page is parsed whole in a task, whatever its length. No pages, no rows.
     """
     subtrees = shared_table(page_subtrees(pages), "page-subtrees")
     templates = shared_table(site_templates(subtrees, min_pages), "page-templates")
-    small = broadcast_if_small(templates, "octet_length(host) + 24", max_broadcast_bytes)
+    small = broadcast_if_small(templates, "octet_length(host) + coalesce(octet_length(section), 0) + 48", max_broadcast_bytes)
+    found = subtrees.where(F.col("kind") != ARTICLE).withColumn(
+        "counted", F.when(F.col("kind") != OUTSIDE, F.col("section"))
+    )
+    small = small.withColumnsRenamed({"section": "counted"})
+    same = (found["host"] == small["host"]) & (found["digest"] == small["digest"]) & found["counted"].eqNullSafe(small["counted"])
     own = shared_table(
-        subtrees.join(small, ["host", "digest"]).groupBy("host", "page").agg(F.collect_set("digest").alias("digests")),
+        found.join(small, same, "left_semi").groupBy("host", "section", "page").agg(F.collect_set("digest").alias("digests")),
         "page-own-templates",
     )
     joined = (
-        _with_keys(pages).select("page_id", "url", F.col("html").cast("string"), F.col("_host").alias("host"), F.col("_page").alias("page"))
-        .join(broadcast_if_small(own, "8 * size(digests) + octet_length(host) + 72", max_broadcast_bytes), ["host", "page"], "left")
+        _with_keys(pages).select("page_id", "url", F.col("html").cast("string"), F.col("_host").alias("host"), F.col("_section").alias("section"), F.col("_page").alias("page"))
+        .join(broadcast_if_small(own, "8 * size(digests) + octet_length(host) + octet_length(section) + 96", max_broadcast_bytes), ["host", "section", "page"], "left")
         .select("page_id", "url", "html", "digests")
     )
     types = dict(joined.dtypes)

@@ -52,9 +52,12 @@ def test_an_article_is_never_a_template(spark):
     assert {r.text for r in html_extract.extract(df).collect()} == {"Same\ncopied text"}
 
 
-def test_given_pages(spark):
-    df = spark.read.parquet(f"{SMALL_DIR}/pages.parquet")
+@pytest.mark.parametrize("folder", [SMALL_DIR, "/root/testdata/sf0.1"])
+def test_given_pages(spark, folder):
+    """Every page's text is its cut-out article, however many pages a host has."""
+    df = spark.read.parquet(f"{folder}/pages.parquet")
     pages = {r.page_id: r.html for r in df.collect()}
+    compared = 0
     for row in html_extract.extract(df).collect():
         article = re.search(r"<article>(.*?)</article>", pages[row.page_id], re.DOTALL)
         if not article:
@@ -62,20 +65,43 @@ def test_given_pages(spark):
         blocks = re.split(r"</?(?:p|h1)>", article[1].replace("<br>", " "))
         wanted = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks]
         assert row.text == "\n".join(b for b in wanted if b)
+        compared += 1
+    assert compared == len(pages)
+
+
+ARTICLE = (
+    '<article><ul class="x"><li><a href="/">Up</a></li><li><a href="/t">Topics</a></li></ul><h1>Story {0}</h1>'
+    "<p>It is <em>not</em> about {0}.</p><table><tr><td>Yes</td><td>{0}</td></tr></table><h2>Method</h2>"
+    "<ul><li>2 eggs</li><li>salt</li></ul><p>Share this with friends</p><p><a>See also</a></p>"
+    "<x-box><a>Join us</a></x-box><div>or <button>Sign up here</button></div></article>"
+)
+BODY = "Story {0}\nIt is not about {0}.\nYes\n{0}\nMethod\n2 eggs\nsalt\nShare this with friends\nSee also"
+
+
+@pytest.mark.parametrize("count", [10, 2000])
+def test_link_blocks_at_the_ends_of_articles_go(spark, count):
+    rows = [(i, f"http://h.org/s/{i}", ARTICLE.format(f"n{i}")) for i in range(count)]
+    rows += [(10_000 + i, f"http://h.org/copy{i}", "<main><p>told again</p><div><a>by many</a></div></main>") for i in range(20)]
+    rows += [(20_000 + i, f"http://few.org/{i}", ARTICLE.format(f"n{i}")) for i in range(3)]
+    rows += [(30_000 + i, f"http://h.org/rare/{i}", f"<article><p>r{i}</p></article>") for i in range(7)]
+    rows += [(40_000 + i, f"http://h.org/rare/x{i}", ARTICLE.format(f"x{i}")) for i in range(6)]
+    texts = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(texts[i] == BODY.format(f"n{i}") for i in range(count))
+    assert all(texts[10_000 + i] == "told again\nby many" for i in range(20))  # copies of one article
+    whole = "Up\nTopics\n" + BODY + "\nJoin us\nor Sign up here"
+    buttons = whole.replace("or Sign up here", "or")  # a button is no text anywhere
+    assert all(texts[20_000 + i] == buttons.format(f"n{i}") for i in range(3))  # too few
+    assert all(texts[40_000 + i] == buttons.format(f"x{i}") for i in range(6))  # below half of their section
 
 
-def test_boilerplate_inside_articles_goes(spark):
-    article = (
-        "<article><h1>Story {0}</h1><p>It is <em>not</em> about {0}.</p><table><tr><td>Yes</td><td>{0}</td></tr></table>"
-        "<p>Share this with friends</p><x-box>Join us</x-box><div><p>Sign up here</p></div></article>"
+def test_recipes_keep_every_line(spark):
+    page = (
+        "<article><h1>Cake {0}</h1><p>Text {0}</p><h2>Ingredients</h2><ul><li>2 eggs</li><li>salt</li><li>item {0}</li></ul>"
+        "<h2>Method</h2><p>Bake well.</p><pre>import os</pre><blockquote>To be or not to be.</blockquote><p>end {0}</p></article>"
     )
-    rows = [(i, f"http://h.org/{i}", article.format(f"n{i}")) for i in range(12)]
-    rows += [(100 + i, f"http://h.org/copy{i}", "<main><p>told again</p><p>by many</p></main>") for i in range(20)]
-    rows += [(200 + i, f"http://few.org/{i}", article.format(f"n{i}")) for i in range(3)]
-    texts = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert all(texts[i] == f"Story n{i}\nIt is not about n{i}.\nYes\nn{i}" for i in range(12))
-    assert all(texts[100 + i] == "told again\nby many" for i in range(20))  # copies of one article
-    assert all("Share this with friends\nJoin us\nSign up here" in texts[200 + i] for i in range(3))
+    df = spark.createDataFrame([(i, f"http://r.org/{i}", page.format(i)) for i in range(6)], SCHEMA)
+    wanted = "Cake {0}\nText {0}\nIngredients\n2 eggs\nsalt\nitem {0}\nMethod\nBake well.\nimport os\nTo be or not to be.\nend {0}"
+    assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == {i: wanted.format(i) for i in range(6)}
 
 
 @pytest.mark.parametrize("page, text", [
@@ -87,6 +113,8 @@ def test_boilerplate_inside_articles_goes(spark):
     ('<article class="comment"><p>a</p></article>', "a"),
     ('<div class="sidebar"><article><p>a</p></article><article class="comment">no</article></div>', "a"),
     ('<main><p>a</p></main><div class="related-posts"><article><p>no</p></article></div>', "a"),
+    ('<article><p>a</p><div class="reader-comments">no</div><div class="alert alert-info">no</div></article>', "a"),
+    ('<article><p>a</p><div class="commentary">b</div><p class="alerted">c</p></article>', "a\nb\nc"),
     ('<article><p>a</p><div class="share-buttons">no</div><p class="menu">no</p></article>', "a"),
 ])
 def test_class_names_count_as_whole_words(page, text):
