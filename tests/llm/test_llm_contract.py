@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from roomlens.llm import bpe, quality, registry
+from roomlens.llm import bpe, line_dedup, quality, registry
 from tests.conftest import SMALL_DIR
 from tests.llm import brute
 
@@ -73,7 +73,7 @@ def test_pipeline_against_brute_force(spark, documents):
     docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet")
     model = quality.train(docs, spark.read.parquet(f"{SMALL_DIR}/labels.parquet"))
     good = {r.doc_id for r in quality.classify(docs, model, keep=["doc_id"]).where("predicted = 1").collect()}
-    lines = brute.dedup_lines([d for d in documents if d[0] in good])
+    lines = brute.dedup_lines([d for d in documents if d[0] in good], size=line_dedup.SHORT_SHINGLE_CHARS)
     prints = {d: brute.fingerprint(t) for d, t in lines.items()}
     root = brute.components(set(prints.values()), lambda a, b: (a ^ b).bit_count() <= 4)
     least = {}
@@ -89,11 +89,14 @@ def test_pipeline_against_brute_force(spark, documents):
     assert 0 < len(expected) < len(good) < len(documents)
 
 
-@pytest.mark.parametrize("stage", range(4))
+@pytest.mark.parametrize("stage", range(5))
 def test_stages_keep_columns(spark, stage):
     docs = spark.read.parquet(f"{SMALL_DIR}/documents.parquet").limit(40)
     odd = docs.select("doc_id", "text", "lang", "source", "n_chars").limit(3).withColumn("text", F.lit(None).cast("string"))
     wide = docs.union(odd).select("*", F.lit(1).alias("score"), F.lit("x").alias("n_lines"), F.lit("y").alias("fp"))
-    found = corpus_pipeline.STAGES[stage][1](spark, wide, SMALL_DIR)
-    assert found.columns == wide.columns and found.count() <= wide.count()
-    assert corpus_pipeline.STAGES[stage][1](spark, wide.limit(0), SMALL_DIR).count() == 0
+    run = corpus_pipeline.STAGES[stage][1]
+    found = run(spark, wide, SMALL_DIR)
+    names = wide.columns if stage < 4 else ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    assert found.columns == names and found.count() <= wide.count()
+    assert stage < 4 or found.count() == 43
+    assert run(spark, wide.limit(0), SMALL_DIR).count() == 0
