@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 MAX_BROADCAST_BYTES = 64 << 20
@@ -49,3 +51,14 @@ def emit_batches(rows: Iterable[tuple], schema: pa.Schema, size: Callable[[tuple
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def read_slices(batches: Iterable[pa.RecordBatch], column: str, size: int = OUTPUT_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that a piece has about ``size`` bytes of ``column``, or a single row."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        piece = np.cumsum(lengths) // size
+        cuts = np.flatnonzero(np.diff(piece)) + 1
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            if end > start:
+                yield batch.slice(start, end - start)

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roomlens.llm import (
-    bpe, chat_format, decontaminate, html_extract, line_dedup, pii, quality, simhash, suffix_dedup,
-    topk_search,
+    bpe, chat_format, collocations, decontaminate, html_extract, line_dedup, pii, prefix_trie, quality, simhash,
+    suffix_dedup, topk_search, weak_supervision,
 )
 from roomlens.llm.common import configure
 
@@ -83,10 +83,26 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, the votes of all rules, their posterior and the verdict of each document."""
+    return weak_supervision.judge(_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each begun with up to five turns of the first of its hundred."""
+    turns = _table(spark, sf_dir, "conversations")
+    return prefix_trie.trie(turns, head=lambda c: (c - c % 100, F.crc32(c.cast("string").cast("binary")) % 6))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best-scored phrases of each language."""
+    return collocations.phrases(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_chat_format, op2_suffix_dedup, op3_topk_search, op4_decontamination, op5_pii, op6_bpe, op7_quality, op8_html_extraction, op9_line_dedup, op10_simhash,
+        op1_chat_format, op2_suffix_dedup, op3_topk_search, op4_decontamination, op5_pii, op6_bpe, op7_quality, op8_html_extraction, op9_line_dedup, op10_simhash, op11_weak_supervision, op12_prefix_trie, op13_collocations,
     )
 }
 
@@ -158,6 +174,73 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(item_list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc_words LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op12_prefix_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+                   {'r': coalesce(role, ''), 't': coalesce(text, '')} AS said
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), convs AS (
+            SELECT conv_id, list(said ORDER BY pos) AS own FROM turns GROUP BY conv_id
+        ), sums AS (  -- CRC-32 of the decimal number: each byte, then eight shifts, marked -1
+            SELECT conv_id, own, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([
+                [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(CAST(conv_id AS VARCHAR), '')])),
+                lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END
+            ), 4294967295) % 6 AS h
+            FROM convs
+        ), rebuilt AS (
+            SELECT c.conv_id, coalesce(b.own[1 : c.h], []) || c.own[c.h + 1 :] AS said
+            FROM sums c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100
+        ), nodes AS (
+            SELECT said[1 : d] AS path, CAST(d AS BIGINT) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(said) = d), '') AS ends
+            FROM rebuilt, unnest(range(0, len(said) + 1)) AS t(d) GROUP BY ALL
+        ), family AS (
+            SELECT n.*, p.conv_id AS parent_conv_id, count(c.depth) AS n_children
+            FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[1 : n.depth - 1]
+                 LEFT JOIN (SELECT depth, path[1 : depth - 1] AS up FROM nodes WHERE depth > 0) c
+                 ON c.depth = n.depth + 1 AND c.up = n.path
+            GROUP BY ALL
+        ), beneath AS (
+            SELECT path[1 : d] AS top, d AS depth, count(*) FILTER (n_children = 0) AS n_leaves,
+                   sum(CASE WHEN f.depth > 0 THEN (n_convs - 1) * length(path[f.depth].t) ELSE 0 END) AS saved
+            FROM family f, unnest(range(0, f.depth + 1)) AS t(d) GROUP BY ALL
+        )
+        SELECT conv_id, f.depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+               sha256(ends) AS ends_sha256
+        FROM family f JOIN beneath b ON b.depth = f.depth AND b.top = f.path""",
+    "op13_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), said AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+        ), counted AS (
+            SELECT lang, w[i : i + m - 1] AS p, m, CAST(count(*) AS HUGEINT) AS a
+            FROM said, unnest(range(1, 5)) AS s(m), unnest(range(1, len(w) - m + 2)) AS t(i) GROUP BY ALL
+        ), totals AS (
+            SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counted WHERE m = 1 GROUP BY lang
+        ), frequent AS (
+            SELECT * FROM counted WHERE m > 1 AND a >= 30
+        ), around AS (
+            SELECT lang, p[i : i + s - 1] AS p, max(a) AS most
+            FROM frequent, unnest(range(2, m)) AS t(s), unnest(range(1, m - s + 2)) AS u(i) GROUP BY lang, p[i : i + s - 1]
+        ), kept AS (
+            SELECT f.* FROM frequent f LEFT JOIN around o ON o.lang = f.lang AND o.p = f.p
+            WHERE o.most IS NULL OR 100 * o.most < 80 * f.a
+        ), cut AS (
+            SELECT k.lang, k.p, k.a, x.a AS l, y.a AS r, (2000000 * k.a) // (x.a + y.a) AS score,
+                   row_number() OVER (PARTITION BY k.lang, k.p ORDER BY (2000000 * k.a) // (x.a + y.a), c) AS place
+            FROM kept k, unnest(range(1, k.m)) AS t(c)
+                 JOIN counted x ON x.lang = k.lang AND x.p = k.p[1 : c] JOIN counted y ON y.lang = k.lang AND y.p = k.p[c + 1 :]
+        ), ranked AS (
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+                   array_to_string(p, ' ') AS phrase, a, l, r, score
+            FROM cut WHERE place = 1
+        )
+        SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n,
+               CAST(score AS BIGINT) AS score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
 
 
