@@ -56,6 +56,15 @@ def alert_log(
     return whole.selectExpr(f"{literal(run_ts)} AS timestamp", "*")
 
 
+def alert_records(log: DataFrame, run_date: str) -> DataFrame:
+    """The log's rows with an id that a rerun gives again: the digest of run date, type and subject.
+
+    An alert is about a product, a date, a room or a price band; a run has one of a type for each.
+    """
+    subject = "coalesce(product_id, date, segment)"
+    return log.selectExpr(f"sha2(concat_ws('|', {literal(run_date)}, alert_type, {subject}), 256) AS alert_id", "*")
+
+
 def _monitor_alerts(groups: DataFrame, key: str, alert_type: str, label: str) -> DataFrame:
     return groups.where("alert").selectExpr(
         f"'{alert_type}' AS alert_type",

@@ -102,6 +102,11 @@ def missing_price_check(stage: DataFrame) -> DataFrame:
     return stage.agg(F.expr(f"{_count_where(missing)} AS null_prices"))
 
 
+def rejected_lines(rejects: DataFrame) -> DataFrame:
+    """Lines of the event files that are no records, per file and reason."""
+    return rejects.groupBy("file", "reason").agg(F.expr("count(*) AS cnt")).orderBy("file", "reason")
+
+
 def category_text_check(stage: DataFrame, top: int = 8) -> DataFrame:
     """Second comma item of the raw category text, most frequent first (quotes kept)."""
     item = "trim(substring_index(substring_index(translate(categories, '[]', ''), ',', 2), ',', -1))"

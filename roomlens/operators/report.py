@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roomlens.functions.numbers import half_even, money, ratio_pct
 from roomlens.operators.metrics import aggregates, stage_count
@@ -23,9 +23,9 @@ REPORT_TABLES = {
 }
 
 
-def kpi_summary(fact: DataFrame, stored: bool = False) -> DataFrame:
+def kpi_summary(fact: DataFrame, stored: bool = False, users: Column | None = None) -> DataFrame:
     """One row of totals and rates, from the fact or its ``stored`` session grain. A stage that never
-    occurs is null, its rate 0."""
+    occurs is null, its rate 0. With ``users``, their number, the stored grain need not tell them apart."""
 
     def stage(name: str, column: str) -> str:
         return f"nullif({f'sum({column})' if stored else stage_count(name)}, 0)"
@@ -36,12 +36,15 @@ def kpi_summary(fact: DataFrame, stored: bool = False) -> DataFrame:
         "total_purchases": stage("purchase", "purchases"),
         "total_views": stage("view", "views"),
         "total_cart_adds": stage("cart", "cart_adds"),
-        "unique_users": "count(DISTINCT user_id)",
         "ordered": f"sum(if(event_type = 'purchase', {money('revenue')}, NULL))",
     }
+    if users is None:
+        sums["unique_users"] = "count(DISTINCT user_id)"
+    totals = fact.agg(*aggregates(sums))
+    totals = totals if users is None else totals.withColumn("unique_users", users)
     conversion = ratio_pct("total_purchases", "total_views")
     abandoned = ratio_pct("total_cart_adds - total_purchases", "total_cart_adds")
-    return fact.agg(*aggregates(sums)).selectExpr(
+    return totals.selectExpr(
         "DOUBLE(revenue_sum) AS total_revenue",
         "total_events", "total_purchases", "total_views", "total_cart_adds", "unique_users",
         "try_divide(DOUBLE(ordered), DOUBLE(total_purchases)) AS avg_order_value",

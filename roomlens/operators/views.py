@@ -35,7 +35,11 @@ def conversion_funnel(fact: DataFrame, stored: bool = False) -> DataFrame:
         F.expr("count(DISTINCT user_id) AS unique_users"),
         F.expr("count(DISTINCT user_session) AS unique_sessions"),
     )
-    # One row per event type: the window sees a handful of rows.
+    return funnel_shares(counts)
+
+
+def funnel_shares(counts: DataFrame) -> DataFrame:
+    """Counts per event type with the share of all events. The window sees a handful of rows."""
     share = rate_pct("event_count", "sum(event_count) OVER ()")
     return counts.selectExpr("*", f"{share} AS pct_of_total")
 
@@ -85,10 +89,13 @@ def daily_trend(fact: DataFrame, stored: bool = False) -> DataFrame:
         "active_users": "count(DISTINCT user_id)",
         "sessions": "count(DISTINCT user_session)",
     }
+    return daily_rows(fact.groupBy("event_date").agg(*aggregates(counts)))
+
+
+def daily_rows(days: DataFrame) -> DataFrame:
+    """The daily view from one row of sums and counts per date."""
     return (
-        fact.groupBy("event_date")
-        .agg(*aggregates(counts))
-        .selectExpr("*", *calendar("event_date"))
+        days.selectExpr("*", *calendar("event_date"))
         .selectExpr(
             *DATE_ATTRIBUTES, *STAGES, f"{REVENUE} AS daily_revenue", "active_users", "sessions"
         )

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame
 
 from roomlens.functions.text import literal
-from roomlens.operators import detect, metrics, outputs
+from roomlens.operators import changes, detect, metrics, outputs
 from roomlens.sources import writers
 from roomlens.sources.scratch import shared_table
 from roomlens.thresholds import DEFAULTS, Thresholds
@@ -58,12 +61,20 @@ def datasets(
     return detectors(grain, days, run_date, run_ts, limits)
 
 
-def add_days(fact: DataFrame, store: str, since: str | None = None) -> DataFrame:
+def add_days(
+    fact: DataFrame, store: str, since: str | None = None, dates: Sequence[date | None] | None = None
+) -> DataFrame:
     """Bring the stored measures per product and date up to date; return all of them.
 
-    With ``since`` only events of that date and later, or without a date, are read; the days before
-    keep what an earlier run stored. The first run has none.
+    With ``dates``, those that load batches touched, exactly the events of these are read, late ones
+    included; a date whose events are all gone loses its measures. With ``since`` events of that date and
+    later, or without a date, are read. Other days keep what an earlier run stored. The first run has none.
     """
+    if dates is not None:
+        days = metrics.product_days(changes.on_dates(fact, list(dates)))
+        if dates:
+            writers.replace_partitions(days, store, "event_date", values=dates)
+        return fact.sparkSession.read.schema(days.schema).parquet(store)
     new = fact if since is None else fact.where(f"event_date IS NULL OR event_date >= DATE({literal(since)})")
     days = metrics.product_days(new)
     days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if since else "static").partitionBy(
@@ -73,15 +84,18 @@ def add_days(fact: DataFrame, store: str, since: str | None = None) -> DataFrame
 
 
 def run(
-    fact: DataFrame, folder: str, run_date: str, run_ts: str, limits: Thresholds = DEFAULTS, since: str | None = None
+    fact: DataFrame, folder: str, run_date: str, run_ts: str, limits: Thresholds = DEFAULTS, since: str | None = None,
+    dates: Sequence[date | None] | None = None,
 ) -> DataFrame:
-    """Append the alerts to the log, write the dated watchlist, return the summary.
+    """Write the alerts of the run to its partition of the log, and the dated watchlist; return the summary.
 
-    Measures per product and date are kept in the folder, so that a daily run with ``since`` reads
-    the new day only.
+    Measures per product and date are kept in the folder, so that a daily run reads only the days from
+    ``since`` on, or the ``dates`` that load batches touched. Rolling means are taken over the stored days,
+    so a late event also changes the verdicts of the days after it. A rerun of a date replaces its alerts.
     """
-    days = add_days(fact, f"{folder.rstrip('/')}/product_days", since)
+    days = add_days(fact, f"{folder.rstrip('/')}/product_days", since, dates)
     frames = detectors(days, metrics.roll_up(days, "event_date"), run_date, run_ts, limits)
-    writers.append_json_lines(frames["alert_log"], f"{folder.rstrip('/')}/alert_log")
+    records = outputs.alert_records(frames["alert_log"], run_date)
+    writers.replace_json_lines(records, f"{folder.rstrip('/')}/alert_log", run_date)
     writers.write_csv(frames["watchlist"], writers.dated_path(folder, "watchlists", run_date))
     return frames["alert_summary"]

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from roomlens import schemas
-from roomlens.operators import clean_events, clean_products, model, profiling, staging
+from roomlens.operators import changes, clean_events, clean_products, model, profiling, staging
 from roomlens.plans import profile
 from roomlens.session import configure
 from roomlens.sources import readers, writers
+from roomlens.sources.scratch import shared_table
+
+REJECTS = "file STRING, line STRING, reason STRING"
 
 
 @dataclass(frozen=True)
@@ -50,7 +54,9 @@ def build(
     house = Warehouse(spark, root)
     raw_products = readers.read_products_csv(spark, products_csv)
     extract = house.path("furniture_events_csv")
-    writers.write_csv(staging.furniture_only(readers.read_events_csv(spark, events_csv)), extract)
+    events, rejects = readers.read_events(spark, events_csv)
+    writers.write_csv(staging.furniture_only(events), extract)
+    writers.replace_table(rejects, house.path("rejected_events"))
     writers.write_csv(
         clean_products.product_preview(raw_products), house.path("products_clean_preview_csv")
     )
@@ -78,12 +84,39 @@ def build(
     return house
 
 
+def load(
+    house: Warehouse, events_csv: str | None, run_ts: str, deleted: DataFrame | None = None
+) -> list[date | None]:
+    """Add a batch of events to the fact, and take ``deleted`` rows of the fact away; return the dates touched.
+
+    Only the partitions of these dates are read and written anew, whatever dates the batch holds; dates
+    left without an event go. The new rows of the batch's lines that are no events replace the rejects.
+    """
+    configure(house.spark)
+    inserted = None
+    if events_csv is not None:
+        events, rejects = readers.read_events(house.spark, events_csv)
+        writers.replace_table(rejects, house.path("rejected_events"))
+        staged = staging.stage_events(staging.furniture_only(events), run_ts)
+        inserted = shared_table(model.fact_events(clean_events.clean_events(staged)), "load-batch")
+    dates = changes.touched_dates(inserted, deleted)
+    fact = house.table("fact_user_events")
+    # Stored first: the partitions it reads are those it replaces.
+    rows = shared_table(changes.changed(changes.on_dates(fact, dates), inserted, deleted), "load-dates")
+    if dates:
+        writers.replace_partitions(rows.hint("rebalance", "event_date"), house.path("fact_user_events"), "event_date", values=dates)
+    house.spark.catalog.refreshByPath(house.path("fact_user_events"))
+    return dates
+
+
 def write_checks(house: Warehouse, run_date: str) -> None:
     """Data-quality checks of the staging tables and profiles of the clean ones, below ``checks``."""
     products = house.table("stg_products")
     profile.write(
         profile.staging_checks(house.table("stg_user_events"), products), house.path("checks/staging"), run_date
     )
+    rejects = house.spark.read.schema(REJECTS).parquet(house.path("rejected_events"))
+    profile.write({"rejected_lines": profiling.rejected_lines(rejects)}, house.path("checks/staging"), run_date)
     clean = profile.clean_tables(
         house.table("clean_user_events"), products, house.table("clean_products")
     )

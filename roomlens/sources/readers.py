@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from roomlens.functions.text import literal
 from roomlens.schemas import RAW_EVENTS, RAW_PRODUCTS
 
 # Field texts that mean "missing" in the CSV dialect of the raw files.
@@ -20,14 +25,56 @@ def _blank_missing(df: DataFrame) -> DataFrame:
     )
 
 
-def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Clickstream export: header row, every field as text, one line per record (splittable).
+def file_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of a path by the column names of their header line.
+
+    A line that names all columns of the events is a header, in whatever order and among other names.
+    One distributed pass over the lines, without parsing them; one row a file reaches the driver, as
+    in a file listing. A file without such a line fails.
+    """
+    names = " AND ".join(f"contains(value, {literal(name)})" for name in RAW_EVENTS.fieldNames())
+    # A set of texts is aggregated by hash; the least text would need all lines sorted.
+    found = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.expr(f"collect_set(if({names}, value, NULL)) AS headers")
+    )
+    files: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(found.collect(), key=lambda r: r.file):
+        named = [tuple(n.strip() for n in next(csv.reader([header.lstrip("\ufeff")]))) for header in row.headers]
+        named = [n for n in named if set(RAW_EVENTS.fieldNames()) <= set(n)]
+        if len(named) != 1:
+            raise ValueError(f"{row.file}: {len(named)} headers with the columns of events")
+        files.setdefault(named[0], []).append(unquote(row.file))
+    return files
 
-    Columns are taken by name from the header, in any order and among others; a missing one fails.
-    All files of one path share a header.
+
+def read_events(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Clickstream export as (events, rejects): a header row a file, every field as text.
+
+    Columns are taken by name from each file's own header, so files of one path may order them
+    differently and hold others besides. A line with fewer or more fields than its header is no event;
+    rejects holds it with its file and the reason. Files stay splittable: one line is one record.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
-    return _blank_missing(raw.select([F.col(name) for name in RAW_EVENTS.fieldNames()]))
+    events, rejects = [], []
+    for names, files in file_headers(spark, path).items():
+        schema = ", ".join(f"`c{i}` string" for i in range(len(names))) + ", `_line` string"
+        raw = (
+            spark.read.schema(schema).option("header", True).option("escape", '"')
+            .option("columnNameOfCorruptRecord", "_line").option("columnPruning", False).csv(files)
+        )
+        place = {name: i for i, name in reversed(list(enumerate(names)))}
+        # Written so that it reads a column besides the line, and is not pushed into the parser: there
+        # the line is not set yet.
+        line = "coalesce(_line, substr(c0, 1, 0), '')"
+        events.append(raw.where(f"{line} = ''").select([F.col(f"c{place[n]}").alias(n) for n in RAW_EVENTS.fieldNames()]))
+        count = r"""size(split(regexp_replace(_line, r'"([^"]|"")*"', ''), ','))"""
+        fields = f"if({count} < {len(names)}, 'too few fields', 'too many fields') AS reason"
+        rejects.append(raw.where(f"{line} <> ''").selectExpr("_metadata.file_path AS file", "_line AS line", fields))
+    return _blank_missing(reduce(DataFrame.unionAll, events)), reduce(DataFrame.unionAll, rejects)
+
+
+def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The events of ``read_events``."""
+    return read_events(spark, path)[0]
 
 
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:

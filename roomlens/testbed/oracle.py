@@ -686,6 +686,9 @@ _BODIES = {
         FROM vw_high_view_no_purchase
         ORDER BY views DESC, product_id, brand, room_type, item_type, price_segment LIMIT 10""",
     "kpi_summary": _KPIS,
+    "visits_conversion_funnel": "SELECT * FROM vw_conversion_funnel",
+    "visits_daily_trend": "SELECT * FROM vw_daily_trend",
+    "visits_kpi_summary": _KPIS,
     "kpi_sheet": f"""
         SELECT CAST(line AS INTEGER) AS line, metric, value FROM (
             SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8]) AS line,
@@ -813,6 +816,10 @@ _BODIES = {
                (SELECT count(*) FILTER (event_date IS NULL) FROM fact)
         FROM trend""",
     "alert_log": "SELECT * FROM log",
+    "alert_records": """
+        SELECT sha256(concat_ws('|', '2024-02-01', alert_type, coalesce(product_id, date, segment))) AS alert_id, *
+        FROM log""",
+    "late_event_trend": "SELECT * FROM trend",
     "watchlist": """
         SELECT product_id, views, cart_adds, purchases, price, brand, room_type, price_segment,
                est_revenue_lost, severity, alert_type, run_date,

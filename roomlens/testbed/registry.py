@@ -6,6 +6,7 @@ from one profile, low enough for the small test scales; the operators default to
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roomlens.functions.numbers import text_to_double
 from roomlens.operators import (
+    changes,
     clean_events,
     clean_products,
     detect,
@@ -27,8 +29,9 @@ from roomlens.operators import (
     views,
 )
 from roomlens.plans import detection, insights, profile, reporting
+from roomlens.plans.visits import Visits
 from roomlens.session import configure
-from roomlens.sources.scratch import shared_table
+from roomlens.sources.scratch import scratch_folder, shared_table
 from roomlens.testbed import adapter
 from roomlens.thresholds import Thresholds
 
@@ -209,6 +212,23 @@ class Inputs:
     def detectors(self) -> dict[str, DataFrame]:
         return detection.detectors(self.grain, self.days, RUN_DATE, RUN_TS, PROFILE)
 
+    @cached_property
+    def visits(self) -> Visits:
+        """The bitmap store after two loads: the first half of the days, then the others."""
+        dates = changes.touched_dates(self.stored_fact)
+        store = Visits(self.spark, f"{scratch_folder(self.spark)}/visits-{uuid.uuid4().hex}")
+        half = len(dates) // 2
+        return store.add_days(self.stored_fact, dates[:half]).add_days(self.stored_fact, dates[half:])
+
+    @cached_property
+    def late_days(self) -> DataFrame:
+        """Stored measures per product and date, after a batch of late events of all dates."""
+        store = f"{scratch_folder(self.spark)}/product-days-{uuid.uuid4().hex}"
+        late = "coalesce(user_id, 0) % 10 = 3"
+        detection.add_days(self.stored_fact.where(f"NOT ({late})"), store)
+        touched = changes.touched_dates(self.stored_fact.where(late))
+        return detection.add_days(self.stored_fact, store, dates=touched)
+
     @cached_property
     def insights(self) -> dict[str, DataFrame]:
         return insights.datasets(self.stored_fact, PROFILE)
@@ -333,6 +353,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "q_gap_top10": lambda i: views.gap_list(i.gap_view),
     # Report
     "kpi_summary": _kpis,
+    "visits_conversion_funnel": lambda i: i.visits.conversion_funnel(),
+    "visits_daily_trend": lambda i: i.visits.daily_trend(),
+    "visits_kpi_summary": lambda i: i.visits.kpi_summary(),
     "kpi_sheet": lambda i: report.kpi_sheet(_kpis(i)),
     "report_funnel": lambda i: report.funnel_stages(i.funnel_view),
     "report_room_top8": lambda i: report.room_rates(i.room_view),
@@ -395,6 +418,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     # Alert outputs and dashboard datasets
     "alert_log": lambda i: i.detectors["alert_log"].drop("timestamp"),
+    "alert_records": lambda i: outputs.alert_records(i.detectors["alert_log"], RUN_DATE).drop("timestamp"),
+    "late_event_trend": lambda i: detect.daily_trend(metrics.roll_up(i.late_days, "event_date"), PROFILE),
     "watchlist": lambda i: outputs.watchlist(i.zero, i.anomalies),
     "alert_summary": lambda i: i.detectors["alert_summary"],
     "zero_purchase_top10": lambda i: outputs.zero_purchase_chart(i.zero),
