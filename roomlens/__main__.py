@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,11 @@ def parser() -> argparse.ArgumentParser:
     build.add_argument("--root", required=True, help="folder of the tables")
     build.add_argument("--run-ts", required=True, help="load time, 'yyyy-MM-dd HH:mm:ss'")
 
+    load = jobs.add_parser("load", help="add a batch of events to the fact; prints the dates it touched")
+    load.add_argument("--events", required=True, help="clickstream CSV of the batch")
+    load.add_argument("--root", required=True, help="folder of the tables")
+    load.add_argument("--run-ts", required=True, help="load time, 'yyyy-MM-dd HH:mm:ss'")
+
     for name in ("report", "insights", "detect"):
         job = jobs.add_parser(name)
         job.add_argument("--root", required=True, help="folder of the tables")
@@ -34,9 +40,16 @@ def parser() -> argparse.ArgumentParser:
         if name == "detect":
             job.add_argument("--run-ts", required=True, help="alert time, 'yyyy-MM-dd HH:mm:ss'")
             job.add_argument("--since", help="first date to read; days before keep their stored measures")
+        if name != "insights":
+            job.add_argument("--dates", type=dates, help="dates to read, as 'load' prints them; others keep what is stored")
     return top
 
 
+def dates(text: str) -> list[date | None]:
+    """Comma-separated dates; 'none' stands for events without a date."""
+    return [None if part == "none" else date.fromisoformat(part) for part in text.split(",") if part]
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     configure(spark)
     if args.job == "profile":
@@ -50,13 +63,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         warehouse.write_checks(house, args.run_ts[:10])
         warehouse.table_counts(house).show(truncate=False)
         return
-    fact = warehouse.Warehouse(spark, args.root).table("fact_user_events")
+    house = warehouse.Warehouse(spark, args.root)
+    if args.job == "load":
+        touched = warehouse.load(house, args.events, args.run_ts)
+        print(",".join("none" if day is None else day.isoformat() for day in touched))
+        return
+    fact = house.table("fact_user_events")
     if args.job == "report":
-        reporting.run(fact, args.out, args.run_date)
+        reporting.run(fact, args.out, args.run_date, dates=args.dates)
     elif args.job == "insights":
         insights.run(fact, args.out, args.run_date)
     else:
-        detection.run(fact, args.out, args.run_date, args.run_ts, since=args.since).show(truncate=False)
+        detection.run(fact, args.out, args.run_date, args.run_ts, since=args.since, dates=args.dates).show(truncate=False)
 
 
 def main(argv: list[str] | None = None) -> None:

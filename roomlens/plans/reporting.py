@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame
 
 from roomlens.operators import metrics, report, views
+from roomlens.plans.visits import Visits
 from roomlens.sources import writers
 from roomlens.sources.scratch import shared_table
 from roomlens.thresholds import DEFAULTS, Thresholds
 
 
-def datasets(fact: DataFrame, limits: Thresholds = DEFAULTS) -> dict[str, DataFrame]:
+def datasets(fact: DataFrame, limits: Thresholds = DEFAULTS, visits: Visits | None = None) -> dict[str, DataFrame]:
     """Everything the report shows, from three scans of the fact: one stored aggregate for the views
-    of counts and sums, one for those that tell users and sessions apart, and the product list."""
+    of counts and sums, one for those that tell users and sessions apart, and the product list.
+
+    With ``visits``, a store that is up to date, the second scan is not made: funnel, daily view and
+    KPIs come from its bitmaps."""
     grain = shared_table(metrics.report_grain(fact), "report-grain")
-    sessions = shared_table(metrics.session_grain(fact), "session-grain")
+    sessions = None if visits else shared_table(metrics.session_grain(fact), "session-grain")
     frames = views.all_views(fact, limits.brand_min_views, limits.gap_view_min_views, grain, sessions)
+    if visits:
+        frames |= {"vw_conversion_funnel": visits.conversion_funnel(), "vw_daily_trend": visits.daily_trend()}
     writers.register_views(frames)
-    kpis = report.kpi_summary(sessions, stored=True)
+    kpis = visits.kpi_summary() if visits else report.kpi_summary(sessions, stored=True)
     return {
         **frames,
         "kpi_summary": kpis,
@@ -50,9 +59,16 @@ def insight_queries(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
 SHORT_TABLES = {"KPI Summary", "Funnel Data", "Price Segments", "Hourly Behavior", "Gap Analysis"}
 
 
-def run(fact: DataFrame, folder: str, run_date: str, limits: Thresholds = DEFAULTS) -> None:
-    """Write the KPI sheet, the report tables and the insight queries as CSV folders."""
-    frames = datasets(fact, limits)
+def run(
+    fact: DataFrame, folder: str, run_date: str, limits: Thresholds = DEFAULTS, dates: Sequence[date | None] | None = None
+) -> None:
+    """Write the KPI sheet, the report tables and the insight queries as CSV folders.
+
+    Users and sessions are kept as bitmaps in the folder; with ``dates``, those that changed since the
+    last run, the bitmaps of these dates alone are built again.
+    """
+    store = Visits(fact.sparkSession, f"{folder.rstrip('/')}/visits").add_days(fact, dates)
+    frames = datasets(fact, limits, store)
     for name, frame in insight_queries(frames).items():
         writers.write_csv(frame, writers.dated_path(folder, name, run_date))
     sheets = {"KPI Summary": frames["kpi_sheet"].select("metric", "value")}

@@ -203,7 +203,18 @@ def test_command_line(spark, tmp_path, capsys):
     out = ["--out", str(tmp_path / "out"), "--run-date", "2019-12-01"]
     command_line.main(["detect", *root, *out, "--run-ts", "2019-12-01 08:00:00"])
     assert "revenue_at_risk" in capsys.readouterr().out
+    (tmp_path / "late.csv").write_text("\n".join(EVENTS.splitlines()[:2]))
+    capsys.readouterr()
+    command_line.main(["load", "--events", str(tmp_path / "late.csv"), *root, "--run-ts", "2019-12-02 08:00:00"])
+    touched = capsys.readouterr().out.strip().splitlines()[-1]
+    assert touched == "2019-11-01"
+    command_line.main(["detect", *root, *out, "--run-ts", "2019-12-02 08:00:00", "--dates", touched])
+    command_line.main(["report", *root, *out])
+    command_line.main(["report", *root, *out, "--dates", touched])
+    assert command_line.dates("none,2019-11-02")[0] is None
     read = spark.read.option("header", True)
+    sheet = {r.metric: r.value for r in read.csv(str(tmp_path / "out/kpi_summary/run_date=2019-12-01")).collect()}
+    assert sheet["Total Views"] == "5" and sheet["Unique Users"] == "3"
     checks = read.csv(str(tmp_path / "tables/checks/staging/zero_prices/run_date=2019-12-01"))
     assert checks.first()["zero_price_events"] == "2"
     assert read.csv(str(tmp_path / "tables/checks/clean/rooms/run_date=2019-12-01")).count() == 2
