@@ -57,6 +57,14 @@ def dim_products(clean: DataFrame) -> DataFrame:
     return conform(dense_key(product_attributes(clean), "product_key", "asin"), DIM_PRODUCTS)
 
 
+def keyed_products(clean: DataFrame, registry: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]:
+    """Product dimension under the keys of ``registry``, and the registry after this load."""
+    from roomlens.operators import keys  # numbers rows by this module
+
+    found = keys.assign_keys(shared_table(product_attributes(clean), "products"), registry, run_date)
+    return conform(found.rows, DIM_PRODUCTS), found.registry
+
+
 def dim_date(clean: DataFrame) -> DataFrame:
     """One row per event date with calendar attributes.
 

@@ -8,10 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from roomlens import schemas
-from roomlens.operators import changes, clean_events, clean_products, model, profiling, staging
+from roomlens.operators import changes, clean_events, clean_products, keys, model, profiling, staging
 from roomlens.plans import profile
 from roomlens.session import configure
-from roomlens.sources import readers, writers
+from roomlens.sources import readers, versions, writers
 from roomlens.sources.scratch import shared_table
 
 REJECTS = "file STRING, line STRING, reason STRING"
@@ -19,17 +19,38 @@ REJECTS = "file STRING, line STRING, reason STRING"
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where the tables lie; each is read back with its declared schema."""
+    """Where the tables lie; each is read back with its declared schema.
+
+    Without a version given, that of the last finished build is looked up once, so all tables read
+    through one object belong together, whatever is built meanwhile.
+    """
 
     spark: SparkSession
     root: str
+    version: int | None = None
+
+    def __post_init__(self) -> None:
+        if self.version is None:
+            object.__setattr__(self, "version", versions.current(self.spark, self.root))
 
     def path(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
+        if self.version is None:
+            raise FileNotFoundError(f"{self.root}: no build has finished")
+        return f"{versions.folder(self.root, self.version)}/{table}"
 
     def table(self, name: str) -> DataFrame:
         return readers.read_table(self.spark, self.path(name), TABLES[name])
 
+    def key_registry(self) -> DataFrame:
+        """Keys given to products so far; none before the first build."""
+        if self.version is None:
+            return self.spark.createDataFrame([], keys.REGISTRY)
+        return self.spark.read.schema(keys.REGISTRY).parquet(self.path("product_keys"))
+
+    def checks(self, stage: str) -> str:
+        """Folder of dated check results, which are kept over all versions."""
+        return f"{self.root.rstrip('/')}/checks/{stage}"
+
 
 TABLES = {
     "stg_user_events": schemas.STG_EVENTS,
@@ -45,13 +66,15 @@ TABLES = {
 def build(
     spark: SparkSession, events_csv: str, products_csv: str, root: str, run_ts: str
 ) -> Warehouse:
-    """Extract, stage, clean and model; every table is replaced, so a rerun is idempotent.
+    """Extract, stage, clean and model; every table is built anew, so a rerun is idempotent.
 
-    Each step reads the stored table of the step before, which keeps lineage short and lets a
-    failed run resume from the last complete table.
+    Each step reads the stored table of the step before, which keeps lineage short. All tables are
+    written into a new version of the root, which becomes the current one in a single step at the end:
+    a build that dies anywhere leaves the tables of the last one. Products keep their keys.
     """
     configure(spark)
-    house = Warehouse(spark, root)
+    before = Warehouse(spark, root)
+    house = Warehouse(spark, root, versions.begin(spark, root))
     raw_products = readers.read_products_csv(spark, products_csv)
     extract = house.path("furniture_events_csv")
     events, rejects = readers.read_events(spark, events_csv)
@@ -74,13 +97,14 @@ def build(
     )
 
     clean = house.table("clean_user_events")
-    writers.replace_table(
-        model.dim_products(house.table("clean_products")), house.path("dim_products")
-    )
+    products, registry = model.keyed_products(house.table("clean_products"), before.key_registry(), run_ts[:10])
+    writers.replace_table(products, house.path("dim_products"))
+    writers.replace_table(registry, house.path("product_keys"))
     writers.replace_table(model.dim_date(clean), house.path("dim_date"))
     writers.replace_partitioned(
         model.fact_events(clean), house.path("fact_user_events"), "event_date"
     )
+    versions.publish(spark, root, house.version)
     return house
 
 
@@ -113,14 +137,14 @@ def write_checks(house: Warehouse, run_date: str) -> None:
     """Data-quality checks of the staging tables and profiles of the clean ones, below ``checks``."""
     products = house.table("stg_products")
     profile.write(
-        profile.staging_checks(house.table("stg_user_events"), products), house.path("checks/staging"), run_date
+        profile.staging_checks(house.table("stg_user_events"), products), house.checks("staging"), run_date
     )
     rejects = house.spark.read.schema(REJECTS).parquet(house.path("rejected_events"))
-    profile.write({"rejected_lines": profiling.rejected_lines(rejects)}, house.path("checks/staging"), run_date)
+    profile.write({"rejected_lines": profiling.rejected_lines(rejects)}, house.checks("staging"), run_date)
     clean = profile.clean_tables(
         house.table("clean_user_events"), products, house.table("clean_products")
     )
-    profile.write(clean, house.path("checks/clean"), run_date)
+    profile.write(clean, house.checks("clean"), run_date)
 
 
 def table_counts(house: Warehouse) -> DataFrame:

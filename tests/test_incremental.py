@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from roomlens.operators import changes, metrics, report, views, visits as bits
+from roomlens import schemas
+from roomlens.operators import changes, keys, model, report, views, visits as bits
 from roomlens.plans import detection, warehouse
 from roomlens.plans.visits import Visits
-from roomlens.sources import readers, writers
+from roomlens.sources import readers, versions, writers
+from roomlens.sources.scratch import shared_table
 from tests.test_jobs import EVENTS, LIMITS, PRODUCTS
 
 
@@ -186,7 +190,7 @@ def test_load_batches_into_the_warehouse(spark, tmp_path):
     ]
     (tmp_path / "late.csv").write_text("\n".join([header, *late]))
     gone = house.table("fact_user_events").where("event_date = DATE'2019-11-02'")
-    kept = (tmp_path / "tables/fact_user_events/event_date=2019-11-03")
+    kept = Path(house.path("fact_user_events")) / "event_date=2019-11-03"
     untouched = sorted(f.name for f in kept.iterdir())
     dates = warehouse.load(house, str(tmp_path / "late.csv"), "2019-12-02 08:00:00", gone)
     assert dates == [dt.date(2019, 11, d) for d in (1, 2, 30)]
@@ -224,3 +228,83 @@ def test_files_of_one_path_with_different_headers(spark, tmp_path):
     (folder / "d.csv").write_text("event_time,price\n1,2\n")
     with pytest.raises(ValueError, match="d.csv: 0 headers"):
         readers.read_events(spark, str(folder))
+
+
+def catalogue(spark, asins):
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in schemas.CLEAN_PRODUCTS.fields}
+    frame = spark.createDataFrame([(a, f"t{n}") for n, a in enumerate(asins)], "asin STRING, title STRING")
+    return shared_table(frame.select([F.col(n) if n in frame.columns else c.alias(n) for n, c in blank.items()]), "t")
+
+
+def key_of(df):
+    found = {}
+    for row in df.collect():
+        found.setdefault(row.asin, []).append(row.product_key)
+    return {asin: sorted(ids) for asin, ids in found.items()}
+
+
+def test_products_keep_their_keys(spark):
+    empty = spark.createDataFrame([], keys.REGISTRY)
+    first = catalogue(spark, ["C", "A", "B", "B", None, "E"])
+    dim, registry = model.keyed_products(first, empty, "2019-12-01")
+    assert dim.select("product_key", "asin", "title").collect().sort() == model.dim_products(first).select("product_key", "asin", "title").collect().sort()
+    assert key_of(dim) == key_of(model.dim_products(first)) and list(dim.columns) == schemas.DIM_PRODUCTS.fieldNames()
+    before = key_of(dim)
+
+    second = catalogue(spark, ["AA", "C", "B", "A", "A", "D", None])  # E and a B are gone, four are new
+    dim, registry = model.keyed_products(second, registry, "2019-12-02")
+    after = key_of(dim)
+    assert after["C"] == before["C"] and after[None] == before[None] and after["B"][0] in before["B"] and len(after["B"]) == 1
+    assert before["A"][0] in after["A"] and sorted(set(sum(after.values(), [])) - set(sum(before.values(), []))) == [7, 8, 9]
+    lines = {(r.asin, r.copy): r for r in registry.collect()}
+    assert len(lines) == registry.count() == 9
+    assert str(lines["E", 1].closed) == str(lines["B", 2].closed) == "2019-12-02" and lines["C", 1].closed is None
+    assert str(lines["D", 1].first_seen) == "2019-12-02" and str(lines["C", 1].first_seen) == "2019-12-01"
+
+    dim, registry = model.keyed_products(first, registry, "2019-12-03")  # all are back
+    assert key_of(dim) == before
+    lines = {(r.asin, r.copy): r for r in registry.collect()}
+    assert lines["E", 1].closed is None and str(lines["D", 1].closed) == "2019-12-03"
+    assert model.keyed_products(first.limit(0), registry, "2019-12-04")[0].count() == 0
+
+
+def test_a_build_that_dies_leaves_the_last_one(spark, tmp_path, monkeypatch):
+    """Whatever step is lost, readers have all tables of the build before; the next build takes over."""
+    (tmp_path / "events.csv").write_text(EVENTS)
+    (tmp_path / "products.csv").write_text(PRODUCTS, encoding="latin-1")
+    args = (spark, str(tmp_path / "events.csv"), str(tmp_path / "products.csv"), str(tmp_path / "tables"))
+    with pytest.raises(FileNotFoundError):
+        warehouse.Warehouse(spark, args[3]).table("dim_date")
+    warehouse.build(*args, "2019-12-01 08:00:00")
+
+    def contents(house):
+        return {name: found(house.table(name)) for name in warehouse.TABLES}
+
+    reader = warehouse.Warehouse(spark, args[3])
+    before = contents(reader)
+    (tmp_path / "events.csv").write_text("\n".join(EVENTS.splitlines()[:4]))
+    steps = [("replace_table", n) for n in range(7)] + [("write_csv", 0), ("write_csv", 1), ("replace_partitioned", 0)]
+    for step, survives in steps[::3] + [("publish", 0)]:
+        owner = versions if step == "publish" else writers
+        real, calls = getattr(owner, step), []
+
+        def dies(*a, **k):
+            if len(calls) == survives:
+                raise RuntimeError("lost")
+            calls.append(1)
+            return real(*a, **k)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(owner, step, dies)
+            with pytest.raises(RuntimeError):
+                warehouse.build(*args, "2019-12-02 08:00:00")
+        assert contents(warehouse.Warehouse(spark, args[3])) == before
+    after = warehouse.build(*args, "2019-12-02 08:00:00")
+    assert after.table("fact_user_events").count() == 3 and contents(reader) == before
+    assert sorted(p.name for p in (tmp_path / "tables").iterdir() if p.name.startswith("v")) == [
+        f"v{reader.version:08d}", f"v{after.version:08d}",
+    ]
+    for _ in range(2):
+        warehouse.build(*args, "2019-12-03 08:00:00")
+    assert versions.current(spark, args[3]) == after.version + 2
+    assert not (tmp_path / f"tables/v{reader.version:08d}").exists() and Path(after.path("dim_date")).exists()
