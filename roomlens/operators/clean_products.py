@@ -58,7 +58,7 @@ def impute_price(products: DataFrame, price: str = "price") -> DataFrame:
     otherwise.
     """
     prices = shared_table(frequencies(products, price, ["sub_category"]), "price-frequencies")
-    medians = quantiles(prices, {"_median": 0.5}, ["sub_category"])
+    medians = quantiles(prices, {"_median": 0.5}, ["sub_category"], stored=True)
     overall = quantiles(prices, {"_overall": 0.5}).agg(F.first("_overall")).scalar()
     return (
         products.join(medians, "sub_category", "left")

@@ -1,9 +1,9 @@
 """Exact quantiles without gathering a group in one task.
 
 The built-in exact percentile holds every distinct value of a group in one buffer. Here a group
-is first collapsed to (value, frequency) rows, then cut into value ranges, and those ranges that
-hold a wanted rank are cut again, between their own least and greatest value. Only what is left of
-them after the last cut is ranked.
+is first collapsed to (value, frequency) rows. As long as a range of values has more rows than a task
+should rank, it is cut at splitters from a mergeable quantile summary of its own values, and only the
+parts that hold a wanted rank are kept. What is left is ranked.
 """
 
 from __future__ import annotations
@@ -16,15 +16,10 @@ from roomlens.functions.numbers import half_even
 from roomlens.operators.metrics import aggregates
 from roomlens.sources.scratch import shared_table
 
-# Order-preserving coarse range of a number: 1024 ranges per e-fold of magnitude. It is a pure
-# function of the value, so it is the same wherever and however often it is computed. Amounts in
-# cents up to a million fall into some 14,000 ranges; around 10,000 a range holds 1,000 of them.
-VALUE_RANGE = "BIGINT(signum(value) * floor(ln(1D + abs(value)) * 1024D))"
-
-# A range that holds a wanted rank is cut into this many slices of equal width, this many times: a
-# million distinct values within a thousandth of their size end as slices of a thousand.
-SLICES, CUTS = 1024, 1
-SLICE = f"if(hi > lo, least(BIGINT(floor((value - lo) / (hi - lo) * {SLICES}D)), {SLICES - 1}L), 0L)"
+# A task ranks this many distinct values of a group at most; a longer range is cut into SPLITS + 1 parts
+# of about as many values each, however close together or far apart these are.
+RANGE_ROWS = 1 << 18
+SPLITS = 64
 
 
 def frequencies(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -37,44 +32,32 @@ def frequencies(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def quantiles(frequency: DataFrame, named: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
+def quantiles(
+    frequency: DataFrame, named: Mapping[str, float], by: Sequence[str] = (), stored: bool = False, range_rows: int = RANGE_ROWS
+) -> DataFrame:
     """Linear-interpolation quantiles of each group, one column per entry of ``named``.
 
-    ``frequency`` is the result of ``frequencies``, preferably stored, as it is read twice.
-    Groups with a null key are left out. Without ``by`` the result has one row, or none when
-    there is no value at all.
+    ``frequency`` is the result of ``frequencies``; ``stored`` tells that it is a written table by the
+    same keys, else its values are gathered by group and written first. Groups with a null key are left
+    out. Without ``by`` the result has one row, or none when there is no value at all.
     """
     present = " AND ".join([f"{key} IS NOT NULL" for key in by] or ["true"])
+    values = frequency.where(present)
+    if not stored:
+        values = shared_table(values.groupBy(*by, "value").agg(F.expr("sum(n) AS n")), "quantile-values")
     ranks = [f"{side}((total - 1) * {q}D)" for q in named.values() for side in ("floor", "ceil")]
-
-    def holding(placed: DataFrame, cuts: list[str], first: bool) -> DataFrame:
-        """Ranges that hold a wanted rank, with their extremes and the rows before them. The window
-        runs over the ranges of one outer range, which are few."""
-        outer = ", ".join([*by, *cuts[:-1], "1"])
-        base, total = ("0L", f"sum(size) OVER (PARTITION BY {outer})") if first else ("base", "total")
-        kept = {} if first else {"base": "first(before)", "total": "first(total)"}
-        sums = {"size": "sum(n)", "lo": "min(value)", "hi": "max(value)", **kept}
-        ranges = placed.groupBy(*by, *cuts).agg(*aggregates(sums)).selectExpr(
-            *by, *cuts, "size", "lo", "hi", f"{total} AS total",
-            f"""{base} + coalesce(sum(size) OVER (PARTITION BY {outer} ORDER BY {cuts[-1]}
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS before""",
-        )
-        return ranges.where(" OR ".join(f"{rank} >= before AND {rank} < before + size" for rank in ranks))
-
-    placed = (
-        frequency.where(present).groupBy(*by, "value").agg(F.expr("sum(n) AS n"))
-        .selectExpr("*", f"{VALUE_RANGE} AS cut_0")
-    )
-    cuts, wanted = ["cut_0"], holding(placed, ["cut_0"], True)
-    for number in range(1, CUTS + 1):
-        placed = placed.select(*by, *cuts, "value", "n").join(wanted, [*by, *cuts]).selectExpr(
-            *by, *cuts, "value", "n", "before", "total", f"{SLICE} AS cut_{number}"
-        )
-        cuts.append(f"cut_{number}")
-        wanted = holding(placed, cuts, False)
-    ranked = placed.select(*by, *cuts, "value", "n").join(wanted, [*by, *cuts]).selectExpr(
+    whole = values.groupBy(*by).agg(F.expr("sum(n) AS total"), F.expr("count(*) AS size"))
+    keys = [*by, "part"]
+    if (whole.agg(F.max("size")).first()[0] or 0) <= range_rows:
+        total = f"sum(n) OVER (PARTITION BY {', '.join([*by, '1'])})"
+        state = values.selectExpr(*by, "value", "n", "0L AS part", "0L AS before", f"{total} AS total")
+    else:
+        start = "0L AS part", "0L AS before", "total", "size"
+        state = values.join(whole, [*by]) if by else values.crossJoin(F.broadcast(whole))  # one row
+        state = _narrowed(state.selectExpr(*by, "value", "n", *start), by, ranks, range_rows)
+    ranked = state.selectExpr(
         *by, "value", "n", "total",
-        f"""before + sum(n) OVER (PARTITION BY {", ".join([*by, *cuts])} ORDER BY value
+        f"""before + sum(n) OVER (PARTITION BY {", ".join(keys)} ORDER BY value
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto""",
     )
     picks = [
@@ -92,6 +75,37 @@ def quantiles(frequency: DataFrame, named: Mapping[str, float], by: Sequence[str
     )
 
 
+def _narrowed(state: DataFrame, by: Sequence[str], ranks: Sequence[str], range_rows: int) -> DataFrame:
+    """Values in ranges of ``range_rows`` rows at most that hold a wanted rank, with the rows before each range.
+
+    ``state`` has the keys, value, n, part, before, total and size, the rows of its part. A range of
+    distinct values always splits, as a splitter is one of its values, and the least of them is below
+    the greatest; so each round shortens every long range.
+    """
+    shares = ", ".join(f"{i / (SPLITS + 1)}D" for i in range(1, SPLITS + 1))
+    keys, longest = [*by, "part"], None
+    while longest is None or longest > range_rows:
+        long_ = state.where(f"size > {range_rows}").groupBy(*keys).agg(
+            F.expr(f"percentile_approx(value, array({shares}), {100 * SPLITS}) AS splitters")
+        )
+        placed = state.join(long_, keys, "left").withColumnRenamed("part", "outer").selectExpr(
+            *by, "outer", "value", "n", "before", "total",
+            f"outer * {SPLITS + 1} + if(splitters IS NULL, 0, size(filter(splitters, s -> s < value))) AS part",
+        )
+        outer = ", ".join([*by, "outer"])
+        sizes = {"rows": "sum(n)", "size": "count(*)", "base": "first(before)", "total": "first(total)"}
+        # The window runs over the parts of one range, which are few.
+        parts = placed.groupBy(*by, "outer", "part").agg(*aggregates(sizes)).selectExpr(
+            *by, "part", "size", "rows", "total",
+            f"""base + coalesce(sum(rows) OVER (PARTITION BY {outer} ORDER BY part
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS before""",
+        )
+        wanted = parts.where(" OR ".join(f"{rank} >= before AND {rank} < before + rows" for rank in ranks)).drop("rows", "total")
+        state = shared_table(placed.drop("before", "outer").join(wanted, keys), "quantile-ranges")
+        longest = state.agg(F.max("size")).first()[0] or 0
+    return state
+
+
 def moments(frequency: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, sample deviation and extremes of each group, from stored frequencies.
 
@@ -128,7 +142,7 @@ def describe(df: DataFrame, value: str, digits: int = 6) -> DataFrame:
     """
     frequency = shared_table(frequencies(df, value), "frequencies")
     shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-    quartiles = quantiles(frequency, shares).agg(F.expr("first(struct(q25, q50, q75))"))
+    quartiles = quantiles(frequency, shares, stored=True).agg(F.expr("first(struct(q25, q50, q75))"))
     columns = {
         "mean": "mean", "std": "std", "min": "min", "q25": "q.q25", "q50": "q.q50", "q75": "q.q75",
         "max": "max",

@@ -125,10 +125,10 @@ def load(
         inserted = shared_table(model.fact_events(clean_events.clean_events(staged)), "load-batch")
     dates = changes.touched_dates(inserted, deleted)
     fact = house.table("fact_user_events")
-    # Stored first: the partitions it reads are those it replaces.
+    # Stored before its own partitions are exchanged.
     rows = shared_table(changes.changed(changes.on_dates(fact, dates), inserted, deleted), "load-dates")
     if dates:
-        writers.replace_partitions(rows.hint("rebalance", "event_date"), house.path("fact_user_events"), "event_date", values=dates)
+        writers.replace_partitions(rows, house.path("fact_user_events"), "event_date", values=dates, stored=True)
     house.spark.catalog.refreshByPath(house.path("fact_user_events"))
     return dates
 

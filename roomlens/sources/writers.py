@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from roomlens.sources.scratch import shared_table
+
 
 def replace_table(df: DataFrame, path: str) -> None:
     """Write a table anew; a rerun leaves the same content."""
@@ -41,18 +43,24 @@ def replace_json_lines(df: DataFrame, path: str, run_date: str) -> None:
     replace_partitions(lines, path, "run_date", "text", [run_date])
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str, kind: str = "parquet", values: Sequence[object] = ()) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, partition: str, kind: str = "parquet", values: Sequence[object] = (), stored: bool = False
+) -> None:
     """Exchange the partitions that ``df`` has rows for; those of ``values`` without rows go.
 
     Nothing else of the table is read or written. ``None`` among the values is the null partition.
+    Rows are written aside first, unless ``stored`` tells that they are, as they are read twice and may
+    come from the partitions they replace.
     """
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).format(kind).save(path)
-    if values:
-        left = {row[0] for row in df.select(F.col(partition).cast("string")).distinct().collect()}
-        for value in values:
-            if (None if value is None else str(value)) not in left:
-                name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-                delete(df.sparkSession, f"{path.rstrip('/')}/{partition}={name}")
+    rows = df if stored else shared_table(df, "partitions")
+    rows.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        partition
+    ).format(kind).save(path)
+    left = {row[0] for row in rows.select(F.col(partition).cast("string")).distinct().collect()}
+    for value in values:
+        if (None if value is None else str(value)) not in left:
+            name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+            delete(df.sparkSession, f"{path.rstrip('/')}/{partition}={name}")
 
 
 def delete(spark: SparkSession, path: str) -> None:

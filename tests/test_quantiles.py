@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from roomlens.operators.quantiles import SLICE, VALUE_RANGE, describe, frequencies, moments, quantiles
+from roomlens.operators.quantiles import describe, frequencies, moments, quantiles
 
 SHARES = {"q0": 0.0, "q10": 0.1, "q50": 0.5, "q75": 0.75, "q100": 1.0}
 
@@ -47,13 +47,6 @@ def test_empty_column(spark):
     assert row["count"] == 0 and row["mean"] is None and row["q50"] is None
 
 
-def test_ranges_keep_order(spark):
-    values = sorted([0.0, -0.5, -100.0, 1e-9, 0.01, 0.99, 1.0, 99.99, 100.0, 1e6, 1e300, -1e300])
-    ranges = [r[0] for r in frame(spark, [("a", v) for v in values]).selectExpr(
-        VALUE_RANGE.replace("value", "v")).collect()]
-    assert ranges == sorted(ranges)
-
-
 def test_describe_and_moments(spark):
     values = [3.5, 1.0, 1.0, 10.25, 7.0]
     row = describe(frame(spark, [("a", v) for v in values] + [("a", None)]), "v").first().asDict()
@@ -67,16 +60,42 @@ def test_describe_and_moments(spark):
     assert {r["k"]: (r["count"], r["std"]) for r in one.collect()} == {"a": (1, None), "b": (2, 0.0)}
 
 
-def test_crowded_ranges_are_cut_again(spark):
-    """Two hundred thousand amounts within a thousandth of their size, in 10,000 groups."""
-    rows = spark.range(200_000).selectExpr("STRING(id % 10000) AS k", "1e6 + id * 0.005D AS v")
-    values = 1e6 + np.arange(200_000) * 0.005
-    row = quantiles(frequencies(rows, "v", ["k"]), SHARES).first()
-    assert [row[q] for q in SHARES] == pytest.approx([np.quantile(values, s) for s in SHARES.values()], abs=1e-6)
-    first = rows.selectExpr("v AS value", f"{VALUE_RANGE.replace('value', 'v')} AS cut")
-    assert first.groupBy("cut").count().agg({"count": "max"}).first()[0] > 10_000
-    bounds = first.groupBy("cut").agg({"value": "min"}).withColumnRenamed("min(value)", "lo").join(
-        first.groupBy("cut").agg({"value": "max"}).withColumnRenamed("max(value)", "hi"), "cut"
-    )
-    slices = first.join(bounds, "cut").selectExpr("cut", f"{SLICE} AS slice").groupBy("cut", "slice").count()
-    assert slices.agg({"count": "max"}).first()[0] < 1_000
+SPREADS = {
+    "crowded beside one outlier": lambda n: np.r_[1.0 + np.arange(n - 1) * np.finfo(float).eps, 1e300],
+    "within a thousandth": lambda n: 1e6 + np.arange(n) * 0.005,
+    "all magnitudes": lambda n: np.r_[-np.logspace(-300, 300, n // 2), np.logspace(-300, 300, n - n // 2)],
+}
+
+
+@pytest.mark.parametrize("spread", SPREADS)
+@pytest.mark.parametrize("range_rows", [1, 50, 1 << 18])
+def test_ranges_are_cut_until_they_are_short(spark, monkeypatch, spread, range_rows):
+    """Exact values, whatever the spread, and no range longer than the bound is left to rank."""
+    from roomlens.operators import quantiles as module
+
+    values = np.unique(SPREADS[spread](3000))
+    df = spark.createDataFrame([(k, float(v)) for k in "ab" for v in (values if k == "a" else values[:7])], "k STRING, v DOUBLE")
+    left = []
+    real = module._narrowed
+    monkeypatch.setattr(module, "_narrowed", lambda *a: left.append(real(*a)) or left[-1])
+    found = {r.k: r for r in quantiles(frequencies(df, "v", ["k"]), SHARES, ["k"], range_rows=range_rows).collect()}
+    for k, given in (("a", values), ("b", values[:7])):
+        assert [found[k][q] for q in SHARES] == pytest.approx([np.quantile(given, s) for s in SHARES.values()], rel=1e-12, abs=0)
+    assert len(left) == (range_rows < 3000)
+    for state in left:
+        rows = state.groupBy("k", "part").count().collect()
+        assert max(r["count"] for r in rows) <= range_rows and len(rows) <= 20
+
+
+def test_a_million_values_beside_an_outlier(spark, monkeypatch):
+    """One group, a million distinct values within 1e-9 of each other's size: no task ranks more than the bound."""
+    from roomlens.operators import quantiles as module
+
+    df = spark.range(1_000_001).selectExpr("if(id = 1000000, 1e12D, 1D + id * 1e-15D) AS v")
+    left = []
+    real = module._narrowed
+    monkeypatch.setattr(module, "_narrowed", lambda *a: left.append(real(*a)) or left[-1])
+    row = quantiles(frequencies(df, "v"), SHARES, range_rows=10_000).first()
+    values = np.r_[1.0 + np.arange(1_000_000) * 1e-15, 1e12]
+    assert [row[q] for q in SHARES] == [np.quantile(values, s) for s in SHARES.values()]
+    assert left[0].groupBy("part").count().agg({"count": "max"}).first()[0] <= 10_000
