@@ -120,7 +120,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
     A document word is hit if it lies in any occurrence of a window. Null and empty texts have no
     words and are clean, as is everything against an empty benchmark. Null item texts hold no
     window; an item without id marks words but is not listed. Equal rows come back as often as they
-    occur, rows with a null doc_id too. Other columns are ignored.
+    occur, rows with a null doc_id too. Other columns are ignored. A text is cut into words as a whole,
+    whatever its length; no documents give no rows.
     """
     found = find_hits(docs, benchmark, window, max_broadcast_bytes)
     return found.selectExpr(

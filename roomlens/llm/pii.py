@@ -360,7 +360,8 @@ def replace_entities(docs: DataFrame, key: bytes, max_broadcast_bytes: int = MAX
     length or check digits, and in a name the same gender. The same key gives the same surrogates
     for a corpus. A task draws them itself; only the few entities that had to draw again are joined,
     by document. Null texts stay null; texts without entities stay as they are; repeated rows come
-    back as often; all other columns are kept; columns with the names of the counts are replaced.
+    back as often; all other columns are kept; columns with the names of the counts are replaced. A
+    text is searched whole in a task, whatever its length; no rows give no rows.
     """
     found = shared_table(entities(docs, key), "pii-found")
     again = settle_collisions(found, key)

@@ -137,7 +137,11 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = M
 
 
 def keep_representatives(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of their component; rows without an id stay."""
+    """Rows of ``docs`` whose doc_id is the smallest of their component; rows without an id stay.
+
+    Repeated rows of a kept id all stay; null and empty texts are alike, so one of them stays; a text
+    of any length is read whole; all columns are kept; no rows give no rows.
+    """
     found = near_duplicates(docs.select("doc_id", "text"), words, radius)
     dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti")

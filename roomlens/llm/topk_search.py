@@ -128,7 +128,8 @@ def top_k(embeddings: DataFrame, every: int = 50, k: int = 5, max_broadcast_byte
     measured size allows, and otherwise dealt to a fixed number of slots of vector blocks. A task
     keeps k rows per query. Vectors that are null or hold null or non-finite components, and rows
     without an id, take no part; rows equal in id and vector are one query but several candidates;
-    a score outside the range of a long stops at its end; other columns are ignored.
+    a score outside the range of a long stops at its end; other columns, texts of any length among
+    them, are ignored; no vectors or no queries give no rows.
     """
     vectors = valid_vectors(embeddings)
     blocks = shared_table(pack(vectors).withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(SLOTS)).cast("int")), "va-blocks")
