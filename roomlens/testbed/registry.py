@@ -243,7 +243,7 @@ def _table_counts(i: Inputs) -> DataFrame:
             "stg_products": i.stg_products,
             "clean_user_events": clean,
             "clean_products": i.stored_products,
-            "dim_products": i.dim_products,
+            "dim_products": model.product_attributes(i.stored_products),
             "dim_date": model.dim_date(clean),
             "fact_user_events": model.fact_events(clean),
         }
