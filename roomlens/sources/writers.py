@@ -33,6 +33,11 @@ def dated_path(folder: str, name: str, run_date: str) -> str:
     return f"{folder.rstrip('/')}/{name}/run_date={run_date}"
 
 
+def append_json_lines(df: DataFrame, path: str) -> None:
+    """Append one JSON object per row; null fields are left out. A rerun appends again."""
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("append").text(path)
+
+
 def replace_json_lines(df: DataFrame, path: str, run_date: str) -> None:
     """The rows of one run as JSON objects, null fields left out, in that run's partition of a log.
 
