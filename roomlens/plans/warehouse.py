@@ -114,9 +114,14 @@ def load(
     """Add a batch of events to the fact, and take ``deleted`` rows of the fact away; return the dates touched.
 
     Only the partitions of these dates are read and written anew, whatever dates the batch holds; dates
-    left without an event go. The new rows of the batch's lines that are no events replace the rejects.
+    left without an event go. The batch's lines that are no events replace the rejects. A batch is known by
+    its ``run_ts``: one that was loaded to the end is not loaded again, and tells its dates.
     """
     configure(house.spark)
+    batch = house.path("load_batches/" + "".join(filter(str.isdigit, run_ts)))
+    if writers.exists(house.spark, f"{batch}/_SUCCESS"):
+        stored = house.spark.read.schema("event_date DATE").parquet(batch)
+        return changes.touched_dates(stored)
     inserted = None
     if events_csv is not None:
         events, rejects = readers.read_events(house.spark, events_csv)
@@ -130,6 +135,7 @@ def load(
     if dates:
         writers.replace_partitions(rows, house.path("fact_user_events"), "event_date", values=dates, stored=True)
     house.spark.catalog.refreshByPath(house.path("fact_user_events"))
+    writers.replace_table(house.spark.createDataFrame([(day,) for day in dates], "event_date DATE").coalesce(1), batch)
     return dates
 
 

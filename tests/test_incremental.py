@@ -194,6 +194,7 @@ def test_load_batches_into_the_warehouse(spark, tmp_path):
     untouched = sorted(f.name for f in kept.iterdir())
     dates = warehouse.load(house, str(tmp_path / "late.csv"), "2019-12-02 08:00:00", gone)
     assert dates == [dt.date(2019, 11, d) for d in (1, 2, 30)]
+    assert warehouse.load(house, str(tmp_path / "late.csv"), "2019-12-02 08:00:00") == dates  # not added again
     fact = house.table("fact_user_events")
     assert {str(r[0]): r[1] for r in fact.groupBy("event_date").count().collect()} == {
         "None": 1, "2019-11-01": 4, "2019-11-03": 1, "2019-11-30": 1,
