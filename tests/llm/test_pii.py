@@ -86,3 +86,61 @@ def test_bare_repeats_of_a_name_go_too(spark):
     assert len({s.lower() for s in surnames[:4]}) == 1 and surnames[3].isupper() and surnames[-1] == surnames[-2]
     (row,) = replaced(spark, [(1, "Mr Meyer's car. Meyer left.")])
     assert "Meyer" not in row.text and "'s car. " in row.text and (row.n_mentions, row.n_entities) == (2, 1)
+
+
+# Texts with their private parts marked by hand: {type|text}.
+MARKED = (
+    "Call {phone|+44 20 7946 0958} or {phone|+33 1 23 45 67 89}, at home {phone|(030) 1234567}; not 12 345 nor +1 or 2019-11-02 12:34:56.",
+    "Host {ipv6|2001:db8::1} and {ipv6|fe80:0:0:0:0:0:0:1a}, not std::vector, a::b, 12:34:56 or ::; ssn {ssn|123 45 6789}, not 123 45 67890.",
+    "git clone http://user:{secret|pw123456@host}/x".replace("@host}", "}@host") + " with https://example.org:8080/path?q=1 open",
+    "Authorization: Bearer {secret|eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N} sent",
+    "{given_m|John} {surname|Smith} met {given_f|Fatima} {surname|Al-Sayed} and {given_m|Wei} {surname|Zhang}. The New York Times was sold.",
+    "Yesterday {given_n|Kofi} {surname|Mensah} said that United Airlines grew; Visual Studio Code is a program. Dear {given_n|Ingrid} {surname|Lund}, hello.",
+    "She was born on {birth|1980-02-29}; DOB: {birth|03/25/1975}. Date of birth: {birth|3 March 1961}. Built on 4 June 1999, sold 05/06/2001.",
+    "He moved to {street|221B Baker Street}, then {street|Hauptstraße 12} and {street|12 rue de la Paix}. Main Street was long, 3 Ways to go.",
+    "Version 1.2.3 of Apache Spark has 10 Great Features. The Quick Brown Fox ran. In Section Four we meet Article Five.",
+)
+
+
+def marked(text):
+    """The text without marks, and the (type, part) of all marks, in order."""
+    return re.sub(r"\{\w+\|([^}]*)\}", r"\1", text), re.findall(r"\{(\w+)\|([^}]*)\}", text)
+
+
+def test_recall_and_precision_by_type_on_marked_texts():
+    wanted, found = defaultdict(set), defaultdict(set)
+    for n, text in enumerate(MARKED):
+        plain, parts = marked(text)
+        for kind, part in parts:
+            wanted[kind].add((n, part))
+        for m in pii.find_mentions(plain):
+            found[m.kind].add((n, plain[m.start : m.end]))
+    assert dict(found) == dict(wanted)  # recall and precision of every type are 1 here
+
+
+def test_surrogates_of_marked_texts_keep_type_and_format(spark):
+    plain = [marked(text)[0] for text in MARKED]
+    rows = {r.doc_id: r for r in replaced(spark, list(enumerate(plain)))}
+    for n, text in enumerate(MARKED):
+        parts = marked(text)[1]
+        again = pii.find_mentions(rows[n].text)
+        kinds = [kind for kind, _ in parts]
+        assert rows[n].n_mentions == len(parts)
+        assert not any(len(part) > 3 and re.search(rf"(?<!\w){re.escape(part)}(?!\w)", rows[n].text) for _, part in parts)
+        assert [m.kind for m in again if not m.kind.startswith("given_")] == [k for k in kinds if not k.startswith("given_")]
+    assert re.search(r"Call \+44 \d\d \d{4} \d{4} or \+33 \d \d\d \d\d \d\d \d\d, at home \(0\d\d\) \d{7};", rows[0].text)
+    assert re.search(r"ssn \d{3} \d\d \d{4},", rows[1].text) and "not std::vector, a::b, 12:34:56" in rows[1].text
+    assert re.search(r"born on \d{4}-\d\d-\d\d; DOB: \d\d/\d\d/\d{4}. Date of birth: \d{1,2} [A-Z][a-z]+ \d{4}. Built on 4 June 1999", rows[6].text)
+    assert re.search(r"to \d{3}B [A-Z][a-z]{4} Street, then [A-Z][a-z]+straße \d\d and \d\d rue de la [A-Z][a-z]{3}\. Main Street", rows[7].text)
+    assert rows[8].text == plain[8]
+
+
+def test_days_of_birth_are_exchanged_one_to_one():
+    from datetime import date, timedelta
+
+    first, last = pii._BIRTHS
+    days = [(first + timedelta(i)).isoformat() for i in range((last - first).days + 1)]
+    source = pii.Surrogates(KEY)
+    made = [source.birth(day) for day in days]
+    assert sorted(made) == days and not any(a == b for a, b in zip(days, made))
+    assert pii.Surrogates(b"other").birth(days[0]) != made[0]
