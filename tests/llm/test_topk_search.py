@@ -73,3 +73,28 @@ def test_bounds_hold_and_prune():
     assert (lower <= exact).all() and (exact <= upper).all()
     kth = np.partition(lower, -5, axis=1)[:, -5]
     assert (upper >= kth[:, None]).mean() < 0.1  # most exact vectors are never read
+
+
+def test_few_exact_vectors_are_read(spark):
+    embeddings = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    blocks, asked, read = topk_search.search_tables(embeddings, 50, 5, 1 << 20)
+    whole, some = (t.selectExpr("sum(n)").first()[0] for t in (blocks, read))
+    assert 0 < some < whole / 10
+    floors = [f for r in asked.collect() for f in r.floors]
+    found = topk_search.top_k(embeddings)
+    kth = [r.score for r in found.where("rank = 5").collect()]
+    assert len(floors) == len(kth) and sum(floors) <= sum(kth) and min(floors) > -math.inf
+
+
+def test_first_passes_read_no_exact_vectors(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    blocks, asked, _ = topk_search.search_tables(df, 10, 5, 1 << 20)
+    for plan in (topk_search.with_floors(blocks.drop("vectors"), asked.drop("floors"), 5), topk_search.wanted_vectors(blocks.drop("vectors"), asked)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "cells" in text and not any("vectors" in line for line in text.splitlines() if "FileScan" in line)
+
+
+def test_many_copies_and_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk_search.pack, "__defaults__", (7,))
+    same = [(i, [1.0, 2.0, -1.0]) for i in range(60)] + [(i, [float(i % 7), 1.0, 0.5]) for i in range(60, 120)]
+    assert outcome(spark.createDataFrame(same, SCHEMA)) == expected(same, 10, 5)
