@@ -76,11 +76,13 @@ def link_fingerprints(nodes: DataFrame, radius: int = MAX_BITS) -> DataFrame:
     Two fingerprints link at ``radius`` or fewer differing bits; every such pair meets in a table.
     Pairs inside a group are never written out: first each bucket links its members to its smallest
     fingerprint where near enough. Only buckets that still hold several components are then joined,
-    and only across components, so a large group of near copies costs one link a member.
+    and only across components, so a large group of near copies costs one link a member. The few files
+    of ``nodes`` are dealt out first, as each row becomes one a table.
     """
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tables = F.array(*[F.struct(F.lit(i).alias("tab"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
                        for i, m in enumerate(covering_masks(radius))])
-    placed = nodes.select("fp", F.explode(tables).alias("t")).select("fp", "t.tab", "t.key")
+    placed = nodes.select("fp").repartition(tasks, "fp").select("fp", F.explode(tables).alias("t")).select("fp", "t.tab", "t.key")
     heads = placed.groupBy("tab", "key").agg(F.min("fp").alias("head"), F.max("fp").alias("last")).where("head <> last")
     shared = shared_table(
         placed.join(heads.select("tab", "key", "head"), ["tab", "key"]), "simhash-buckets"
