@@ -110,9 +110,18 @@ def hourly_behavior(fact: DataFrame, measured: Measured = measure) -> DataFrame:
     )
 
 
-def high_view_no_purchase(fact: DataFrame, min_views: int = 500, top: int = 30) -> DataFrame:
-    """The ``top`` most viewed products with more than ``min_views`` views and no purchase."""
-    sums = {**STAGES, "price_sum": f"sum({money('price')})", "priced": "count(price)"}
+_GAP_SUMS = {**STAGES, "price_sum": f"sum({money('price')})", "priced": "count(price)"}
+
+
+def gap_sums(fact: DataFrame, *keys: str) -> DataFrame:
+    """What the gap view needs of a group; sums, so that stored ones can be added up."""
+    return fact.groupBy(*keys).agg(*aggregates(_GAP_SUMS))
+
+
+def high_view_no_purchase(fact: DataFrame, min_views: int = 500, top: int = 30, stored: bool = False) -> DataFrame:
+    """The ``top`` most viewed products with more than ``min_views`` views and no purchase, from the
+    fact or from its ``stored`` gap sums."""
+    sums = {name: f"sum({name})" for name in _GAP_SUMS} if stored else _GAP_SUMS
     return (
         fact.groupBy(*GAP_KEYS)
         .agg(*aggregates(sums))
@@ -127,10 +136,10 @@ def high_view_no_purchase(fact: DataFrame, min_views: int = 500, top: int = 30)
 
 def all_views(
     fact: DataFrame, brand_views: int = 100, gap_views: int = 500, grain: DataFrame | None = None,
-    sessions: DataFrame | None = None,
+    sessions: DataFrame | None = None, gaps: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All views by name. ``grain``, stored report measures, spares four scans of the fact, and
-    ``sessions``, its stored session grain, two more."""
+    ``sessions``, its stored session grain, two more; ``gaps``, its stored gap sums, the last."""
     source, measured = (fact, measure) if grain is None else (grain, roll_up)
     stored = sessions is not None
     visits = sessions if stored else fact
@@ -141,7 +150,7 @@ def all_views(
         "vw_brand_performance": brand_performance(source, brand_views, measured),
         "vw_daily_trend": daily_trend(visits, stored),
         "vw_hourly_behavior": hourly_behavior(source, measured),
-        "vw_high_view_no_purchase": high_view_no_purchase(fact, gap_views),
+        "vw_high_view_no_purchase": high_view_no_purchase(fact if gaps is None else gaps, gap_views, stored=gaps is not None),
     }
 
 

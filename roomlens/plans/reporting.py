@@ -8,21 +8,25 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from roomlens.operators import metrics, report, views
+from roomlens.plans.cells import Cells, partition_digests
 from roomlens.plans.visits import Visits
 from roomlens.sources import writers
 from roomlens.sources.scratch import shared_table
 from roomlens.thresholds import DEFAULTS, Thresholds
 
 
-def datasets(fact: DataFrame, limits: Thresholds = DEFAULTS, visits: Visits | None = None) -> dict[str, DataFrame]:
+def datasets(
+    fact: DataFrame, limits: Thresholds = DEFAULTS, visits: Visits | None = None, cells: Cells | None = None
+) -> dict[str, DataFrame]:
     """Everything the report shows, from three scans of the fact: one stored aggregate for the views
     of counts and sums, one for those that tell users and sessions apart, and the product list.
 
     With ``visits``, a store that is up to date, the second scan is not made: funnel, daily view and
-    KPIs come from its bitmaps."""
-    grain = shared_table(metrics.report_grain(fact), "report-grain")
+    KPIs come from its bitmaps. With ``cells`` that are up to date, neither are the others."""
+    grain = cells.grain(fact, "report") if cells else shared_table(metrics.report_grain(fact), "report-grain")
+    gaps = cells.grain(fact, "gaps") if cells else None
     sessions = None if visits else shared_table(metrics.session_grain(fact), "session-grain")
-    frames = views.all_views(fact, limits.brand_min_views, limits.gap_view_min_views, grain, sessions)
+    frames = views.all_views(fact, limits.brand_min_views, limits.gap_view_min_views, grain, sessions, gaps)
     if visits:
         frames |= {"vw_conversion_funnel": visits.conversion_funnel(), "vw_daily_trend": visits.daily_trend()}
     writers.register_views(frames)
@@ -64,11 +68,21 @@ def run(
 ) -> None:
     """Write the KPI sheet, the report tables and the insight queries as CSV folders.
 
-    Users and sessions are kept as bitmaps in the folder; with ``dates``, those that changed since the
-    last run, the bitmaps of these dates alone are built again.
+    Aggregates of counts and sums, and bitmaps of users and sessions, are kept in the folder by date. A run
+    builds those of ``dates``, or if not told of the dates whose files changed since the last run, from
+    their events alone; a run after no change reads no event. A run that dies builds them again.
     """
-    store = Visits(fact.sparkSession, f"{folder.rstrip('/')}/visits").add_days(fact, dates)
-    frames = datasets(fact, limits, store)
+    cells = Cells(fact.sparkSession, f"{folder.rstrip('/')}/cells")
+    digests = partition_digests(fact)
+    outdated = cells.outdated(digests)
+    if dates is not None and outdated is not None:
+        outdated = sorted({*outdated, *dates}, key=lambda d: (d is not None, d))
+    cells.build(fact, outdated)
+    store = Visits(fact.sparkSession, f"{folder.rstrip('/')}/visits")
+    if outdated is None or outdated:
+        store.add_days(fact, outdated)
+    cells.record(digests)
+    frames = datasets(fact, limits, store, cells)
     for name, frame in insight_queries(frames).items():
         writers.write_csv(frame, writers.dated_path(folder, name, run_date))
     sheets = {"KPI Summary": frames["kpi_sheet"].select("metric", "value")}

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from roomlens import schemas
 from roomlens.operators import changes, keys, model, report, views, visits as bits
-from roomlens.plans import detection, warehouse
+from roomlens.plans import detection, reporting, warehouse
+from roomlens.plans.cells import Cells, partition_digests
 from roomlens.plans.visits import Visits
 from roomlens.sources import readers, versions, writers
 from roomlens.sources.scratch import shared_table
@@ -309,3 +310,54 @@ def test_a_build_that_dies_leaves_the_last_one(spark, tmp_path, monkeypatch):
         warehouse.build(*args, "2019-12-03 08:00:00")
     assert versions.current(spark, args[3]) == after.version + 2
     assert not (tmp_path / f"tables/v{reader.version:08d}").exists() and Path(after.path("dim_date")).exists()
+
+
+def report_frames(folder, fact):
+    """The reports of a folder's stores, without a look at the events."""
+    store, cells = Visits(fact.sparkSession, f"{folder}/visits"), Cells(fact.sparkSession, f"{folder}/cells")
+    return {name: found(frame) for name, frame in reporting.datasets(fact, LIMITS, store, cells).items()}
+
+
+def from_scratch(fact):
+    return {name: found(frame) for name, frame in reporting.datasets(fact, LIMITS).items()}
+
+
+def test_second_report_reads_no_event(make_fact, stored, tmp_path):
+    read, folder = stored(sample(make_fact)), str(tmp_path / "report")
+    wanted = from_scratch(read())
+    reporting.run(read(), folder, "2019-12-01", LIMITS)
+    for file in (tmp_path / "fact").rglob("*.parquet"):
+        file.write_bytes(b"no table")  # whoever reads an event fails
+    for file in (tmp_path / "fact").rglob(".*.crc"):
+        file.unlink()
+    reporting.run(read(), folder, "2019-12-02", LIMITS)
+    assert report_frames(folder, read()) == wanted
+
+
+def test_report_builds_the_changed_dates_alone(make_fact, stored, tmp_path, monkeypatch):
+    read, folder = stored(sample(make_fact)), str(tmp_path / "report")
+    reporting.run(read(), folder, "2019-12-01", LIMITS)
+    cells = Cells(read().sparkSession, f"{folder}/cells")
+    assert cells.outdated(partition_digests(read())) == []
+    late = make_fact([dict(event_time="2019-11-03 23:00:00", user_id=900, user_session="late", price="7"), dict(event_time="bad", user_id=901)])
+    late.write.mode("append").partitionBy("event_date").parquet(str(tmp_path / "fact"))
+    writers.delete(read().sparkSession, f"{tmp_path}/fact/event_date=2019-11-05")
+    wanted = [None, dt.date(2019, 11, 3), dt.date(2019, 11, 5)]
+    assert cells.outdated(partition_digests(read())) == wanted
+
+    with monkeypatch.context() as patch:  # a run that dies before its last step leaves the dates outdated
+        patch.setattr(Visits, "add_days", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            reporting.run(read(), folder, "2019-12-02", LIMITS)
+    assert cells.outdated(partition_digests(read())) == wanted
+    reporting.run(read(), folder, "2019-12-02", LIMITS)
+    assert cells.outdated(partition_digests(read())) == []
+    assert report_frames(folder, read()) == from_scratch(read())
+
+
+def test_a_fact_without_partitions_is_built_whole(make_fact, tmp_path):
+    fact, folder = sample(make_fact), str(tmp_path / "report")
+    assert partition_digests(shared_table(fact, "plain")) is None
+    reporting.run(fact, folder, "2019-12-01", LIMITS)
+    assert Cells(fact.sparkSession, f"{folder}/cells").outdated({}) is None
+    assert report_frames(folder, fact) == from_scratch(fact)
