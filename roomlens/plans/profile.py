@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from roomlens.functions.numbers import text_to_double
-from roomlens.operators import clean_products, profiling, quantiles, staging
+from roomlens.operators import clean_products, frequent, profiling, quantiles, staging
 from roomlens.sources import writers
 
 KEY_COLUMNS = ("user_id", "product_id", "category_code", "price", "brand")
@@ -37,7 +37,7 @@ def raw_events(raw: DataFrame) -> dict[str, DataFrame]:
         "furniture_prices": quantiles.describe(
             furniture.selectExpr(f"{text_to_double('STRING(price)')} AS price"), "price"
         ),
-        "furniture_brands": profiling.value_counts(furniture, "brand", 10),
+        "furniture_brands": frequent.top_values(furniture, "brand", 10),
         "furniture_dates": profiling.value_range(furniture, "event_time"),
         "furniture_key_nulls": profiling.null_profile(furniture, KEY_COLUMNS),
     }

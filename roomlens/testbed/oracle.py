@@ -599,6 +599,8 @@ _BODIES = {
     ),
     "event_type_counts": _counts("raw_events", "event_type"),
     "top_values_category": _counts("raw_events", "category_code", 20),
+    "top_values_user": _counts("raw_events", "user_id", 10),
+    "top_values_product": _counts("raw_events", "product_id", 15),
     "furniture_event_types": _counts("furniture", "event_type"),
     "furniture_categories": _counts("furniture", "category_code"),
     "top_values_brand": _counts("furniture", "brand", 10),

@@ -18,6 +18,7 @@ from roomlens.operators import (
     clean_events,
     clean_products,
     detect,
+    frequent,
     metrics,
     model,
     outputs,
@@ -280,6 +281,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "profile_key_nulls": lambda i: profiling.null_profile(i.furniture, profile.KEY_COLUMNS),
     "event_type_counts": lambda i: profiling.value_counts(i.raw_events, "event_type"),
     "top_values_category": lambda i: profiling.value_counts(i.raw_events, "category_code", 20),
+    "top_values_user": lambda i: frequent.top_values(i.raw_events, "user_id", 10),
+    "top_values_product": lambda i: frequent.top_values(i.raw_events, "product_id", 15),
     "furniture_event_types": lambda i: profiling.value_counts(i.furniture, "event_type"),
     "furniture_categories": lambda i: profiling.value_counts(i.furniture, "category_code"),
     "top_values_brand": lambda i: profiling.value_counts(i.furniture, "brand", 10),
