@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ _CLASSES = 14
 
 
 def _byte_classes() -> np.ndarray:
-    table = np.full(256, 10, dtype=np.int64)  # other ASCII symbols
+    table = np.full(256, 10, dtype=np.uint8)  # other ASCII symbols
     table[:32] = 11  # control
     for chars, number in (("abcdefghijklmnopqrstuvwxyz", 0), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 1), ("0123456789", 2),
                           (" ", 3), ("\n", 4), (".", 5), (",;:", 6), ("!?", 7), ("'\"-()", 8), ("@/\\_=+", 9)):
@@ -31,24 +32,48 @@ def _byte_classes() -> np.ndarray:
 
 _CLASS = _byte_classes()
 FEATURES = _CLASSES * _CLASSES + 8
+_PIECE = 1 << 20  # bytes of a text looked at together
+_SPACE, _LINE_END = re.compile(rb"[ \t-\r]"), re.compile(rb"\n")
+
+
+def _pieces(data: bytes, cut: re.Pattern) -> Iterator[bytes]:
+    """``data`` in pieces of about ``_PIECE`` bytes that end with a ``cut``, or the rest."""
+    start = 0
+    while start < len(data):
+        found = cut.search(data, start + _PIECE)
+        end = found.end() if found else len(data)
+        yield data[start:end]
+        start = end
 
 
 def features(text: str | None) -> np.ndarray:
-    """Numbers that describe a whole text: shares of byte-class pairs, lengths, repetition."""
+    """Numbers that describe a whole text: shares of byte-class pairs, lengths, repetition.
+
+    A long text is counted in pieces; only its distinct words and lines are held beside it.
+    """
     data = (text or "").encode("utf-8", "surrogatepass")
     out = np.zeros(FEATURES)
     if not data:
         return out
-    kinds = _CLASS[np.frombuffer(data, dtype=np.uint8)]
-    pairs = np.bincount(kinds[:-1] * _CLASSES + kinds[1:], minlength=_CLASSES * _CLASSES)
+    view, pairs = np.frombuffer(data, dtype=np.uint8), np.zeros(_CLASSES * _CLASSES, dtype=np.int64)
+    for start in range(0, len(data) - 1, _PIECE):
+        kinds = _CLASS[view[start : start + _PIECE + 1]]  # pair numbers fit a byte
+        pairs += np.bincount(kinds[:-1] * np.uint8(_CLASSES) + kinds[1:], minlength=len(pairs))
     out[: _CLASSES * _CLASSES] = np.sqrt(pairs / max(1, len(data) - 1))
-    words = data.split()
-    lines = [line for line in data.split(b"\n") if line.strip()]
-    distinct, spaced = len(set(words)), max(1, len(words))
+    n_words, words, n_lines, lines = 0, set(), 0, set()
+    for piece in _pieces(data, _SPACE):
+        found = piece.split()
+        n_words += len(found)
+        words.update(found)
+    for piece in _pieces(data, _LINE_END):
+        found = [line for line in piece.split(b"\n") if line.strip()]
+        n_lines += len(found)
+        lines.update(found)
+    distinct, spaced = len(words), max(1, n_words)
     out[-8:] = (
-        np.log1p(len(data)), np.log1p(len(words)), distinct / spaced,
-        np.log1p(spaced / max(1, distinct)), len(set(lines)) / max(1, len(lines)),
-        len(data) / spaced / 10, np.log1p(len(data) / max(1, len(lines))), 1.0,
+        np.log1p(len(data)), np.log1p(n_words), distinct / spaced,
+        np.log1p(spaced / max(1, distinct)), len(lines) / max(1, n_lines),
+        len(data) / spaced / 10, np.log1p(len(data) / max(1, n_lines)), 1.0,
     )
     return out
 

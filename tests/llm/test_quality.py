@@ -68,3 +68,11 @@ def test_edges(spark, tables, model):
     unknown = quality.train(tables[0], tables[1].limit(0))
     assert {r.score for r in quality.classify(docs, unknown).collect()} == {0.5}
     assert quality.classify(docs, quality.train(docs.limit(0), tables[1]), names=("_a", "_b")).columns[-2:] == ["_a", "_b"]
+
+
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    texts = ["", "a", "ab", "one two\nthree  two\n\n one two\n", "é" * 40 + "\t\x0b x\r\ny", "word " * 30, "x" * 100, "\n" * 9, "no end of line " * 7 + "\n" + "z" * 33]
+    whole = [quality.features(t) for t in texts]
+    for size in (1, 2, 7, 16):
+        monkeypatch.setattr(quality, "_PIECE", size)
+        assert all((quality.features(t) == w).all() for t, w in zip(texts, whole))
