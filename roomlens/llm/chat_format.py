@@ -1,4 +1,4 @@
-"""Chat formatting: one training example for every assistant turn, told by offsets into one text.
+"""Chat formatting: one training example for every assistant turn, with all turns before it as context.
 
 A turn is written as ``<|im_start|>role\\ntext<|im_end|>\\n``. Texts cannot break the template: a
 backslash is doubled, ``<|`` becomes ``<\\|`` and, in a role, a line break becomes ``<\\n|``.
@@ -63,59 +63,65 @@ def format_parts(conversations: DataFrame, part_turns: int = PART_TURNS) -> Data
 
 
 def prefix_targets(parts: DataFrame) -> DataFrame:
-    """One row per assistant turn: its own example, all turns before it as context.
+    """One row per assistant turn: its own example, all turns before it as context, written out.
 
-    The example is the conversation's formatted text up to ``loss_end``; only code points from
-    ``loss_start`` on are trainable. Rows keep the whole ``reply`` (still escaped) but refer to the
-    shared context by ``loss_start``, as writing out every prefix would grow with the square of the
-    turns; ``example_texts`` writes them out. A part without assistant turn gives one row with null
-    target columns, so that nothing of the conversation is lost. ``nth`` counts within the part.
+    ``text`` is the conversation's formatted text up to the end of the turn; only code points from
+    ``loss_start`` up to ``loss_end`` are trainable. A conversation that does not end with an
+    assistant turn gives one more row, its whole text with null loss columns, so that nothing of it
+    is lost. ``last``: no row of the conversation is longer. ``nth`` counts within the part.
+
+    The context of a part is joined once and serves all its examples; written out, the examples of a
+    conversation grow with the square of its turns.
     """
-    return parts.selectExpr("*", "posexplode_outer(targets) AS (nth, target)").selectExpr(
-        "conv_id", "part", "n_turns", "base", "formatted", "nth",
-        "base + target.start AS loss_start", "base + target.start + target.chars AS loss_end",
-        "substring(formatted, INT(target.start + 1), INT(target.chars)) AS reply",
+    along = Window.partitionBy("conv_id").orderBy("part")
+    context = F.collect_list("formatted").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    closed = f"coalesce(try_element_at(targets, -1).start + try_element_at(targets, -1).chars + {len(END)} = length(formatted), false)"
+    spans = parts.select(
+        "conv_id", "part", "base", "formatted", "targets",
+        F.array_join(context, "").alias("context"), F.lead(F.lit(True), 1, False).over(along).alias("more"),
+    ).withColumn(
+        "spans", F.expr(f"if(more OR {closed}, targets, concat(targets, array(NULL)))")
+    )
+    end = END.replace("\n", "\\n")
+    return spans.selectExpr("*", "posexplode(spans) AS (nth, span)").selectExpr(
+        "conv_id", "part", "nth",
+        f"if(span IS NULL, concat(context, formatted), concat(context, left(formatted, INT(span.start + span.chars)), '{end}')) AS text",
+        "base + span.start AS loss_start", "base + span.start + span.chars AS loss_end",
+        "NOT more AND nth = size(spans) - 1 AS last",
     )
 
 
 def example_texts(parts: DataFrame) -> DataFrame:
-    """(conv_id, text, loss_start, loss_end) of every example with its whole text written out."""
-    whole = parts.groupBy("conv_id").agg(
-        F.expr("array_join(transform(sort_array(collect_list(struct(part, formatted))), p -> p.formatted), '')").alias("whole"),
-        F.expr("flatten(collect_list(transform(targets, t -> struct(base + t.start AS loss_start, base + t.start + t.chars AS loss_end))))").alias("spans"),
-    )
-    return whole.selectExpr("conv_id", "whole", "inline(spans)").selectExpr(
-        "conv_id", f"concat(left(whole, INT(loss_end)), '{END.replace(chr(10), chr(92) + 'n')}') AS text", "loss_start", "loss_end"
-    )
+    """(conv_id, text, loss_start, loss_end) of every example, without the rows that train nothing."""
+    return prefix_targets(parts).where("loss_end IS NOT NULL").select("conv_id", "text", "loss_start", "loss_end")
 
 
 def read_back(examples: DataFrame) -> DataFrame:
-    """Per conversation, from formatted text and loss spans alone: its turns and trained texts.
+    """Per conversation, from the examples' texts and loss spans alone: its turns and trained texts.
 
-    conv_id, n_turns, turns (role, line break, text, line break per turn), loss (all trained texts
-    in order, unescaped), formatted_chars (code points of the formatted conversation), n_examples
-    and example_chars (code points of all examples if written out).
+    conv_id, n_turns, turns (role, line break, text, line break per turn, of the longest example),
+    loss (all trained texts in order, unescaped), formatted_chars (code points of the formatted
+    conversation), n_examples and example_chars (code points of all examples).
     """
     end = END.replace("\n", "\\n")
     role = _UNESCAPE_ROLE.format(f"substring_index(substring(t, {len(START) + 1}), '\\n', 1)")
     text = _UNESCAPE.format(f"substring(t, {len(START) + 2} + length(substring_index(substring(t, {len(START) + 1}), '\\n', 1)))")
     marked = end.replace("|", "\\\\|")
     once = examples.selectExpr(
-        "conv_id", "part", "nth", "loss_end",
-        "if(nth IS NULL OR nth = 0, formatted, NULL) AS formatted",
-        f"{_UNESCAPE.format('reply')} AS loss",
+        "conv_id", "part", "nth", "if(last, text, NULL) AS whole", "BIGINT(length(text)) AS chars", "loss_end IS NOT NULL AS trained",
+        f"{_UNESCAPE.format('substring(text, INT(loss_start + 1), INT(loss_end - loss_start))')} AS loss",
     ).selectExpr(
-        "conv_id", "part", "nth", "loss", "loss_end", "BIGINT(length(formatted)) AS chars",
-        f"slice(split(formatted, '{marked}'), 1, size(split(formatted, '{marked}')) - 1) AS segments",
+        "conv_id", "part", "nth", "loss", "if(trained, chars, 0) AS example_chars", "if(whole IS NULL, NULL, chars) AS chars",
+        f"slice(split(whole, '{marked}'), 1, size(split(whole, '{marked}')) - 1) AS segments",
     ).selectExpr(
-        "conv_id", "part", "nth", "loss", "loss_end", "chars", "if(segments IS NULL, 0, size(segments)) AS n_turns",
+        "conv_id", "part", "nth", "loss", "example_chars", "chars", "if(segments IS NULL, 0, size(segments)) AS n_turns",
         f"array_join(transform(segments, t -> concat({role}, '\\n', {text}, '\\n')), '') AS turns",
     )
     return once.groupBy("conv_id").agg(
         F.sum(F.col("n_turns").cast("long")).alias("n_turns"),
-        F.expr("array_join(transform(sort_array(collect_list(if(turns IS NULL, NULL, struct(part, turns)))), p -> p.turns), '')").alias("turns"),
+        F.expr("array_join(collect_list(turns), '')").alias("turns"),
         F.expr("array_join(transform(sort_array(collect_list(if(loss IS NULL, NULL, struct(part, nth, loss)))), p -> p.loss), '')").alias("loss"),
         F.sum("chars").alias("formatted_chars"),
         F.count("loss").alias("n_examples"),
-        F.coalesce(F.sum(F.col("loss_end") + F.lit(len(END))), F.lit(0)).alias("example_chars"),
+        F.sum("example_chars").alias("example_chars"),
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from roomlens.llm import chat_format
 from tests.llm import brute
@@ -53,3 +54,20 @@ def test_empty_table_and_other_columns(spark):
 def test_no_python_in_the_plan(parts):
     plan = chat_format.read_back(chat_format.prefix_targets(parts))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_examples_hold_their_context(spark, parts):
+    """Each example is text of its own, and the digests are read from these texts."""
+    examples = chat_format.prefix_targets(parts)
+    of9 = sorted((r for r in examples.where("conv_id = 9").collect()), key=lambda r: r.loss_start)
+    for shorter, longer in zip(of9, of9[1:]):
+        assert longer.text.startswith(shorter.text) and not shorter.last
+    assert of9[-1].last and of9[149].text.count("<|im_start|>") == 300
+    (only,) = examples.where("conv_id = 8").collect()
+    assert only.last and only.loss_end is None and only.text == "<|im_start|>user\nonly<|im_end|>\n"
+    changed = examples.withColumn("text", F.expr("replace(text, 't1<', 'T1<')"))
+    found = {r.conv_id: r for r in chat_format.read_back(changed).collect()}
+    assert found[9].turns.startswith("user\nt0<|\nassistant\nT1<|\n") and found[9].loss.startswith("T1<|t3<|")
+    longer = examples.withColumn("text", F.expr("concat('+', text)"))
+    grown = {r.conv_id: r for r in chat_format.read_back(longer).collect()}
+    assert grown[9].example_chars == found[9].example_chars + 150
