@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from roomlens.llm.common import HASHED_ROW_BYTES, broadcast_if_small
 from roomlens.llm.components import connected_components
 from roomlens.sources.scratch import shared_table
 
@@ -77,16 +78,17 @@ def link_fingerprints(nodes: DataFrame, radius: int = MAX_BITS) -> DataFrame:
     Pairs inside a group are never written out: first each bucket links its members to its smallest
     fingerprint where near enough. Only buckets that still hold several components are then joined,
     and only across components, so a large group of near copies costs one link a member. The few files
-    of ``nodes`` are dealt out first, as each row becomes one a table.
+    of ``nodes`` are dealt out first, as each row becomes one a table. Spark takes all these rows for as
+    small as ``nodes``, so they are kept from being broadcast; the buckets that are shared are measured.
     """
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tables = F.array(*[F.struct(F.lit(i).alias("tab"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
                        for i, m in enumerate(covering_masks(radius))])
     placed = nodes.select("fp").repartition(tasks, "fp").select("fp", F.explode(tables).alias("t")).select("fp", "t.tab", "t.key")
     heads = placed.groupBy("tab", "key").agg(F.min("fp").alias("head"), F.max("fp").alias("last")).where("head <> last")
-    shared = shared_table(
-        placed.join(heads.select("tab", "key", "head"), ["tab", "key"]), "simhash-buckets"
-    )
+    heads = shared_table(heads.select("tab", "key", "head"), "simhash-heads")
+    small = broadcast_if_small(heads, str(HASHED_ROW_BYTES))
+    shared = shared_table(placed.hint("merge").join(small, ["tab", "key"]), "simhash-buckets")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("head"))) <= radius
     first = shared_table(
         connected_components(shared.where("fp <> head").where(near).select("fp", "head"), "simhash-star"),

@@ -89,3 +89,22 @@ def test_connected_components(spark, edges):
     pairs = {frozenset(e) for e in edges if None not in e and e[0] != e[1]}
     nodes = {n for p in pairs for n in p}
     assert found == brute.components(nodes, lambda a, b: frozenset((a, b)) in pairs)
+
+
+def test_rows_of_all_tables_are_not_broadcast(spark, monkeypatch):
+    """Spark takes them for as few as the fingerprints; only the shared buckets, which are measured, may be sent."""
+    rng = random.Random(5)
+    prints = [rng.getrandbits(63) for _ in range(200)]
+    nodes = spark.createDataFrame([(p,) for p in prints + [p ^ 3 for p in prints[:20]]], "fp long")
+    plans, write = {}, simhash.shared_table
+
+    def watched(df, label):
+        plans[label] = df._jdf.queryExecution().sparkPlan().toString()
+        return write(df, label)
+
+    monkeypatch.setattr(simhash, "shared_table", watched)
+    for least, joined in ((simhash.HASHED_ROW_BYTES, "BroadcastHashJoin"), (1 << 40, "SortMergeJoin")):
+        monkeypatch.setattr(simhash, "HASHED_ROW_BYTES", least)
+        found = {r.fp: r.root for r in simhash.link_fingerprints(nodes).collect()}
+        assert found == {p: min(q, q ^ 3) for q in prints[:20] for p in (q, q ^ 3)}
+        assert joined in plans["simhash-buckets"] and "BuildLeft" not in plans["simhash-buckets"]
